@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import piecetable
+from . import linededup, piecetable, simhash
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,3 +25,32 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 @query
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piecetable.encode_decode(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op9_line_dedup"] = r"""
+with docs as (
+  select doc_id, row_number() over () as row_id, coalesce(text, '') as text from documents
+), lines as (
+  select doc_id, row_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as line_no from docs
+), keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k from lines
+), hot as (
+  select k, max(doc_id) as last_doc from keyed where length(k) >= 40 group by k having count(distinct doc_id) >= 5
+), judged as (
+  select keyed.*, hot.k is not null and doc_id <> last_doc as gone from keyed left join hot on keyed.k = hot.k
+)
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by line_no) filter (not gone), '')) as kept_sha256
+from judged group by doc_id, row_id
+"""
