@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, piecetable, simhash
+from . import decontam, langcodes, linededup, piecetable, simhash
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,13 @@ select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by line_no) filter (not gone), '')) as kept_sha256
 from judged group by doc_id, row_id
 """
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langcodes.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
