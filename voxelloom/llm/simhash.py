@@ -18,7 +18,7 @@ SEED, WORDS, RADIUS = 42, 3, 2
 #: A fingerprint's bits fall in so many segments, whose population counts name its tile.
 SEGMENTS = 4
 #: Fingerprints in one block of a tile, in expectation; larger tiles are cut by a hash.
-BLOCK = 2048
+BLOCK = 512
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -129,16 +129,16 @@ def close_links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
                 f1, r1, f2, r2 = (v[o[r] : o[r + 1]] for v, o in parts)
                 a, b = [], []
                 f1, f2 = f1.view(np.uint64), f2.view(np.uint64)
-                for k in range(0, len(f1), 256):
-                    i, j = np.nonzero(np.bitwise_count(f1[k : k + 256, None] ^ f2[None, :]) <= radius)
-                    if len(i):
-                        a.append(r1[i + k])
-                        b.append(r2[j])
+                for k in range(0, len(f1), 128):
+                    i, j = np.nonzero(np.bitwise_count(f1[k : k + 128, None] ^ f2[None, :]) <= radius)
+                    x, y = r1[i + k], r2[j]
+                    away = x != y
+                    if away.any():
+                        x, y = _forest(x[away], y[away])
+                        a.append(x)
+                        b.append(y)
                 if a:
-                    a, b = np.concatenate(a), np.concatenate(b)
-                    a, b = a[a != b], b[a != b]
-                if len(a):
-                    x, y = _forest(a, b)
+                    x, y = _forest(np.concatenate(a), np.concatenate(b))
                     found_a.append(x)
                     found_b.append(y)
             none = [np.zeros(0, np.int64)]
