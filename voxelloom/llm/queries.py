@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langcodes, linededup, piecetable, simhash
+from . import decontam, hostrep, langcodes, linededup, piecetable, preference, simhash
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,95 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+RULES = [hostrep.Rule("net/", "block"), hostrep.Rule("example.net/en/", "allow"), hostrep.Rule("example.com/de/", "block"), hostrep.Rule("org/fr/", "allow")]
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = hostrep.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE_SQL["op2_url_filter"] = r"""
+with parts as (
+  select page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path
+  from pages
+), outcome as (
+  select doc_id, max(case when toxic = 1 or quality = 0 then 1 else 0 end) as bad from labels group by doc_id
+), hosts as (
+  select host, count(bad) as n, coalesce(sum(bad), 0) as bad,
+    case when len(string_split(host, '.')) > 2 then array_to_string(string_split(host, '.')[-2:], '.') else host end as domain,
+    string_split(host, '.')[-1] as suffix
+  from parts left join outcome on page_id = doc_id group by host
+), domains as (select suffix, domain, sum(n) as n, sum(bad) as bad from hosts group by suffix, domain),
+suffixes as (select suffix, sum(n) as n, sum(bad) as bad from domains group by suffix),
+total as (select case when sum(n) > 0 then sum(bad)::double / sum(n) else 0.5 end as mean from suffixes),
+levels as (
+  select 'host' as level, n, bad from hosts union all select 'domain', n, bad from domains union all select 'suffix', n, bad from suffixes
+), moments as (
+  select level, count(*) as g, sum(n)::double as n, sum(bad)::double / sum(n) as rate, sum(bad * bad / n::double) as squares, sum(n * n)::double as n2
+  from levels where n > 0 group by level
+), strengths as (
+  select level, case when g < 2 or not (rate > 0 and rate < 1) or n - n2 / n <= 0 then 1000
+    when squares - n * rate * rate - (g - 1) * rate * (1 - rate) <= 0 then 1000
+    else least(greatest(1 / (((squares - n * rate * rate - (g - 1) * rate * (1 - rate)) / (n - n2 / n)) / (rate * (1 - rate))) - 1, 2), 1000) end as s
+  from moments
+), strength as (
+  select coalesce(max(s) filter (level = 'host'), 1000) as sh, coalesce(max(s) filter (level = 'domain'), 1000) as sd, coalesce(max(s) filter (level = 'suffix'), 1000) as ss from strengths
+), suffix_rate as (select suffix, (mean * ss + bad) / (ss + n) as rate from suffixes, total, strength),
+domain_rate as (select d.suffix, d.domain, (s.rate * sd + d.bad) / (sd + d.n) as rate from domains d join suffix_rate s using (suffix), strength),
+host_rate as (select h.host, h.n, (d.rate * sh + h.bad) / (sh + h.n) as rate, sh from hosts h join domain_rate d using (suffix, domain), strength),
+bound as (select host, rate - 1.645 * sqrt(rate * (1 - rate) / (n + sh + 1)) as low from host_rate),
+rules(rule, rule_host, rule_path, rule_verdict) as (values ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'), ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+numbered as (select *, row_number() over () as row_id from parts),
+fits as (
+  select row_id, arg_max(rule, length(rule)) as rule, arg_max(rule_verdict, length(rule)) as rule_verdict
+  from numbered join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path) group by row_id
+)
+select page_id, host, path, rule, coalesce(rule_verdict, case when low > 0.3 then 'block' else 'allow' end) as verdict
+from numbered join bound using (host) left join fits using (row_id)
+"""
+
+
+def _spans(mask: str):
+    return F.array_join(F.transform(mask, lambda s: F.concat_ws(":", s["start"].cast("string"), s["stop"].cast("string"))), " ")
+
+
+@query
+def op6_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2k and 2k + 1 are chosen and rejected of pair k."""
+    turns = table(spark, sf_dir, "conversations")
+    turns = turns.withColumn("pair_id", F.floor(F.col("conv_id") / 2)).withColumn("side", F.pmod("conv_id", F.lit(2)).cast("int"))
+    return preference.format_pairs(turns).withColumn("chosen_mask", _spans("chosen_mask")).withColumn("rejected_mask", _spans("rejected_mask"))
+
+
+ORACLE_SQL["op6_preference"] = r"""
+with turns as (
+  select conv_id // 2 as pair_id, conv_id % 2 as side, conv_id, turn, coalesce(role, 'user') as role, coalesce(text, '') as text from conversations where conv_id is not null
+), shown as (
+  select *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) as shown, row_number() over (partition by pair_id, side order by turn, role, text) as nth from turns
+), spans as (
+  select *, sum(length(shown)) over (partition by pair_id, side order by nth) as stop from shown
+), ends as (
+  select pair_id, min(conv_id) filter (side = 0) as chosen_id, min(conv_id) filter (side = 1) as rejected_id,
+    least(count(*) filter (side = 0), count(*) filter (side = 1)) as both_n from spans group by pair_id
+), differ as (
+  select c.pair_id, min(c.nth) as nth from spans c join spans r on c.pair_id = r.pair_id and c.nth = r.nth and c.side = 0 and r.side = 1
+  where c.role <> r.role or c.text <> r.text group by c.pair_id
+), prefix as (
+  select e.pair_id, chosen_id, rejected_id, coalesce(d.nth - 1, both_n) as n_prefix from ends e left join differ d using (pair_id)
+), skip as (
+  select p.*, coalesce((select max(stop) from spans s where s.pair_id = p.pair_id and s.side = 0 and s.nth = p.n_prefix), 0) as skip from prefix p
+)
+select k.pair_id, any_value(chosen_id) as chosen_id, any_value(rejected_id) as rejected_id, any_value(n_prefix)::bigint as n_prefix,
+  coalesce(string_agg(shown, '' order by nth) filter (side = 0 and nth <= n_prefix), '') as prompt,
+  coalesce(string_agg(shown, '' order by nth) filter (side = 0 and nth > n_prefix), '') as chosen,
+  coalesce(string_agg(shown, '' order by nth) filter (side = 1 and nth > n_prefix), '') as rejected,
+  coalesce(string_agg((stop - skip - length(text) - 8)::bigint || ':' || (stop - skip)::bigint, ' ' order by nth) filter (side = 0 and nth > n_prefix and role = 'assistant'), '') as chosen_mask,
+  coalesce(string_agg((stop - skip - length(text) - 8)::bigint || ':' || (stop - skip)::bigint, ' ' order by nth) filter (side = 1 and nth > n_prefix and role = 'assistant'), '') as rejected_mask
+from spans s join skip k on s.pair_id = k.pair_id group by k.pair_id
+"""
