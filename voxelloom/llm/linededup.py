@@ -244,7 +244,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lost = materialize(store.dropped(), "line-drops")
     row = F.struct(*[F.col(c) for c in keep] or [F.lit(0).alias("none")]).alias("row")
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), row)
-    joined = own.join(lost, own["id"] == lost["doc_id"], "left").select("id", "text", F.col("keys.k1").alias("k1"), F.col("keys.k2").alias("k2"), "row")
+    # one plan at every size: what is lost grows with the documents, so neither side is broadcast
+    joined = own.join(lost.hint("merge"), own["id"] == lost["doc_id"], "left").select("id", "text", F.col("keys.k1").alias("k1"), F.col("keys.k2").alias("k2"), "row")
     row_type = joined.schema["row"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
