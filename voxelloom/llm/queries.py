@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, hostrep, langcodes, linededup, piecetable, preference, simhash
+from . import decontam, hostrep, langcodes, linededup, piecetable, preference, simhash, warc
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,19 @@ select k.pair_id, any_value(chosen_id) as chosen_id, any_value(rejected_id) as r
   coalesce(string_agg((stop - skip - length(text) - 8)::bigint || ':' || (stop - skip)::bigint, ' ' order by nth) filter (side = 1 and nth > n_prefix and role = 'assistant'), '') as rejected_mask
 from spans s join skip k on s.pair_id = k.pair_id group by k.pair_id
 """
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+_BASE32_SQL = "translate(" + " || ".join(f"lpad(to_base(('0x' || substr(h, {10 * k + 1}, 10))::bigint, 32), 8, '0')" for k in range(4)) + ", '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')"
+ORACLE_SQL["op7_warc"] = f"""
+with rows as (select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha1(coalesce(html, '')) as h from pages where page_id is not null),
+firsts as (select *, min(page_id) over (partition by h) as first_id from rows)
+select page_id, payload_bytes, {_BASE32_SQL} as payload_digest,
+  case when page_id = first_id then 'response' else 'revisit' end as record_type,
+  case when page_id = first_id then null else first_id end as refers_to
+from firsts
+"""
