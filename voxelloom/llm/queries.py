@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, hostrep, langcodes, linededup, piecetable, preference, simhash, warc
+from . import decontam, hostrep, langcodes, linededup, piecetable, preference, projpass, simhash, warc
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,8 @@ select page_id, payload_bytes, {_BASE32_SQL} as payload_digest,
   case when page_id = first_id then null else first_id end as refers_to
 from firsts
 """
+
+
+@query
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projpass.near_duplicates(table(spark, sf_dir, "embeddings"))
