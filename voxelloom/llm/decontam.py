@@ -207,4 +207,5 @@ def contaminated(
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` without those that hold a copy of a test item; rows with a null id stay."""
     found = contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(found, id_col, "left_anti")
+    # one plan at every size: what is found grows with the documents, so it is not broadcast
+    return docs.join(found.hint("merge"), id_col, "left_anti")

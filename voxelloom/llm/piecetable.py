@@ -19,6 +19,7 @@ import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -293,7 +294,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 ids = " ".join([*(e[0] for e in entries), end])
                 decoded = "".join([e[2] for e in entries])[1:]
                 row = [sum(e[1] for e in entries) + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()]
-                row += [[int(i) for i in ids.split()]] if keep_ids else []
+                row += [np.array(ids.split(), np.int32)] if keep_ids else []
                 row += [decoded] if keep_text else []
                 for c, v in zip(cols, row):
                     c.append(v)

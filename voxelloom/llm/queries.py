@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, hostrep, langcodes, linededup, piecetable, preference, projpass, simhash, warc
+from . import decontam, hostrep, langcodes, linededup, piecetable, preference, projpass, simhash, warc, wrapper
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,8 @@ from firsts
 @query
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projpass.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.main_text(table(spark, sf_dir, "pages"))
