@@ -36,6 +36,7 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 DROPPED = frozenset("head nav header footer aside form script style noscript iframe template svg button select textarea title object canvas dialog menu".split())
 DROPPED_WORDS = frozenset("ad ads advert adverts advertisement advertisements adbox adslot banner promo promotion promoted sponsor sponsored nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead comment comments commentlist discussion disqus reply replies respond notice notices cookie cookies consent gdpr alert popup modal overlay share sharing social related recommended newsletter subscribe subscription signup login search pagination pager toolbar widget complementary contentinfo".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
+CONTAINERS = frozenset("body main article section div center table tbody tr td".split())
 SCOPES = frozenset("table ul ol dl body html article section div main td th".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
@@ -195,7 +196,7 @@ def induce(pages: list[str]) -> dict:
     while True:
         whole = node.size()
         named = [c for c in node.children if c.tag in ("article", "main") and not c.dropped and c.size() > 0]
-        inner = named[:1] or [c for c in node.children if c.children and c.size() > MAIN_SHARE * whole and c.tag in BLOCK]
+        inner = named[:1] or [c for c in node.children if c.tag in CONTAINERS and c.size() > MAIN_SHARE * whole]
         if not inner or node.tag == "article":
             break
         node = inner[0]
@@ -204,7 +205,7 @@ def induce(pages: list[str]) -> dict:
     if len(pages) >= AGREE:
 
         def gather(x: Folded) -> None:
-            if len(x.texts) == len(pages):
+            if len(x.texts) >= AGREE:
                 constants.update(x.constant())
             for c in x.children:
                 gather(c)
