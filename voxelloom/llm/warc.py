@@ -5,7 +5,7 @@ are stored once, as the response of the smallest id, and others are revisits.
 
 Reading: the bytes `WARC/1.` at the start of a line may be a record's start or stand in
 a payload. Tasks emit, for every such place with a well-formed header, its offset
-and its successor's, which the header's Content-Length gives. Only offsets
+and its successor's, which the header's Content-Length gives, with what the header says. Only offsets
 that the chain from a file's start reaches are records: pointer jumping doubles the
 known stretch of every chain each round.
 """
@@ -27,8 +27,8 @@ DATE = "2024-01-01T00:00:00Z"
 CRLF = "\r\n"
 BASE32 = ("0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 _START = re.compile(rb"(?:\A|(?<=\n))WARC/1\.[01]\r\n")
-_CHAIN = "file string, pos long, next long"
-_RECORD = "file string, pos long, next long, kind string, record_id string, refers_to string, digest string, payload_bytes long, payload binary"
+_RECORD = "file string, pos long, next long, kind string, record_id string, refers_to string, digest string, payload_bytes long"
+_PAYLOAD = ", payload binary"
 
 
 def payload_digest(payload: Column) -> Column:
@@ -98,19 +98,39 @@ def _header(raw: bytes, pos: int) -> tuple[dict[bytes, bytes], int, int] | None:
     return fields, end + 4, end + 4 + int(length) + 4
 
 
-def candidates(files: DataFrame) -> DataFrame:
-    """(file, pos, next) of every well-formed candidate in (path, content) rows; next is -1 where a record ends its file."""
+def candidates(files: DataFrame, payloads: bool = False) -> DataFrame:
+    """Every well-formed candidate in (path, content) rows: file, pos, next, and what its header says, as if it were a record.
+
+    next is -1 where a record ends its file. A response's digest and size are computed anew from its bytes; a
+    revisit's are those its header states. `payload` is there if asked for, null for revisits.
+    """
+    schema = pa.schema([(n, {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[t]) for n, t in (x.split() for x in (_RECORD + _PAYLOAD * payloads).split(", "))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import base64
+        import hashlib
+
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
-                raw, out = content.as_buffer().to_pybytes(), []
+                raw, out = content.as_buffer().to_pybytes(), [[] for _ in schema]
                 for m in _START.finditer(raw):
-                    if (found := _header(raw, m.start())) and found[2] <= len(raw):
-                        out.append((path.as_py(), m.start(), found[2] if found[2] < len(raw) else -1))
-                yield pa.RecordBatch.from_pylist([dict(zip(("file", "pos", "next"), x)) for x in out], pa.schema([("file", pa.string()), ("pos", pa.int64()), ("next", pa.int64())]))
+                    found = _header(raw, m.start())
+                    if not found or found[2] > len(raw):
+                        continue
+                    fields, start, following = found
+                    get = lambda name: fields[name].decode(errors="replace") if name in fields else None  # noqa: B023, E731
+                    kind, payload = get(b"warc-type"), None
+                    stated = fields.get(b"x-payload-length", b"")
+                    digest, size = (get(b"warc-payload-digest") or "").removeprefix("sha1:"), int(stated) if stated.isdigit() else 0
+                    if kind == "response":
+                        payload = raw[start : following - 4].partition(b"\r\n\r\n")[2]
+                        digest, size = base64.b32encode(hashlib.sha1(payload).digest()).decode(), len(payload)
+                    row = (path.as_py(), m.start(), following if following < len(raw) else -1, kind, get(b"warc-record-id"), get(b"warc-refers-to"), digest, size, payload)
+                    for c, v in zip(out, row):
+                        c.append(v)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 
-    return files.select("path", "content").mapInArrow(run, _CHAIN)
+    return files.select("path", "content").mapInArrow(run, _RECORD + _PAYLOAD * payloads)
 
 
 def reachable(chain: DataFrame) -> DataFrame:
@@ -141,38 +161,14 @@ def reachable(chain: DataFrame) -> DataFrame:
     return chain.join(known, ["file", "pos"], "left_semi")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all archives under `path`: file, pos, next, kind, record_id, refers_to, digest, payload_bytes, payload.
+def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """The records of all archives under `path`: file, pos, next, kind, record_id, refers_to, digest, payload_bytes and, if asked for, payload.
 
-    payload is what follows the HTTP header; a revisit's is null, its size and digest are those its
-    header states. A response's digest is computed anew from the bytes read. Files are read whole by one task each,
-    so their size must be bounded, as `write` does.
+    Files are read whole by one task each, so their size must be bounded, as `write` does; only what is said
+    of candidates is shuffled, not archives.
     """
-    files = spark.read.format("binaryFile").load(path)
-    chain = materialize(candidates(files), "warc-chain")
-    starts = materialize(reachable(chain).groupBy("file").agg(F.sort_array(F.collect_list("pos")).alias("starts")), "warc-starts")
-    both = files.select("path", "content").join(starts, files["path"] == starts["file"]).select("path", "content", "starts")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import base64
-        import hashlib
-
-        schema = pa.schema([("file", pa.string()), ("pos", pa.int64()), ("next", pa.int64()), ("kind", pa.string()), ("record_id", pa.string()), ("refers_to", pa.string()), ("digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())])
-        for batch in batches:
-            for path, content, starts in zip(*(batch.column(k) for k in range(3))):
-                raw, out = content.as_buffer().to_pybytes(), []
-                for pos in starts.as_py():
-                    fields, start, following = _header(raw, pos)
-                    get = lambda name: fields[name].decode() if name in fields else None  # noqa: B023, E731
-                    kind, payload = get(b"warc-type"), None
-                    digest, size = (get(b"warc-payload-digest") or "").removeprefix("sha1:"), int(fields.get(b"x-payload-length", b"0"))
-                    if kind == "response":
-                        payload = raw[start : following - 4].partition(b"\r\n\r\n")[2]
-                        digest, size = base64.b32encode(hashlib.sha1(payload).digest()).decode(), len(payload)
-                    out.append((path.as_py(), pos, following, kind, get(b"warc-record-id"), get(b"warc-refers-to"), digest, size, payload))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-
-    return both.mapInArrow(run, _RECORD)
+    found = materialize(candidates(spark.read.format("binaryFile").load(path), payloads), "warc-candidates")
+    return found.join(reachable(found.select("file", "pos", "next")).select("file", "pos"), ["file", "pos"], "left_semi")
 
 
 def round_trip(pages: DataFrame, path: str | None = None, min_bytes: int = 0) -> DataFrame:
@@ -181,4 +177,4 @@ def round_trip(pages: DataFrame, path: str | None = None, min_bytes: int = 0) ->
     path = path or new_path(spark, "warc")
     write(pages, path, min_bytes)
     number = lambda c: F.regexp_extract(c, r"<urn:page:(-?\d+)>", 1).cast("long")
-    return read(spark, path).select(number("record_id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), number("refers_to").alias("refers_to"))
+    return read(spark, path, payloads=False).select(number("record_id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), number("refers_to").alias("refers_to"))
