@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import images, kernels, relations, texts
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {**images.QUERIES, **relations.QUERIES, **texts.QUERIES, **kernels.QUERIES}
+ORACLE_SQL = {**images.ORACLE_SQL, **relations.ORACLE_SQL, **texts.ORACLE_SQL}
