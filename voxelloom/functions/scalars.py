@@ -84,8 +84,8 @@ def rotated_size(ny: Column, nx: Column, nz: Column, angle: Column, aniso: Colum
 def acute_angle(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
     """Degrees between two directions, at most 90; null if one has no length."""
     size = F.hypot(ax, ay) * F.hypot(bx, by)
-    turn = F.degrees(F.acos(F.least(F.greatest((ax * bx + ay * by) / F.nullif(size, F.lit(0.0)), F.lit(-1.0)), F.lit(1.0))))
-    return F.when(turn > 90, 180 - turn).otherwise(turn)
+    turn = F.degrees(F.acos(F.least(F.greatest((ax * bx + ay * by) / size, F.lit(-1.0)), F.lit(1.0))))
+    return F.when(size > 0, F.when(turn > 90, 180 - turn).otherwise(turn))
 
 
 def unit_range(v: Column, low: Column, high: Column) -> Column:

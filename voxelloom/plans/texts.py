@@ -78,7 +78,7 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.round(S.seconds(text), 3).alias("seconds"))
 
 
-@query("elapsed_times", "select event_id, epoch_ms(ts) as ticket_ms, round((epoch_us(ts) - min(epoch_us(ts)) over (partition by user_id)) / 1e6, 6) as elapsed_s from events")
+@query("elapsed_times", "select event_id, epoch_us(ts) // 1000 as ticket_ms, round((epoch_us(ts) - min(epoch_us(ts)) over (partition by user_id)) / 1e6, 6) as elapsed_s from events")
 def _(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     first = events.groupBy("user_id").agg(F.min("ts").alias("t0"))
