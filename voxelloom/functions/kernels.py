@@ -205,7 +205,8 @@ def gaussian_fwhm(profile: np.ndarray, steps: int = 100) -> float:
     x = np.arange(len(y))
     if len(y) < 4 or not np.isfinite(y).all() or y.max() == y.min():
         return 0.0
-    p, damping = np.array([y.max(), len(y) / 2, len(y) / 4, 0.0]), 1e-3
+    wide = (y >= (y.max() + y.min()) / 2).sum() / 2.355
+    p, damping = np.array([y.max() - y.min(), float(y.argmax()), max(wide, 0.5), y.min()]), 1e-3
 
     def model(q):
         e = np.exp(-((x - q[1]) ** 2) / (2 * q[2] ** 2))

@@ -375,3 +375,11 @@ def _(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select(F.concat(F.lit("job"), (F.col("user_id") % 20).cast("string")).alias("job"), func.alias("func"), F.col("value").alias("seconds"))
     out = summarise(rows)
     return out.select("job", *[F.round(c, 4).alias(c) for c in ("load", "decon", "dsr", "save", "total")])
+
+
+@query("stream_state_counts", "select time_bucket(interval 1 hour, ts) as hour, state, count(*) as n from tickets group by all")
+def _(spark, sf_dir):
+    """The same counts as a Structured Streaming query that reads all there is."""
+    from ..streaming.replay import state_counts
+
+    return state_counts(spark, sf_dir)

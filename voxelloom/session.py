@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -18,3 +21,15 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+_SCRATCH: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the folder all executors share, `spark.checkpoint.dir`; in a folder of our own where that is unset."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        base = _SCRATCH.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="voxelloom-")
+        _SCRATCH[spark.sparkContext.applicationId] = base
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
