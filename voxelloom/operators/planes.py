@@ -1,4 +1,4 @@
-"""Projections of plane rows in two steps: each task folds its own planes, then the few folded rows meet."""
+"""Folds of plane and volume rows: each task folds its own rows, then partial results meet in a tree."""
 
 from __future__ import annotations
 
@@ -7,18 +7,36 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..model import PLANES, pixels
 
 _NAMES = [c.split()[0] for c in PLANES.split(", ")]
+#: Partial results that meet in one group, and rounds of that: enough for FAN_IN ** LEVELS tasks.
+FAN_IN, LEVELS = 64, 2
 
 
-def project(planes: DataFrame, keys: list[str], fold: Callable = np.maximum) -> DataFrame:
-    """One plane for each key: the fold of all its planes, of one shape; other coordinates become 0.
+def tree_fold(partials: DataFrame, keys: list[str], fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str, fan_in: int = FAN_IN, levels: int = LEVELS) -> DataFrame:
+    """One row for each key, from at most one row for each key and task; a column `part` holds the task's number.
 
-    The first step keeps one plane for each key in memory, the second has one row for each task and key.
+    A group holds at most fan_in partial results, however many rows the key had.
     """
+    rows = partials
+    for level in range(levels):
+        last = level == levels - 1
+        rows = rows.withColumn("part", F.lit(0).cast("long") if last else F.floor(F.col("part") / fan_in))
+
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            return fold(pdf) if len(pdf) > 1 else pdf
+
+        rows = rows.groupBy(*keys, "part").applyInPandas(run, f"{schema}, part long")
+    return rows.drop("part")
+
+
+def project(planes: DataFrame, keys: list[str], combine: Callable = np.maximum) -> DataFrame:
+    """One plane for each key: the fold of all its planes, of one shape; other coordinates become 0. A task keeps one plane for each key in memory."""
     at = [_NAMES.index(k) for k in keys]
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -30,19 +48,20 @@ def project(planes: DataFrame, keys: list[str], fold: Callable = np.maximum) ->
                 key = (*(row[k] for k in at), *row[4:7])
                 image = pixels(row[7], row[6], row[4], row[5])
                 if key in held:
-                    fold(held[key][1], image, out=held[key][1])
+                    combine(held[key][1], image, out=held[key][1])
                 else:
                     held[key] = [[x if k in at or k == 0 else 0 for k, x in enumerate(row[:4])] + list(row[4:7]), image.copy()]
         if schema is not None:
-            yield pa.RecordBatch.from_pylist([dict(zip(_NAMES, [*head, image.tobytes()])) for head, image in held.values()], schema)
+            part = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_pylist([dict(zip([*_NAMES, "part"], [*head, image.tobytes(), part])) for head, image in held.values()], schema.append(pa.field("part", pa.int64())))
 
-    def final(rows: pd.DataFrame) -> pd.DataFrame:
+    def fold(rows: pd.DataFrame) -> pd.DataFrame:
         out = None
         for r in rows.itertuples():
             image = pixels(r.data, r.dtype, r.h, r.w)
-            out = image.copy() if out is None else fold(out, image)
+            out = image.copy() if out is None else combine(out, image)
         first = rows.iloc[:1].copy()
         first["data"] = [out.tobytes()]
-        return first[_NAMES]
+        return first
 
-    return planes.select(*_NAMES).mapInArrow(partial, PLANES).groupBy(*keys).applyInPandas(final, PLANES)
+    return tree_fold(planes.select(*_NAMES).mapInArrow(partial, f"{PLANES}, part long"), keys, fold, PLANES)

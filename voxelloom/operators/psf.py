@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
 from ..model import VOLUMES, pixels
+from .planes import tree_fold
 
 # Widths (z, y, x) in micrometres at 525 nm, voxel size, and the tilt of the light sheet.
 SIGMAS, WAVELENGTH, SHEAR_DEGREES = (0.11, 0.29, 0.21), 525.0, -30.0
@@ -26,8 +29,7 @@ def average_beads(beads: DataFrame, masks: DataFrame | None = None, taper: float
     """One PSF volume for each (dataset, c) from bead volumes, t telling beads apart.
 
     Each bead is cleaned, centred by a peak-weighted centroid and shifted onto an odd canvas that
-    holds the largest; sums and counts of beads are folded by each task's group, so
-    no group holds more than one bead's volume and the sum. mode "notebook" takes the background's median, clips
+    holds the largest. Tasks sum their own beads and the sums meet in a tree, so no task holds a channel's beads. mode "notebook" takes the background's median, clips
     and normalises each bead, and weighs its centroid plainly. Beads without signal are not counted.
     """
     keys = ["dataset", "c"]
@@ -39,20 +41,36 @@ def average_beads(beads: DataFrame, masks: DataFrame | None = None, taper: float
     else:
         rows = rows.withColumn("mask", F.lit(None).cast("binary"))
 
+    names = [c.split()[0] for c in VOLUMES.split(", ")]
+
     def align(batches):
+        held: dict[tuple, list] = {}
         for pdf in batches:
-            out = []
             for r in pdf.itertuples():
                 shape = (r.nz, r.ny, r.nx)
                 mask = pixels(r.mask, "u1", *shape) > 0 if r.mask is not None else None
                 v = K.aligned_bead(pixels(r.data, r.dtype, *shape), mask, (r.mnz, r.mny, r.mnx), taper, strict, mode)
                 if v is not None:
-                    out.append([r.dataset, r.t, r.c, *v.shape, "<f8", v.tobytes()])
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in VOLUMES.split(", ")])
+                    total = held.setdefault((r.dataset, r.c), [np.zeros(v.shape), 0])
+                    total[0] += v
+                    total[1] += 1
+        part = TaskContext.get().partitionId()
+        out = [[d, n, c, *v.shape, "<f8", v.tobytes(), part] for (d, c), (v, n) in held.items()]
+        yield pd.DataFrame(out, columns=[*names, "part"])
+
+    def fold(rows: pd.DataFrame) -> pd.DataFrame:
+        first = rows.iloc[:1].copy()
+        first["t"] = [int(rows["t"].sum())]  # t counts the beads in a partial sum
+        first["data"] = [sum(pixels(r.data, r.dtype, r.nz, r.ny, r.nx) for r in rows.itertuples()).tobytes()]
+        return first
 
-    def fold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(pixels(r.data, "<f8", r.nz, r.ny, r.nx) for r in rows.itertuples())
-        v = K.finished_psf(total / len(rows), taper)
-        return pd.DataFrame([[key[0], 0, key[1], *v.shape, "<f4", v.astype("<f4").tobytes()]], columns=[c.split()[0] for c in VOLUMES.split(", ")])
+    def finish(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples():
+                v = K.finished_psf(pixels(r.data, r.dtype, r.nz, r.ny, r.nx) / r.t, taper)
+                out.append([r.dataset, 0, r.c, *v.shape, "<f4", v.astype("<f4").tobytes()])
+            yield pd.DataFrame(out, columns=names)
 
-    return rows.mapInPandas(align, VOLUMES).groupBy(*keys).applyInPandas(fold, VOLUMES)
+    sums = tree_fold(rows.mapInPandas(align, f"{VOLUMES}, part long"), keys, fold, VOLUMES)
+    return sums.mapInPandas(finish, VOLUMES)
