@@ -8,8 +8,8 @@ border would run before the merges that build them. Ids follow backwards from th
 last prefix.
 
 No piece holds the space mark after another character, so a stretch ends before
-each mark, and stretches recur; each worker keeps a bounded table of the ones it
-has seen. Runs of the mark are pieces of equal, lowest score, for which prefixes
+each mark, and stretches recur; each worker keeps two bounded generations of the ones it
+has seen, with their ids, and has decoded each of them again. Runs of the mark are pieces of equal, lowest score, for which prefixes
 are not unique; they merge last, from the left, and are replayed on their own.
 """
 
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Stretches kept by one worker, and the longest that is kept: about 60 MB at most.
-KEPT, KEPT_LENGTH = 250_000, 48
+#: Stretches in each of a worker's two generations, and the longest that is kept: about 150 MB at most in all.
+KEPT, KEPT_LENGTH = 300_000, 48
 
 
 class PieceTable:
@@ -69,7 +69,9 @@ class PieceTable:
         self.automaton = automaton
         self.lengths = [len(p) for p in self.pieces]
         self.compatible: dict[int, bool] = {}
-        self.known: dict[str, tuple[str, int, str]] = {}
+        self.known: dict[str, str] = {}
+        self.known_before: dict[str, str] = {}
+        self.changed = 0
         self.run_ids: dict[int, list[int]] = {}
 
     def _edges(self, piece: str) -> bool:
@@ -154,44 +156,61 @@ class PieceTable:
             self.run_ids[length] = [self.ids[MARK * n] for n in parts]
         return self.run_ids[length]
 
-    def _entry(self, key: str) -> tuple[str, int, str]:
-        """(ids as text, how many, decoded) of a stretch: what follows a mark, or, behind a line feed, what follows none."""
-        if key[:1] == "\n":
-            ids = self._stretch(key[1:])
-        else:
-            word = key.lstrip(MARK)
-            marks = len(key) - len(word) + 1
-            ids = self._stretch(MARK + word) if word else []
-            if word and ids[0] != self.ids[MARK]:
-                ids = self._run(marks - 1) + ids
+    def _ids(self, key: str) -> str:
+        """Ids, as text, of a stretch: what follows a mark, or, behind a line feed, what follows none."""
+        found = self.known_before.get(key)
+        if found is None:
+            if key[:1] == "\n":
+                plain = key[1:]
+                ids = self._stretch(plain)
             else:
-                ids = self._run(marks) + ids[1:]
-        entry = (" ".join(map(str, ids)), len(ids), self.pieces_text(ids))
+                plain = " " + key.replace(MARK, " ")
+                word = key.lstrip(MARK)
+                marks = len(key) - len(word) + 1
+                ids = self._stretch(MARK + word) if word else []
+                if word and ids[0] != self.ids[MARK]:
+                    ids = self._run(marks - 1) + ids
+                else:
+                    ids = self._run(marks) + ids[1:]
+            found = " ".join(map(str, ids))
+            if self.pieces_text(ids) != plain:  # decodes to something else: not kept, and the whole text is decoded by its ids
+                self.changed += 1
+                return found
         if len(key) <= KEPT_LENGTH:
             if len(self.known) >= KEPT:
-                self.known.clear()
-            self.known[key] = entry
-        return entry
+                self.known, self.known_before = {}, self.known
+            self.known[key] = found
+        return found
 
-    def encode_entries(self, text: str) -> list[tuple[str, int, str]]:
-        """Entries of a text's stretches in order; the end id is not among them."""
+    def encode_text(self, text: str) -> tuple[str, str]:
+        """(ids joined by spaces with the end id, the text that they decode to)."""
+        end = str(self.end_id)
         if not text:
-            return []
-        known, make = self.known.get, self._entry
-        out = []
-        feed = (str(self.byte_ids[10]), 1, "\n") if "\n" not in self.ids else None
-        lines = (MARK + text.replace(" ", MARK)).split("\n") if feed else [MARK + text.replace(" ", MARK)]
-        for k, line in enumerate(lines):
+            return end, ""
+        out: list[str] = []
+        before, marked = self.changed, MARK + text.replace(" ", MARK)
+        whole = "\n" in self.ids  # the line feed is a piece like others, so lines are no stretches
+        feed = str(self.byte_ids[10])
+        for k, line in enumerate([marked] if whole else marked.split("\n")):
             if k:
                 out.append(feed)
-            if MARK + MARK in line:
-                head, *rest = self._marked(line)
-            else:
-                head, *rest = line.split(MARK)
+            head, *rest = self._marked(line) if MARK + MARK in line else line.split(MARK)
+            make = self._ids
             if head:
-                out.append(known("\n" + head) or make("\n" + head))
-            out.extend([known(w) or make(w) for w in rest])
-        return out
+                head = "\n" + head
+                out.append(self.known.get(head) or make(head))
+            known = self.known
+            for w in rest:
+                ids = known.get(w)
+                if ids is None:
+                    ids = make(w)
+                    known = self.known
+                out.append(ids)
+        out.append(end)
+        ids = " ".join(out)
+        if self.changed == before:  # every stretch has decoded to itself
+            return ids, text.replace(MARK, " ")
+        return ids, self.decode([int(i) for i in ids.split()])
 
     @staticmethod
     def _marked(line: str) -> list[str]:
@@ -209,8 +228,8 @@ class PieceTable:
         return out
 
     def encode(self, text: str | None, end: bool = True) -> list[int]:
-        ids = [int(i) for entry in self.encode_entries(text or "") for i in entry[0].split()]
-        return [*ids, self.end_id] if end else ids
+        ids = [int(i) for i in self.encode_text(text or "")[0].split()]
+        return ids if end else ids[:-1]
 
     def pieces_text(self, ids: list[int]) -> str:
         """Pieces with marks as spaces, byte pieces as the characters they spell; control ids say nothing."""
@@ -286,14 +305,11 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(shared.value)
-        end = str(table.end_id)
         for batch in batches:
             cols: list[list] = [[] for _ in range(3 + keep_ids + keep_text)]
             for text in batch.column(1):
-                entries = table.encode_entries(text.as_py() or "")
-                ids = " ".join([*(e[0] for e in entries), end])
-                decoded = "".join([e[2] for e in entries])[1:]
-                row = [sum(e[1] for e in entries) + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()]
+                ids, decoded = table.encode_text(text.as_py() or "")
+                row = [ids.count(" ") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()]
                 row += [np.array(ids.split(), np.int32)] if keep_ids else []
                 row += [decoded] if keep_text else []
                 for c, v in zip(cols, row):
