@@ -195,3 +195,47 @@ def test_state_machine_and_idle_gaps(spark, tmp_path):
     q = queue.idle_gaps(stream.withColumn("queue", F.lit("q")), "queue", "4 seconds", "1 second").writeStream.outputMode("append").foreachBatch(lambda df, n: gaps.extend(df.collect())).option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert [r["tickets"] for r in sorted(gaps)] == [6]
+
+
+def test_stacks_and_pending_work(spark, planes):
+    from voxelloom.sources import volumes
+
+    some = planes.where("z != 1")
+    rows = {r["z"]: r["data"] for r in volumes.stack(some, 2, 3, Z, Y, X).collect()}
+    assert len(rows) == Z and rows[1] == bytes(2 * Y * X) and rows[2] == ARRAY[2, 2, 3].tobytes()
+    joined = volumes.concatenated([planes.where("t = 0"), planes.where("t = 1")])
+    assert joined.agg(F.max("z")).first()[0] == 2 * Z - 1 and joined.count() == 2 * Z * C
+    assert {(r["t"], r["c"]) for r in volumes.pending(planes.select("t", "c").distinct(), planes.where("t < 2"), ["t", "c"]).collect()} == {(2, c) for c in range(C)}
+
+
+def test_volumes_are_read_by_kind(spark, planes, tmp_path):
+    from voxelloom.sources import volumes
+
+    tiff.write_series(model.volumes(planes), str(tmp_path / "s"))
+    zarr.write_volumes(model.volumes(planes), str(tmp_path / "z"), "b")
+    for rows in (volumes.read(spark, str(tmp_path / "s")), volumes.read(spark, str(tmp_path / "z"), "b")):
+        assert (array_of(model.voxels(model.planes_of_volumes(rows)), *AXES) == ARRAY).all()
+
+
+def test_pipeline_levels_and_projects(spark, planes):
+    from voxelloom.functions import kernels as K
+
+    psf = np.zeros((3, 3, 3))
+    psf[1, 1, 1] = 1
+    out = pipeline.level_volumes(model.volumes(planes), 1.0, 1.0, 45.0, psf, float(np.sin(np.pi / 4)), 2, background=0.0, z_end=2).where("t = 0 and c = 1").first()
+    want = K.deskew_rotate(ARRAY[0, :, 1].astype(float), 45.0, np.sin(np.pi / 4))[:2]
+    got = model.pixels(out["data"], out["dtype"], out["nz"], out["ny"], out["nx"])
+    assert got.dtype == np.uint16 and np.abs(got - want).max() <= 1
+    with pytest.raises(ValueError):
+        pipeline.level_volumes(model.volumes(planes), 1.0, 1.0, 45.0, psf)
+
+
+def test_command_line(spark, planes, tmp_path, capsys):
+    from voxelloom import cli
+
+    with pytest.raises(SystemExit):
+        cli.parser().parse_args(["crop", "x", "--output", "y", "--top", "0-5,1:2"])
+    assert cli.parser().parse_args(["crop", "x", "--output", "y", "--channels", "1, 2 3"]).channels == [1, 2, 3]
+    zarr.write_volumes(model.volumes(planes), str(tmp_path), "b")
+    assert cli.main(["consolidate", str(tmp_path), "b", "--xy", "0.1"]) == 0 and cli.main(["consolidate", str(tmp_path), "none", "--xy", "0.1"]) == 1
+    assert "12 chunks linked" in capsys.readouterr().out
