@@ -247,6 +247,20 @@ def test_decontamination_copies_edits_and_clean(spark, small):
     assert decontam.contaminated(table.limit(0), bench).count() == 0 and decontam.contaminated(table, bench.limit(0)).count() == 0
 
 
+def test_edited_copies_are_found_beside_many_whole_ones(spark, small):
+    item = "alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima mike november oscar papa"
+    words = item.split()
+    noise = [r["text"] for r in small.select("text").limit(40).collect()]
+    rows = [(k, f"{noise[k]} {item} {noise[-k]}") for k in range(30)]
+    for shift in range(5):
+        edited = [w if (k + shift) % 5 else f"other{k}" for k, w in enumerate(words)]
+        rows.append((100 + shift, f"{noise[30 + shift]} {' '.join(edited)} end"))
+    rows += [(0, item), (50, noise[35])]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r["doc_id"] for r in decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {i for i, _ in rows} - {50}
+
+
 def test_decontamination_finds_every_planted_item(spark):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     truth = {(d["doc_id"], b["item_id"]) for d in docs.collect() for b in bench.collect() if b["text"] in d["text"]}

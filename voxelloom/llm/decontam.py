@@ -3,9 +3,10 @@
 1. Every document is scanned once, whole. N-grams of its words that occur in a
    test item are seeds; around each cluster of seeds a passage is cut out, wide enough for the longest
    item to align, as word hashes.
-2. The documents that hold each n-gram are counted over the whole corpus. An item keeps,
-   of every WINDOW consecutive n-grams, the rarest; so each stretch of an item has a
-   seed, however common its words are, and common n-grams seed no candidates where rarer ones do.
+2. The documents that hold each n-gram are counted over the whole corpus. Of every WINDOW consecutive
+   n-grams of an item, the rarest is a seed, and so are those of at most RARE times its count; so each stretch has a
+   seed, however common its words or its copies are, an edit spoils only the seeds that it
+   touches, and common n-grams seed no candidates where rarer ones do.
 3. Passages and items that share a seed are aligned; the score is the best
    local alignment's, as a share of the item's own.
 """
@@ -16,14 +17,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import materialize
 
-#: Words to a seed; consecutive n-grams of an item of which the rarest becomes a seed; share of an item's own score that counts as a copy.
-SEED_WORDS, WINDOW, THRESHOLD = 3, 4, 0.6
+#: Words to a seed; consecutive n-grams of an item that are weighed against each other, and how much commoner than the rarest a seed may be.
+SEED_WORDS, WINDOW, RARE = 3, 4, 8
+#: Share of an item's own score that counts as a copy.
+THRESHOLD = 0.6
 MATCH, MISMATCH, GAP = 1, -1, -1
 #: Item n-grams up to which their hashes are broadcast (8 bytes each); more are matched by a join.
 BROADCAST_NGRAMS = 4_000_000
@@ -41,7 +44,7 @@ def word_hashes(text: str | None) -> np.ndarray:
         return np.array([_KNOWN[w] for w in words], np.uint64)
     except KeyError:
         pass
-    if len(_KNOWN) > 400_000:
+    if len(_KNOWN) > 250_000:
         _KNOWN.clear()
     for w in words:
         if w not in _KNOWN:
@@ -170,20 +173,17 @@ def contaminated(
         wanted = np.sort(np.array([r["gram"] for r in part.toLocalIterator()], np.int64))
         scan = _scan(docs, wanted, n, list(facts["short"]), reach)
         scans = scan if scans is None else scans.unionByName(scan)
-    passages = materialize(scans, "decontam-passages")
-    seen = passages.select("doc_id", "start", F.explode(F.arrays_zip("at", "gram")).alias("s")).select("doc_id", "start", F.col("s.gram").alias("gram"))
+    # rows of one id can differ, so their words tell passages apart
+    passages = materialize(scans.withColumn("mark", F.xxhash64("words")), "decontam-passages")
+    seen = passages.select("doc_id", "start", "mark", F.explode(F.array_distinct("gram")).alias("gram"))
     spread = seen.groupBy("gram", "doc_id").count().groupBy("gram").agg(F.count("*").alias("docs"))
     counted = own.join(spread, "gram").select("item_id", "item_at", "gram", "docs")
-    # the rarest n-gram of each WINDOW consecutive ones; the windows cover the item
-    seeds = (
-        counted.groupBy("item_id", F.floor(F.col("item_at") / window).alias("w"))
-        .agg(F.min(F.struct("docs", "item_at", "gram")).alias("s"))
-        .select("item_id", F.col("s.gram").alias("gram"))
-        .distinct()
-    )
+    stretch = Window.partitionBy("item_id", F.floor(F.col("item_at") / window))  # the benchmark's own n-grams only
+    seeds = counted.withColumn("least", F.min("docs").over(stretch)).where(F.col("docs") <= RARE * F.col("least")).select("item_id", "gram").distinct()
     seeds = materialize(seeds, "decontam-seeds")
-    pairs = seen.join(seeds, "gram").select("doc_id", "start", "item_id").distinct()
-    tried = pairs.join(passages.select("doc_id", "start", "words").dropDuplicates(["doc_id", "start"]), ["doc_id", "start"]).join(items.select("item_id", "item_words"), "item_id")
+    place = ["doc_id", "start", "mark"]
+    pairs = seen.join(seeds, "gram").select(*place, "item_id").distinct()
+    tried = pairs.join(passages.select(*place, "words").dropDuplicates(place), place).join(items.select("item_id", "item_words"), "item_id")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
