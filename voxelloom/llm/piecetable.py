@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Stretches in each of a worker's two generations, and the longest that is kept: about 150 MB at most in all.
-KEPT, KEPT_LENGTH = 300_000, 48
+#: Stretches in each of a worker's two generations, and the longest that is kept: about 120 MB at most in all.
+KEPT, KEPT_LENGTH = 250_000, 48
 
 
 class PieceTable:
