@@ -239,3 +239,22 @@ def test_command_line(spark, planes, tmp_path, capsys):
     zarr.write_volumes(model.volumes(planes), str(tmp_path), "b")
     assert cli.main(["consolidate", str(tmp_path), "b", "--xy", "0.1"]) == 0 and cli.main(["consolidate", str(tmp_path), "none", "--xy", "0.1"]) == 1
     assert "12 chunks linked" in capsys.readouterr().out
+
+
+def test_pending_consolidations_and_side_outputs(spark, planes, tmp_path):
+    folder = str(tmp_path / "d")
+    zarr.write_volumes(model.volumes(planes), folder, "b")
+    with open(os.path.join(folder, pipeline.SIDECAR), "w") as f:
+        json.dump({"base_name": "b", "xy_pixel_um": 0.1, "t_interval_s": 1.0, "expected_zarrs": []}, f)
+    broken = tmp_path / "e"
+    broken.mkdir()
+    (broken / pipeline.SIDECAR).write_text("{")
+    assert pipeline.run_pending_consolidations(spark, [folder, str(broken), str(tmp_path)]) == {folder: T * C, str(broken): 0}
+    assert pipeline.run_pending_consolidations(spark, [folder]) == {}
+    assert pipeline.write_projections(model.volumes(planes), folder) == T * C
+    flat = tiff.read_volumes(spark, os.path.join(folder, "MIPs")).where("t = 1 and c = 2").first()
+    assert (model.pixels(flat["data"], flat["dtype"], 1, Y, X)[0] == ARRAY[1, :, 2].max(axis=0)).all()
+    (tmp_path / "f").mkdir()
+    for name in ("a.txt", "b.json", "c.tif"):
+        (tmp_path / "f" / name).write_text(name)
+    assert metadata.copy_sidecars(str(tmp_path / "f"), str(tmp_path / "g")) == ["a.txt", "b.json"] and metadata.copy_sidecars(str(tmp_path / "f"), str(tmp_path / "g")) == []

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
+#: Planes y that deskewing turns at a time.
+Y_BLOCK = 64
+
 
 def gaussian(v: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     """Separable Gaussian filter, four sigmas wide, mirrored at the edges."""
@@ -238,15 +243,34 @@ def otf(psf: np.ndarray, shape: tuple[int, ...]) -> np.ndarray:
     return np.fft.fftn(np.roll(out, [-(n // 2) for n in cut.shape], range(out.ndim)))
 
 
-def richardson_lucy(image: np.ndarray, psf: np.ndarray, iterations: int, background: float = 0.0, errors: list | None = None, damp: float = 0.0, scale: float = 1.0, offset: float = 0.0) -> np.ndarray:
+@lru_cache(maxsize=4)
+def _known_otf(raw: bytes, psf_shape: tuple[int, ...], shape: tuple[int, ...]) -> np.ndarray:
+    return otf(np.frombuffer(raw).reshape(psf_shape), shape)
+
+
+def cached_otf(psf: np.ndarray, shape: tuple[int, ...]) -> np.ndarray:
+    """The transfer function of a PSF normalised to sum 1; a worker keeps the last few."""
+    return _known_otf((psf / psf.sum()).astype(float).tobytes(), psf.shape, shape)
+
+
+def without_edge(shape: tuple[int, ...], width: int) -> np.ndarray:
+    """True but for the outermost `width` voxels of every axis."""
+    out = np.zeros(shape, bool)
+    out[tuple(slice(width, max(width, n - width)) for n in shape)] = True
+    return out
+
+
+def richardson_lucy(
+    image: np.ndarray, psf: np.ndarray, iterations: int, background: float = 0.0, errors: list | None = None, damp: float = 0.0, scale: float = 1.0, offset: float = 0.0, erosion: int = 0
+) -> np.ndarray:
     """Richardson-Lucy deconvolution with vector acceleration (Biggs and Andrews, 1997).
 
     Each step first predicts along the last change, by how alike the last two steps' corrections were.
     `errors` collects (iteration, mean squared difference from the image, that over the first). The PSF is
-    normalised to sum 1; damp over 1 caps the result at that multiple of the image.
+    normalised to sum 1; damp over 1 caps the result at that multiple of the image; erosion sets that many edge voxels to 0.
     """
     image = np.maximum(image.astype(np.float64) - background, 0)
-    h, tiny = otf(psf / psf.sum(), image.shape), np.finfo(float).eps
+    h, tiny = cached_otf(psf, image.shape), np.finfo(float).eps
     now, last, correction = image.copy(), np.zeros_like(image), None
     predicted, pull = image, 0.0
     for k in range(1, iterations + 1):
@@ -263,14 +287,15 @@ def richardson_lucy(image: np.ndarray, psf: np.ndarray, iterations: int, backgro
             errors.append((k, mse, mse / errors[0][1] if errors and errors[0][1] else 1.0))
     if damp > 1:
         now = np.minimum(now, damp * image)
-    return now * scale + offset
+    now = now * scale + offset
+    return np.where(without_edge(now.shape, erosion), now, 0.0) if erosion else now
 
 
 def deskew_rotate(v: np.ndarray, angle: float, aniso: float, reverse: bool = False, objective: bool = False, resample: tuple[float, float, float] = (1, 1, 1)) -> np.ndarray:
     """Shear a (z, y, x) stack by the sheet angle and turn it level: one inverse map, linearly interpolated, 0 outside.
 
     A camera row x of slice z stands at the horizontal place x cos + z aniso / sin (a stage scan) and height x sin.
-    Planes y are independent of each other.
+    Planes y are independent of each other, so blocks of them are turned one after another.
     """
     nz, ny, nx = v.shape
     s, c = np.sin(np.radians(angle)), np.cos(np.radians(angle))
@@ -291,13 +316,16 @@ def deskew_rotate(v: np.ndarray, angle: float, aniso: float, reverse: bool = Fal
         z = nz - 1 - z
     z0, x0 = np.floor(z).astype(int), np.floor(x).astype(int)
     fz, fx = z - z0, x - x0
-    out = np.zeros((size[0], ny, size[1]))
+    corners = []
     for dz, wz in ((0, 1 - fz), (1, fz)):
         for dx, wx in ((0, 1 - fx), (1, fx)):
             zi, xi, w = z0 + dz, x0 + dx, wz * wx
             ok = (zi >= 0) & (zi < nz) & (xi >= 0) & (xi < nx) & (w > 0)
-            values = v[np.clip(zi, 0, nz - 1), :, np.clip(xi, 0, nx - 1)]
-            out += np.moveaxis(values * (w * ok)[..., None], 2, 1)
+            corners.append((np.clip(zi, 0, nz - 1), np.clip(xi, 0, nx - 1), (w * ok)[..., None]))
+    out = np.zeros((size[0], ny, size[1]))
+    for k in range(0, ny, Y_BLOCK):
+        for zi, xi, w in corners:
+            out[:, k : k + Y_BLOCK, :] += np.moveaxis(v[zi, k : k + Y_BLOCK, xi] * w, 2, 1)
     return out[:, :: max(1, int(resample[0])), :]
 
 

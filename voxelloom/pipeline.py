@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
@@ -81,6 +82,36 @@ def level_volumes(rows: DataFrame, z_step_um: float, xy_pixel_um: float, angle:
     return map_volumes(rows, job)
 
 
+SIDECAR = ".consolidate.json"
+
+
+def write_projections(rows: DataFrame, folder: str) -> int:
+    """Write each volume's maximum over z as a one-page series next to it, into `folder`/MIPs."""
+    return tiff.write_series(map_volumes(rows, lambda v: v.max(axis=0, keepdims=True)), os.path.join(folder, "MIPs"))
+
+
+def run_pending_consolidations(spark: SparkSession, data_dirs: list[str]) -> dict[str, int]:
+    """Join the stores of datasets whose jobs have ended and that have a sidecar; chunks linked of each.
+
+    A dataset of which arrays are still missing is joined as far as it goes. The sidecar goes once chunks were
+    linked, so a second call finds nothing to do. A sidecar that can't be read, or a failure, is 0.
+    """
+    done = {}
+    for folder in data_dirs:
+        path = os.path.join(folder, SIDECAR)
+        if not os.path.exists(path):
+            continue
+        try:
+            with open(path) as f:
+                p = json.load(f)
+            done[folder] = zarr.consolidate(spark, folder, p["base_name"], p["xy_pixel_um"], p["t_interval_s"], p.get("channel_names"))
+        except (OSError, ValueError, KeyError):
+            done[folder] = 0
+        if done[folder]:
+            os.remove(path)
+    return done
+
+
 def handlers(spark: SparkSession) -> dict:
     """Handlers of crop, deskew, decon and pipeline tickets over TIFF series."""
 

@@ -77,3 +77,17 @@ def merge_settings(path: str, changes: dict) -> dict:
     held = {k: v for k, v in {**held, **changes}.items() if v is not None}
     put(path, json.dumps(held, indent=4).encode())
     return held
+
+
+def copy_sidecars(source: str, target: str, kinds: tuple[str, ...] = (".txt", ".json", ".xml")) -> list[str]:
+    """Copy a dataset's small text files next to its output; those already there stay. The names copied."""
+    from .tiff import put
+
+    os.makedirs(target, exist_ok=True)
+    copied = []
+    for name in sorted(os.listdir(source)):
+        if name.endswith(kinds) and not name.startswith(".") and not os.path.exists(os.path.join(target, name)):
+            with open(os.path.join(source, name), "rb") as f:
+                put(os.path.join(target, name), f.read())
+            copied.append(name)
+    return copied
