@@ -107,16 +107,21 @@ def _page(k):
 
 
 def test_wrapper_template_and_content(spark):
-    rows = [(k, f"http://h.org/{k}", _page(k)) for k in range(7)] + [(20, "http://h.org/x", "<p>other layout &lt;here&gt;</p>"), (21, None, None), (22, "http://e.org", ""), (23, "http://h.org/0", _page(0))]
+    rows = [(k, f"http://h.org/{k}", _page(k)) for k in range(14)] + [(20, "http://h.org/x", "<p>other layout &lt;here&gt;</p>"), (21, None, None), (22, "http://e.org", ""), (23, "http://h.org/0", _page(0))]
     got = {r["page_id"]: r for r in wrapper.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit(3))).collect()}
     assert len(got) == len(rows)
-    for k in range(7):
+    for k in range(14):
         assert got[k]["text"] == f"Title {k}\nText {k} & more words of page {k} on two lines\nLast {k}", got[k]["text"]
         assert got[k]["n_chars"] == len(got[k]["text"])
     assert got[20]["text"] == "other layout <here>" and got[21]["text"] == got[22]["text"] == ""
     assert wrapper.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_what_is_not_article(spark):
+    page = "<body class=has-sidebar><article><p>Keep this text of the page.</p><div class='advertising-box'>x</div><p hidden>y</p><div style='display: none'>z</div><section id=commentlist>c</section><p>And  this.</p></article>"
+    assert wrapper.extract(page, None) == "Keep this text of the page.\nAnd this."
+
+
 def test_tree_matching():
     a, b = (wrapper.Folded(wrapper.parse(x)) for x in ("<div><p>a</p><ul><li>1</li></ul></div>", "<div><h1>t</h1><p>b</p><p>c</p><ul><li>2</li></ul></div>"))
     assert wrapper.match(a, b) == 5  # html, div, p, ul, li

@@ -23,7 +23,7 @@ from .hostrep import url_host
 from .shared import materialize
 
 #: Pages of a host that its wrapper is learned from, at most; pages that must agree on a text before it counts as template inside the content.
-SAMPLE, AGREE = 8, 5
+SAMPLE, AGREE = 12, 10
 #: Share of a node's text that one child must hold to be descended into.
 MAIN_SHARE = 0.6
 #: Bytes of all wrappers up to which they are broadcast; more are joined by host.
@@ -34,7 +34,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 DROPPED = frozenset("head nav header footer aside form script style noscript iframe template svg button select textarea title object canvas dialog menu".split())
-DROPPED_WORDS = frozenset("ad ads advert adverts advertisement advertisements adbox adslot banner promo promotion promoted sponsor sponsored nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead comment comments commentlist discussion disqus reply replies respond notice notices cookie cookies consent gdpr alert popup modal overlay share sharing social related recommended newsletter subscribe subscription signup login search pagination pager toolbar widget complementary contentinfo".split())
+DROPPED_WORDS = frozenset("ad ads advert adverts advertisement advertisements adbox adslot banner promo promotion promoted sponsor sponsored nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead comment comments commentlist discussion disqus reply replies respond notice notices cookie cookies consent gdpr alert popup modal overlay share sharing social related recommended newsletter subscribe subscription signup login search pagination pager toolbar widget complementary contentinfo side rail".split())
+DROPPED_STEMS = ("advert", "breadcrumb", "comment", "cookie", "navig", "newsletter", "promo", "sidebar", "sponsor")
+KEPT = frozenset("html body main".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
 CONTAINERS = frozenset("body main article section div center table tbody tr td".split())
 SCOPES = frozenset("table ul ol dl body html article section div main td th".split())
@@ -42,6 +44,7 @@ SCOPES = frozenset("table ul ol dl body html article section div main td th".spl
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 
 class Node:
@@ -50,11 +53,13 @@ class Node:
     __slots__ = ("tag", "key", "dropped", "children")
 
     def __init__(self, tag: str, attributes: str = ""):
+        hidden = bool(attributes) and _HIDDEN.search(attributes) is not None
         named = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _NAMES.finditer(attributes)} if "=" in attributes else {}
         self.tag = tag
         self.key = ".".join([tag, *sorted(named.get("class", "").split())])
         words = {w for v in named.values() for w in _WORDS.findall(v)}
-        self.dropped = tag in DROPPED or not words.isdisjoint(DROPPED_WORDS)
+        marked = not words.isdisjoint(DROPPED_WORDS) or any(w.startswith(DROPPED_STEMS) for w in words)
+        self.dropped = tag in DROPPED or tag not in KEPT and (hidden or marked)
         self.children: list = []
 
 
