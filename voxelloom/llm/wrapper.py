@@ -264,12 +264,14 @@ def extract(page: str | None, wrapper: dict | None) -> str:
 def wrappers(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(host, wrapper) of every host in (host, html) rows: distinct pages, those of the smallest hashes.
 
-    Each task keeps at most `sample` pages of a host before anything is shuffled, so a host with a
-    third of the pages needs no more room than another.
+    Hashes are made distinct and ranked first, and each task keeps at most `sample` of a host; only then the
+    pages of the chosen hashes are fetched, copies folded to one by each task. So neither a host nor
+    a page with a third of the rows needs more room than another.
     """
+    marked = pages.where("html <> ''").withColumn("mark", F.xxhash64("html"))
     order = Window.partitionBy("host").orderBy("mark")
-    some = pages.where("html <> ''").withColumn("mark", F.xxhash64("html")).withColumn("nth", F.dense_rank().over(order)).where(F.col("nth") <= sample)
-    some = some.groupBy("host", "mark").agg(F.min("html").alias("html"))
+    chosen = marked.select("host", "mark").distinct().withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).drop("nth")
+    some = marked.join(materialize(chosen, "wrapper-sample"), ["host", "mark"]).groupBy("host", "mark").agg(F.first("html").alias("html"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("mark")
