@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import first_setting
 from ..operators.voxels import Roi
 
+# The log's version, and the names of the z step in acquisition settings.
 VERSION = "3.1-selective-channel"
 STEP_KEYS = ["stepSizeUm", "zStep_um"]
 
