@@ -17,15 +17,15 @@ from voxelloom.llm.shared import materialize, table
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or whose language is ambiguous, go."""
-    judged = langcodes.identify(docs, keep=tuple(docs.columns))
-    return judged.where("lang_pred <> 'und' and not ambiguous").select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    judged = langcodes.identify(docs, keep=tuple(c for c in docs.columns if c != "text"), keep_text=True)
+    return judged.where("lang_pred <> 'und' and not ambiguous").select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go from all documents but the last that holds them; every document stays."""
-    kept = linededup.dedup_lines(docs, keep=tuple(docs.columns))
+    kept = linededup.dedup_lines(docs, keep=tuple(c for c in docs.columns if c not in ("text", "n_chars")))
     new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(docs.schema["n_chars"].dataType)}
-    return kept.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+    return kept.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -158,8 +158,8 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = (), sample: int = SAMPLE) -> DataFrame:
-    """Per row (id_col, held_out, lang_pred, score, ambiguous, row), learned from the rows that aren't held out.
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = (), keep_text: bool = False, sample: int = SAMPLE) -> DataFrame:
+    """Per row (id_col, held_out, lang_pred, score, ambiguous, row), and the text if asked for, learned from the rows that aren't held out.
 
     A prediction sees the whole text and nothing else. Null texts and texts without a letter are
     `und` with score 0; so is everything if no language could be learned. One learned language is always
@@ -175,8 +175,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         for batch in batches:
             found = [shared.value.predict(t.as_py()) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_()), batch.column(3)],
-                names=["id", "held_out", "lang_pred", "score", "ambiguous", "row"],
+                [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_()), batch.column(3), *[batch.column(2)] * keep_text],
+                names=["id", "held_out", "lang_pred", "score", "ambiguous", "row", *["text"] * keep_text],
             )
 
-    return out.mapInArrow(run, f"id {types['id']}, held_out boolean, lang_pred string, score double, ambiguous boolean, row {types['row']}").withColumnRenamed("id", id_col)
+    return out.mapInArrow(run, f"id {types['id']}, held_out boolean, lang_pred string, score double, ambiguous boolean, row {types['row']}" + ", text string" * keep_text).withColumnRenamed("id", id_col)
