@@ -133,6 +133,12 @@ def test_broken_pages_do_not_crash(page):
     wrapper.extract(page, None)
 
 
+def test_deep_pages():
+    deep = "<div>" * 5000 + "end <b>of it</b><script>no</script><nav>" + "<div>" * 3000 + "menu" + "</div>" * 3000 + "</nav> all"
+    assert wrapper.extract(deep, None).split() == ["end", "of", "it", "all"]
+    assert wrapper.extract("<i>" * 3000 + "x", wrapper.induce([deep, "<p>a", deep])) == "x"
+
+
 def test_embedding_links_against_brute_force(spark):
     rng = np.random.default_rng(4)
     centres = rng.standard_normal((8, 16))

@@ -24,6 +24,8 @@ from .shared import materialize
 
 #: Pages of a host that its wrapper is learned from, at most; pages that must agree on a text before it counts as template inside the content.
 SAMPLE, AGREE = 12, 10
+#: Elements inside each other that are kept as such; deeper ones are read as part of the last, unless they are dropped with all they hold.
+DEPTH = 150
 #: Share of a node's text that one child must hold to be descended into.
 MAIN_SHARE = 0.6
 #: Bytes of all wrappers up to which they are broadcast; more are joined by host.
@@ -68,6 +70,7 @@ def parse(page: str) -> Node:
     root = Node("html")
     stack, at, n = [root], 0, len(page)
     lower = None
+    flat: dict[str, int] = {}  # elements too deep to be kept that are still open
     while at < n:
         m = _TOKEN.search(page, at)
         text = page[at : m.start() if m else n]
@@ -80,6 +83,9 @@ def parse(page: str) -> Node:
         if not tag:
             continue
         tag = tag.lower()
+        if closing and flat.get(tag):
+            flat[tag] -= 1
+            continue
         if closing:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
@@ -107,8 +113,12 @@ def parse(page: str) -> Node:
             lower = lower or page.lower()
             end = lower.find(f"</{tag}", at) if len(lower) == n else page.find(f"</{tag}", at)
             at = n if end < 0 else end
-        if tag not in VOID:
+        if tag in VOID:
+            continue
+        if len(stack) < DEPTH or node.dropped:
             stack.append(node)
+        else:
+            flat[tag] = flat.get(tag, 0) + 1
     return root
 
 
