@@ -35,7 +35,7 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    """64-bit hashes of a text's lower-cased words; a worker remembers those of frequent words."""
+    """64-bit hashes of a text's lower-cased words; a task remembers those it has seen, up to a bound."""
     import regex
     import xxhash
 
@@ -121,6 +121,7 @@ def _scan(docs: DataFrame, wanted: np.ndarray, n: int, short: list[int], reach:
                         c.append(v)
             lists = [pa.array(c, pa.list_(t)) for c, t in zip(out[2:], (pa.int64(), pa.int32(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), *lists], names=["doc_id", "start", "words", "at", "gram"])
+        _KNOWN.clear()
 
     return docs.mapInArrow(run, "doc_id long, start long, words array<long>, at array<int>, gram array<long>")
 

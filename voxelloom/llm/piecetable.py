@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Stretches in each of a worker's two generations, and the longest that is kept: about 120 MB at most in all.
-KEPT, KEPT_LENGTH = 250_000, 48
+#: Stretches in each of a worker's two generations, and the longest that is kept: about 110 MB at most in all, until the task ends.
+KEPT, KEPT_LENGTH = 225_000, 48
 
 
 class PieceTable:
@@ -74,6 +74,12 @@ class PieceTable:
         self.changed = 0
         self.run_ids: dict[int, list[int]] = {}
 
+    def forget(self) -> None:
+        """Drop what was remembered of texts, so that an idle worker holds the model alone."""
+        self.known, self.known_before, self.run_ids = {}, {}, {}
+        if len(self.compatible) > 500_000:
+            self.compatible.clear()
+
     def _edges(self, piece: str) -> bool:
         """Learn what stands at the piece's borders while merges build it; False if merges build something else.
 
@@ -317,6 +323,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
             types = [pa.int64(), pa.string(), pa.string(), *[pa.list_(pa.int32())] * keep_ids, *[pa.string()] * keep_text]
             names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids, *["decoded"] * keep_text]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types))], names=names)
+        table.forget()
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"{id_col} {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string{extra}")
 
