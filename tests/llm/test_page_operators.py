@@ -122,6 +122,25 @@ def test_what_is_not_article(spark):
     assert wrapper.extract(page, None) == "Keep this text of the page.\nAnd this."
 
 
+BIG = "Body of page {0} that goes on and on with words of its own. " * 8
+
+
+def _read(page, pages=range(14)):
+    learned = wrapper.induce([page(k) for k in pages])
+    return [wrapper.extract(page(k), learned) for k in pages]
+
+
+def test_all_slot_regions_are_content():
+    text = lambda k: " ".join(BIG.format(k).split())
+    lead = _read(lambda k: f"{HEAD}<main><h1>Title {k}</h1><p>Lead {k}</p><div class=body>{BIG.format(k)}</div><p>All rights reserved</p></main></body>")
+    assert lead == [f"Title {k}\nLead {k}\n{text(k)}" for k in range(14)]
+    two = _read(lambda k: f"{HEAD}<div class=a>{BIG.format(k)}</div><div class=b>Second part {k} " + "of some more words " * 20 + "</div></body>")
+    assert all(x.startswith(text(k) + f"\nSecond part {k} of") for k, x in enumerate(two))
+    several = _read(lambda k: f"{HEAD}<article class=x><p>First {k}</p></article><article class=y><p>Next {k}</p></article><main><p>Then {k}</p></main></body>")
+    assert several == [f"First {k}\nNext {k}\nThen {k}" for k in range(14)]
+    assert wrapper.extract("<main><h1>T</h1><p>L</p><div>" + "b " * 200 + "</div></main>", None).startswith("T\nL\nb b")
+
+
 def test_tree_matching():
     a, b = (wrapper.Folded(wrapper.parse(x)) for x in ("<div><p>a</p><ul><li>1</li></ul></div>", "<div><h1>t</h1><p>b</p><p>c</p><ul><li>2</li></ul></div>"))
     assert wrapper.match(a, b) == 5  # html, div, p, ul, li

@@ -3,8 +3,8 @@
 For each host, a bounded sample of distinct pages is parsed, their trees are folded (runs of
 like siblings become one repeating node) and aligned by simple tree matching
 (Yang, 1991) into one template. A node's texts that all sampled pages hold are
-template; nodes whose texts vary are slots. The slot region that holds most
-varying text is the host's content; every page of the host is read through that wrapper.
+template; nodes whose texts vary are slots. Every page of the host is read whole, but for the
+template and for what is dropped, so all slot regions are content, wherever they stand.
 """
 
 from __future__ import annotations
@@ -26,8 +26,6 @@ from .shared import materialize
 SAMPLE, AGREE = 12, 10
 #: Elements inside each other that are kept as such; deeper ones are read as part of the last, unless they are dropped with all they hold.
 DEPTH = 150
-#: Share of a node's text that one child must hold to be descended into.
-MAIN_SHARE = 0.6
 #: Bytes of all wrappers up to which they are broadcast; more are joined by host.
 BROADCAST_BYTES = 32 << 20
 
@@ -40,7 +38,6 @@ DROPPED_WORDS = frozenset("ad ads advert adverts advertisement advertisements ad
 DROPPED_STEMS = ("advert", "breadcrumb", "comment", "cookie", "navig", "newsletter", "promo", "sidebar", "sponsor")
 KEPT = frozenset("html body main".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
-CONTAINERS = frozenset("body main article section div center table tbody tr td".split())
 SCOPES = frozenset("table ul ol dl body html article section div main td th".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
@@ -126,22 +123,39 @@ def _squeeze(parts: list[str]) -> str:
     return " ".join(entities.unescape("".join(parts)).split())
 
 
+def _own(node: Node, out: list[list[str]]) -> None:
+    """Texts of an element that stand in none of its inner blocks; each list is one stretch."""
+    for c in node.children:
+        if isinstance(c, str):
+            out[-1].append(c)
+        elif c.tag == "br":
+            out[-1].append(" ")
+        elif not c.dropped:
+            if c.tag in BLOCK:
+                out.append([])
+            else:
+                _own(c, out)
+
+
 class Folded:
-    """A node of a template: likes among its siblings are one node; texts has for each page the own texts of its elements."""
+    """A node of a template: likes among its siblings are one node; texts has for each page the texts of its elements' own blocks, path the tags of the blocks around them."""
 
-    __slots__ = ("key", "tag", "dropped", "children", "texts")
+    __slots__ = ("key", "tag", "path", "dropped", "children", "texts", "_size")
 
-    def __init__(self, node: Node | None = None, page: int = 0):
+    def __init__(self, node: Node | None = None, page: int = 0, path: str = ""):
         self.children: list[Folded] = []
         self.texts: dict[int, set[str]] = {}
+        self._size: int | None = None
         if node:
-            self.key, self.tag, self.dropped = node.key, node.tag, node.dropped
-            own = _squeeze([c if isinstance(c, str) else " " for c in node.children])
-            self.texts[page] = {own} if own else set()
+            self.key, self.tag, self.path, self.dropped = node.key, node.tag, f"{path}/{node.tag}" if node.tag in BLOCK else path, node.dropped
+            own: list[list[str]] = [[]]
+            if node.tag in BLOCK:
+                _own(node, own)
+            self.texts[page] = {t for x in own if (t := _squeeze(x))}
             last = None
             for c in node.children:
                 if isinstance(c, Node):
-                    new = Folded(c, page)
+                    new = Folded(c, page, self.path)
                     if last is not None and last.key == new.key:
                         last.merge(new)
                     else:
@@ -164,9 +178,9 @@ class Folded:
 
     def size(self) -> int:
         """Characters of varying text below, but for what is never content."""
-        if self.dropped:
-            return 0
-        return sum(len(t) for t in self.varying()) + sum(c.size() for c in self.children)
+        if self._size is None:
+            self._size = 0 if self.dropped else sum(len(t) for t in self.varying()) + sum(c.size() for c in self.children)
+        return self._size
 
     def constant(self) -> set[str]:
         return set.intersection(*self.texts.values()) if self.texts else set()
@@ -203,72 +217,60 @@ def alignment(a: list[Folded], b: list[Folded]) -> list[tuple[int, int]]:
 
 
 def induce(pages: list[str]) -> dict:
-    """The wrapper of pages of one host: path of the content node, as keys from the root, and the template texts inside it."""
+    """The wrapper of pages of one host: the template texts, each with the path of its block.
+
+    Content is all that varies, wherever it stands. Texts of the lowest node that holds it all count as template
+    if AGREE pages and most of the sample hold them there, texts outside it as well.
+    """
     template = Folded(parse(pages[0]), 0)
     for k, page in enumerate(pages[1:], 1):
         template.merge(Folded(parse(page), k))
-    node, path = template, []
-    while True:
-        whole = node.size()
-        named = [c for c in node.children if c.tag in ("article", "main") and not c.dropped and c.size() > 0]
-        inner = named[:1] or [c for c in node.children if c.tag in CONTAINERS and c.size() > MAIN_SHARE * whole]
-        if not inner or node.tag == "article":
-            break
-        node = inner[0]
-        path.append(node.key)
-    constants: set[str] = set()
-    if len(pages) >= AGREE:
-
-        def gather(x: Folded) -> None:
+    if len(pages) < AGREE:
+        return {"constants": []}
+    content = template
+    while not content.varying() and len(live := [c for c in content.children if c.size()]) == 1:
+        content = live[0]
+
+    def gather(x: Folded, found: set[tuple[str, str]], inside: bool) -> set[tuple[str, str]]:
+        if inside or x is not content:
             if len(x.texts) >= AGREE:
-                constants.update(x.constant())
+                found.update((x.path, t) for t in x.constant())
             for c in x.children:
-                gather(c)
-
-        gather(node)
-        if sum(map(len, constants)) > node.size():  # pages that share most of an article teach no template
-            constants = set()
-    return {"path": path, "constants": sorted(constants)}
+                gather(c, found, inside)
+        return found
 
+    inner = gather(content, set(), True)
+    if sum(len(t) for _, t in inner) > content.size():  # pages that share most of an article teach no template
+        inner = set()
+    return {"constants": sorted(inner | gather(template, set(), False))}
 
-def _at(node: Node, path: list[str]) -> list[Node]:
-    found = [node]
-    for key in path:
-        found = [c for x in found for c in x.children if isinstance(c, Node) and c.key == key]
-    return found
 
-
-def _blocks(node: Node, out: list[list[str]]) -> None:
-    """Texts of a node's blocks; each list is one block."""
+def _blocks(node: Node, path: str, out: list[tuple[str, list[str]]]) -> None:
+    """(path, texts) of a node's blocks in page order."""
     for c in node.children:
         if isinstance(c, str):
-            out[-1].append(c)
+            out[-1][1].append(c)
         elif c.tag == "br":
-            out[-1].append(" ")
+            out[-1][1].append(" ")
         elif not c.dropped:
             if c.tag in BLOCK:
-                out.append([])
-                _blocks(c, out)
-                out.append([])
+                inner = f"{path}/{c.tag}"
+                out.append((inner, []))
+                _blocks(c, inner, out)
+                out.append((path, []))
             else:
-                _blocks(c, out)
+                _blocks(c, path, out)
 
 
 def extract(page: str | None, wrapper: dict | None) -> str:
-    """The page's article text through its host's wrapper; through one learned from itself where the content node is missing."""
+    """The page's text but for what is dropped and its host's template, in page order."""
     if not page:
         return ""
     root = parse(page)
-    found = _at(root, wrapper["path"]) if wrapper else []
-    constants = set(wrapper["constants"]) if wrapper and found else set()
-    if not found:
-        found = _at(root, induce([page])["path"])
-    blocks: list[list[str]] = [[]]
-    for node in found:
-        _blocks(node, blocks)
-        blocks.append([])
-    texts = [t for b in blocks if (t := _squeeze(b))]
-    return "\n".join(t for t in texts if t not in constants)
+    constants = set(map(tuple, wrapper["constants"])) if wrapper else set()
+    blocks: list[tuple[str, list[str]]] = [("/html", [])]
+    _blocks(root, "/html", blocks)
+    return "\n".join(t for path, b in blocks if (t := _squeeze(b)) and (path, t) not in constants)
 
 
 def wrappers(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
