@@ -141,6 +141,14 @@ def test_all_slot_regions_are_content():
     assert wrapper.extract("<main><h1>T</h1><p>L</p><div>" + "b " * 200 + "</div></main>", None).startswith("T\nL\nb b")
 
 
+@pytest.mark.parametrize("named", ["article class='post has-sidebar'", "div id=page class='no-comments'", "section class='social-history'", "div class='related-work'", "div data-title='the hidden truth'", "div class=comments", "form id=form1", "header"])
+def test_names_do_not_decide_what_is_content(named):
+    tag = named.split()[0]
+    page = lambda k: f"{HEAD}<{named}><p>{BIG.format(k)}</p><div class='related-posts'>see {k}</div></{tag}><div class=sidebar>to {k}</div></body>"
+    text = [" ".join(BIG.format(k).split()) for k in range(14)]
+    assert _read(page) == text and wrapper.extract(page(3), None) == text[3]
+
+
 def test_tree_matching():
     a, b = (wrapper.Folded(wrapper.parse(x)) for x in ("<div><p>a</p><ul><li>1</li></ul></div>", "<div><h1>t</h1><p>b</p><p>c</p><ul><li>2</li></ul></div>"))
     assert wrapper.match(a, b) == 5  # html, div, p, ul, li

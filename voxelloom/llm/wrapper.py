@@ -4,7 +4,7 @@ For each host, a bounded sample of distinct pages is parsed, their trees are fol
 like siblings become one repeating node) and aligned by simple tree matching
 (Yang, 1991) into one template. A node's texts that all sampled pages hold are
 template; nodes whose texts vary are slots. Every page of the host is read whole, but for the
-template and for what is dropped, so all slot regions are content, wherever they stand.
+template and for marked elements with little of the varying text, so all slot regions are content, wherever they stand.
 """
 
 from __future__ import annotations
@@ -29,36 +29,51 @@ DEPTH = 150
 #: Bytes of all wrappers up to which they are broadcast; more are joined by host.
 BROADCAST_BYTES = 32 << 20
 
-# Elements by kind, and words of classes, ids and roles that mark what isn't article text.
+#: Share of the varying text up to which marked elements are dropped: what holds most of it is content, whatever its name.
+MARKED_SHARE = 0.5
+
+# Elements by kind, and words of classes, ids and roles that mark what isn't article text unless it holds most of it.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
-DROPPED = frozenset("head nav header footer aside form script style noscript iframe template svg button select textarea title object canvas dialog menu".split())
-DROPPED_WORDS = frozenset("ad ads advert adverts advertisement advertisements adbox adslot banner promo promotion promoted sponsor sponsored nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead comment comments commentlist discussion disqus reply replies respond notice notices cookie cookies consent gdpr alert popup modal overlay share sharing social related recommended newsletter subscribe subscription signup login search pagination pager toolbar widget complementary contentinfo side rail".split())
-DROPPED_STEMS = ("advert", "breadcrumb", "comment", "cookie", "navig", "newsletter", "promo", "sidebar", "sponsor")
+DROPPED = frozenset("head script style noscript iframe template svg button select textarea title object canvas".split())
+MARKED = frozenset("nav header footer aside form dialog menu".split())
+MARKED_WORDS = frozenset("ad ads advert adverts advertisement advertisements advertising adbox adslot banner promo promos promotion promotions promoted sponsor sponsors sponsored nav navbar navigation menu breadcrumb breadcrumbs sidebar sidebars aside footer header masthead comment comments commentlist discussion disqus reply replies respond notice notices cookie cookies consent gdpr alert popup modal overlay share sharing social related recommended newsletter newsletters subscribe subscription signup login search pagination pager toolbar widget widgets complementary contentinfo side rail".split())
+#: Words that say nothing by themselves: a class of marked words and these is marked, one with any other word is not.
+FILLING = frozenset("area bar block blocks bottom box button buttons container inner item items left link links list main outer page post posts right section site top unit wrap wrapper".split())
 KEPT = frozenset("html body main".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
 SCOPES = frozenset("table ul ol dl body html article section div main td th".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-_NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORDS = re.compile(r"[a-z]+")
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
+
+
+def marked(token: str) -> bool:
+    """Whether a whole class, id or role is made of marked words: `comments`, `related-posts`, `side-bar`, but not `has-sidebar` or `related-work`."""
+    words = _WORDS.findall(token)
+    return "".join(words) in MARKED_WORDS or not MARKED_WORDS.isdisjoint(words) and all(w in MARKED_WORDS or w in FILLING for w in words)
 
 
 class Node:
-    """An element; children are nodes and texts in page order. key tells siblings of different use apart."""
+    """An element; children are nodes and texts in page order. key tells siblings of different use apart; mark, if not empty, names what it may be instead of article."""
 
-    __slots__ = ("tag", "key", "dropped", "children")
+    __slots__ = ("tag", "key", "dropped", "mark", "children")
 
     def __init__(self, tag: str, attributes: str = ""):
-        hidden = bool(attributes) and _HIDDEN.search(attributes) is not None
-        named = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _NAMES.finditer(attributes)} if "=" in attributes else {}
+        named: dict[str, str] = {}
+        if attributes:
+            for m in _ATTRIBUTE.finditer(attributes):
+                named.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+        classes = sorted(named.get("class", "").lower().split())
         self.tag = tag
-        self.key = ".".join([tag, *sorted(named.get("class", "").split())])
-        words = {w for v in named.values() for w in _WORDS.findall(v)}
-        marked = not words.isdisjoint(DROPPED_WORDS) or any(w.startswith(DROPPED_STEMS) for w in words)
-        self.dropped = tag in DROPPED or tag not in KEPT and (hidden or marked)
+        self.key = ".".join([tag, *classes])
+        hidden = "hidden" in named or named.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(named.get("style", "")) is not None
+        self.dropped = tag in DROPPED or tag not in KEPT and hidden
+        tokens = {t for t in (*classes, *named.get("id", "").lower().split(), *named.get("role", "").lower().split()) if marked(t)} if named else set()
+        self.mark = " ".join([tag, *sorted(tokens)]) if tag in MARKED or tokens and tag not in KEPT else ""
         self.children: list = []
 
 
@@ -112,7 +127,7 @@ def parse(page: str) -> Node:
             at = n if end < 0 else end
         if tag in VOID:
             continue
-        if len(stack) < DEPTH or node.dropped:
+        if len(stack) < DEPTH or node.dropped or node.mark:
             stack.append(node)
         else:
             flat[tag] = flat.get(tag, 0) + 1
@@ -131,7 +146,7 @@ def _own(node: Node, out: list[list[str]]) -> None:
         elif c.tag == "br":
             out[-1].append(" ")
         elif not c.dropped:
-            if c.tag in BLOCK:
+            if c.tag in BLOCK or c.mark:
                 out.append([])
             else:
                 _own(c, out)
@@ -140,16 +155,16 @@ def _own(node: Node, out: list[list[str]]) -> None:
 class Folded:
     """A node of a template: likes among its siblings are one node; texts has for each page the texts of its elements' own blocks, path the tags of the blocks around them."""
 
-    __slots__ = ("key", "tag", "path", "dropped", "children", "texts", "_size")
+    __slots__ = ("key", "tag", "path", "dropped", "mark", "children", "texts", "_size")
 
     def __init__(self, node: Node | None = None, page: int = 0, path: str = ""):
         self.children: list[Folded] = []
         self.texts: dict[int, set[str]] = {}
         self._size: int | None = None
         if node:
-            self.key, self.tag, self.path, self.dropped = node.key, node.tag, f"{path}/{node.tag}" if node.tag in BLOCK else path, node.dropped
+            self.key, self.tag, self.path, self.dropped, self.mark = node.key, node.tag, f"{path}/{node.tag}" if node.tag in BLOCK else path, node.dropped, node.mark
             own: list[list[str]] = [[]]
-            if node.tag in BLOCK:
+            if node.tag in BLOCK or node.mark:
                 _own(node, own)
             self.texts[page] = {t for x in own if (t := _squeeze(x))}
             last = None
@@ -182,6 +197,33 @@ class Folded:
             self._size = 0 if self.dropped else sum(len(t) for t in self.varying()) + sum(c.size() for c in self.children)
         return self._size
 
+    def judge(self) -> list[str]:
+        """Marks that don't tell: together their elements hold more than MARKED_SHARE of all varying text; every mark where nothing else varies. Afterwards the other marked nodes are dropped."""
+        sums: dict[str, int] = {}
+
+        def gather(x: Folded, around: frozenset[str]) -> int:
+            """Adds up the nodes of each mark; varying text that stands in no marked node."""
+            if x.dropped:
+                return 0
+            if x.mark and x.mark not in around:
+                sums[x.mark] = sums.get(x.mark, 0) + x.size()
+                around |= {x.mark}
+            return (0 if around else sum(len(t) for t in x.varying())) + sum(gather(c, around) for c in x.children)
+
+        plain = gather(self, frozenset())
+        kept = {m for m, n in sums.items() if n > MARKED_SHARE * self.size()}
+        if not plain and not kept:
+            kept = set(sums)
+
+        def drop(x: Folded) -> None:
+            x._size = None
+            x.dropped = x.dropped or x.mark != "" and x.mark not in kept
+            for c in x.children:
+                drop(c)
+
+        drop(self)
+        return sorted(kept)
+
     def constant(self) -> set[str]:
         return set.intersection(*self.texts.values()) if self.texts else set()
 
@@ -217,7 +259,7 @@ def alignment(a: list[Folded], b: list[Folded]) -> list[tuple[int, int]]:
 
 
 def induce(pages: list[str]) -> dict:
-    """The wrapper of pages of one host: the template texts, each with the path of its block.
+    """The wrapper of pages of one host: the marked elements that are content nevertheless, and the template texts, each with the path of its block.
 
     Content is all that varies, wherever it stands. Texts of the lowest node that holds it all count as template
     if AGREE pages and most of the sample hold them there, texts outside it as well.
@@ -225,8 +267,9 @@ def induce(pages: list[str]) -> dict:
     template = Folded(parse(pages[0]), 0)
     for k, page in enumerate(pages[1:], 1):
         template.merge(Folded(parse(page), k))
+    kept = template.judge()
     if len(pages) < AGREE:
-        return {"constants": []}
+        return {"kept": kept, "constants": []}
     content = template
     while not content.varying() and len(live := [c for c in content.children if c.size()]) == 1:
         content = live[0]
@@ -242,37 +285,45 @@ def induce(pages: list[str]) -> dict:
     inner = gather(content, set(), True)
     if sum(len(t) for _, t in inner) > content.size():  # pages that share most of an article teach no template
         inner = set()
-    return {"constants": sorted(inner | gather(template, set(), False))}
+    return {"kept": kept, "constants": sorted(inner | gather(template, set(), False))}
 
 
-def _blocks(node: Node, path: str, out: list[tuple[str, list[str]]]) -> None:
+def _blocks(node: Node, path: str, out: list[tuple[str, list[str]]], kept: set[str]) -> None:
     """(path, texts) of a node's blocks in page order."""
     for c in node.children:
         if isinstance(c, str):
             out[-1][1].append(c)
         elif c.tag == "br":
             out[-1][1].append(" ")
-        elif not c.dropped:
+        elif not c.dropped and (not c.mark or c.mark in kept):
             if c.tag in BLOCK:
                 inner = f"{path}/{c.tag}"
                 out.append((inner, []))
-                _blocks(c, inner, out)
+                _blocks(c, inner, out, kept)
                 out.append((path, []))
             else:
-                _blocks(c, path, out)
+                _blocks(c, path, out, kept)
 
 
 def extract(page: str | None, wrapper: dict | None) -> str:
     """The page's text but for what is dropped and its host's template, in page order."""
     if not page:
         return ""
-    root = parse(page)
-    constants = set(map(tuple, wrapper["constants"])) if wrapper else set()
+    return read(parse(page), wrapper or induce([page]))
+
+
+def _unmarked(root: Node, kept: set[str], constants: set[tuple[str, str]]) -> str:
     blocks: list[tuple[str, list[str]]] = [("/html", [])]
-    _blocks(root, "/html", blocks)
+    _blocks(root, "/html", blocks, kept)
     return "\n".join(t for path, b in blocks if (t := _squeeze(b)) and (path, t) not in constants)
 
 
+def read(root: Node, wrapper: dict) -> str:
+    """A parsed page through a wrapper; marks are judged by the page itself where the wrapper's leave nothing of it."""
+    constants = set(map(tuple, wrapper["constants"]))
+    return _unmarked(root, set(wrapper["kept"]), constants) or _unmarked(root, set(Folded(root).judge()), constants)
+
+
 def wrappers(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(host, wrapper) of every host in (host, html) rows: distinct pages, those of the smallest hashes.
 
