@@ -149,6 +149,19 @@ def test_names_do_not_decide_what_is_content(named):
     assert _read(page) == text and wrapper.extract(page(3), None) == text[3]
 
 
+def test_layouts_of_one_host(spark):
+    rare = lambda k: f"<body><div class='menu'>Home</div><main><div><p>Start</p></div><div class=comments><p>{BIG.format(k)}</p></div></main></body>"
+    own = lambda k: f"<body class='postid-{k}'><div class='wrap w{k}'><div>Follow us</div><article class='a{k}'><p>Word {k} of {k}</p></article><p>All rights reserved</p></div></body>"
+    rows = [(k, "http://h.org/a", _page(k)) for k in range(400)] + [(1000 + k, "http://h.org/b", own(k)) for k in range(5)] + [(2000 + k, "http://h.org/c", rare(k)) for k in range(2)]
+    rows += [(3000 + k, "http://small.org/", own(k)) for k in range(4)] + [(4000, "http://one.org/", own(7))]
+    got = {r["page_id"]: r["text"] for r in wrapper.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    assert all(got[k].startswith(f"Title {k}\nText {k} &") and "Subscribe" not in got[k] for k in range(400))
+    assert [got[1000 + k] for k in range(5)] == [f"Word {k} of {k}" for k in range(5)] and [got[3000 + k] for k in range(4)] == [f"Word {k} of {k}" for k in range(4)]
+    assert [got[2000 + k] for k in range(2)] == ["Start\n" + " ".join(BIG.format(k).split()) for k in range(2)]
+    assert got[4000] == "Follow us\nWord 7 of 7\nAll rights reserved"
+
+
 def test_tree_matching():
     a, b = (wrapper.Folded(wrapper.parse(x)) for x in ("<div><p>a</p><ul><li>1</li></ul></div>", "<div><h1>t</h1><p>b</p><p>c</p><ul><li>2</li></ul></div>"))
     assert wrapper.match(a, b) == 5  # html, div, p, ul, li

@@ -1,16 +1,19 @@
 """Main text of web pages by wrapper induction.
 
-For each host, a bounded sample of distinct pages is parsed, their trees are folded (runs of
+All pages of a host are grouped by the signature of their layout, which the tags of their outer
+elements give. Of each group a bounded sample of distinct pages is parsed, their trees are folded (runs of
 like siblings become one repeating node) and aligned by simple tree matching
 (Yang, 1991) into one template. A node's texts that all sampled pages hold are
-template; nodes whose texts vary are slots. Every page of the host is read whole, but for the
+template; nodes whose texts vary are slots. Every page of the group is read whole, but for the
 template and for marked elements with little of the varying text, so all slot regions are content, wherever they stand.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
+import math
 import re
 from collections.abc import Iterator
 
@@ -22,8 +25,10 @@ from pyspark.sql import functions as F
 from .hostrep import url_host
 from .shared import materialize
 
-#: Pages of a host that its wrapper is learned from, at most; pages that must agree on a text before it counts as template inside the content.
-SAMPLE, AGREE = 12, 10
+#: Pages of one layout that its wrapper is learned from, at most; pages, and share of the sample, that must agree on a text before it counts as template. Rarer layouts of a host share one wrapper.
+SAMPLE, AGREE, AGREE_SHARE = 12, 3, 10 / 12
+#: Elements inside each other that tell layouts apart.
+LAYOUT_DEPTH = 4
 #: Elements inside each other that are kept as such; deeper ones are read as part of the last, unless they are dropped with all they hold.
 DEPTH = 150
 #: Bytes of all wrappers up to which they are broadcast; more are joined by host.
@@ -42,6 +47,7 @@ MARKED_WORDS = frozenset("ad ads advert adverts advertisement advertisements adv
 #: Words that say nothing by themselves: a class of marked words and these is marked, one with any other word is not.
 FILLING = frozenset("area bar block blocks bottom box button buttons container inner item items left link links list main outer page post posts right section site top unit wrap wrapper".split())
 KEPT = frozenset("html body main".split())
+LAYOUT = frozenset("main article section div center table nav header footer aside form".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
 SCOPES = frozenset("table ul ol dl body html article section div main td th".split())
 
@@ -58,9 +64,9 @@ def marked(token: str) -> bool:
 
 
 class Node:
-    """An element; children are nodes and texts in page order. key tells siblings of different use apart; mark, if not empty, names what it may be instead of article."""
+    """An element; children are nodes and texts in page order. mark, if not empty, names what it may be instead of article."""
 
-    __slots__ = ("tag", "key", "dropped", "mark", "children")
+    __slots__ = ("tag", "classes", "dropped", "mark", "children")
 
     def __init__(self, tag: str, attributes: str = ""):
         named: dict[str, str] = {}
@@ -69,7 +75,7 @@ class Node:
                 named.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
         classes = sorted(named.get("class", "").lower().split())
         self.tag = tag
-        self.key = ".".join([tag, *classes])
+        self.classes = classes
         hidden = "hidden" in named or named.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(named.get("style", "")) is not None
         self.dropped = tag in DROPPED or tag not in KEPT and hidden
         tokens = {t for t in (*classes, *named.get("id", "").lower().split(), *named.get("role", "").lower().split()) if marked(t)} if named else set()
@@ -152,17 +158,52 @@ def _own(node: Node, out: list[list[str]]) -> None:
                 _own(c, out)
 
 
+def signature(root: Node) -> str:
+    """What pages of one layout share: the paths of the outer elements' tags, however often they occur."""
+    paths: set[str] = set()
+
+    def walk(node: Node, path: str, depth: int) -> None:
+        for c in node.children:
+            if isinstance(c, Node) and not c.dropped:
+                if c.tag in LAYOUT:
+                    paths.add(f"{path}/{c.tag}")
+                    if depth < LAYOUT_DEPTH:
+                        walk(c, f"{path}/{c.tag}", depth + 1)
+                elif c.tag == "body":
+                    walk(c, path, depth)
+
+    walk(root, "", 1)
+    return hashlib.md5(" ".join(sorted(paths)).encode()).hexdigest()[:16]
+
+
+def shared_classes(roots: list[Node]) -> set[str]:
+    """Classes that at least half of the pages have; others, such as a page's own number, don't tell elements apart."""
+    pages: dict[str, int] = {}
+    for root in roots:
+        found, left = set(), [root]
+        while left:
+            node = left.pop()
+            found.update(node.classes)
+            left += [c for c in node.children if isinstance(c, Node)]
+        for c in found:
+            pages[c] = pages.get(c, 0) + 1
+    return {c for c, n in pages.items() if 2 * n >= len(roots)}
+
+
 class Folded:
-    """A node of a template: likes among its siblings are one node; texts has for each page the texts of its elements' own blocks, path the tags of the blocks around them."""
+    """A node of a template: likes among its siblings are one node; texts has for each page the texts of its elements' own blocks, path the tags of the blocks around them.
+
+    key, the tag and classes, those in `names` if given, tells siblings of different use apart."""
 
     __slots__ = ("key", "tag", "path", "dropped", "mark", "children", "texts", "_size")
 
-    def __init__(self, node: Node | None = None, page: int = 0, path: str = ""):
+    def __init__(self, node: Node | None = None, page: int = 0, path: str = "", names: set[str] | None = None):
         self.children: list[Folded] = []
         self.texts: dict[int, set[str]] = {}
         self._size: int | None = None
         if node:
-            self.key, self.tag, self.path, self.dropped, self.mark = node.key, node.tag, f"{path}/{node.tag}" if node.tag in BLOCK else path, node.dropped, node.mark
+            self.key = ".".join([node.tag, *(c for c in node.classes if names is None or c in names)])
+            self.tag, self.path, self.dropped, self.mark = node.tag, f"{path}/{node.tag}" if node.tag in BLOCK else path, node.dropped, node.mark
             own: list[list[str]] = [[]]
             if node.tag in BLOCK or node.mark:
                 _own(node, own)
@@ -170,7 +211,7 @@ class Folded:
             last = None
             for c in node.children:
                 if isinstance(c, Node):
-                    new = Folded(c, page, self.path)
+                    new = Folded(c, page, self.path, names)
                     if last is not None and last.key == new.key:
                         last.merge(new)
                     else:
@@ -259,16 +300,19 @@ def alignment(a: list[Folded], b: list[Folded]) -> list[tuple[int, int]]:
 
 
 def induce(pages: list[str]) -> dict:
-    """The wrapper of pages of one host: the marked elements that are content nevertheless, and the template texts, each with the path of its block.
+    """The wrapper of pages of one layout: the marked elements that are content nevertheless, and the template texts, each with the path of its block.
 
-    Content is all that varies, wherever it stands. Texts of the lowest node that holds it all count as template
-    if AGREE pages and most of the sample hold them there, texts outside it as well.
+    Content is all that varies, wherever it stands. A text is template if all pages with its element
+    hold it there, and these are AGREE at least and AGREE_SHARE of the pages.
     """
-    template = Folded(parse(pages[0]), 0)
-    for k, page in enumerate(pages[1:], 1):
-        template.merge(Folded(parse(page), k))
+    roots = [parse(page) for page in pages]
+    names = shared_classes(roots)
+    template = Folded(roots[0], 0, "", names)
+    for k, root in enumerate(roots[1:], 1):
+        template.merge(Folded(root, k, "", names))
+    agree = max(AGREE, math.ceil(AGREE_SHARE * len(pages)))
     kept = template.judge()
-    if len(pages) < AGREE:
+    if len(pages) < agree:
         return {"kept": kept, "constants": []}
     content = template
     while not content.varying() and len(live := [c for c in content.children if c.size()]) == 1:
@@ -276,7 +320,7 @@ def induce(pages: list[str]) -> dict:
 
     def gather(x: Folded, found: set[tuple[str, str]], inside: bool) -> set[tuple[str, str]]:
         if inside or x is not content:
-            if len(x.texts) >= AGREE:
+            if len(x.texts) >= agree:
                 found.update((x.path, t) for t in x.constant())
             for c in x.children:
                 gather(c, found, inside)
@@ -319,48 +363,66 @@ def _unmarked(root: Node, kept: set[str], constants: set[tuple[str, str]]) -> st
 
 
 def read(root: Node, wrapper: dict) -> str:
-    """A parsed page through a wrapper; marks are judged by the page itself where the wrapper's leave nothing of it."""
-    constants = set(map(tuple, wrapper["constants"]))
-    return _unmarked(root, set(wrapper["kept"]), constants) or _unmarked(root, set(Folded(root).judge()), constants)
+    """A parsed page through a wrapper; marks are judged by the page too if its layout is rare, and where the wrapper's leave nothing of it."""
+    constants, kept = set(map(tuple, wrapper["constants"])), set(wrapper["kept"])
+    if wrapper.get("unlike"):
+        kept.update(Folded(root).judge())
+    return _unmarked(root, kept, constants) or _unmarked(root, set(Folded(root).judge()), constants)
+
+
+def layouts(pages: DataFrame) -> DataFrame:
+    """(host, mark, layout) of every distinct page in (host, html) rows; mark is its hash. Layouts of fewer than AGREE pages of a host are its layout ''."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            signs = [signature(parse(html.as_py())) for html in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(signs, pa.string())], names=["host", "mark", "sign"])
+
+    signed = pages.where("html <> ''").select("host", F.xxhash64("html").alias("mark"), "html").mapInArrow(run, "host string, mark long, sign string").distinct()
+    signed = materialize(signed, "wrapper-signatures")
+    common = signed.groupBy("host", "sign").count().where(F.col("count") >= AGREE).withColumn("layout", F.col("sign")).drop("count")
+    return materialize(signed.join(common, ["host", "sign"], "left").select("host", "mark", F.coalesce("layout", F.lit("")).alias("layout")), "wrapper-layouts")
 
 
-def wrappers(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(host, wrapper) of every host in (host, html) rows: distinct pages, those of the smallest hashes.
+def wrappers(pages: DataFrame, known: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(host, layout, wrapper) of every layout in `known` from (host, html) rows: distinct pages, those of the smallest hashes.
 
-    Hashes are made distinct and ranked first, and each task keeps at most `sample` of a host; only then the
+    Hashes are ranked first, and each task keeps at most `sample` of a layout; only then the
     pages of the chosen hashes are fetched, copies folded to one by each task. So neither a host nor
     a page with a third of the rows needs more room than another.
     """
-    marked = pages.where("html <> ''").withColumn("mark", F.xxhash64("html"))
-    order = Window.partitionBy("host").orderBy("mark")
-    chosen = marked.select("host", "mark").distinct().withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).drop("nth")
-    some = marked.join(materialize(chosen, "wrapper-sample"), ["host", "mark"]).groupBy("host", "mark").agg(F.first("html").alias("html"))
+    order = Window.partitionBy("host", "layout").orderBy("mark")
+    chosen = known.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).drop("nth")
+    marks = pages.where("html <> ''").withColumn("mark", F.xxhash64("html"))
+    some = marks.join(materialize(chosen, "wrapper-sample"), ["host", "mark"]).groupBy("host", "layout", "mark").agg(F.first("html").alias("html"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("mark")
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [json.dumps(induce(list(rows["html"])))]})
+        layout = rows["layout"].iloc[0]
+        return pd.DataFrame({"host": [rows["host"].iloc[0]], "layout": [layout], "wrapper": [json.dumps(induce(list(rows["html"])) | {"unlike": layout == ""})]})
 
-    return some.groupBy("host").applyInPandas(run, "host string, wrapper string")
+    return some.groupBy("host", "layout").applyInPandas(run, "host string, layout string, wrapper string")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sample: int = SAMPLE) -> DataFrame:
     """(id_col, url, text, n_chars) of every row, from the whole html.
 
     Character references are decoded, white space in a block becomes one space, blocks are joined by line feeds. Null and
-    empty pages, and pages without article text, have ''. Pages without a url share the wrapper of host ''. Repeated rows give
+    empty pages, and pages without article text, have ''. Pages without a url share the wrappers of host ''. Repeated rows give
     repeated results; an empty table gives an empty one. Wrappers are broadcast if their measured size
-    allows, else joined by host.
+    allows, else joined by host and page.
     """
     own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(html_col, F.lit("")).alias("html")).withColumn("host", url_host(F.col("url")))
-    known = materialize(wrappers(own.select("host", "html"), sample), "wrappers")
+    placed = layouts(own.select("host", "html"))
+    known = materialize(wrappers(own.select("host", "html"), placed, sample), "wrappers")
     id_type = own.schema["id"].dataType.simpleString()
-    size = known.agg(F.sum(F.octet_length("host") + F.octet_length("wrapper"))).first()[0] or 0
+    size = known.agg(F.sum(F.octet_length("host") + F.octet_length("layout") + F.octet_length("wrapper"))).first()[0] or 0
     if size <= BROADCAST_BYTES:
-        shared = pages.sparkSession.sparkContext.broadcast({r["host"]: r["wrapper"] for r in known.collect()})
+        shared = pages.sparkSession.sparkContext.broadcast({(r["host"], r["layout"]): r["wrapper"] for r in known.collect()})
         rows = own.withColumn("wrapper", F.lit(None).cast("string"))
     else:
         shared = None
-        rows = own.join(known, "host", "left")
+        rows = own.withColumn("mark", F.xxhash64("html")).join(placed, ["host", "mark"], "left").join(known, ["host", "layout"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value if shared else {}
@@ -368,13 +430,18 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         for batch in batches:
             texts = []
             for html, host, wrapper in zip(*(batch.column(k) for k in (2, 3, 4))):
-                host = host.as_py()
-                wrapper = held.get(host) if shared else wrapper.as_py()
-                if wrapper is not None and wrapper not in learned:
+                html, host, wrapper = html.as_py(), host.as_py(), wrapper.as_py()
+                if not html:
+                    texts.append("")
+                    continue
+                root = parse(html)
+                if shared:
+                    wrapper = held.get((host, signature(root))) or held[host, ""]
+                if wrapper not in learned:
                     if len(learned) > 10_000:
                         learned.clear()
                     learned[wrapper] = json.loads(wrapper)
-                texts.append(extract(html.as_py(), learned.get(wrapper)))
+                texts.append(read(root, learned[wrapper]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["id", "url", "text", "n_chars"])
 
     return rows.select("id", "url", "html", "host", "wrapper").mapInArrow(run, f"id {id_type}, url string, text string, n_chars long").withColumnRenamed("id", id_col)
