@@ -99,6 +99,17 @@ def test_warc_rejects_magic_in_payloads(spark, tmp_path):
     assert warc.round_trip(pages.limit(0), str(tmp_path / "e")).count() == 0
 
 
+def test_warc_rows_of_one_id_keep_their_payloads(spark, tmp_path):
+    rows = [(5, "u", "same"), (3, "u", "same"), (5, "u", "other"), (7, "u", "third"), (8, "u", "same"), (8, "u", "third")]
+    path = str(tmp_path / "w")
+    got = sorted((r["page_id"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string"), path).collect())
+    digest = lambda html: base64.b32encode(hashlib.sha1(html.encode()).digest()).decode()
+    first = {"same": 3, "other": 5, "third": 7}
+    want = [(i, digest(x), "response", None) if i == first[x] else (i, digest(x), "revisit", first[x]) for i, _, x in rows]
+    assert got == sorted(want)
+    assert sorted(bytes(r["payload"]) for r in warc.read(spark, path).where("payload is not null").collect()) == [b"other", b"same", b"third"]
+
+
 HEAD = "<html><head><title>t</title><style>p{}</style></head><body><div class='menu'><a href=/>Home</a></div>"
 
 

@@ -47,8 +47,8 @@ def marked(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("digest", payload_digest(F.col("html").cast("binary"))).withColumn("size", F.octet_length("html").cast("long"))
     same = rows.where(F.col("size") >= min_bytes).groupBy("digest", "size").agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1")
-    copies = materialize(rows.select("page_id", "digest", "size").join(same, ["digest", "size"]).where("page_id <> first_id").groupBy("page_id").agg(F.min("first_id").alias("first_id")), "warc-revisits")
-    return rows.join(copies, "page_id", "left").select("page_id", "url", "html", "digest", "size", "first_id")
+    copies = materialize(rows.select("page_id", "digest", "size").join(same, ["digest", "size"]).where("page_id <> first_id").groupBy("page_id", "digest", "size").agg(F.min("first_id").alias("first_id")), "warc-revisits")
+    return rows.join(copies, ["page_id", "digest", "size"], "left").select("page_id", "url", "html", "digest", "size", "first_id")
 
 
 def _uri(url: Column) -> Column:
