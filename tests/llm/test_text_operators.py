@@ -261,6 +261,19 @@ def test_edited_copies_are_found_beside_many_whole_ones(spark, small):
     assert got == {i for i, _ in rows} - {50}
 
 
+@pytest.mark.parametrize("length", [15, 40, 59])
+def test_length_does_not_decide_what_is_a_copy(spark, small, length):
+    words = [f"w{length}x{k}" for k in range(length)]
+    noise = [r["text"] for r in small.select("text").limit(8).collect()]
+    rows = [(10 * shift, f"{noise[shift]} {' '.join(w if (k + shift) % 4 else f'other{k}' for k, w in enumerate(words))} end") for shift in range(4)]
+    rows += [(1, f"{noise[4]} {' '.join(words[: length // 2])} {noise[5]}"), (2, f"{noise[5]} {' '.join(words[length // 2 :])} {noise[4]}")]
+    rows += [(3, noise[6]), (4, f"{noise[7]} {' '.join(words[: length // 4])} {noise[6]}")]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert set(got) == {i for i, _ in rows} - {3, 4}
+    assert got[1] == got[2] == 1 and all(0.7 <= got[10 * shift] < 1 for shift in range(4))
+
+
 def test_decontamination_finds_every_planted_item(spark):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     truth = {(d["doc_id"], b["item_id"]) for d in docs.collect() for b in bench.collect() if b["text"] in d["text"]}

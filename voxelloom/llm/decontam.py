@@ -7,8 +7,8 @@
    n-grams of an item, the rarest is a seed, and so are those of at most RARE times its count; so each stretch has a
    seed, however common its words or its copies are, an edit spoils only the seeds that it
    touches, and common n-grams seed no candidates where rarer ones do.
-3. Passages and items that share a seed are aligned; the score is the best
-   local alignment's, as a share of the item's own.
+3. Passages and items that share a seed are aligned; the score is the share of equal words in
+   the aligned span, which must hold enough of the item's words. So the length of an item or of its copied part does not decide.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from .shared import materialize
 
 #: Words to a seed; consecutive n-grams of an item that are weighed against each other, and how much commoner than the rarest a seed may be.
 SEED_WORDS, WINDOW, RARE = 3, 4, 8
-#: Share of an item's own score that counts as a copy.
-THRESHOLD = 0.6
+#: Share of equal words in an aligned span that counts as a copy; the least words of it, as a share of the item's and as a number.
+THRESHOLD, PART, LEAST = 0.6, 0.45, 6
 MATCH, MISMATCH, GAP = 1, -1, -1
 #: Item n-grams up to which their hashes are broadcast (8 bytes each); more are matched by a join.
 BROADCAST_NGRAMS = 4_000_000
@@ -90,6 +90,45 @@ def align(passage: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     return score, end - 1 - int(np.flatnonzero(back >= score)[0]), end
 
 
+def span(passage: np.ndarray, item: np.ndarray) -> tuple[int, int]:
+    """(equal words, columns) of the best local alignment of an item in a passage; of equal ways back the one with more words aligned."""
+    h = np.zeros((len(item) + 1, len(passage) + 1), np.int64)
+    steps = -GAP * np.arange(1, len(passage) + 1)
+    for i, word in enumerate(item):
+        row = np.maximum(h[i, :-1] + np.where(passage == word, MATCH, MISMATCH), np.maximum(h[i, 1:] + GAP, 0))
+        h[i + 1, 1:] = np.maximum.accumulate(row + steps) - steps
+    i, j = divmod(int(h.argmax()), h.shape[1])
+    equal = columns = 0
+    while h[i, j]:
+        same = passage[j - 1] == item[i - 1]
+        columns += 1
+        if h[i, j] == h[i - 1, j - 1] + (MATCH if same else MISMATCH):
+            i, j, equal = i - 1, j - 1, equal + int(same)
+        elif h[i, j] == h[i - 1, j] + GAP:
+            i -= 1
+        else:
+            j -= 1
+    return equal, columns
+
+
+def judged(passage: np.ndarray, item: np.ndarray, threshold: float = THRESHOLD) -> tuple[float, int, int] | None:
+    """(score, start, end) of an item's copy in a passage, None if there is none.
+
+    A copy's span has at least `threshold` equal words, and of the item's words at least PART and LEAST, or for an item of few words so many that they outweigh
+    the edits by `threshold` of the item.
+    """
+    part = max(PART * len(item), min(LEAST, threshold * len(item)))
+    if np.isin(item, passage).sum() < part:
+        return None  # fewer words in common than a copy has
+    best, a, b = align(passage, item)
+    if best < (2 - 1 / threshold) * part:
+        return None  # with so many equal words and no more edits the score would be higher
+    equal, columns = span(passage[a:b], item)
+    if best < threshold * len(item) and (equal < max(PART * len(item), LEAST) or equal < threshold * columns):
+        return None
+    return equal / columns, a, b
+
+
 def _scan(docs: DataFrame, wanted: np.ndarray, n: int, short: list[int], reach: int) -> DataFrame:
     """Passages (doc_id, start, words, at, gram) around clusters of wanted n-grams; positions count from the passage's start."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
@@ -150,8 +189,8 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word) of each document and test item it holds a whole, edited or partial copy of.
 
-    `benchmark` has (item_id, text). score is the best alignment's share of the item's own score, at
-    least `threshold`; first_word and last_word bound the copy in the document's words, the last excluded.
+    `benchmark` has (item_id, text). score is the share of equal words in the aligned span, at
+    least `threshold`, and the span holds at least PART of the item's words; first_word and last_word bound the copy in the document's words, the last excluded.
     Null and empty texts hold nothing and are held by nothing; null ids are left out;
     repeated rows of an id count as one document, the best copy with the lowest start wins; items of
     equal text are all reported. Empty tables give an empty result.
@@ -191,12 +230,9 @@ def contaminated(
             out: list[list] = [[], [], [], [], []]
             for r in range(batch.num_rows):
                 passage, item = (np.array(batch.column(k)[r].values, np.int64) for k in (3, 4))
-                if np.isin(item, passage).sum() < threshold * len(item) * MATCH:
-                    continue  # fewer words in common than the score asks for
-                best, a, b = align(passage, item)
-                if best >= threshold * MATCH * len(item):
+                if copy := judged(passage, item, threshold):
                     start = batch.column(1)[r].as_py()
-                    for c, v in zip(out, (batch.column(0)[r].as_py(), batch.column(2)[r].as_py(), best / (MATCH * len(item)), start + a, start + b)):
+                    for c, v in zip(out, (batch.column(0)[r].as_py(), batch.column(2)[r].as_py(), copy[0], start + copy[1], start + copy[2])):
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))], names=["doc_id", "item_id", "score", "first_word", "last_word"])
 
