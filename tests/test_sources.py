@@ -160,6 +160,32 @@ def test_tickets(tmp_path):
     assert "psf_paths" in json.load(open(queue.submit_pipeline(folder, "/o/x", "/s", [], 1.0, 0.1, 30.0)))["parameters"]
 
 
+def test_each_channel_has_its_psf(spark, tmp_path):
+    data = str(tmp_path / "data")
+    os.makedirs(data)
+    rng = np.random.default_rng(3)
+    images = {c: rng.integers(200, 900, (4, 7, 7)).astype("<u2") for c in (0, 1)}
+    for c, v in images.items():
+        with open(os.path.join(data, f"x_C{c}_T000.tif"), "wb") as f:
+            f.write(tiff.encode(v))
+    paths = []
+    for c in (0, 1):
+        psf = np.zeros((3, 5, 5), "<u2")
+        psf[1, 2, 2] = 4
+        psf[1, 2, 2 + c] = 4
+        paths.append(str(tmp_path / f"psf{c}.tif"))
+        with open(paths[-1], "wb") as f:
+            f.write(tiff.encode(psf))
+    jobs = pipeline.handlers(spark)
+    read = lambda name: {r["c"]: bytes(r["data"]) for r in tiff.read_volumes(spark, os.path.join(data, name)).collect()}
+    run = lambda name, **how: jobs["decon"]({"dataDir": data, "baseName": "x", "parameters": {"iterations": 3, "result_dir_name": name, **how}}) or read(name)
+    one, other = (run(f"one{c}", psf_paths=[paths[c]]) for c in (0, 1))
+    both = run("both", psf_paths=paths, channel_patterns=["_C0_", "_C1_"])
+    assert one[1] != other[1] and both == {0: one[0], 1: other[1]}
+    with pytest.raises(ValueError, match="2 PSFs"):
+        run("bad", psf_paths=paths, channel_patterns=["_C0_"])
+
+
 def test_queue_runs_jobs_once_and_records_failures(spark, planes, tmp_path):
     tickets, data = str(tmp_path / "tickets"), str(tmp_path / "data")
     tiff.write_series(model.volumes(planes), data)

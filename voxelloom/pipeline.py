@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -115,27 +116,40 @@ def run_pending_consolidations(spark: SparkSession, data_dirs: list[str]) -> dic
 def handlers(spark: SparkSession) -> dict:
     """Handlers of crop, deskew, decon and pipeline tickets over TIFF series."""
 
-    def psf_of(p: dict) -> tuple[np.ndarray | None, float | None]:
+    def channels(folder: str, p: dict) -> list[tuple[DataFrame, np.ndarray | None, float | None]]:
+        """The volumes of each channel pattern with its PSF and the PSF's z step. A single PSF is for all volumes; of several patterns in a name the longest holds."""
         paths = p.get("psf_paths") or ([p["psf_path"]] if p.get("psf_path") else [])
         if not paths:
-            return None, None
-        with open(paths[0], "rb") as f:
-            raw = f.read()
-        return tiff.decode(raw).astype(float), p.get("dz_psf") or tiff.spacing(raw)
+            return [(tiff.read_volumes(spark, folder), None, None)]
+        patterns = p.get("channel_patterns") or []
+        patterns = [patterns] if isinstance(patterns, str) else patterns
+        if len(paths) == 1:
+            patterns = [""]
+        elif len(set(patterns)) != len(paths):
+            raise ValueError(f"{len(paths)} PSFs for {len(set(patterns))} channel patterns")
+        out = []
+        for pattern, path in zip(patterns, paths):
+            with open(path, "rb") as f:
+                raw = f.read()
+            longer = [x for x in patterns if len(x) > len(pattern)]
+            out.append((tiff.read_volumes(spark, folder, pattern=pattern, unless=longer), tiff.decode(raw).astype(float), p.get("dz_psf") or tiff.spacing(raw)))
+        return out
 
     def level(job: dict, folder: str) -> None:
         p = job["parameters"]
-        psf, dz = psf_of(p)
-        rows = level_volumes(tiff.read_volumes(spark, job["dataDir"]), p["z_step_um"], p["xy_pixel_size"], p["sheet_angle_deg"], psf, dz, p.get("iterations") or p.get("decon_iter") or 25, z_end=p.get("z_crop_end"), reverse=bool(p.get("reverse")), objective=bool(p.get("objective_scan")))
-        tiff.write_series(rows, folder)
+        done = [
+            level_volumes(rows, p["z_step_um"], p["xy_pixel_size"], p["sheet_angle_deg"], psf, dz, p.get("iterations") or p.get("decon_iter") or 25, z_end=p.get("z_crop_end"), reverse=bool(p.get("reverse")), objective=bool(p.get("objective_scan")))
+            for rows, psf, dz in channels(job["dataDir"], p)
+        ]
+        tiff.write_series(reduce(DataFrame.unionByName, done), folder)
 
     def decon(job: dict) -> None:
-        psf, _ = psf_of(job["parameters"])
-        if psf is None:
+        parts = channels(job["dataDir"], job["parameters"])
+        if any(psf is None for _, psf, _ in parts):
             raise ValueError("a deconvolution needs a PSF")
         n = job["parameters"].get("iterations") or 25
-        rows = map_volumes(tiff.read_volumes(spark, job["dataDir"]), lambda v: np.clip(np.floor(K.richardson_lucy(v, psf, n) + 0.5), 0, 65535).astype("<u2"))
-        tiff.write_series(rows, os.path.join(job["dataDir"], job["parameters"].get("result_dir_name") or "Decon"))
+        done = [map_volumes(rows, lambda v, psf=psf: np.clip(np.floor(K.richardson_lucy(v, psf, n) + 0.5), 0, 65535).astype("<u2")) for rows, psf, _ in parts]
+        tiff.write_series(reduce(DataFrame.unionByName, done), os.path.join(job["dataDir"], job["parameters"].get("result_dir_name") or "Decon"))
 
     def crop(job: dict) -> None:
         p = job["parameters"]

@@ -12,7 +12,7 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -136,9 +136,15 @@ def imagej_text(shape: tuple[int, ...], step: float | None = None) -> str:
     return "\n".join(lines) + "\n"
 
 
-def read_volumes(spark: SparkSession, path: str, name: str = r"_C(\d+)_T(\d+)") -> DataFrame:
-    """One volume row for each file under `path`, c and t from its name; on any file system Spark reads. Files are decoded whole, one task each."""
+def read_volumes(spark: SparkSession, path: str, name: str = r"_C(\d+)_T(\d+)", pattern: str = "", unless: Sequence[str] = ()) -> DataFrame:
+    """One volume row for each file under `path`, c and t from its name; on any file system Spark reads. Files are decoded whole, one task each.
+
+    With a pattern, only files that have it in their name, and none of `unless`.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").load(path)
+    file = F.element_at(F.split("path", "/"), -1)
+    for x, held in [(pattern, True), *((x, False) for x in unless)]:
+        files = files.where(file.contains(x) == held)
     files = files.select("path", "content", F.regexp_extract("path", r"([^/]+?)" + name, 1).alias("dataset"), F.regexp_extract("path", name, 2).try_cast("int").alias("t"), F.regexp_extract("path", name, 1).try_cast("int").alias("c"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
