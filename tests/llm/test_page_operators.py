@@ -211,11 +211,36 @@ def test_embedding_links_against_brute_force(spark):
     assert projpass.near_duplicates(table.limit(0)).count() == 0
 
 
+def _linked(v, cosine=0.9):
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    linked = unit @ unit.T >= cosine
+    np.fill_diagonal(linked, False)
+    return linked.sum(axis=1)
+
+
 def test_embedding_recall_in_small_windows(spark):
     rng = np.random.default_rng(6)
     v = np.concatenate([np.repeat(rng.standard_normal((150, 32)), 4, axis=0) + 0.2 * rng.standard_normal((600, 32)), rng.standard_normal((1400, 32))])
     table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
-    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
-    truth = (unit @ unit.T >= 0.9).sum() - len(v)
+    truth = _linked(v).sum()
     got = projpass.near_duplicates(table, window=64).agg(F.sum("n_links")).first()[0]
     assert truth > 1000 and 0.9 * truth <= got <= truth
+
+
+def test_embedding_links_of_a_group_beyond_window_and_block(spark):
+    """One group of 2000 near copies: all links are counted, however rows are dealt out."""
+    rng = np.random.default_rng(1)
+    v = np.concatenate([rng.standard_normal((1, 32)) + 0.22 * rng.standard_normal((2000, 32)), rng.standard_normal((1000, 32)), np.repeat(rng.standard_normal((20, 32)), 3, axis=0)])
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    truth = _linked(v)
+    settings = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        for parts, adaptive, block in (("1", "true", 1024), ("7", "false", 300), ("64", "true", 1024)):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            got = {r["vec_id"]: r for r in projpass.near_duplicates(table.repartition(3), window=256, block=block).collect()}
+            assert [got[i]["n_links"] for i in range(len(v))] == truth.tolist()
+            assert {got[i]["component_id"] for i in range(2000) if truth[i]} == {min(np.flatnonzero(truth[:2000]))}
+    finally:
+        for k, x in settings.items():
+            spark.conf.set(k, x)

@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import drop, materialize
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join the same components as all pairs (a, b), at most one for each node."""
+    nodes, where = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right, label = where[: len(a)], where[len(a) :], np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[left], label[right])
+        new = label.copy()
+        np.minimum.at(new, label[left], low)
+        np.minimum.at(new, label[right], low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    away = label != np.arange(len(nodes))
+    return nodes[away], nodes[label[away]]
+
+
 def _fingerprint(pairs: DataFrame) -> tuple:
     row = pairs.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
     return row["n"], row["x"]

@@ -3,7 +3,10 @@
 Each pass hashes every vector to 64 signs of random projections, orders the vectors
 by the concatenated signs, and compares each with a bounded window of
 those before it. Vectors at a small angle share a prefix of signs in some pass and meet in its window. Pairs found
-are verified by their cosine in double precision and united over the passes.
+are verified by their cosine in double precision and united over the passes into components.
+
+A window holds only part of a large group of near copies. So, once the components are known,
+the links inside each are counted exactly, block against block, whatever the windows had room for.
 """
 
 from __future__ import annotations
@@ -15,16 +18,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
-from .shared import materialize
+from .components import components, forest
+from .shared import drop, materialize
 
 #: Least cosine of a link, vectors before its own that each is compared with, and the share of links at that cosine that the passes are to find.
 COSINE, WINDOW, RECALL = 0.9, 512, 0.98
 BITS = 64
+#: Vectors in a task's unit of work, beside the window before them; vectors in a block of a component.
+CHUNK, BLOCK = 4096, 1024
 
 
 def passes_for(vectors: int, cosine: float = COSINE, window: int = WINDOW, recall: float = RECALL) -> int:
@@ -49,10 +53,6 @@ def _unit(raw: list[bytes], kind: str) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
-_VECTORS = "vec_id long, usable boolean, digest binary, dim int, raw binary"
-_FOUND = "a long, b long, copies_a long, copies_b long, edge long, side int, place long, one_pass int, dim int, raw binary"
-
-
 def _digested(vectors: DataFrame, kind: str) -> DataFrame:
     """(vec_id, usable, digest, dim, raw); not usable: null, empty, zero, or with null or non-finite components."""
 
@@ -68,126 +68,150 @@ def _digested(vectors: DataFrame, kind: str) -> DataFrame:
             types = pa.bool_(), pa.binary(), pa.int32(), pa.binary()
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types))], names=["vec_id", "usable", "digest", "dim", "raw"])
 
-    return vectors.mapInArrow(run, _VECTORS)
+    return vectors.mapInArrow(run, "vec_id long, usable boolean, digest binary, dim int, raw binary")
 
 
 def _keyed(classes: DataFrame, passes: int, kind: str) -> DataFrame:
-    """(one_pass, key, rep, copies, dim, raw): each class once for every pass; key orders by dimension, then by signs."""
+    """(one_pass, dim, key, rep): each class once for every pass; key is its 64 signs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims, raws = batch.column(2).to_numpy(), batch.column(3).to_pylist()
-            for p in range(passes):
-                keys: list = [b""] * batch.num_rows
-                for dim in np.unique(dims):
-                    at = np.flatnonzero(dims == dim)
-                    signs = np.packbits(_unit([raws[i] for i in at], kind) @ _directions(p, int(dim)) > 0, axis=1)
-                    for i, s in zip(at, signs):
-                        keys[i] = int(dim).to_bytes(4, "big") + s.tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, p, np.int32)), pa.array(keys, pa.binary()), *batch.columns], names=["one_pass", "key", "rep", "copies", "dim", "raw"])
+            dims, raws = batch.column(1).to_numpy(), batch.column(2).to_pylist()
+            for dim in np.unique(dims):
+                at = np.flatnonzero(dims == dim)
+                unit, reps = _unit([raws[i] for i in at], kind), batch.column(0).take(pa.array(at))
+                for p in range(passes):
+                    signs = np.packbits(unit @ _directions(p, int(dim)) > 0, axis=1)
+                    keys = pa.array([s.tobytes() for s in signs], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), p, np.int32)), pa.array(np.full(len(at), dim, np.int32)), keys, reps], names=["one_pass", "dim", "key", "rep"])
 
-    return classes.select("rep", "copies", "dim", "raw").mapInArrow(run, "one_pass int, key binary, rep long, copies long, dim int, raw binary")
+    return classes.select("rep", "dim", "raw").mapInArrow(run, "one_pass int, dim int, key binary, rep long")
 
 
-def _pairs(unit_a, rep_a, copies_a, unit_b, rep_b, copies_b, allowed, cosine):
-    """Rows (smaller rep, larger rep, copies of each) of the allowed pairs (a, b) that reach the cosine."""
-    i, j = np.nonzero((unit_a @ unit_b.T >= cosine) & allowed)
-    swap = rep_a[i] > rep_b[j]
-    return [np.where(swap, y, x) for x, y in ((rep_a[i], rep_b[j]), (rep_b[j], rep_a[i]), (copies_a[i], copies_b[j]), (copies_b[j], copies_a[i]))]
+def _ranked(rows: DataFrame, order: list[str], label: str) -> DataFrame:
+    """The rows with `place`, their rank in the whole order, from 0; it depends on the rows alone, not on how they are dealt out.
 
+    What reaches the driver is one count for each partition.
+    """
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    placed = materialize(placed, label)
+    part = F.shiftrightunsigned("at", 33)
+    sizes = {r["part"]: r["count"] for r in placed.groupBy(part.alias("part")).count().collect()}
+    starts = np.cumsum([0, *(sizes.get(k, 0) for k in range(max(sizes, default=0)))]).tolist()
+    out = placed.withColumn("place", F.get(F.lit(starts), part) + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).drop("at")
+    out.written_path = placed.written_path
+    return out
 
-def _windows(keyed: DataFrame, window: int, cosine: float, kind: str) -> DataFrame:
-    """Pairs within partitions (edge is null), and the first and last `window` rows of each partition (edge: the border with the partition before, side 0: after, 1: before it)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        names = [x.split()[0] for x in _FOUND.split(", ")]
-        types = [pa.int64()] * 5 + [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-
-        def rows(pairs=None, border=None):
-            n = len(pairs[0]) if pairs else len(border[0])
-            cols = [pa.array(c) for c in pairs] + [pa.nulls(n, t) for t in types[4:]] if pairs else border
-            return pa.RecordBatch.from_arrays([c.cast(t) if c.type != t else c for c, t in zip(cols, types)], names=names)
-
-        def border(edge, side, places, recent):
-            reps, copies, one_pass, dim, raw = ([r[k] for r in recent] for k in range(5))
-            n = len(recent)
-            return rows(border=[pa.array(reps, pa.int64()), pa.nulls(n, pa.int64()), pa.array(copies, pa.int64()), pa.nulls(n, pa.int64()), pa.array([edge] * n, pa.int64()), pa.array([side] * n, pa.int32()), pa.array(places, pa.int64()), pa.array(one_pass, pa.int32()), pa.array(dim, pa.int32()), pa.array(raw, pa.binary())])
-
-        heads: list[tuple] = []
-        tails: list[tuple] = []
-        run_of, before = None, None  # (pass, dimension) of the last rows, and their units, reps, copies
-        for batch in batches:
-            one_pass, rep, copies, dim = (batch.column(k).to_numpy() for k in (0, 2, 3, 4))
-            raw = batch.column(5).to_pylist()
-            cuts = np.flatnonzero(np.diff(one_pass) | np.diff(dim)) + 1
-            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
-                for k in range(a, b, window):
-                    m = min(k + window, b)
-                    unit = _unit(raw[k:m], kind)
-                    if run_of != (one_pass[k], dim[k]):
-                        run_of, before = (one_pass[k], dim[k]), (unit[:0], rep[:0], copies[:0])
-                    held = [np.concatenate([x, y]) for x, y in zip(before, (unit, rep[k:m], copies[k:m]))]
-                    n = len(before[0])
-                    place = np.arange(n + m - k)
-                    near = (place[None, :] < place[n:, None]) & (place[None, :] >= place[n:, None] - window)
-                    found = _pairs(unit, rep[k:m], copies[k:m], *held, near, cosine)
-                    if len(found[0]):
-                        yield rows(pairs=found)
-                    before = tuple(x[-window:] for x in held)
-            own = [(int(rep[i]), int(copies[i]), int(one_pass[i]), int(dim[i]), raw[i]) for i in range(max(0, batch.num_rows - window), batch.num_rows)]
-            tails = [*tails, *own][-window:]
-            if len(heads) < window:
-                heads += [(int(rep[i]), int(copies[i]), int(one_pass[i]), int(dim[i]), raw[i]) for i in range(min(batch.num_rows, window - len(heads)))]
-        if tails:
-            yield border(part, 0, list(range(len(heads))), heads)
-            yield border(part + 1, 1, list(range(-len(tails), 0)), tails)
-
-    return keyed.mapInArrow(run, _FOUND)
-
-
-def _across(found: DataFrame, window: int, cosine: float, kind: str) -> DataFrame:
-    """Pairs across partition borders; a group holds the 2 * window rows around one border at most."""
+def _linked(unit_a: np.ndarray, unit_b: np.ndarray, allowed: np.ndarray | bool, cosine: float) -> np.ndarray:
+    return (unit_a @ unit_b.T >= cosine) & allowed
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, same in rows.groupby(["one_pass", "dim"]):
-            after, before = same[same["side"] == 0], same[same["side"] == 1]
-            if len(after) and len(before):
-                near = after["place"].to_numpy()[:, None] - before["place"].to_numpy()[None, :] <= window
-                parts = [(_unit(list(x["raw"]), kind), x["a"].to_numpy(np.int64), x["copies_a"].to_numpy(np.int64)) for x in (after, before)]
-                out.append(np.array(_pairs(*parts[0], *parts[1], near, cosine)))
-        table = np.concatenate(out, axis=1) if out else np.zeros((4, 0), np.int64)
-        return pd.DataFrame(dict(zip(("a", "b", "copies_a", "copies_b"), table)))
 
-    return found.where("edge is not null").groupBy("edge").applyInPandas(run, "a long, b long, copies_a long, copies_b long")
+def _windows(ordered: DataFrame, classes: DataFrame, window: int, cosine: float, kind: str) -> DataFrame:
+    """(a, b) links between each class and the `window` before it in every pass; of a chunk's links a spanning forest.
+
+    A chunk of the order is a task's unit: CHUNK classes, and the window before them, which are the
+    last of the chunk before. So the pairs compared depend on ranks alone.
+    """
+    chunk = max(CHUNK, window)
+    narrow = ordered.select("rep", "one_pass", "place", F.floor(F.col("place") / chunk).alias("chunk"))
+    halo = narrow.where(F.pmod("place", F.lit(chunk)) >= chunk - window).withColumn("chunk", F.col("chunk") + 1)
+    rows = narrow.unionByName(halo).join(classes.select("rep", "dim", "raw").hint("merge"), "rep")
 
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("place", ignore_index=True)
+        first = int(np.searchsorted(rows["place"], int(rows["chunk"].iloc[0]) * chunk))
+        found_a, found_b = [], []
+        for _, same in rows.groupby(["one_pass", "dim"], sort=False):
+            reps, places, own = same["rep"].to_numpy(np.int64), same["place"].to_numpy(np.int64), same.index.to_numpy() >= first
+            unit = _unit(list(same["raw"]), kind)
+            for k in range(0, len(reps), window):
+                a = slice(k, k + window)
+                b = slice(max(0, k - window), k + window)
+                apart = places[a, None] - places[None, b]
+                i, j = np.nonzero(_linked(unit[a], unit[b], (apart > 0) & (apart <= window) & own[a, None], cosine))
+                if len(i):
+                    x, y = forest(reps[a][i], reps[b][j])
+                    found_a.append(x)
+                    found_b.append(y)
+        if not found_a:
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        return pd.DataFrame(dict(zip("ab", forest(np.concatenate(found_a), np.concatenate(found_b)))))
+
+    return rows.groupBy("chunk").applyInPandas(run, "a long, b long")
+
+
+def _counted(members: DataFrame, classes: DataFrame, cosine: float, kind: str, block: int) -> DataFrame:
+    """(rep, linked): the rows of other classes of its component that each class links with, exactly.
+
+    `members` are (component, rep). In the order of components, `block` classes are a block; a block is
+    compared with itself and, where a component goes on over several, with the others that hold
+    a part of it. Counts leave the task, pairs do not.
+    """
+    ordered = _ranked(members, ["component", "rep"], "vector-members")
+    blocks = ordered.select("component", "rep", F.floor(F.col("place") / block).alias("block"))
+    placed = materialize(blocks.join(classes.select("rep", "copies", "dim", "raw").hint("merge"), "rep"), "vector-placed")
+    # the blocks of a component: of one that fits into a block, only that; each larger one has its pairs of blocks
+    spans = blocks.groupBy("component").agg(F.min("block").alias("first"), F.max("block").alias("last")).where("first < last")
+    lefts = spans.select("component", F.explode(F.sequence("first", "last")).alias("left"), "last").repartition("component", "left")
+    pairs = lefts.where("left < last").select("component", "left", F.explode(F.sequence(F.col("left") + 1, F.col("last"))).alias("right"))
+    inner = placed.withColumns({"left": F.col("block"), "right": F.col("block"), "side": F.lit(0)})
+    # a block's share of a component is on one side of each of its pairs; the key names both blocks and the component
+    ends = pairs.select("component", "left", "right", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("left").alias("block")), F.struct(F.lit(1).alias("side"), F.col("right").alias("block")))).alias("e"))
+    ends = ends.select("component", "left", "right", F.col("e.side").alias("side"), F.col("e.block").alias("block"))
+    names = ["component", "rep", "copies", "dim", "raw", "left", "right", "side"]
+    across = placed.join(ends.hint("merge"), ["component", "block"])
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, window: int = WINDOW, recall: float = RECALL) -> DataFrame:
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        whole = rows["left"].iloc[0] == rows["right"].iloc[0]
+        out_rep, out_n = [], []
+        for _, same in rows.groupby(["component", "dim"], sort=False):
+            a, b = (same, same) if whole else (same[same["side"] == 0], same[same["side"] == 1])
+            if len(a) and len(b):
+                links = _linked(_unit(list(a["raw"]), kind), _unit(list(b["raw"]), kind), True, cosine)
+                if whole:
+                    np.fill_diagonal(links, False)
+                for x, y, found in ((a, b, links),) if whole else ((a, b, links), (b, a, links.T)):
+                    out_rep.append(x["rep"].to_numpy(np.int64))
+                    out_n.append(found @ y["copies"].to_numpy(np.int64))
+        none = [np.zeros(0, np.int64)]
+        return pd.DataFrame({"rep": np.concatenate(out_rep or none), "n": np.concatenate(out_n or none)})
+
+    schema = "rep long, n long"
+    parts = inner.select(*names).groupBy("left").applyInPandas(run, schema).unionByName(across.select(*names).groupBy("component", "left", "right").applyInPandas(run, schema))
+    counts = materialize(parts.groupBy("rep").agg(F.sum("n").alias("linked")), "vector-counts")
+    drop(ordered, placed)
+    return counts
+
+
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, window: int = WINDOW, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
-    n_links counts the other rows linked to it directly: its exact copies, and all copies of the vectors
-    that a pass brought into its window at the cosine or above. component_id is the smallest id that links reach. Vectors that are
+    component_id is the smallest id that links reach which some pass brought into a window at the cosine or above. n_links counts the other rows
+    of the component linked to it directly: its exact copies and all copies of vectors at the cosine or above, exactly, however
+    large the component. Vectors that are
     null, empty, zero, or hold null or non-finite components, and rows with a null id, link with nothing and are kept; a null
-    id has a null component. Vectors of different lengths don't link. Repeated rows are vectors of their own. An empty table gives an
-    empty result.
+    id has a null component. Vectors of different lengths don't link. Repeated rows are vectors of their own. Ids must be numbers. An empty table gives an
+    empty result. The result doesn't depend on how rows are partitioned.
 
-    Exact copies are one class: a vector held by a third of all rows is compared once. A
-    window is bounded, so a pass emits at most `window` pairs a class; of larger groups in which all are
-    close, each pass finds another part of the links, and the chain of neighbours keeps them in one component.
+    Exact copies are one class: a vector held by a third of all rows is compared once. What passes emit is
+    linear in the vectors. The exact count is quadratic in the distinct vectors of one component, done by matrix products of
+    bounded blocks.
     """
     kind = "<f4" if "float" in vectors.schema[vector_col].dataType.simpleString() else "<f8"
     own = materialize(_digested(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v")), kind), "vectors")
     classes = materialize(own.where("usable").groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("dim").alias("dim"), F.first("raw").alias("raw")), "vector-classes")
     passes = passes_for(classes.count(), cosine, window, recall)
-    ordered = _keyed(classes, passes, kind).repartitionByRange("one_pass", "key", "rep").sortWithinPartitions("one_pass", "key", "rep")
-    found = materialize(_windows(ordered, window, cosine, kind), "vector-pairs")
-    pairs = found.where("edge is null").select("a", "b", "copies_a", "copies_b").unionByName(_across(found, window, cosine, kind)).distinct()
-    pairs = materialize(pairs, "vector-links")
-    linked = pairs.select(F.col("a").alias("rep"), F.col("copies_b").alias("n")).unionByName(pairs.select(F.col("b").alias("rep"), F.col("copies_a").alias("n"))).groupBy("rep").agg(F.sum("n").alias("linked"))
-    reached = components(pairs, "a", "b").withColumnRenamed("node", "rep")
+    keyed = materialize(_keyed(classes, passes, kind), "vector-keys")
+    ordered = _ranked(keyed, ["one_pass", "dim", "key", "rep"], "vector-order")
+    links = materialize(_windows(ordered, classes, window, cosine, kind), "vector-links")
+    reached = materialize(components(links, "a", "b").select(F.col("node").alias("rep"), "component"), "vector-components")
+    linked = _counted(reached, classes, cosine, kind, block)
     labels = classes.select("digest", "rep", "copies").join(linked, "rep", "left").join(reached, "rep", "left")
     labels = labels.select("digest", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("component"))
-    usable = own.where("usable").select("vec_id", "digest").join(labels, "digest").select("vec_id", F.col("n").alias("n_links"), F.col("component").alias("component_id"))
+    usable = own.where("usable").select("vec_id", "digest").join(labels.hint("merge"), "digest").select("vec_id", F.col("n").alias("n_links"), F.col("component").alias("component_id"))
     alone = own.where("not usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return usable.unionByName(alone).select(F.col("vec_id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    out = usable.unionByName(alone).select(F.col("vec_id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    out = materialize(out, "vector-results")
+    drop(own, classes, keyed, ordered, links, reached, linked)
+    return out

@@ -179,6 +179,24 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projpass.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+ORACLE_SQL["op4_embedding_dedup"] = r"""
+with recursive vectors as (
+  select vec_id, row_number() over () as row_id, embedding::double[] as v from embeddings
+), usable as (
+  select *, sqrt(list_sum([x * x for x in v])) as norm from vectors
+  where vec_id is not null and len(v) > 0 and len([x for x in v if x is null or not isfinite(x)]) = 0 and list_sum([abs(x) for x in v]) > 0
+), links as (
+  select a.row_id as a, b.row_id as b, b.vec_id as other from usable a join usable b on a.row_id <> b.row_id and len(a.v) = len(b.v)
+  where list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.9
+), reach as (
+  select row_id as a, vec_id as other, row_id as b from usable union select r.a, l.other, l.b from reach r join links l on r.b = l.a
+), lowest as (select a, min(other) as low from reach group by a),
+counted as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, coalesce(low, vec_id) as component_id, coalesce(vec_id = coalesce(low, vec_id), true) as kept
+from vectors left join lowest on row_id = lowest.a left join counted on row_id = counted.a
+"""
+
+
 @query
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrapper.main_text(table(spark, sf_dir, "pages"))

@@ -14,6 +14,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see: `spark.checkpoint.dir`, or one of our own where it is unset (local runs, tests)."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN_FOLDERS:
             _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="voxelloom-")
@@ -35,11 +37,10 @@ def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame
     return out
 
 
-def drop(df: DataFrame) -> None:
-    """Delete a table written by `materialize` that no later step reads."""
-    path = getattr(df, "written_path", None)
-    if path:
-        spark = df.sparkSession
+def drop(*tables: DataFrame) -> None:
+    """Delete tables written by `materialize` that no later step reads; others are left alone."""
+    for path in filter(None, (getattr(t, "written_path", None) for t in tables)):
+        spark = tables[0].sparkSession
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, forest
 from .shared import drop, materialize
 
 #: Seed of the shingle hash, words to a shingle, differing bits that still link.
@@ -73,23 +73,6 @@ def _neighbour_steps(radius: int) -> list[int]:
     return sorted(n for n in numbers if n >= 0)
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join the same components as all pairs (a, b), at most one for each node."""
-    nodes, where = np.unique(np.concatenate([a, b]), return_inverse=True)
-    left, right, label = where[: len(a)], where[len(a) :], np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[left], label[right])
-        new = label.copy()
-        np.minimum.at(new, label[left], low)
-        np.minimum.at(new, label[right], low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    away = label != np.arange(len(nodes))
-    return nodes[away], nodes[label[away]]
-
-
 def close_links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b) links between fingerprint classes that joins all classes within `radius` bits, and no others.
 
@@ -134,11 +117,11 @@ def close_links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
                     x, y = r1[i + k], r2[j]
                     away = x != y
                     if away.any():
-                        x, y = _forest(x[away], y[away])
+                        x, y = forest(x[away], y[away])
                         a.append(x)
                         b.append(y)
                 if a:
-                    x, y = _forest(np.concatenate(a), np.concatenate(b))
+                    x, y = forest(np.concatenate(a), np.concatenate(b))
                     found_a.append(x)
                     found_b.append(y)
             none = [np.zeros(0, np.int64)]
