@@ -165,11 +165,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _BASE32_SQL = "translate(" + " || ".join(f"lpad(to_base(('0x' || substr(h, {10 * k + 1}, 10))::bigint, 32), 8, '0')" for k in range(4)) + ", '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')"
 ORACLE_SQL["op7_warc"] = f"""
-with rows as (select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha1(coalesce(html, '')) as h from pages where page_id is not null),
+with rows as (select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha1(coalesce(html, '')) as h from pages),
 firsts as (select *, min(page_id) over (partition by h) as first_id from rows)
 select page_id, payload_bytes, {_BASE32_SQL} as payload_digest,
-  case when page_id = first_id then 'response' else 'revisit' end as record_type,
-  case when page_id = first_id then null else first_id end as refers_to
+  case when page_id is not distinct from first_id then 'response' else 'revisit' end as record_type,
+  case when page_id is not distinct from first_id then null else first_id end as refers_to
 from firsts
 """
 
