@@ -136,7 +136,9 @@ def test_warc_of_others(spark, tmp_path):
     assert got == {"one.warc": whole, "two.warc.gz": whole, "cut.warc": whole[:1], "broken.warc": whole[:1]}
 
 
-def test_warc_rows_of_one_id_keep_their_payloads(spark, tmp_path):
+@pytest.mark.parametrize("bound", [0, 64 << 20])
+def test_warc_rows_of_one_id_keep_their_payloads(spark, tmp_path, monkeypatch, bound):
+    monkeypatch.setattr(warc, "BROADCAST_BYTES", bound)
     rows = [(5, "u", "same"), (3, "u", "same"), (5, "u", "other"), (7, "u", "third"), (8, "u", "same"), (8, "u", "third"), (9, "u", "other")]
     path = str(tmp_path / "w")
     got = sorted((r["page_id"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string"), path).collect())

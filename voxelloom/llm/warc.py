@@ -16,12 +16,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import drop, materialize, new_path, remove, temporary
+from .shared import drop, materialize, new_path, remove, temporary, written_bytes
 
 DATE = "2024-01-01T00:00:00Z"
 CRLF = "\r\n"
 MAGIC = "WARC/1."
 SEPARATOR = CRLF * 2 + MAGIC
+#: Bytes of the table of revisits up to which it is broadcast; a larger one is joined by a shuffle of the pages.
+BROADCAST_BYTES = 64 << 20
 #: Bytes of an archive in which pieces are matched with the record they belong to at once.
 GRID = 1 << 24
 BASE32 = ("0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
@@ -37,16 +39,19 @@ def payload_digest(payload: Column) -> Column:
 def marked(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """(page_id, url, html, digest, size, first_id) of every row; first_id is the smallest id of an equal payload of at least min_bytes, null where that is the row's own.
 
-    Digests, not payloads, are shuffled; a payload held by a third of all rows is
+    Digests, not payloads, are shuffled unless revisits are too many to be broadcast; a payload held by a third of all rows is
     one row of the grouped side, and its rows may be split among tasks in the join.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("digest", payload_digest(F.col("html").cast("binary"))).withColumn("size", F.octet_length("html").cast("long"))
     same = rows.where(F.col("size") >= min_bytes).groupBy("digest", "size").agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1 and first_id is not null")
     other = F.coalesce(F.col("page_id") != F.col("first_id"), F.lit(True))
-    copies = materialize(rows.select("page_id", "digest", "size").join(same.hint("merge"), ["digest", "size"]).where(other).distinct(), "warc-revisits")
-    same_row = rows["page_id"].eqNullSafe(copies["page_id"]) & (rows["digest"] == copies["digest"]) & (rows["size"] == copies["size"])
-    return rows.join(copies.hint("merge"), same_row, "left").select(*[rows[c] for c in ("page_id", "url", "html", "digest", "size")], "first_id")
+    rows = rows.withColumn("mark", F.xxhash64("digest", "size"))
+    copies = materialize(rows.join(same.hint("merge"), ["digest", "size"]).where(other).select("page_id", "mark", "first_id").distinct(), "warc-revisits")
+    copies = F.broadcast(copies) if written_bytes(copies) <= BROADCAST_BYTES else copies.hint("merge")
+    # rows of one id can differ, so the payload is a part of the key
+    own = rows.alias("rows").join(copies.alias("copies"), F.expr("rows.page_id <=> copies.page_id and rows.mark = copies.mark"), "left")
+    return own.select(*[F.col(f"rows.{c}") for c in ("page_id", "url", "html", "digest", "size")], "first_id")
 
 
 def _uri(url: Column) -> Column:
