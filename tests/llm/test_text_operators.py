@@ -40,11 +40,16 @@ def test_pieces_equal_the_library():
     for _ in range(3000):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14)))
         ids = lib.encode(text, add_eos=True)
-        assert table.encode(text) == ids, text
-        assert table.decode(ids) == lib.decode(ids), text
+        assert table.encode_text(text) == " ".join(map(str, ids)), text
+        assert table.decode(ids) == table.decode_text(" ".join(map(str, ids))) == lib.decode(ids), text
+    for _ in range(100):
+        text = "".join(rng.choice(alphabet) for _ in range(3000))
+        ids = lib.encode(text, add_eos=True)
+        assert table.encode(text) == ids and table.decode_text(table.encode_text(text)) == lib.decode(ids)
     for _ in range(1000):
         ids = [rng.randrange(lib.get_piece_size()) if rng.random() < 0.5 else rng.randrange(260) for _ in range(rng.randint(0, 8))]
         assert table.decode(ids) == lib.decode(ids), ids
+        assert not ids or table.decode_text(" ".join(map(str, ids))) == lib.decode(ids), ids
 
 
 def test_encode_decode_rows(docs, spark):

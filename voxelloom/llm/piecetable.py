@@ -9,7 +9,7 @@ last prefix.
 
 No piece holds the space mark after another character, so a stretch ends before
 each mark, and stretches recur; each worker keeps two bounded generations of the ones it
-has seen, with their ids, and has decoded each of them again. Runs of the mark are pieces of equal, lowest score, for which prefixes
+has seen, with their ids. Decoding starts from the ids of a whole text. Runs of the mark are pieces of equal, lowest score, for which prefixes
 are not unique; they merge last, from the left, and are replayed on their own.
 """
 
@@ -68,10 +68,12 @@ class PieceTable:
         automaton.make_automaton()
         self.automaton = automaton
         self.lengths = [len(p) for p in self.pieces]
+        #: What each id, written as text, says in UTF-8; byte pieces say one byte, control ids nothing.
+        says = {BYTE: lambda p: bytes([int(p[3:5], 16)]), NORMAL: lambda p: p.replace(MARK, " ").encode(), UNKNOWN: lambda p: " \u2047 ".encode()}
+        self.says = {str(i): says[k](p) if k in says else b"" for i, (p, k) in enumerate(zip(self.pieces, kinds))}
         self.compatible: dict[int, bool] = {}
         self.known: dict[str, str] = {}
         self.known_before: dict[str, str] = {}
-        self.changed = 0
         self.run_ids: dict[int, list[int]] = {}
 
     def forget(self) -> None:
@@ -167,10 +169,8 @@ class PieceTable:
         found = self.known_before.get(key)
         if found is None:
             if key[:1] == "\n":
-                plain = key[1:]
-                ids = self._stretch(plain)
+                ids = self._stretch(key[1:])
             else:
-                plain = " " + key.replace(MARK, " ")
                 word = key.lstrip(MARK)
                 marks = len(key) - len(word) + 1
                 ids = self._stretch(MARK + word) if word else []
@@ -179,22 +179,19 @@ class PieceTable:
                 else:
                     ids = self._run(marks) + ids[1:]
             found = " ".join(map(str, ids))
-            if self.pieces_text(ids) != plain:  # decodes to something else: not kept, and the whole text is decoded by its ids
-                self.changed += 1
-                return found
         if len(key) <= KEPT_LENGTH:
             if len(self.known) >= KEPT:
                 self.known, self.known_before = {}, self.known
             self.known[key] = found
         return found
 
-    def encode_text(self, text: str) -> tuple[str, str]:
-        """(ids joined by spaces with the end id, the text that they decode to)."""
+    def encode_text(self, text: str) -> str:
+        """Ids joined by spaces, with the end id."""
         end = str(self.end_id)
         if not text:
-            return end, ""
+            return end
         out: list[str] = []
-        before, marked = self.changed, MARK + text.replace(" ", MARK)
+        marked = MARK + text.replace(" ", MARK)
         whole = "\n" in self.ids  # the line feed is a piece like others, so lines are no stretches
         feed = str(self.byte_ids[10])
         for k, line in enumerate([marked] if whole else marked.split("\n")):
@@ -213,10 +210,19 @@ class PieceTable:
                     known = self.known
                 out.append(ids)
         out.append(end)
-        ids = " ".join(out)
-        if self.changed == before:  # every stretch has decoded to itself
-            return ids, text.replace(MARK, " ")
-        return ids, self.decode([int(i) for i in ids.split()])
+        return " ".join(out)
+
+    def decode_text(self, ids: str) -> str:
+        """The text of ids joined by spaces."""
+        pieces = ids.split(" ")
+        try:
+            text = b"".join(map(self.says.__getitem__, pieces)).decode()
+        except UnicodeDecodeError:  # some bytes spell nothing
+            return self.decode([int(i) for i in pieces])
+        if not text.startswith(" "):
+            return text
+        first = next((i for i in map(int, pieces) if self.kinds[i] != CONTROL), None)
+        return text[1:] if first is not None and self.pieces[first].startswith(MARK) else text
 
     @staticmethod
     def _marked(line: str) -> list[str]:
@@ -234,7 +240,7 @@ class PieceTable:
         return out
 
     def encode(self, text: str | None, end: bool = True) -> list[int]:
-        ids = [int(i) for i in self.encode_text(text or "")[0].split()]
+        ids = [int(i) for i in self.encode_text(text or "").split()]
         return ids if end else ids[:-1]
 
     def pieces_text(self, ids: list[int]) -> str:
@@ -314,7 +320,8 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
         for batch in batches:
             cols: list[list] = [[] for _ in range(3 + keep_ids + keep_text)]
             for text in batch.column(1):
-                ids, decoded = table.encode_text(text.as_py() or "")
+                ids = table.encode_text(text.as_py() or "")
+                decoded = table.decode_text(ids)
                 row = [ids.count(" ") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()]
                 row += [np.array(ids.split(), np.int32)] if keep_ids else []
                 row += [decoded] if keep_text else []
