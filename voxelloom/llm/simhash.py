@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components, forest
-from .shared import drop, materialize
+from .shared import materialize, temporary
 
 #: Seed of the shingle hash, words to a shingle, differing bits that still link.
 SEED, WORDS, RADIUS = 42, 3, 2
@@ -47,16 +47,16 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """(id_col, fp): fp is the fingerprint as a signed long. One narrow pass over whole texts."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, keep_mark: bool = False) -> DataFrame:
+    """(id_col, fp): fp is the fingerprint as a signed long; with `mark`, the text's hash, if asked for. One narrow pass over whole texts."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), words) for t in batch.column(1)], "<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=[id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), *batch.columns[2:]], names=[id_col, "fp", *["mark"] * keep_mark])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {id_type}, fp long")
+    return docs.select(id_col, text_col, *[F.xxhash64(text_col).alias("mark")] * keep_mark).mapInArrow(run, f"{id_col} {id_type}, fp long" + ", mark long" * keep_mark)
 
 
 def _segment_counts() -> list:
@@ -89,6 +89,7 @@ def close_links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
     tiled = classes.select("fp", "rep", tile.alias("tile"))
     # at most (64 / SEGMENTS + 1) ** SEGMENTS rows, 83,521, however large the input
     cuts = tiled.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("cuts"))
+    cuts = materialize(cuts, "simhash-tiles")
     blocks = (
         tiled.join(F.broadcast(cuts), "tile")
         .groupBy("tile", F.pmod(F.xxhash64("fp"), "cuts").alias("block"))
@@ -96,9 +97,13 @@ def close_links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
         .select("tile", "block", F.col("members.fp").alias("fps"), F.col("members.rep").alias("reps"))
     )
     blocks = materialize(blocks, "simhash-blocks")
+    # the key of a pair is its partner block, so a tile of many blocks is dealt to many tasks
     steps = F.explode(F.array(*[F.lit(s).cast("long") for s in _neighbour_steps(radius)]))
-    left = blocks.select(F.col("tile").alias("own"), F.col("block").alias("own_block"), F.col("fps").alias("fps1"), F.col("reps").alias("reps1"), steps.alias("step"))
-    pairs = left.withColumn("tile", F.col("own") + F.col("step")).join(blocks, "tile").where("step > 0 or own_block <= block")
+    left = blocks.select(F.col("tile").alias("own"), F.col("block").alias("own_block"), steps.alias("step")).withColumn("tile", F.col("own") + F.col("step")).join(F.broadcast(cuts), "tile")
+    partners = F.sequence(F.when(F.col("step") == 0, F.col("own_block")).otherwise(0), F.col("cuts") - 1)
+    left = left.select("own", "own_block", "tile", F.explode(partners).alias("block"))
+    first = blocks.select(F.col("tile").alias("own"), F.col("block").alias("own_block"), F.col("fps").alias("fps1"), F.col("reps").alias("reps1"))
+    pairs = left.join(blocks.hint("merge"), ["tile", "block"]).join(first.hint("merge"), ["own", "own_block"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,24 +135,22 @@ def close_links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs.select("fps1", "reps1", "fps", "reps").mapInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, words: int = WORDS) -> DataFrame:
-    """(id_col, fingerprint, component_id) of every row; component_id is the smallest id that links of up to `radius` bits reach.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, words: int = WORDS, keep_mark: bool = False) -> DataFrame:
+    """(id_col, fingerprint, component_id) of every row, and the text's 64-bit hash as `mark` if asked for; component_id is the smallest id that links of up to `radius` bits reach.
 
     Null and empty texts, and texts of white space alone, have fingerprint zero
     and link like any other. Documents of one fingerprint form a class; only
     classes are compared. Repeated ids and rows give repeated results. A null id keeps its row
     and its fingerprint; it is nobody's smallest id. An empty table gives an empty
-    result. Other columns don't matter.
+    result. Other columns don't matter. Ids must be numbers.
     """
-    own = materialize(fingerprints(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id", "text", words), "simhash-fingerprints")
-    classes = materialize(own.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-classes")
-    links = materialize(close_links(classes.where("rep is not null"), radius), "simhash-links")
-    found = components(links, "a", "b")
-    labels = classes.join(found, classes["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    drop(links)
-    # A class can hold a third of all rows: its rows may be split among tasks, as nothing above the join needs them together.
-    return own.join(labels, "fp").select(
-        F.col("id").alias(id_col),
-        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        "component_id",
-    )
+    mark = ["mark"] * keep_mark
+    with temporary():
+        own = materialize(fingerprints(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id", "text", words, keep_mark), "simhash-fingerprints")
+        classes = materialize(own.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-classes")
+        links = materialize(close_links(classes.where("rep is not null"), radius), "simhash-links")
+        found = components(links, "a", "b")
+        labels = classes.join(found, classes["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+        # A class can hold a third of all rows: its rows may be split among tasks, as nothing above the join needs them together.
+        out = own.join(labels.hint("merge"), "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *mark)
+        return materialize(out, "simhash-result", keep=True)
