@@ -175,6 +175,21 @@ def test_line_store_is_reversible(spark):
     assert all(not np.frombuffer(r["buckets"], np.uint16).any() for r in store.filters.collect())
 
 
+def test_line_store_outgrows_its_filters(spark):
+    """A shard whose filter overflows gets a larger one; no filter is left that passes everything."""
+    lines = [f"repeated line number {k} of far more than forty code points" for k in range(3000)]
+    make = lambda ids, text: spark.createDataFrame([(i, text) for i in ids], "id long, text string")
+    store = linededup.LineStore(spark, shards=1)
+    store.insert(make(range(5), "\n".join(lines[:10])))
+    before = len(store.filters.first()["buckets"])
+    store.insert(make(range(10, 16), "\n".join(lines)))
+    filters = store.filters.collect()
+    assert len(filters) == 1 and not filters[0]["full"] and len(filters[0]["buckets"]) > before
+    kept = store._perhaps(store.refs.unionByName(store.refs.withColumn("k2", F.xxhash64("k2"))))
+    assert store.refs.count() <= kept.count() < 1.05 * store.refs.count()
+    assert {r["doc_id"]: len(r["keys"]) for r in store.dropped().collect()} == {**{k: 10 for k in range(5)}, **{k: 3000 for k in range(10, 15)}}
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(3)
     keys = rng.integers(-(2**63), 2**63, 5000)
@@ -187,6 +202,7 @@ def test_cuckoo_filter():
     small = linededup.Cuckoo.sized(1)
     small.add(keys)
     assert small.full and small.holds(keys).all()
+    assert not linededup.Cuckoo.of(keys).full and not linededup.Cuckoo.of(keys[:0]).full
 
 
 def test_language_codes():

@@ -12,8 +12,8 @@ of at least `min_length` code points count. The state of a store is three tables
 
 Documents are inserted and deleted in batches: only the keys they touch are counted anew, and keys
 that cross `min_docs` enter or leave their shard's filter. A filter that
-overflows is marked full and lets every key pass; the exact tables decide
-in any case, so results never depend on the filters.
+overflows is built again, larger, from its shard's exact counts. References meet the filter of their shard where
+they are; what passes is joined with the exact tables, which decide, so results never depend on the filters.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from .shared import materialize, new_path
 #: Characters stripped from both ends of a line, and the regular expression's class [\x20\x09-\x0D].
 SPACE = " \t\n\x0b\x0c\r"
 MIN_LENGTH, MIN_DOCS = 40, 5
-#: Keys that a shard's filter is sized for, at most, and bytes of all filters up to which they are broadcast.
-SHARD_KEYS, BROADCAST_BYTES = 50_000, 32 << 20
+#: Keys that a shard's filter is sized for, about, and parts that a shard's references are dealt out in to meet it.
+SHARD_KEYS, PARTS = 50_000, 16
 KEY = ["shard", "k1", "k2"]
 
 
@@ -55,6 +55,17 @@ class Cuckoo:
         buckets = 1 << max(4, int(np.ceil(np.log2(max(keys, 1) / 4 / 0.8))))
         return cls(np.zeros((buckets, 4), np.uint16))
 
+    @classmethod
+    def of(cls, k2: np.ndarray) -> Cuckoo:
+        """A filter with room for as many keys again."""
+        size = 2 * len(k2)
+        while True:
+            one = cls.sized(size)
+            one.add(k2)
+            if not one.full:
+                return one
+            size *= 2
+
     def _places(self, k2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         k2 = np.asarray(k2, np.int64).view(np.uint64)
         tag = (k2 & np.uint64(0xFFFF)).astype(np.int64)
@@ -179,48 +190,59 @@ class LineStore:
             changes = now.join(was, KEY, "left_anti").withColumn("enters", F.lit(True)).unionByName(was.join(now, KEY, "left_anti").withColumn("enters", F.lit(False)))
             filters = self.filters
 
-        def build(key, new: pd.DataFrame, old: pd.DataFrame | None = None) -> pd.DataFrame:
-            enters, leaves = new["k2"].to_numpy()[new["enters"].to_numpy(bool)], new["k2"].to_numpy()[~new["enters"].to_numpy(bool)]
-            if old is not None and len(old):
-                one = Cuckoo(np.frombuffer(old["buckets"].iloc[0], np.uint16).reshape(-1, 4).copy(), bool(old["full"].iloc[0]))
-            else:
-                one = Cuckoo.sized(2 * len(enters))
-            one.remove(leaves)
-            one.add(enters)
-            return pd.DataFrame({"shard": [key[0]], "buckets": [one.slots.tobytes()], "full": [one.full]})
+        def state(shard: int, one: Cuckoo) -> pd.DataFrame:
+            return pd.DataFrame({"shard": [shard], "buckets": [one.slots.tobytes()], "full": [one.full]})
+
+        def change(key, new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
+            enters = new["enters"].to_numpy(bool)
+            if not len(old):
+                return state(key[0], Cuckoo.of(new["k2"].to_numpy()[enters]))
+            one = Cuckoo(np.frombuffer(old["buckets"].iloc[0], np.uint16).reshape(-1, 4).copy())
+            one.remove(new["k2"].to_numpy()[~enters])
+            one.add(new["k2"].to_numpy()[enters])
+            return state(key[0], one)
 
         schema = "shard int, buckets binary, full boolean"
         if filters is None:
-            built = changes.groupBy("shard").applyInPandas(lambda key, new: build(key, new), schema)
-        else:
-            built = changes.groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(lambda key, new, old: build(key, new, old), schema)
-        self.filters = self._write(built, "filters")
+            self.filters = self._write(changes.groupBy("shard").applyInPandas(lambda key, new: state(key[0], Cuckoo.of(new["k2"].to_numpy())), schema), "filters")
+            return
+        changed = self._write(changes.groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(change, schema), "changed-filters")
+        over = changed.where("full").select("shard")
+        again = now.join(over.hint("merge"), "shard", "left_semi").groupBy("shard").applyInPandas(lambda key, held: state(key[0], Cuckoo.of(held["k2"].to_numpy())), schema)
+        self.filters = self._write(changed.where("not full").unionByName(again), "filters")
 
     def _perhaps(self, refs: DataFrame) -> DataFrame:
-        """Of the references, those whose keys pass the filters. Filters over BROADCAST_BYTES in all stay where they are, and all references pass."""
-        size = self.filters.agg(F.sum(F.octet_length("buckets"))).first()[0] or 0
-        if size > BROADCAST_BYTES:
-            return refs
-        held = {r["shard"]: (bytes(r["buckets"]), r["full"]) for r in self.filters.collect()}
-        shared = self.spark.sparkContext.broadcast(held)
+        """Of the references, those whose keys pass the filter of their shard.
+
+        A shard's references are dealt out in PARTS by document, each with the filter ahead of them, so a key that a third of all
+        documents hold is not one task's, and a task holds a batch and one filter.
+        """
+        heads = self.filters.select("shard", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"), F.lit(0).alias("is_ref"), "buckets", *[F.lit(0).cast("long").alias(c) for c in ("k1", "k2", "doc_id")])
+        rows = refs.select("shard", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int").alias("part"), F.lit(1).alias("is_ref"), F.lit(None).cast("binary").alias("buckets"), "k1", "k2", "doc_id")
+        dealt = heads.unionByName(rows).repartition("shard", "part").sortWithinPartitions("shard", "part", "is_ref")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            filters = {s: Cuckoo(np.frombuffer(b, np.uint16).reshape(-1, 4), full) for s, (b, full) in shared.value.items()}
+            held, one = -1, None
             for batch in batches:
-                shard, k2 = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+                shard, is_ref, k2 = (batch.column(k).to_numpy() for k in (0, 2, 5))
                 keep = np.zeros(batch.num_rows, bool)
-                order = np.argsort(shard, kind="stable")
-                for rows in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                    if len(rows) and (one := filters.get(int(shard[rows[0]]))):
-                        keep[rows] = one.holds(k2[rows])
-                yield batch.filter(pa.array(keep))
-
-        return refs.mapInArrow(run, "shard int, k1 long, k2 long, doc_id long")
+                cuts = np.flatnonzero((np.diff(shard) != 0) | (np.diff(is_ref) != 0)) + 1
+                for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+                    if a == b:
+                        continue
+                    if not is_ref[a]:
+                        held, one = shard[a], Cuckoo(np.frombuffer(batch.column(3)[int(a)].as_py(), np.uint16).reshape(-1, 4))
+                    elif held == shard[a]:  # a shard without a filter has no repeated key
+                        keep[a:b] = one.holds(k2[a:b])
+                out = batch.filter(pa.array(keep))
+                yield pa.RecordBatch.from_arrays([out.column(k) for k in (0, 4, 5, 6)], names=[*KEY, "doc_id"])
+
+        return dealt.mapInArrow(run, "shard int, k1 long, k2 long, doc_id long")
 
     def dropped(self) -> DataFrame:
         """(doc_id, keys array<binary>): the keys whose lines a document loses: found in min_docs documents, and in a later one too."""
         hot = self.counts.where(F.col("n_docs") >= self.min_docs).select(*KEY, "max_doc")
-        lost = self._perhaps(self.refs).join(hot, KEY).where("doc_id <> max_doc")
+        lost = self._perhaps(self.refs).join(hot.hint("merge"), KEY).where("doc_id <> max_doc")
         return lost.groupBy("doc_id").agg(F.collect_list(F.struct("k1", "k2")).alias("keys"))
 
 
