@@ -295,12 +295,41 @@ def test_length_does_not_decide_what_is_a_copy(spark, small, length):
     assert got[1] == got[2] == 1 and all(0.7 <= got[10 * shift] < 1 for shift in range(4))
 
 
-def test_decontamination_finds_every_planted_item(spark):
+@pytest.mark.parametrize("broadcast", [4_000_000, 10])
+def test_decontamination_finds_every_planted_item(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(decontam, "BROADCAST_NGRAMS", broadcast)
+    monkeypatch.setattr(decontam, "BITS", 20)
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     truth = {(d["doc_id"], b["item_id"]) for d in docs.collect() for b in bench.collect() if b["text"] in d["text"]}
     assert truth == {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, bench).collect()}
 
 
+def test_decontamination_recall_of_edits_against_all_pairs(spark, small):
+    """Every fourth to seventh word replaced, dropped or swapped with the next: nine in ten of what aligning all pairs finds are found, and nothing else."""
+    rng = random.Random(8)
+    bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").limit(20).collect()]
+    noise = [" ".join(r["text"].split()[:120]) for r in small.select("text").limit(40).collect()]
+    rows = [(k, x) for k, x in enumerate(noise)]
+    for i, text in bench:
+        for every in (4, 5, 6, 7):
+            for edit in ("replace", "drop", "swap"):
+                words, k = text.split(), rng.randrange(every)
+                while k < len(words):
+                    if edit == "replace":
+                        words[k] = f"other{rng.randrange(1000)}"
+                    elif edit == "drop":
+                        words[k] = ""
+                    elif k + 1 < len(words):
+                        words[k], words[k + 1] = words[k + 1], words[k]
+                    k += every
+                rows.append((len(rows), f"{rng.choice(noise)} {' '.join(words)} {rng.choice(noise)}"))
+    hashes = {i: decontam.word_hashes(t) for i, t in bench}
+    truth = {(d, i) for d, t in rows for w in [decontam.word_hashes(t)] for i, q in hashes.items() if decontam.judged(w, q)}
+    found = decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    assert len(truth) > 200 and len(got & truth) >= 0.9 * len(truth) and got <= truth, (len(truth), len(got & truth), got - truth)
+
+
 def test_pipeline_stages_against_brute_force(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
     sf_dir = "/root/testdata/sf0.001"

@@ -21,15 +21,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import materialize
+from .shared import materialize, temporary
 
 #: Words to a seed; consecutive n-grams of an item that are weighed against each other, and how much commoner than the rarest a seed may be.
 SEED_WORDS, WINDOW, RARE = 3, 4, 8
 #: Share of equal words in an aligned span that counts as a copy; the least words of it, as a share of the item's and as a number.
 THRESHOLD, PART, LEAST = 0.6, 0.45, 6
 MATCH, MISMATCH, GAP = 1, -1, -1
-#: Item n-grams up to which their hashes are broadcast (8 bytes each); more are matched by a join.
-BROADCAST_NGRAMS = 4_000_000
+#: Item n-grams up to which their hashes are broadcast (8 bytes each); of more, a bit map of BITS hash bits is, and what passes it is matched by a join.
+BROADCAST_NGRAMS, BITS = 4_000_000, 28
 _KNOWN: dict[str, int] = {}
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -129,40 +129,109 @@ def judged(passage: np.ndarray, item: np.ndarray, threshold: float = THRESHOLD)
     return equal / columns, a, b
 
 
-def _scan(docs: DataFrame, wanted: np.ndarray, n: int, short: list[int], reach: int) -> DataFrame:
-    """Passages (doc_id, start, words, at, gram) around clusters of wanted n-grams; positions count from the passage's start."""
+_PASSAGES = "doc_id long, start long, words array<long>, at array<int>, gram array<long>"
+
+
+def _cut(out: list[list], doc: int, words: np.ndarray, at: np.ndarray, grams: np.ndarray, n: int, reach: int) -> None:
+    """Append the passages around clusters of a document's hits; positions count from the passage's start."""
+    order = np.lexsort((grams, at))
+    at, grams = at[order], grams[order]
+    for a, g in zip(*(np.split(x, np.flatnonzero(np.diff(at) > reach) + 1) for x in (at, grams))):
+        start = max(0, int(a[0]) - reach)
+        for c, v in zip(out, (doc, start, words[start : int(a[-1]) + n + reach].view(np.int64), a - start, g)):
+            c.append(v)
+
+
+def _passages(out: list[list]) -> pa.RecordBatch:
+    lists = [pa.array(c, pa.list_(t)) for c, t in zip(out[2:], (pa.int64(), pa.int32(), pa.int64()))]
+    return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), *lists], names=["doc_id", "start", "words", "at", "gram"])
+
+
+def _hits(words: np.ndarray, sizes: list[int], holds) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the n-grams of the given sizes that `holds` lets pass."""
+    at, grams = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for size in sizes:
+        if len(words) >= size:
+            h = ngram_hashes(words, size)
+            hit = np.flatnonzero(holds(h))
+            at.append(hit)
+            grams.append(h[hit])
+    return np.concatenate(at), np.concatenate(grams)
+
+
+def _scan(docs: DataFrame, own: DataFrame, n: int, sizes: list[int], reach: int) -> DataFrame:
+    """Passages (doc_id, start, words, at, gram) around clusters of n-grams of `own`, whose hashes are broadcast."""
+    wanted = np.sort(np.array([r["gram"] for r in own.select("gram").distinct().toLocalIterator()], np.int64))
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
-    sizes = sorted({n, *short})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
+        holds = lambda h: held[np.minimum(np.searchsorted(held, h), len(held) - 1)] == h
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = word_hashes(text.as_py())
-                if doc is None or not len(words) or not len(held):
-                    continue
-                at, grams = [], []
-                for size in sizes:
-                    if len(words) >= size:
-                        h = ngram_hashes(words, size)
-                        hit = np.flatnonzero(held[np.minimum(np.searchsorted(held, h), len(held) - 1)] == h)
-                        at.append(hit)
-                        grams.append(h[hit])
-                at, grams = np.concatenate(at or [np.zeros(0, int)]), np.concatenate(grams or [np.zeros(0, int)])
-                if not len(at):
-                    continue
-                order = np.argsort(at, kind="stable")
-                at, grams = at[order], grams[order]
-                for a, g in zip(*(np.split(x, np.flatnonzero(np.diff(at) > reach) + 1) for x in (at, grams))):
-                    start = max(0, int(a[0]) - reach)
-                    for c, v in zip(out, (doc, start, words[start : int(a[-1]) + n + reach].view(np.int64), a - start, g)):
-                        c.append(v)
-            lists = [pa.array(c, pa.list_(t)) for c, t in zip(out[2:], (pa.int64(), pa.int32(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), *lists], names=["doc_id", "start", "words", "at", "gram"])
+                if doc is not None and len(words):
+                    at, grams = _hits(words, sizes, holds)
+                    if len(at):
+                        _cut(out, doc, words, at, grams, n, reach)
+            yield _passages(out)
+        _KNOWN.clear()
+
+    return docs.mapInArrow(run, _PASSAGES)
+
+
+def _bits(grams: np.ndarray, bits: int) -> np.ndarray:
+    return (grams.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _scan_many(docs: DataFrame, own: DataFrame, n: int, sizes: list[int], reach: int) -> DataFrame:
+    """As `_scan`, in one pass over the corpus for a benchmark of any size: n-grams that pass a bit map of 2 ** BITS bits are joined with the benchmark's, and only documents with a hit are read again."""
+
+    bits = BITS
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << bits, bool)
+        for batch in batches:
+            held[_bits(batch.column(0).to_numpy(), bits)] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(held).tobytes()], pa.binary())], names=["map"])
+
+    packed = np.zeros((1 << bits) // 8, np.uint8)
+    for r in own.select("gram").coalesce(8).mapInArrow(mapped, "map binary").toLocalIterator():
+        packed |= np.frombuffer(r["map"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(packed)
+    marked = docs.where("doc_id is not null").withColumn("mark", F.xxhash64("text"))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+
+        def holds(h: np.ndarray) -> np.ndarray:
+            at = _bits(h, bits)
+            return (held[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+
+        for batch in batches:
+            out: list[list] = [[np.zeros(0, np.int64)] for _ in range(4)]
+            for doc, text, mark in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                at, grams = _hits(word_hashes(text.as_py()), sizes, holds)
+                for c, v in zip(out, (np.full(len(at), doc), np.full(len(at), mark), at, grams)):
+                    c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], names=["doc_id", "mark", "at", "gram"])
         _KNOWN.clear()
 
-    return docs.mapInArrow(run, "doc_id long, start long, words array<long>, at array<int>, gram array<long>")
+    found = marked.select("doc_id", "text", "mark").mapInArrow(find, "doc_id long, mark long, at long, gram long")
+    hits = found.join(own.select("gram").distinct().hint("merge"), "gram").groupBy("doc_id", "mark").agg(F.collect_set(F.struct("at", "gram")).alias("hits"))
+    again = marked.join(hits.hint("merge"), ["doc_id", "mark"]).select("doc_id", "text", F.col("hits.at").alias("at"), F.col("hits.gram").alias("gram"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], [], []]
+            for k, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
+                at, grams = (np.array(batch.column(c)[k].values, np.int64) for c in (2, 3))
+                _cut(out, doc, word_hashes(text.as_py()), at, grams, n, reach)
+            yield _passages(out)
+        _KNOWN.clear()
+
+    return again.mapInArrow(run, _PASSAGES)
 
 
 def _items(benchmark: DataFrame, n: int) -> DataFrame:
@@ -194,25 +263,23 @@ def contaminated(
     Null and empty texts hold nothing and are held by nothing; null ids are left out;
     repeated rows of an id count as one document, the best copy with the lowest start wins; items of
     equal text are all reported. Empty tables give an empty result.
+    Ids must be numbers.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    with temporary():
+        return materialize(_contaminated(docs, benchmark, n, window, threshold), "decontam-result", keep=True)
+
+
+def _contaminated(docs: DataFrame, benchmark: DataFrame, n: int, window: int, threshold: float) -> DataFrame:
+    """`contaminated` of (doc_id, text) rows, with lazily joined results."""
+    spark = docs.sparkSession
     items = materialize(_items(benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")), n), "decontam-items")
     facts = items.agg(F.max(F.size("item_words")).alias("longest"), F.sum(F.size("grams")).alias("grams"), F.collect_set(F.when(F.size("item_words") < n, F.size("item_words"))).alias("short")).first()
     if not facts["longest"]:
         return spark.createDataFrame([], "doc_id long, item_id long, score double, first_word long, last_word long")
     reach = int(facts["longest"] * 5 // 4) + n
     own = items.select("item_id", F.posexplode("grams").alias("item_at", "gram"))
-    if facts["grams"] <= BROADCAST_NGRAMS:
-        parts = [own.select("gram").distinct()]
-    else:  # a benchmark of many million words is matched a bounded share at a time
-        shares = -(-facts["grams"] // BROADCAST_NGRAMS)
-        parts = [own.where(F.pmod(F.xxhash64("gram"), F.lit(shares)) == k).select("gram").distinct() for k in range(shares)]
-    scans = None
-    for part in parts:
-        wanted = np.sort(np.array([r["gram"] for r in part.toLocalIterator()], np.int64))
-        scan = _scan(docs, wanted, n, list(facts["short"]), reach)
-        scans = scan if scans is None else scans.unionByName(scan)
+    scans = (_scan if facts["grams"] <= BROADCAST_NGRAMS else _scan_many)(docs, own, n, sorted({n, *facts["short"]}), reach)
     # rows of one id can differ, so their words tell passages apart
     passages = materialize(scans.withColumn("mark", F.xxhash64("words")), "decontam-passages")
     seen = passages.select("doc_id", "start", "mark", F.explode(F.array_distinct("gram")).alias("gram"))
