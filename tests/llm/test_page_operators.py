@@ -61,6 +61,27 @@ def test_reputation_shrinks_and_blocks(spark):
     assert got["one.a.com"]["bound"] < got["bad.a.com"]["bound"]
 
 
+def test_domains_and_suffixes(spark):
+    names = {"a.b.co.uk": ("co.uk", "b.co.uk"), "co.uk": ("co.uk", "co.uk"), "x.y.example.com": ("com", "example.com"), "u@example.net:8080": ("net", "example.net"), "com": ("com", "com"), "": ("", ""), "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"), "a.tv.de": ("de", "tv.de")}
+    table = spark.createDataFrame([(n,) for n in names], "host string").withColumn("site", hostrep.site(F.col("host"))).withColumn("suffix", hostrep.public_suffix(F.col("site"), hostrep.SECOND_LEVEL))
+    assert {r["host"]: (r["suffix"], r["domain"]) for r in table.withColumn("domain", hostrep.registered_domain(F.col("site"), F.col("suffix"))).collect()} == names
+
+
+def test_the_bound_blocks_where_no_rule_fits(spark):
+    pages = spark.createDataFrame([(k, f"http://{'bad' if k < 60 else 'good'}.co.uk/p{k}") for k in range(160)] + [(200, "http://bad.co.uk/ok/x"), (201, None)], "page_id long, url string")
+    labels = spark.createDataFrame([(k, int(k >= 60), 0) for k in range(160)], "doc_id long, quality int, toxic int")
+    got = {r["page_id"]: r for r in hostrep.judge(pages, labels, [hostrep.Rule("uk/ok/", "allow")]).collect()}
+    assert all(got[k]["verdict"] == ("block" if k < 60 else "allow") and got[k]["rule"] is None for k in range(160))
+    assert (got[200]["verdict"], got[200]["rule"], got[201]["verdict"]) == ("allow", "uk/ok/", "allow")
+
+
+def test_many_rules(spark):
+    pages = spark.createDataFrame([(k, f"http://h{k}.net/a/b{k % 3}") for k in range(3000)], "page_id long, url string")
+    rules = spark.range(3000).select(F.concat(F.lit("h"), "id", F.lit(".NET/a/b1")).alias("name"), F.lit("block").alias("verdict"))
+    got = hostrep.judge(pages, spark.createDataFrame([], "doc_id long, quality int, toxic int"), rules)
+    assert got.where("verdict = 'block'").count() == 1000 and got.where("verdict = 'block' and page_id % 3 <> 1").count() == 0
+
+
 def test_preference_prefix_and_masks(spark):
     turns = [
         (1, 0, "system", "S"), (1, 1, "user", "Hi"), (1, 2, "assistant", "Yes é"), (1, 3, "user", "x"),

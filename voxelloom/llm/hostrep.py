@@ -14,8 +14,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DEVIATIONS, WORST = 1.645, 0.3
 #: Bounds of a prior's strength, in pseudo-outcomes.
 WEAKEST, STRONGEST = 2.0, 1000.0
-#: Rules up to which they are held in one expression.
-MOST_RULES = 1000
+# Second-level labels that are suffixes under a country's two letters, as in co.uk.
+SECOND_LEVEL = "ac co com edu go gob gov gr ltd mil ne net nhs nom or org plc sch".split()
 
 
 @dataclass(frozen=True)
@@ -44,16 +44,46 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)\A.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def fitting_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
-    """struct(size, rule, verdict) of the longest rule that fits a host, or a parent of it, and the start of the path; null if none fits."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
-    fits = [
-        F.when(((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path), F.struct(F.lit(len(r.name)).alias("size"), F.lit(r.name).alias("rule"), F.lit(r.verdict).alias("verdict")))
-        for r in rules
-    ]
-    none = F.lit(None).cast("struct<size int, rule string, verdict string>")
-    return F.array_max(F.array(*fits, none)) if fits else none
+def site(host: Column) -> Column:
+    """The host without user name and port."""
+    return F.regexp_replace(F.regexp_replace(host, r"\A.*@", ""), r":\d*\z", "")
+
+
+def public_suffix(name: Column, second_level: list[str]) -> Column:
+    """The last label, or the last two where the last has two letters and the one before is in `second_level`; a numeric or bracketed address has none and is its own suffix."""
+    labels = F.split(name, r"\.")
+    last, two = F.element_at(labels, -1), F.array_join(F.slice(labels, -2, 2), ".")
+    known = (F.size(labels) > 1) & (F.length(last) == 2) & F.get(labels, F.size(labels) - 2).isin(second_level)
+    return F.when(_address(name), name).when(known, two).otherwise(last)
+
+
+def registered_domain(name: Column, suffix: Column) -> Column:
+    """The suffix and one label more; the name itself if it has no more."""
+    depth = F.size(F.split(suffix, r"\.")) + 1
+    labels = F.split(name, r"\.")
+    return F.when(_address(name) | (F.size(labels) <= depth), name).otherwise(F.array_join(F.slice(labels, -depth, depth), "."))
+
+
+def _address(name: Column) -> Column:
+    return name.rlike(r"\A(\d+\.){3}\d+\z|\A\[")
+
+
+def _rules(rules: list[Rule] | DataFrame, hosts: DataFrame) -> DataFrame:
+    """(host, fits) of the hosts that rules name, or a parent of which they name; fits are the rules' (size, rule, path, verdict).
+
+    `rules` is a list, or rows (name, verdict) of any number: hosts and their parents meet rules by an equal name.
+    """
+    if not isinstance(rules, DataFrame):
+        named = F.array(*[F.struct(F.lit(r.name).alias("name"), F.lit(r.verdict).alias("verdict")) for r in rules]) if rules else F.lit(None).cast("array<struct<name string, verdict string>>")
+        rules = hosts.sparkSession.range(1).select(F.explode(named).alias("r")).select("r.name", "r.verdict")
+    cut = F.instr("name", "/")
+    rules = rules.select(
+        F.translate(F.when(cut > 0, F.substring_index("name", "/", 1)).otherwise(F.col("name")), UPPER, LOWER).alias("parent"),
+        F.struct(F.length("name").alias("size"), F.col("name").alias("rule"), F.when(cut > 0, F.expr("substring(name, instr(name, '/'))")).otherwise("").alias("path"), "verdict").alias("fit"),
+    )
+    labels = F.split("host", r"\.")
+    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    return hosts.select("host", F.explode(parents).alias("parent")).join(rules, "parent").groupBy("host").agg(F.collect_list("fit").alias("fits"))
 
 
 def _strength(children: DataFrame) -> float:
@@ -69,24 +99,23 @@ def _strength(children: DataFrame) -> float:
     return min(max(1 / share - 1, WEAKEST), STRONGEST) if share > 0 else STRONGEST
 
 
-def reputation(outcomes: DataFrame) -> DataFrame:
+def reputation(outcomes: DataFrame, second_level: list[str] = SECOND_LEVEL) -> DataFrame:
     """(host, n, bad, bad_rate, bound) of every host in (host, n, bad) rows, one a host.
 
-    A host's rate of bad outcomes is drawn to its registered domain's (the last
-    two labels), a domain's to its suffix's (the last label), a suffix's to the whole table's, each through
+    A host's rate of bad outcomes is drawn to its registered domain's, a domain's to its public suffix's (`co.uk` or `com`, see `public_suffix`;
+    user names and ports don't count), a suffix's to the whole table's, each through
     a beta prior whose mean is the parent's posterior mean and whose strength fits the spread
     of the level's groups. bound lies DEVIATIONS posterior standard deviations below the
     posterior mean. Hosts without outcomes get their parents' rates.
     """
-    labels = F.split("host", r"\.")
-    hosts = outcomes.withColumn("domain", F.when(F.size(labels) > 2, F.array_join(F.slice(labels, -2, 2), ".")).otherwise(F.col("host"))).withColumn("suffix", F.element_at(labels, -1))
+    hosts = outcomes.withColumn("suffix", public_suffix(site(F.col("host")), second_level)).withColumn("domain", registered_domain(site(F.col("host")), F.col("suffix")))
     hosts = materialize(hosts, "hosts")
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     domains = hosts.groupBy("suffix", "domain").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)
     total = suffixes.agg(*sums).first()
     s_host, s_domain, s_suffix = (_strength(x) for x in (hosts, domains, suffixes))
-    mean = (total["bad"] or 0) / total["n"] if total["n"] else 0.5
+    mean = (total["bad"] or 0) / total["n"] if total["n"] else 0.0  # nothing known blocks nothing
 
     def posterior(prior: Column, strength: float) -> Column:
         return (prior * strength + F.col("bad")) / (strength + F.col("n"))
@@ -98,25 +127,26 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     return hosts.join(domains, ["suffix", "domain"]).select("host", "n", "bad", rate.alias("bad_rate")).withColumn("bound", F.col("bad_rate") - DEVIATIONS * spread)
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", worst: float = WORST) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule] | DataFrame, id_col: str = "page_id", url_col: str = "url", worst: float = WORST) -> DataFrame:
     """(id_col, host, path, rule, verdict, bad_rate, bound) of every page row.
 
-    `labels` has (doc_id, quality, toxic) for some pages; an outcome is bad if toxic is 1 or quality 0, and
+    `labels` has (doc_id, quality, toxic) for some pages. That its doc_id is the id of a page is an assumption of the caller: the test tables have no other
+    outcomes of pages. An outcome is bad if toxic is 1 or quality 0, and
     several rows of one page count as one, bad if any is. The longest fitting
     rule gives the verdict, else the host: block if the lower bound of its rate of bad
     outcomes exceeds `worst`. Null urls and urls without `://` have host and path ''; they are judged as one
-    host. Null ids have no outcome. Repeated page rows each count and each get a row. Hosts are
+    host. A port or user name is a part of the host for rules and output, but not for domain and suffix. Null ids have no outcome. Repeated page rows each count and each get a row. Hosts are
     pre-aggregated; a host with a third of the pages may be split among tasks in the final join, or the host
     table is broadcast if its measured size allows.
     """
     rows = pages.select(F.col(id_col).alias("id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     outcome = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max(F.when((F.col("toxic") == 1) | (F.col("quality") == 0), 1).otherwise(0)).alias("bad"))
-    seen = rows.select("id", "host").join(outcome, "id", "left").groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    known = reputation(seen).select("host", "bad_rate", "bound")
-    rule = fitting_rule(F.col("host"), F.col("path"), rules)
+    seen = materialize(rows.select("id", "host").join(outcome, "id", "left").groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "host-outcomes")
+    known = reputation(seen).select("host", "bad_rate", "bound").join(_rules(rules, seen.select("host")), "host", "left")
+    fit = F.array_max(F.filter(F.coalesce("fits", F.array().cast("array<struct<size int, rule string, path string, verdict string>>")), lambda r: F.col("path").startswith(r["path"])))
     return (
         rows.join(known, "host")
-        .withColumn("fit", rule)
+        .withColumn("fit", fit)
         .select(
             F.col("id").alias(id_col),
             "host",

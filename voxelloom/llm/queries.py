@@ -83,14 +83,22 @@ with parts as (
   from pages
 ), outcome as (
   select doc_id, max(case when toxic = 1 or quality = 0 then 1 else 0 end) as bad from labels group by doc_id
-), hosts as (
-  select host, count(bad) as n, coalesce(sum(bad), 0) as bad,
-    case when len(string_split(host, '.')) > 2 then array_to_string(string_split(host, '.')[-2:], '.') else host end as domain,
-    string_split(host, '.')[-1] as suffix
+), sites as (
+  select host, count(bad) as n, coalesce(sum(bad), 0) as bad, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') as site
   from parts left join outcome on page_id = doc_id group by host
+), named as (
+  select *, string_split(site, '.') as labels, regexp_matches(site, '^([0-9]+\.){3}[0-9]+$|^\[') as address from sites
+), suffixed as (
+  select *, case when address then site
+    when len(labels) > 1 and length(labels[-1]) = 2 and list_contains(['ac', 'co', 'com', 'edu', 'go', 'gob', 'gov', 'gr', 'ltd', 'mil', 'ne', 'net', 'nhs', 'nom', 'or', 'org', 'plc', 'sch'], labels[-2]) then labels[-2] || '.' || labels[-1]
+    else labels[-1] end as suffix from named
+), hosts as (
+  select host, n, bad, suffix,
+    case when address or len(labels) <= len(string_split(suffix, '.')) + 1 then site else array_to_string(labels[-(len(string_split(suffix, '.')) + 1):], '.') end as domain
+  from suffixed
 ), domains as (select suffix, domain, sum(n) as n, sum(bad) as bad from hosts group by suffix, domain),
 suffixes as (select suffix, sum(n) as n, sum(bad) as bad from domains group by suffix),
-total as (select case when sum(n) > 0 then sum(bad)::double / sum(n) else 0.5 end as mean from suffixes),
+total as (select case when sum(n) > 0 then sum(bad)::double / sum(n) else 0 end as mean from suffixes),
 levels as (
   select 'host' as level, n, bad from hosts union all select 'domain', n, bad from domains union all select 'suffix', n, bad from suffixes
 ), moments as (
