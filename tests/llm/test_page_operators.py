@@ -228,10 +228,68 @@ def test_layouts_of_one_host(spark):
     assert len(got) == len(rows)
     assert all(got[k].startswith(f"Title {k}\nText {k} &") and "Subscribe" not in got[k] for k in range(400))
     assert [got[1000 + k] for k in range(5)] == [f"Word {k} of {k}" for k in range(5)] and [got[3000 + k] for k in range(4)] == [f"Word {k} of {k}" for k in range(4)]
-    assert [got[2000 + k] for k in range(2)] == ["Start\n" + " ".join(BIG.format(k).split()) for k in range(2)]
+    assert [got[2000 + k] for k in range(2)] == [" ".join(BIG.format(k).split()) for k in range(2)]  # two pages agree on their start
     assert got[4000] == "Follow us\nWord 7 of 7\nAll rights reserved"
 
 
+@pytest.mark.parametrize("n", [2, 9, 10, 50])
+def test_unmarked_boilerplate_goes_from_two_pages_on(spark, n):
+    """No tag or class tells what is boilerplate: the wrapper does, and without one it stays."""
+    page = lambda k: f"<body><div><p>Site wide line number one.</p></div><div><p>Word {k}</p><p>Body of page {k} with text of its own.</p></div><div><p>The same everywhere.</p></div></body>"
+    rows = [(k, f"http://h{n}.org/{k}", page(k)) for k in range(n)]
+    got = {r["page_id"]: r["text"] for r in wrapper.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    own = {k: f"Word {k}\nBody of page {k} with text of its own." for k in range(n)}
+    assert got == own
+    assert all(wrapper.extract(page(k), None) == f"Site wide line number one.\n{own[k]}\nThe same everywhere." for k in range(n))
+
+
+def test_wrappers_joined_instead_of_broadcast(spark, monkeypatch):
+    rows = [(k, f"http://h{k % 3}.org/{k}", _page(k)) for k in range(30)] + [(100, None, None), (101, "http://h1.org/z", "<p>alone</p>"), (5, "http://h2.org/5", _page(5))]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = sorted(map(tuple, wrapper.main_text(table).fillna("").collect()))
+    monkeypatch.setattr(wrapper, "BROADCAST_BYTES", -1)
+    assert sorted(map(tuple, wrapper.main_text(table).fillna("").collect())) == want
+
+
+def test_wide_pages_are_learned_in_a_second():
+    import time
+
+    wide = lambda k: "<body><div>" + "".join(f"<h2>H{i} of {k}</h2><p>P{i} of {k}</p>" for i in range(5000)) + "<p>Same</p></div></body>"
+    many = lambda k: "<body><div>" + "".join(f"<p class=c{i}>P{i} of {k}</p>" for i in range(3000)) + "</div></body>"
+    for page in (wide, many):
+        pages = [page(k) for k in range(2)]
+        trees = [wrapper.Folded(wrapper.parse(x), k) for k, x in enumerate(pages)]
+        began = time.process_time()
+        trees[0].merge(trees[1])
+        assert time.process_time() - began < 1
+        learned = wrapper.induce(pages)
+        assert wrapper.extract(pages[0], learned).count("\n") in (9999, 2999)
+
+
+def _plain_match(a, b):
+    """Simple tree matching as published, over all pairs of children."""
+    if a.key != b.key:
+        return 0
+    best = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+    for i, x in enumerate(a.children):
+        for j, y in enumerate(b.children):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + _plain_match(x, y))
+    return 1 + best[-1][-1]
+
+
+def test_matching_equals_the_published_one():
+    rng = np.random.default_rng(3)
+
+    def tree(depth):
+        return "".join(f"<{t}>{tree(depth - 1) if depth else 'x'}</{t}>" for t in rng.choice(["div", "p", "ul", "span", "h2", "section"], rng.integers(0, 7)))
+
+    for _ in range(200):
+        a, b = (wrapper.Folded(wrapper.parse(tree(3))) for _ in range(2))
+        assert wrapper.match(a, b) == _plain_match(a, b)
+        places = wrapper.alignment(a.children, b.children)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(places, places[1:])) and 1 + sum(_plain_match(a.children[i], b.children[j]) for i, j in places) == wrapper.match(a, b)
+
+
 def test_tree_matching():
     a, b = (wrapper.Folded(wrapper.parse(x)) for x in ("<div><p>a</p><ul><li>1</li></ul></div>", "<div><h1>t</h1><p>b</p><p>c</p><ul><li>2</li></ul></div>"))
     assert wrapper.match(a, b) == 5  # html, div, p, ul, li
@@ -247,6 +305,16 @@ def test_deep_pages():
     deep = "<div>" * 5000 + "end <b>of it</b><script>no</script><nav>" + "<div>" * 3000 + "menu" + "</div>" * 3000 + "</nav> all"
     assert wrapper.extract(deep, None).split() == ["end", "of", "it", "all"]
     assert wrapper.extract("<i>" * 3000 + "x", wrapper.induce([deep, "<p>a", deep])) == "x"
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):  # knows no depth
+        def handle_data(self, data):
+            words.extend(data.split())
+
+    page, words = "".join(f"<div>level {k} <b>bold {k}</b>" for k in range(400)) + "</div> after" * 400, []
+    Plain().feed(page)
+    assert wrapper.extract(page, None).split() == words
+    assert wrapper.induce(["<aside>" * 3000 + "x", "<form>" * 3000 + "y"])["constants"] == []
 
 
 def test_embedding_links_against_brute_force(spark):

@@ -1,8 +1,8 @@
 """Main text of web pages by wrapper induction.
 
 All pages of a host are grouped by the signature of their layout, which the tags of their outer
-elements give. Of each group a bounded sample of distinct pages is parsed, their trees are folded (runs of
-like siblings become one repeating node) and aligned by simple tree matching
+elements give. Of each group a bounded sample of distinct pages is parsed, their trees are folded (like
+siblings become one repeating node) and aligned by simple tree matching
 (Yang, 1991) into one template. A node's texts that all sampled pages hold are
 template; nodes whose texts vary are slots. Every page of the group is read whole, but for the
 template and for marked elements with little of the varying text, so all slot regions are content, wherever they stand.
@@ -26,10 +26,12 @@ from .hostrep import url_host
 from .shared import materialize
 
 #: Pages of one layout that its wrapper is learned from, at most; pages, and share of the sample, that must agree on a text before it counts as template. Rarer layouts of a host share one wrapper.
-SAMPLE, AGREE, AGREE_SHARE = 12, 3, 10 / 12
+SAMPLE, AGREE, AGREE_SHARE = 12, 2, 10 / 12
+#: Parts that a layout's pages are sampled in first, so that no task meets all pages of a host.
+PARTS = 16
 #: Elements inside each other that tell layouts apart.
 LAYOUT_DEPTH = 4
-#: Elements inside each other that are kept as such; deeper ones are read as part of the last, unless they are dropped with all they hold.
+#: Elements inside each other that are kept as such; deeper ones are read as part of the last, but for dropped and marked ones, which are kept down to twice the depth.
 DEPTH = 150
 #: Bytes of all wrappers up to which they are broadcast; more are joined by host.
 BROADCAST_BYTES = 32 << 20
@@ -133,7 +135,7 @@ def parse(page: str) -> Node:
             at = n if end < 0 else end
         if tag in VOID:
             continue
-        if len(stack) < DEPTH or node.dropped or node.mark:
+        if len(stack) < (2 * DEPTH if node.dropped or node.mark else DEPTH):
             stack.append(node)
         else:
             flat[tag] = flat.get(tag, 0) + 1
@@ -191,9 +193,9 @@ def shared_classes(roots: list[Node]) -> set[str]:
 
 
 class Folded:
-    """A node of a template: likes among its siblings are one node; texts has for each page the texts of its elements' own blocks, path the tags of the blocks around them.
+    """A node of a template: likes among its siblings, wherever they stand, are one node; texts has for each page the texts of its elements' own blocks, path the tags of the blocks around them.
 
-    key, the tag and classes, those in `names` if given, tells siblings of different use apart."""
+    key, the tag, the mark and the classes, those in `names` if given, tells siblings of different use apart."""
 
     __slots__ = ("key", "tag", "path", "dropped", "mark", "children", "texts", "_size")
 
@@ -202,21 +204,21 @@ class Folded:
         self.texts: dict[int, set[str]] = {}
         self._size: int | None = None
         if node:
-            self.key = ".".join([node.tag, *(c for c in node.classes if names is None or c in names)])
+            self.key = ".".join([node.tag, *(c for c in node.classes if names is None or c in names)]) + (f"!{node.mark}" if node.mark else "")
             self.tag, self.path, self.dropped, self.mark = node.tag, f"{path}/{node.tag}" if node.tag in BLOCK else path, node.dropped, node.mark
             own: list[list[str]] = [[]]
             if node.tag in BLOCK or node.mark:
                 _own(node, own)
             self.texts[page] = {t for x in own if (t := _squeeze(x))}
-            last = None
+            likes: dict[str, Folded] = {}
             for c in node.children:
                 if isinstance(c, Node):
                     new = Folded(c, page, self.path, names)
-                    if last is not None and last.key == new.key:
-                        last.merge(new)
+                    if new.key in likes:
+                        likes[new.key].merge(new)
                     else:
-                        self.children.append(new)
-                        last = new
+                        likes[new.key] = new
+            self.children = list(likes.values())
 
     def merge(self, other: Folded) -> None:
         """Take in a matching node: aligned children merge, the others are kept in order."""
@@ -274,31 +276,48 @@ class Folded:
 
 def match(a: Folded, b: Folded) -> int:
     """Nodes in the largest matching of two trees that keeps roots, parents and sibling order."""
-    return 1 + _align(a.children, b.children)[-1][-1] if a.key == b.key else 0
-
-
-def _align(a: list[Folded], b: list[Folded]) -> list[list[int]]:
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i, x in enumerate(a):
-        for j, y in enumerate(b):
-            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + match(x, y))
-    return best
+    return 1 + _heaviest(a.children, b.children)[0] if a.key == b.key else 0
 
 
 def alignment(a: list[Folded], b: list[Folded]) -> list[tuple[int, int]]:
     """Places of the matched children of both, in order."""
-    best, i, j, out = _align(a, b), len(a), len(b), []
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            out.append((i, j))
+    out, link = [], _heaviest(a, b)[1]
+    while link:
+        i, j, link = link
+        out.append((i, j))
     return out[::-1]
 
 
+def _heaviest(a: list[Folded], b: list[Folded]) -> tuple[int, tuple | None]:
+    """(nodes matched, last link) of the best matching of two lists of siblings; a link is (place in a, place in b, the link before).
+
+    Only siblings of equal keys match, so the matching is a heaviest rising sequence of their
+    places: each place in b keeps the best that ends at or before it in a tree of prefixes.
+    """
+    places: dict[str, list[int]] = {}
+    for j, y in enumerate(b):
+        places.setdefault(y.key, []).append(j)
+    best: list[tuple[int, tuple | None]] = [(0, None)] * (len(b) + 1)
+
+    def upto(j: int) -> tuple[int, tuple | None]:
+        found = best[0]
+        while j > 0:
+            if best[j][0] > found[0]:
+                found = best[j]
+            j &= j - 1
+        return found
+
+    for i, x in enumerate(a):
+        for j in reversed(places.get(x.key, ())):
+            weight, link = upto(j)
+            new, k = (weight + match(x, b[j]), (i, j, link)), j + 1
+            while k <= len(b):
+                if new[0] > best[k][0]:
+                    best[k] = new
+                k += k & -k
+    return upto(len(b))
+
+
 def induce(pages: list[str]) -> dict:
     """The wrapper of pages of one layout: the marked elements that are content nevertheless, and the template texts, each with the path of its block.
 
@@ -387,12 +406,14 @@ def layouts(pages: DataFrame) -> DataFrame:
 def wrappers(pages: DataFrame, known: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(host, layout, wrapper) of every layout in `known` from (host, html) rows: distinct pages, those of the smallest hashes.
 
-    Hashes are ranked first, and each task keeps at most `sample` of a layout; only then the
+    Hashes are ranked first, in parts of a layout and then those that are left; only then the
     pages of the chosen hashes are fetched, copies folded to one by each task. So neither a host nor
     a page with a third of the rows needs more room than another.
     """
-    order = Window.partitionBy("host", "layout").orderBy("mark")
-    chosen = known.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).drop("nth")
+    chosen = known.withColumn("part", F.pmod("mark", F.lit(PARTS)))
+    for keys in (["host", "layout", "part"], ["host", "layout"]):
+        chosen = chosen.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("mark"))).where(F.col("nth") <= sample).drop("nth")
+    chosen = chosen.drop("part")
     marks = pages.where("html <> ''").withColumn("mark", F.xxhash64("html"))
     some = marks.join(materialize(chosen, "wrapper-sample"), ["host", "mark"]).groupBy("host", "layout", "mark").agg(F.first("html").alias("html"))
 
