@@ -349,3 +349,20 @@ def test_pipeline_stages_against_brute_force(spark):
     assert last.count() == docs.count()
     done = pipeline.run(spark, sf_dir)
     assert 0 < done.count() <= spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Null ids and texts, repeated rows, extra columns with clashing names, empty tables."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    base = [r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").where("lang = 'en' and n_chars > 800").orderBy("doc_id").limit(6).collect()]
+    rows = [(1, base[0]), (1, base[0]), (1, base[1]), (2, base[1]), (2, base[2]), (3, base[2]), (4, None), (5, ""), (None, base[3]), (None, base[3]), (6, base[4]), (7, base[4])]
+    table = spark.createDataFrame([(i, t, "en", f"s{k}", len(t or ""), k, 1, "r") for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, id int, mark int, row string")
+    kept = pipeline.near_dedup(spark, table, "")
+    assert kept.columns == table.columns
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, [(1, base[0]), (1, base[1]), (2, base[2]), (4, None), (None, base[3]), (None, base[3]), (6, base[4])]))
+    assert kept.where("doc_id = 1").agg(F.min("id")).first()[0] == 0
+    for name, frame in (("odd", table), ("none", table.limit(0))):
+        frame.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.read.parquet(f"{SMALL}/benchmark.parquet").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+        got = pipeline.run(spark, f"{tmp_path}/{name}")
+        assert sorted(map(str, (r["doc_id"] for r in got.collect()))) == (["1", "1", "2", "6", "None", "None"] if name == "odd" else [])
