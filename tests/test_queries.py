@@ -7,10 +7,12 @@ import subprocess
 import sys
 
 import duckdb
+import numpy as np
 import pytest
 
 from tests.conftest import ROOT, SMALL
-from voxelloom.plans import registry
+from voxelloom.functions import kernels as K
+from voxelloom.plans import kernels, registry
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -40,9 +42,61 @@ def test_query_equals_sql(spark, con, name):
     assert sorted(str(tuple(map(_plain, r))) for r in df.collect()) == want
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL)))
-def test_kernel_query_runs(spark, name):
-    assert registry.QUERIES[name](spark, SMALL).count() > 0
+def _stacks() -> dict:
+    """The table's stacks as plain numpy, by (t, c)."""
+    import pyarrow.parquet as pq
+
+    held: dict = {}
+    for r in pq.read_table(f"{SMALL}/embeddings.parquet").to_pylist():
+        plane = np.floor((np.array(r["embedding"], np.float32).astype(float) + 1) * 1000).astype("<u2").reshape(8, 8)
+        held.setdefault((r["vec_id"] // 50, r["label"]), {})[r["vec_id"] % 50] = plane
+    return {k: np.stack([v.get(z, np.zeros((8, 8), "<u2")) for z in range(max(v) + 1)]) for k, v in held.items()}
+
+
+def _whole(v):
+    return np.clip(np.floor(v + 0.5), 0, 65535).astype("<u2")
+
+
+_BY_VOLUME = {
+    "rl_decon": lambda v: K.richardson_lucy(v, kernels.toy_psf(), 5, background=100),
+    "deskew_rotate": lambda v: K.deskew_rotate(v, 60.0, 1.2),
+    "isolate_bead": K.isolate_bead,
+    "auto_mask": lambda v: K.auto_mask(v).astype("u1"),
+    "bead_extract": lambda v: K.extract_bead(v, tuple(n // 2 for n in v.shape), (2, 2, 2)),
+}
+
+
+@pytest.mark.parametrize("name", sorted(_BY_VOLUME))
+def test_kernel_query_equals_numpy(spark, name):
+    made = {k: x for k, v in _stacks().items() if (x := _BY_VOLUME[name](v)) is not None}
+    got = {(r["t"], r["c"]): r for r in registry.QUERIES[name](spark, SMALL).collect()}
+    assert set(got) == set(made) and got
+    for k, x in made.items():
+        r = got[k]
+        assert (r["nz"], r["ny"], r["nx"]) == x.shape
+        assert r["total"] == pytest.approx(float(x.sum(dtype=float)), rel=1e-6, abs=1e-2) and r["top"] == pytest.approx(float(x.max()), rel=1e-6, abs=1e-2)
+
+
+def test_other_kernel_queries_equal_numpy(spark):
+    stacks, run = _stacks(), lambda name: registry.QUERIES[name](spark, SMALL).collect()
+    want = {}
+    for (t, c), v in stacks.items():
+        top = _whole(K.deskew_rotate(K.richardson_lucy(v, kernels.toy_psf(), 2, background=100), 60.0, 1.2)).max(axis=0)
+        want |= {(t, c, y, x): int(n) for (y, x), n in np.ndenumerate(top)}
+    assert {(r["t"], r["c"], r["y"], r["x"]): int(r["v"]) for r in run("decon_then_deskew")} == want
+    rows = {(r["t"], r["z"], r["c"]): r["fwhm"] for r in run("gaussian_fwhm")}
+    assert all(rows[(t, z, c)] == pytest.approx(K.gaussian_fwhm(v[z][4]), abs=1e-3) for (t, c), v in stacks.items() for z in range(len(v)) if v[z].any())
+    moved = {(r["t"], r["c"]): r for r in run("align_shift")}
+    for k, v in stacks.items():
+        roi, dy, dx = K.align_rois(v.max(axis=0), (0, 4, 0, 8), (4, 8, 0, 8))
+        assert (tuple(moved[k]["roi"]), moved[k]["dy"], moved[k]["dx"]) == (tuple(map(int, roi)), round(dy, 3), round(dx, 3))
+    beads = {r["c"]: r for r in run("psf_average")}
+    for c in {c for _, c in stacks}:
+        own = [v for (_, k), v in sorted(stacks.items()) if k == c]
+        canvas = tuple(n + 1 - n % 2 for n in np.max([v.shape for v in own], axis=0))
+        aligned = [x for v in own if (x := K.aligned_bead(v, None, canvas, 0.1, True, "library")) is not None]
+        psf = K.finished_psf(sum(aligned) / len(aligned), 0.1)
+        assert beads[c]["total"] == pytest.approx(float(psf.sum()), rel=1e-4) and (beads[c]["nz"], beads[c]["ny"], beads[c]["nx"]) == psf.shape
 
 
 def test_entry(spark):

@@ -79,6 +79,97 @@ def test_ome_read_and_cropped(spark, tmp_path):
     assert got.shape == (T, Z, 2 * C, 5, 8) and (got[:, :, 1] == ARRAY[:, :, 0, 0:5, 1:9]).all()
 
 
+def test_ome_pages_are_pushed_down_in_files_beyond_2_gb(spark, tmp_path):
+    """Only the pages asked for are read, by seeking; the second page's pixels stand past 2 GB of a sparse file."""
+    v = ARRAY[0, 0, :2].copy()
+    raw = tiff.encode(v, tiff.ome_text((1, 1, 2, Y, X), "big_1.ome.tif"), big=True)
+    old = raw.rindex(v[1].tobytes())
+    far = 2_300_000_000
+    moved = raw.replace((273).to_bytes(2, "little") + (16).to_bytes(2, "little") + (1).to_bytes(8, "little") + old.to_bytes(8, "little"), (273).to_bytes(2, "little") + (16).to_bytes(2, "little") + (1).to_bytes(8, "little") + far.to_bytes(8, "little"))
+    assert moved != raw
+    with open(tmp_path / "big_1.ome.tif", "wb") as f:
+        f.write(moved)
+        f.seek(far)
+        f.write(v[1].tobytes())
+    rows = tiff.read_ome(spark, str(tmp_path))
+    assert {(r["dataset"], r["c"]): bytes(r["data"]) for r in rows.collect()} == {("big", c): v[c].tobytes() for c in (0, 1)}
+    one = rows.where("c = 1")
+    assert bytes(one.first()["data"]) == v[1].tobytes() and one.count() == 1 and rows.where("c = 5").count() == 0
+
+
+def test_both_ways_of_reading_ome_agree(spark, planes, tmp_path):
+    assert tiff.write_ome(planes, str(tmp_path)) == T
+    rows = tiff.read_ome(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() == T and rows.where("t = 1").rdd.getNumPartitions() == 1
+    read = lambda rows: array_of(model.voxels(rows), *AXES)
+    assert (read(tiff.read_ome(spark, str(tmp_path))) == ARRAY).all() and (read(tiff.read_ome_whole(spark, str(tmp_path))) == ARRAY).all()
+
+
+def test_ome_attributes_in_any_order(spark):
+    text = """<OME:TiffData PlaneCount="1" IFD='4' FirstT="2" FirstC="1"><UUID FileName="a &amp; b.tif">x</UUID></OME:TiffData><TiffData FirstC="3"/><TiffData IFD="5" FirstZ="6"><UUID FileName="c.tif"/></TiffData>"""
+    want = {(1, 0, 2, "a & b.tif", 4), (0, 6, 0, "c.tif", 5)}
+    assert omexml.frames_of(text) == want
+    got = omexml.frame_map(spark.createDataFrame([(text,)], "xml string")).collect()
+    assert {(r["c"], r["z"], r["t"], r["file"].replace("&amp;", "&"), r["ifd"]) for r in got} == want
+
+
+def test_tickets_are_honoured(spark, tmp_path):
+    from voxelloom.functions import kernels as K
+
+    data = str(tmp_path / "d")
+    os.makedirs(data)
+    rng = np.random.default_rng(5)
+    v = rng.integers(200, 900, (5, 7, 9)).astype("<u2")
+    for c in (0, 1):
+        with open(os.path.join(data, f"x_C{c}_T000.tif"), "wb") as f:
+            f.write(tiff.encode(v + c))
+    psf = np.zeros((3, 3, 3), "<u2")
+    psf[1, 1, 1], psf[0, 1, 1] = 9, 3
+    psf_path = str(tmp_path / "psf.tif")
+    with open(psf_path, "wb") as f:
+        f.write(tiff.encode(psf))
+    jobs = pipeline.handlers(spark)
+    base = {"z_step_um": 1.0, "xy_pixel_size": 1.0, "sheet_angle_deg": 60.0}
+
+    def run(folder="DSR", **p):
+        jobs["deskew"]({"dataDir": data, "baseName": "x", "parameters": {**base, **p}})
+        return {r["c"]: model.pixels(r["data"], r["dtype"], r["nz"], r["ny"], r["nx"]) for r in tiff.read_volumes(spark, os.path.join(data, folder)).collect()}
+
+    saved = lambda x: np.clip(np.floor(x + 0.5), 0, 65535)
+    s, c = np.sin(np.pi / 3), np.cos(np.pi / 3)
+    plain = run()
+    assert set(plain) == {0, 1} and (plain[0] == saved(K.deskew_rotate(v, 60.0, s))).all()
+    assert (run(reverse=True)[0] == saved(K.deskew_rotate(v, 60.0, s, True))).all()
+    assert (run(objective_scan=True)[0] == saved(K.deskew_rotate(v, 60.0, 1.0, False, True))).all()
+    assert (run(z_stage_scan=True)[0] == saved(K.deskew_rotate(v, 30.0, c, True))).all()
+    assert set(run(channel_patterns=["_C1_"])) == {1}  # and what the run before left for channel 0 is gone
+    assert (run("DS", rotate=False)[0] == saved(K.deskew(v, c))).all() and "mine" not in os.listdir(data) and (run("mine", rotate=False, ds_dir_name="mine")[1] == saved(K.deskew(v + 1, c))).all()
+    assert (run("level", dsr_dir_name="level")[0] == plain[0]).all()
+    assert (run(input_axis_order="xyz")[0] == saved(K.deskew_rotate(v.transpose(0, 2, 1), 60.0, s))).all()
+    assert (run(output_axis_order="yzx")[0] == saved(K.deskew_rotate(v, 60.0, s).transpose(2, 1, 0))).all()
+    assert (run(psf_path=psf_path, dz_psf=s, run_decon=False)[0] == plain[0]).all()
+    assert (run("Decon", psf_path=psf_path, deskew=False, rotate=False, rl_method="omw")[0] == saved(K.richardson_lucy(v, psf.astype(float), 2))).all()
+    for wrong in ({"interp_method": "cubic"}, {"deskew": False, "rotate": True}, {"objective_scan": True, "z_stage_scan": True}, {"input_axis_order": "yyz"}):
+        with pytest.raises(ValueError):
+            run(**wrong)
+
+
+def test_active_dyes_and_repeated_channels(spark, planes):
+    from voxelloom.operators.names import active_outputs
+
+    assert active_outputs([0, 1, 2, 3, 5], ["GFP"]) == [1, 5] and active_outputs([0, 3], None) == [0, 3]
+    twice = pipeline.crop_planes(planes, C, Roi(0, 5, 1, 9), Roi(8, 13, 2, 10), "blocked", wanted=[1, 2, 1], rotate=False)
+    got = {r["c"]: bytes(r["data"]) for r in twice.where("t = 0 and z = 0").collect()}
+    assert set(got) == {0, 1, 2} and got[0] == got[2] != got[1]
+
+
+def test_waiting_for_a_job(spark, tmp_path):
+    with pytest.raises(TimeoutError):
+        queue.wait_for_job(spark, str(tmp_path / "none"), "a.json", timeout_s=0.1, pause_s=0.05)
+    spark.createDataFrame([("a.json", "crop", "failed", "x")], "ticket string, route string, state string, error string").withColumn("ts", F.current_timestamp()).write.parquet(str(tmp_path / "r"))
+    assert queue.wait_for_job(spark, str(tmp_path / "r"), "a.json") == "failed"
+
+
 def test_ome_xml(spark):
     text = tiff.ome_text((2, 3, 2, 4, 5), "f.ome.tif").replace("<Pixels", '<Pixels PhysicalSizeX="0.2"')
     xml = spark.createDataFrame([("f.ome.tif", text), ("g", "<OME/>")], "file string, xml string")

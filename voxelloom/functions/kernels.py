@@ -329,6 +329,19 @@ def deskew_rotate(v: np.ndarray, angle: float, aniso: float, reverse: bool = Fal
     return out[:, :: max(1, int(resample[0])), :]
 
 
+def deskew(v: np.ndarray, shift: float, reverse: bool = False) -> np.ndarray:
+    """Shear a (z, y, x) stack: slice z moves `shift` pixels a slice along x, linearly interpolated, 0 outside; the row grows by what the last slice moves."""
+    nz, ny, nx = v.shape
+    out = np.zeros((nz, ny, nx + int(np.ceil((nz - 1) * abs(shift)))))
+    for z in range(nz):
+        far = (nz - 1 - z if reverse != (shift < 0) else z) * abs(shift)
+        at, part = int(far), far - int(far)
+        out[z, :, at : at + nx] += v[z] * (1 - part)
+        if part:
+            out[z, :, at + 1 : at + 1 + nx] += v[z] * part
+    return out
+
+
 def resample_z(psf: np.ndarray, from_step: float, to_step: float) -> np.ndarray:
     """Linear interpolation along z onto another step; the middle slice stays in the middle."""
     n = max(1, int(np.floor((len(psf) - 1) * from_step / to_step)) + 1)

@@ -58,9 +58,8 @@ def peak_weight(background: Column, power: int = 4) -> Column:
 
 def fwhm(vox: DataFrame, keys: list[str], axis: str) -> DataFrame:
     """Full width at half maximum of each profile along `axis`: last minus first place that reaches the middle between its least and greatest value; 0 if fewer than two do."""
-    profile = Window.partitionBy(*keys)
-    half = F.min("v").over(profile) + (F.max("v").over(profile) - F.min("v").over(profile)) / 2.0
-    above = vox.withColumn("half", half).withColumn("at", F.when(F.col("v") >= F.col("half"), F.col(axis)))
+    half = vox.groupBy(*keys).agg((F.min("v") + (F.max("v") - F.min("v")) / 2.0).alias("half"))
+    above = vox.join(half, keys).withColumn("at", F.when(F.col("v") >= F.col("half"), F.col(axis)))
     return above.groupBy(*keys).agg(F.coalesce(F.max("at") - F.min("at"), F.lit(0)).alias("fwhm"))
 
 

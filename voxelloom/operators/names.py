@@ -104,3 +104,48 @@ def first_free(taken: DataFrame, key: str, number: str) -> DataFrame:
     order = Window.partitionBy(key).orderBy(number)
     seen = taken.where(F.col(number) >= 1).select(key, number).distinct().withColumn("nth", F.row_number().over(order))
     return seen.groupBy(key).agg(F.coalesce(F.min(F.when(F.col(number) != F.col("nth"), F.col("nth"))), F.max("nth") + 1).alias("free"))
+
+
+def active_outputs(wanted: list[int], dyes: list[str] | None) -> list[int]:
+    """The wanted outputs whose dye, by the output's number modulo 4, is among `dyes`; all if none are named."""
+    return [w for w in wanted if DYES[w % 4] in dyes] if dyes else wanted
+
+
+def active_rows(rows: DataFrame, dyes: list[str]) -> DataFrame:
+    """The same of rows with a channel c."""
+    return rows.where(F.get(F.array(*[F.lit(d) for d in DYES]), F.pmod("c", F.lit(4))).isin(dyes))
+
+
+def channel_count(count: Column, default: int = 4) -> Column:
+    """The number of channels a header states; null and 0 are the default."""
+    return F.coalesce(F.nullif(count, F.lit(0)), F.lit(default))
+
+
+def listed_only(grid: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """The places of a dense grid that have a plane."""
+    return grid.join(found.select(*keys).distinct(), keys, "left_semi")
+
+
+def with_masks(beads: DataFrame, masks: DataFrame) -> DataFrame:
+    """Beads (stem, ..) with the mask (stem, mask) of their own stem; `auto` where there is none."""
+    return beads.join(masks, "stem", "left").withColumn("mask", F.coalesce("mask", F.lit("auto")))
+
+
+def pairs_by_channel(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Level and deconvolved stacks, (channel, ..) each, of the channels that have both."""
+    return first.join(second, "channel")
+
+
+def with_psfs(channels: DataFrame, own: DataFrame, only: str | None = None) -> DataFrame:
+    """Each channel with its own PSF, (channel, psf), else the only one there is."""
+    return channels.join(own, "channel", "left").withColumn("psf", F.coalesce("psf", F.lit(only)))
+
+
+def redirected(file: Column, folder: Column, legacy: Column) -> Column:
+    """Where a source is found: the file itself, else its folder, else the place it had before; each null if it isn't there."""
+    return F.coalesce(file, folder, legacy)
+
+
+def odd_canvas(rows: DataFrame, keys: list[str], sides: list[str]) -> DataFrame:
+    """For each key the largest size of each side, made odd, so that a canvas has a middle."""
+    return rows.groupBy(*keys).agg(*[(F.max(n).cast("int") + 1 - F.pmod(F.max(n).cast("int"), F.lit(2))).alias(n) for n in sides])

@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from ..model import PLANES, pixels
 
 _NAMES = [c.split()[0] for c in PLANES.split(", ")]
-#: Partial results that meet in one group, and rounds of that: enough for FAN_IN ** LEVELS tasks.
-FAN_IN, LEVELS = 64, 2
+#: Partial results that meet in one group, and rounds of that: enough for FAN_IN ** LEVELS tasks, 262,144.
+FAN_IN, LEVELS = 64, 3
 
 
 def tree_fold(partials: DataFrame, keys: list[str], fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str, fan_in: int = FAN_IN, levels: int = LEVELS) -> DataFrame:
     """One row for each key, from at most one row for each key and task; a column `part` holds the task's number.
 
-    A group holds at most fan_in partial results, however many rows the key had.
+    A group holds at most fan_in partial results, however many rows the key had, for up to fan_in ** levels tasks.
     """
     rows = partials
     for level in range(levels):

@@ -36,3 +36,8 @@ def iteration_errors(rows: DataFrame, key: str, order: str, value: str) -> DataF
     ratio = rows.select(key, F.row_number().over(w).alias("k"), (F.col(value) / F.first(value).over(w)).alias("ratio"))
     by_k = Window.partitionBy(key).orderBy("k")
     return ratio.withColumn("change", F.abs(F.col("ratio") - F.lag("ratio").over(by_k)) / 10)
+
+
+def iterations_for(method: str, given: int | None = None) -> int:
+    """Deconvolution steps: as given, else by the method."""
+    return given if given else 2 if method == "omw" else 25

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from functools import reduce
 
 import numpy as np
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 
 from .functions import kernels as K
 from .model import map_volumes, volumes
+from .operators.names import active_outputs
+from .operators.tickets import iterations_for
 from .operators.voxels import SLOTS, Roi, needed_regions
 from .sources import tiff, zarr
 
@@ -34,8 +37,9 @@ def crop_planes(planes: DataFrame, channels: int, top: Roi | None, bottom: Roi |
     slots = F.array(*[F.struct(F.lit(s).alias("slot"), F.lit(k).alias("cam"), F.lit(r).alias("region")) for s, k, r in SLOTS])
     rows = planes.where(F.col("c") < channels).withColumns({"exc": exc.cast("int"), "cam": cam.cast("int")}).withColumn("s", F.explode(F.filter(slots, lambda s: s["cam"] == F.col("cam"))))
     rows = rows.withColumn("out", (4 * F.col("exc") + F.col("s.slot")).cast("int")).where(F.col("out").isin(wanted))
-    place = F.array_position(F.array(*[F.lit(w) for w in wanted]), F.col("out")).cast("int") - 1
-    rows = rows.withColumns({"c": place, "region": F.col("s.region")})
+    # an output wanted twice is written twice
+    places = F.filter(F.sequence(F.lit(0), F.lit(len(wanted) - 1)), lambda k: F.get(F.array(*[F.lit(w) for w in wanted]), k) == F.col("out"))
+    rows = rows.withColumns({"c": F.explode(places), "region": F.col("s.region")})
 
     import pyarrow as pa
 
@@ -63,21 +67,30 @@ def crop_job(spark: SparkSession, source: DataFrame, folder: str, output: str, *
     return zarr.write_planes(cropped, folder) if output == "ZARR" else tiff.write_series(volumes(cropped), folder)
 
 
-def level_volumes(rows: DataFrame, z_step_um: float, xy_pixel_um: float, angle: float, psf: np.ndarray | None = None, dz_psf: float | None = None, iterations: int = 25, background: float = 100.0, z_end: int | None = None, reverse: bool = False, objective: bool = False, saturate: bool = True) -> DataFrame:
+def level_volumes(rows: DataFrame, z_step_um: float, xy_pixel_um: float, angle: float, psf: np.ndarray | None = None, dz_psf: float | None = None, iterations: int = 25, background: float = 100.0, z_end: int | None = None, reverse: bool = False, objective: bool = False, saturate: bool = True, z_stage: bool = False, rotate: bool = True, orders: tuple[str, str] = ("yxz", "yxz")) -> DataFrame:
     """Deconvolve (with a PSF), turn level, trim and saturate each volume in one pass over it.
 
-    A PSF is resampled to the data's z step across the sheet and normalised to sum 1.
+    A PSF is resampled to the data's z step across the sheet and normalised to sum 1. A z-stage scan is turned by the complement of the angle in the other
+    direction. Without `rotate` slices are sheared only. `orders` name the axes of a file's rows, columns and pages, on the way in and out.
     """
     if psf is not None and dz_psf is None:
         raise ValueError("the z step of the PSF is unknown")
     s = np.sin(np.radians(angle))
-    aniso = (1 if objective else s) * z_step_um / xy_pixel_um
+    c = np.cos(np.radians(angle))
+    aniso = (1 if objective else c if z_stage else s) * z_step_um / xy_pixel_um
+    turn, back = (90 - angle, not reverse) if z_stage else (angle, reverse)
+    files = [{o[2]: 0, o[0]: 1, o[1]: 2} for o in orders]  # pages, rows, columns
+    if any(sorted(f) != ["x", "y", "z"] for f in files):
+        raise ValueError(f"axis orders {orders} do not name x, y and z")
+    inward, outward = [files[0][a] for a in "zyx"], ["zyx".index(a) for a, _ in sorted(files[1].items(), key=lambda f: f[1])]
     ready = None if psf is None else K.resample_z(psf, dz_psf, z_step_um * s)
 
     def job(v: np.ndarray) -> np.ndarray:
+        v = v.transpose(inward)
         if ready is not None:
             v = K.richardson_lucy(v, ready, iterations, background)
-        out = K.deskew_rotate(v, angle, aniso, reverse, objective)[:z_end]
+        out = K.deskew_rotate(v, turn, aniso, back, objective)[:z_end] if rotate else K.deskew(v, np.cos(np.radians(turn)) * z_step_um / xy_pixel_um, back)[:z_end]
+        out = np.ascontiguousarray(out.transpose(outward))
         return np.clip(np.floor(out + 0.5), 0, 65535).astype("<u2") if saturate else out.astype("<f4")
 
     return map_volumes(rows, job)
@@ -113,43 +126,92 @@ def run_pending_consolidations(spark: SparkSession, data_dirs: list[str]) -> dic
     return done
 
 
+def level_settings(p: dict) -> dict:
+    """Arguments of `level_volumes` from a ticket's parameters; what is not offered is refused, not ignored."""
+    if (p.get("interp_method") or "linear") != "linear":
+        raise ValueError(f"interpolation {p['interp_method']!r} is not offered, only linear")
+    if p.get("objective_scan") and p.get("z_stage_scan"):
+        raise ValueError("a scan moves the objective or the z stage")
+    given = p.get("iterations") or p.get("decon_iter")
+    return {
+        "z_step_um": p["z_step_um"], "xy_pixel_um": p["xy_pixel_size"], "angle": p["sheet_angle_deg"], "iterations": iterations_for(p.get("rl_method") or "simple", given), "z_end": p.get("z_crop_end"),
+        "reverse": bool(p.get("reverse")), "objective": bool(p.get("objective_scan")), "z_stage": bool(p.get("z_stage_scan")), "orders": (p.get("input_axis_order") or "yxz", p.get("output_axis_order") or "yxz"),
+    }
+
+
+def psfs_of(patterns: list[str], paths: list[str]) -> list[tuple[str, str]]:
+    """(pattern, path) pairs; a single PSF is for all volumes of the patterns, or for all there are."""
+    if len(paths) == 1:
+        return [(x, paths[0]) for x in patterns or [""]]
+    if len(set(patterns)) != len(paths):
+        raise ValueError(f"{len(paths)} PSFs for {len(set(patterns))} channel patterns")
+    return list(zip(patterns, paths))
+
+
 def handlers(spark: SparkSession) -> dict:
-    """Handlers of crop, deskew, decon and pipeline tickets over TIFF series."""
+    """Handlers of crop, deskew, decon and pipeline tickets over TIFF series. Each clears its output folder of the series that an earlier run left."""
 
     def channels(folder: str, p: dict) -> list[tuple[DataFrame, np.ndarray | None, float | None]]:
-        """The volumes of each channel pattern with its PSF and the PSF's z step. A single PSF is for all volumes; of several patterns in a name the longest holds."""
+        """The volumes of each channel pattern with its PSF and the PSF's z step; of several patterns in a name the longest holds. Volumes that match no pattern are left out."""
         paths = p.get("psf_paths") or ([p["psf_path"]] if p.get("psf_path") else [])
-        if not paths:
-            return [(tiff.read_volumes(spark, folder), None, None)]
+        paths = [paths] if isinstance(paths, str) else paths
+        if p.get("run_decon") is False:
+            paths = []
         patterns = p.get("channel_patterns") or []
-        patterns = [patterns] if isinstance(patterns, str) else patterns
-        if len(paths) == 1:
-            patterns = [""]
-        elif len(set(patterns)) != len(paths):
-            raise ValueError(f"{len(paths)} PSFs for {len(set(patterns))} channel patterns")
+        patterns = [patterns] if isinstance(patterns, str) else list(dict.fromkeys(patterns))
+        pairs = psfs_of(patterns, paths) if paths else [(x, None) for x in patterns or [""]]
         out = []
-        for pattern, path in zip(patterns, paths):
+        for pattern, path in pairs:
+            longer = [x for x in patterns if len(x) > len(pattern)]
+            rows = tiff.read_volumes(spark, folder, pattern=pattern, unless=longer)
+            if path is None:
+                out.append((rows, None, None))
+                continue
             with open(path, "rb") as f:
                 raw = f.read()
-            longer = [x for x in patterns if len(x) > len(pattern)]
-            out.append((tiff.read_volumes(spark, folder, pattern=pattern, unless=longer), tiff.decode(raw).astype(float), p.get("dz_psf") or tiff.spacing(raw)))
+            out.append((rows, tiff.decode(raw).astype(float), p.get("dz_psf") or tiff.spacing(raw)))
         return out
 
     def level(job: dict, folder: str) -> None:
         p = job["parameters"]
-        done = [
-            level_volumes(rows, p["z_step_um"], p["xy_pixel_size"], p["sheet_angle_deg"], psf, dz, p.get("iterations") or p.get("decon_iter") or 25, z_end=p.get("z_crop_end"), reverse=bool(p.get("reverse")), objective=bool(p.get("objective_scan")))
-            for rows, psf, dz in channels(job["dataDir"], p)
-        ]
-        tiff.write_series(reduce(DataFrame.unionByName, done), folder)
+        how = level_settings(p)
+        rotate = p.get("rotate") is not False
+        if rotate and p.get("deskew") is False:
+            raise ValueError("rotating what is not deskewed is not offered")
+        done = [level_volumes(rows, psf=psf, dz_psf=dz, rotate=rotate, **how) for rows, psf, dz in channels(job["dataDir"], p)]
+        write(reduce(DataFrame.unionByName, done), folder, job["dataDir"])
+
+    def write(rows: DataFrame, folder: str, source: str) -> None:
+        """Write a series where an earlier run's files of a series, if any, are cleared first; never in the source's own folder."""
+        if os.path.isdir(folder) and os.path.realpath(folder) != os.path.realpath(source):
+            for name in os.listdir(folder):
+                if re.search(r"_C\d+_T\d+\.tif$", name):
+                    os.remove(os.path.join(folder, name))
+        tiff.write_series(rows, folder)
+
+    def deskew(job: dict) -> None:
+        p = job["parameters"]
+        if p.get("deskew") is False and not p.get("rotate"):  # deconvolution alone
+            decon({**job, "parameters": {**p, "iterations": p.get("decon_iter"), "result_dir_name": "Decon"}})
+            return
+        level(job, os.path.join(job["dataDir"], (p.get("dsr_dir_name") or "DSR") if p.get("rotate") is not False else (p.get("ds_dir_name") or "DS")))
 
     def decon(job: dict) -> None:
-        parts = channels(job["dataDir"], job["parameters"])
+        p = job["parameters"]
+        parts = channels(job["dataDir"], p)
         if any(psf is None for _, psf, _ in parts):
             raise ValueError("a deconvolution needs a PSF")
-        n = job["parameters"].get("iterations") or 25
-        done = [map_volumes(rows, lambda v, psf=psf: np.clip(np.floor(K.richardson_lucy(v, psf, n) + 0.5), 0, 65535).astype("<u2")) for rows, psf, _ in parts]
-        tiff.write_series(reduce(DataFrame.unionByName, done), os.path.join(job["dataDir"], job["parameters"].get("result_dir_name") or "Decon"))
+        n, whole = iterations_for(p.get("rl_method") or "simple", p.get("iterations")), p.get("save_16bit") is not False
+
+        def job_of(psf: np.ndarray):
+            def run(v: np.ndarray) -> np.ndarray:
+                out = K.richardson_lucy(v, psf, n)
+                return np.clip(np.floor(out + 0.5), 0, 65535).astype("<u2") if whole else out.astype("<f4")
+
+            return run
+
+        done = [map_volumes(rows, job_of(psf)) for rows, psf, _ in parts]
+        write(reduce(DataFrame.unionByName, done), os.path.join(job["dataDir"], p.get("result_dir_name") or "Decon"), job["dataDir"])
 
     def crop(job: dict) -> None:
         p = job["parameters"]
@@ -159,6 +221,8 @@ def handlers(spark: SparkSession) -> dict:
         if p.get("timepoints"):
             source = source.where(F.col("t").isin([t - 1 for t in p["timepoints"]]))
         channels = (source.agg(F.max("c")).first()[0] or 0) + 1
-        crop_job(spark, source, os.path.join(folder, job["baseName"]), p.get("format") or "TIFF_SERIES_SPLIT_C", channels=channels, top=roi(p["rois"].get("top")), bottom=roi(p["rois"].get("bottom")), wanted=p.get("channels") or None, rotate=bool(p.get("rotate", True)))
+        wanted = p.get("channels") or list(range(2 * channels))
+        wanted = active_outputs(wanted, p.get("active_channels"))
+        crop_job(spark, source, os.path.join(folder, job["baseName"]), p.get("format") or "TIFF_SERIES_SPLIT_C", channels=channels, top=roi(p["rois"].get("top")), bottom=roi(p["rois"].get("bottom")), wanted=wanted, rotate=bool(p.get("rotate", True)))
 
-    return {"crop": crop, "decon": decon, "deskew": lambda job: level(job, os.path.join(job["dataDir"], "DSR")), "pipeline": lambda job: level({**job, "dataDir": job["parameters"]["shm_path"]}, os.path.join(job["dataDir"], job["baseName"]))}
+    return {"crop": crop, "decon": decon, "deskew": deskew, "pipeline": lambda job: level({**job, "dataDir": job["parameters"]["shm_path"]}, os.path.join(job["dataDir"], job["baseName"]))}

@@ -12,6 +12,7 @@ from ..model import voxels as explode_planes
 from ..operators import measures as M
 from ..operators import voxels as V
 from ..sources.driver import VOXELS_SQL, planes, table, voxels
+from ..sources.zarr import SLAB
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -119,10 +120,9 @@ def _(vox):
 
 @query("active_channels", "select vox.* from vox join (values (0, 'Calcein_Violet'), (1, 'GFP'), (2, 'mScarlet'), (3, 'CF647')) d(k, dye) on c % 4 = k where dye in ('GFP', 'CF647')")
 def _(vox):
-    from ..operators.names import DYES
+    from ..operators.names import active_rows
 
-    dye = F.element_at(F.array(*[F.lit(d) for d in DYES]), F.pmod("c", F.lit(4)) + 1)
-    return vox.where(dye.isin("GFP", "CF647"))
+    return active_rows(vox, ["GFP", "CF647"])
 
 
 @query("need_roi_flags", "select t, bool_or(c % 4 in (1, 2)) as need_top, bool_or(c % 4 in (0, 3)) as need_bottom, bool_or(c in (1, 2)) as literal_top, bool_or(c in (0, 3)) as literal_bottom from vox where v > 1350 group by t")
@@ -471,14 +471,17 @@ def _(vox):
     return V.densify(grid, vox.where("z % 3 = 0").groupBy("t", "c", "z").agg(F.max("v").alias("v")), ["t", "c", "z"])
 
 
-@query("dense_inner", "select distinct t, c, z from vox where z % 3 = 0 and t < 5")
+@query("dense_inner", "select distinct t, c, z from vox where z % 3 = 0")
 def _(vox):
-    return vox.where("z % 3 = 0 and t < 5").select("t", "c", "z").distinct()
+    from ..operators.names import listed_only
 
+    every = vox.select("t", "c").distinct().withColumn("z", F.explode(F.sequence(F.lit(0), F.lit(49))))
+    return listed_only(every, vox.where("z % 3 = 0"), ["t", "c", "z"])
 
-@query("slab_keys", "select t, c, z // 16 as iz, count(*) as voxels, max(v) as top from vox group by all")
+
+@query("slab_keys", "select t, c, z // 64 as iz, count(*) as voxels, max(v) as top from vox group by all")
 def _(vox):
-    return vox.groupBy("t", "c", F.floor(F.col("z") / 16).alias("iz")).agg(F.count("*").alias("voxels"), F.max("v").alias("top"))
+    return vox.groupBy("t", "c", F.floor(F.col("z") / SLAB).alias("iz")).agg(F.count("*").alias("voxels"), F.max("v").alias("top"))
 
 
 def joined_rois(spark: SparkSession, sf_dir: str) -> DataFrame:

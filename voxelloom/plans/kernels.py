@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels as K
 from ..model import VOLUMES, map_volumes, pixels, planes_of_volumes, volumes, voxels
-from ..operators.psf import average_beads, synthetic_psf
+from ..operators.psf import average_beads
 from ..sources.driver import planes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,9 +122,3 @@ def bead_extract(spark, sf_dir):
             yield pd.DataFrame(out, columns=[c.split()[0] for c in VOLUMES.split(", ")])
 
     return sizes_and_sums(stacks(spark, sf_dir).mapInPandas(run, VOLUMES))
-
-
-@query
-def synthetic_psf_moments(spark, sf_dir):
-    """Mass and peak of an analytic PSF, by column expressions."""
-    return synthetic_psf(spark, 525.0).agg(F.round(F.sum("v"), 6).alias("mass"), F.max("v").alias("peak"), F.count("*").alias("voxels"))

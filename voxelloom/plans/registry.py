@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import images, kernels, relations, texts
+from . import images, kernels, relations, stores, texts
 
-QUERIES = {**images.QUERIES, **relations.QUERIES, **texts.QUERIES, **kernels.QUERIES}
-ORACLE_SQL = {**images.ORACLE_SQL, **relations.ORACLE_SQL, **texts.ORACLE_SQL}
+QUERIES = {**images.QUERIES, **relations.QUERIES, **texts.QUERIES, **kernels.QUERIES, **stores.QUERIES}
+ORACLE_SQL = {**images.ORACLE_SQL, **relations.ORACLE_SQL, **texts.ORACLE_SQL, **stores.ORACLE_SQL}

@@ -146,9 +146,9 @@ def _(spark, sf_dir):
     return N.base_file(ome_files(spark, sf_dir))
 
 
-@query("concat_z_offset", "f as (select dir, name, sum(length)::bigint as nz from files where name < 'cell_C2' group by dir, name);; select dir, name, nz, coalesce(sum(nz) over (partition by dir order by name rows between unbounded preceding and 1 preceding), 0)::bigint as z0 from f")
+@query("concat_z_offset", "f as (select dir, name, sum(length)::bigint as nz from files group by dir, name);; select dir, name, nz, coalesce(sum(nz) over (partition by dir order by name rows between unbounded preceding and 1 preceding), 0)::bigint as z0 from f")
 def _(spark, sf_dir):
-    files = series_files(spark, sf_dir).where("name < 'cell_C2'").groupBy("dir", "name").agg(F.sum("length").alias("nz"))
+    files = series_files(spark, sf_dir).groupBy("dir", "name").agg(F.sum("length").alias("nz"))
     return N.z_offsets(files)
 
 
@@ -167,7 +167,13 @@ def _(spark, sf_dir):
     """XML frames and the files on disk; a frame whose file is missing is unmapped, index 0."""
     frames = table(spark, sf_dir, "lineitem").select(F.col("l_linenumber").alias("c"), (F.col("l_orderkey") % 300).alias("t"), (F.col("l_partkey") % 20).alias("z"), F.concat(F.lit("part_"), (F.col("l_suppkey") % 40).cast("string"), F.lit(".tif")).alias("file")).distinct()
     disk = table(spark, sf_dir, "supplier").where("s_suppkey < 30").select(F.concat(F.lit("part_"), F.col("s_suppkey").cast("string"), F.lit(".tif")).alias("file"), (F.col("s_suppkey") + 1).alias("file_index"))
-    return frames.join(disk, "file", "left").withColumn("file_index", F.coalesce("file_index", F.lit(0)))
+    from ..sources.omexml import frame_map, with_file_index
+
+    # each frame as the element of an OME-XML text that names it, attributes in an order of its own
+    element = F.format_string('<TiffData IFD="7" FirstZ="%d" FirstT="%d" PlaneCount="1" FirstC="%d"><UUID FileName="%s">u</UUID></TiffData>', "z", "t", "c", "file")
+    listed = frame_map(frames.select(element.alias("xml")))
+    listed = listed.select(F.col("c").cast("long").alias("c"), F.col("t").cast("long").alias("t"), F.col("z").cast("long").alias("z"), "file")
+    return with_file_index(listed, disk)
 
 
 _LOG_SQL = "log as (select 'f' || (p_partkey % 500)::varchar as file_name, p_size as y0, p_size + 10 as y1, p_partkey as stamp from part)"
@@ -232,8 +238,8 @@ def _(spark, sf_dir):
 
 @query("bead_mask_join", "select p_partkey, coalesce('mask_' || s_suppkey::varchar, 'auto') as mask from part left join supplier on p_partkey = s_suppkey")
 def _(spark, sf_dir):
-    masks = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("p_partkey"), F.concat(F.lit("mask_"), F.col("s_suppkey").cast("string")).alias("mask"))
-    return table(spark, sf_dir, "part").select("p_partkey").join(masks, "p_partkey", "left").withColumn("mask", F.coalesce("mask", F.lit("auto")))
+    masks = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("stem"), F.concat(F.lit("mask_"), F.col("s_suppkey").cast("string")).alias("mask"))
+    return N.with_masks(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("stem")), masks).withColumnRenamed("stem", "p_partkey")
 
 
 @query(
@@ -243,19 +249,19 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem")
     one = lambda flag, name: rows.where(F.col("l_returnflag") == flag).groupBy(F.col("l_suppkey").alias("channel")).agg(F.min("l_orderkey").alias(name))
-    return one("A", "dsr").join(one("R", "decon"), "channel")
+    return N.pairs_by_channel(one("A", "dsr"), one("R", "decon"))
 
 
 @query("channel_psf", "select s_suppkey as channel, case when s_suppkey % 3 = 0 then 'psf_own' else 'psf_0' end as psf from supplier")
 def _(spark, sf_dir):
-    """Each channel's PSF, or the only one there is: a default, not a join."""
-    own = F.when(F.col("s_suppkey") % 3 == 0, "psf_own")
-    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("channel"), F.coalesce(own, F.lit("psf_0")).alias("psf"))
+    """Each channel's PSF, or the only one there is."""
+    channels = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("channel"))
+    return N.with_psfs(channels, channels.where("channel % 3 = 0").withColumn("psf", F.lit("psf_own")), "psf_0")
 
 
 @query("redirected_dirs", "select c_custkey, case when c_mktsegment = 'BUILDING' then 'file' when c_nationkey < 12 then 'dir' else 'legacy' end as found from customer")
 def _(spark, sf_dir):
-    found = F.coalesce(F.when(F.col("c_mktsegment") == "BUILDING", "file"), F.when(F.col("c_nationkey") < 12, "dir"), F.lit("legacy"))
+    found = N.redirected(F.when(F.col("c_mktsegment") == "BUILDING", "file"), F.when(F.col("c_nationkey") < 12, "dir"), F.lit("legacy"))
     return table(spark, sf_dir, "customer").select("c_custkey", found.alias("found"))
 
 
@@ -267,13 +273,13 @@ def _(spark, sf_dir):
 
 @query("max_shape_odd", "select l_suppkey, max(l_quantity)::int + (1 - max(l_quantity)::int % 2) as mz, max(l_linenumber) + (1 - max(l_linenumber) % 2) as my from lineitem group by l_suppkey")
 def _(spark, sf_dir):
-    odd = lambda c: F.max(c).cast("int") + 1 - F.pmod(F.max(c).cast("int"), F.lit(2))
-    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(odd("l_quantity").alias("mz"), odd("l_linenumber").alias("my"))
+    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_quantity").alias("mz"), F.col("l_linenumber").alias("my"))
+    return N.odd_canvas(rows, ["l_suppkey"], ["mz", "my"])
 
 
 @query("channel_count_default", "select o_orderkey, coalesce(nullif(o_custkey % 9, 0), 4) as channels from orders")
 def _(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.coalesce(F.nullif(F.col("o_custkey") % 9, F.lit(0)), F.lit(4)).alias("channels"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", N.channel_count(F.col("o_custkey") % 9).alias("channels"))
 
 
 @query("ticket_priority_order", "select data_dir, min(ticket) as ticket from tickets where state = 'queued' group by data_dir")
@@ -303,10 +309,10 @@ def _(spark, sf_dir):
     return tickets(spark, sf_dir).select("ticket", T.route(F.col("job_type")).alias("route"))
 
 
-@query("batch_finished", "q as (select distinct user_id from tickets where state in ('queued', 'active') and ts >= timestamp '2024-01-15');; select distinct user_id from tickets where user_id not in (select user_id from q)")
+@query("batch_finished", "q as (select distinct user_id from tickets where state in ('queued', 'active'));; select distinct user_id from tickets where user_id not in (select user_id from q)")
 def _(spark, sf_dir):
     rows = tickets(spark, sf_dir)
-    busy = rows.where(F.col("state").isin("queued", "active") & (F.col("ts") >= F.lit("2024-01-15").cast("timestamp"))).select("user_id").distinct()
+    busy = rows.where(F.col("state").isin("queued", "active")).select("user_id").distinct()
     return rows.select("user_id").distinct().join(busy, "user_id", "left_anti")
 
 
@@ -348,9 +354,9 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "supplier").join(there, "s_suppkey", "left_anti").select("s_name").distinct()
 
 
-@query("listing_union", "select dir, name from files where name like '%_C1_%' union all select dir, name from (" + "select 'd' || (o_custkey % 50)::varchar as dir, 'run' || (o_orderkey % 7)::varchar || case when o_orderkey % 3 = 0 then '_1' else '' end || '.ome.tif' as name from orders)")
+@query("listing_union", "select dir, name from files union all select dir, name from (" + "select 'd' || (o_custkey % 50)::varchar as dir, 'run' || (o_orderkey % 7)::varchar || case when o_orderkey % 3 = 0 then '_1' else '' end || '.ome.tif' as name from orders)")
 def _(spark, sf_dir):
-    return series_files(spark, sf_dir).where("name like '%_C1_%'").select("dir", "name").unionByName(ome_files(spark, sf_dir))
+    return series_files(spark, sf_dir).select("dir", "name").unionByName(ome_files(spark, sf_dir))
 
 
 @query(

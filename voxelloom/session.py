@@ -30,6 +30,8 @@ def scratch(spark: SparkSession, label: str) -> str:
     """A new path in the folder all executors share, `spark.checkpoint.dir`; in a folder of our own where that is unset."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = _SCRATCH.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="voxelloom-")
         _SCRATCH[spark.sparkContext.applicationId] = base
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{base.removeprefix('file://').rstrip('/')}/{label}-{uuid.uuid4().hex}"

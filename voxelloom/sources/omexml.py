@@ -1,14 +1,20 @@
-"""OME-XML headers by regular expressions inside the JVM."""
+"""OME-XML headers: each element is cut out first, then its attributes are read one by one, in any order."""
 
 from __future__ import annotations
 
+import re
+from xml.sax.saxutils import unescape
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sizes without an attribute, and the frame pattern.
+# Sizes and steps where an attribute is missing.
 SIZES = {"SizeC": 1, "SizeZ": 1, "SizeT": 1}
 STEPS = {"PhysicalSizeX": 0.1, "PhysicalSizeY": 0.1, "PhysicalSizeZ": 1.0}
-FRAME = r'(?s)FirstC="(\d+)".*?FirstT="(\d+)".*?FirstZ="(\d+)".*?IFD="(\d+)".*?FileName="([^"]+)"'
+#: A TiffData element with what it holds, or an empty one.
+ELEMENT = r"(?s)<(?:\w+:)?TiffData\b[^>]*?(?:/>|>.*?</(?:\w+:)?TiffData>)"
+#: Attributes of a frame, all but the file's name in the element's own tag.
+PLACES = {"c": "FirstC", "z": "FirstZ", "t": "FirstT", "ifd": "IFD"}
 
 
 def header(xml: DataFrame, column: str = "xml") -> DataFrame:
@@ -20,11 +26,32 @@ def header(xml: DataFrame, column: str = "xml") -> DataFrame:
     return xml.select("*", *[attribute(n, r"\d+", "int", d) for n, d in SIZES.items()], *[attribute(n, r"[\d.]+", "double", d) for n, d in STEPS.items()])
 
 
+def _attribute(name: str) -> str:
+    return rf"""\b{name}\s*=\s*["']([^"']*)["']"""
+
+
 def frame_map(xml: DataFrame, column: str = "xml") -> DataFrame:
-    """(c, z, t, file, ifd), 0-based, of every frame the XML lists."""
-    found = xml.select(F.explode(F.regexp_extract_all(column, F.lit(FRAME), 0)).alias("frame"))
-    part = lambda k: F.regexp_extract("frame", FRAME, k)
-    return found.select(part(1).cast("int").alias("c"), part(3).cast("int").alias("z"), part(2).cast("int").alias("t"), part(5).alias("file"), part(4).cast("long").alias("ifd")).distinct()
+    """(c, z, t, file, ifd), 0-based, of every frame the XML lists; a place that an element doesn't state is 0, and elements without a file name are left out."""
+    found = xml.select(F.explode(F.regexp_extract_all(column, F.lit(ELEMENT), F.lit(0))).alias("frame"))
+    places = {k: F.coalesce(F.regexp_extract("frame", _attribute(n), 1).try_cast("long"), F.lit(0)) for k, n in PLACES.items()}
+    found = found.withColumns({**places, "file": F.regexp_extract("frame", _attribute("FileName"), 1)}).where("file <> ''")
+    return found.select(*[F.col(k).cast("int").alias(k) for k in "czt"], "file", "ifd").distinct()
+
+
+def frames_of(text: str) -> set[tuple[int, int, int, str, int]]:
+    """The same of one text: (c, z, t, file, ifd)."""
+    out = set()
+    for element in re.finditer(ELEMENT, text):
+        name = re.search(_attribute("FileName"), element[0])
+        if name:
+            at = {k: int(m[1]) if (m := re.search(_attribute(n), element[0])) and m[1].isdigit() else 0 for k, n in PLACES.items()}
+            out.add((at["c"], at["z"], at["t"], unescape(name[1]), at["ifd"]))
+    return out
+
+
+def with_file_index(frames: DataFrame, disk: DataFrame) -> DataFrame:
+    """Frames with the index, from 1, of their file among those on disk, (file, file_index); 0 where the file is missing."""
+    return frames.join(disk, "file", "left").withColumn("file_index", F.coalesce("file_index", F.lit(0)))
 
 
 def get_frame(frames: DataFrame, sizes: dict[str, int], t: int, z: int, c: int) -> DataFrame:

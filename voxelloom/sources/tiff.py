@@ -7,6 +7,7 @@ installed where this was built, so only round trips are tested.
 
 from __future__ import annotations
 
+import mmap
 import os
 import re
 import struct
@@ -186,6 +187,8 @@ class SeriesReader(DataSourceReader):
         return parts
 
     def read(self, partition):
+        if not isinstance(partition, _Part):
+            return
         with open(partition.path, "rb") as f:
             raw = f.read()
         dataset = re.sub(r"_C\d+_T\d+\.tif$", "", os.path.basename(partition.path), flags=re.I)
@@ -210,8 +213,85 @@ class TiffSeries(DataSource):
         return SeriesReader(self.options["path"])
 
 
+def write_ome(planes: DataFrame, folder: str) -> int:
+    """Write `{dataset}_{t}.ome.tif`, its pages by z and c, for each timepoint of plane rows to a folder that all executors mount; how many. Planes that are missing are zero."""
+    os.makedirs(folder, exist_ok=True)
+    sizes = planes.groupBy("dataset").agg(F.max("z").alias("z1"), F.max("c").alias("c1"))
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        first = rows.iloc[0]
+        shape = (1, int(first["z1"]) + 1, int(first["c1"]) + 1, int(rows["h"].max()), int(rows["w"].max()))
+        out = np.zeros(shape[1:], first["dtype"])
+        for r in rows.itertuples():
+            out[r.z, r.c, : r.h, : r.w] = pixels(r.data, r.dtype, r.h, r.w)
+        name = f"{key[0]}_{key[1]}.ome.tif"
+        put(os.path.join(folder, name), encode(out.reshape(-1, *shape[3:]), ome_text(shape, name, int(key[1]))))
+        return pd.DataFrame({"n": [1]})
+
+    return planes.join(sizes, "dataset").groupBy("dataset", "t").applyInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0
+
+
+#: Pages of one OME file that a task reads.
+PAGES = 64
+
+
+def _mapped(path: str) -> mmap.mmap:
+    """A file's bytes, read where they are used, whatever its size."""
+    with open(path, "rb") as f:
+        return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+
+
+class _Pages(InputPartition):
+    def __init__(self, path: str, frames: list[tuple[int, int, int, int]]):
+        self.path, self.frames = path, frames
+
+
+class OmeReader(SeriesReader):
+    """Partitions of PAGES pages of a file, by the frame maps of all files in the folder; equality and IN on t, z and c leave pages out."""
+
+    def partitions(self):
+        from .omexml import frames_of
+
+        names = sorted(n for n in os.listdir(self.folder) if n.lower().endswith(".ome.tif"))
+        maps = set().union(*(frames_of(description(_mapped(os.path.join(self.folder, n)))) for n in names))
+        files: dict[str, list] = {}
+        for c, z, t, name, ifd in sorted(maps, key=lambda f: (f[3], f[4])):
+            if all(k in self.wanted.get(a, {k}) for a, k in (("t", t), ("z", z), ("c", c))):
+                files.setdefault(name, []).append((t, z, c, ifd))
+        return [_Pages(os.path.join(self.folder, n), files[n][k : k + PAGES]) for n in names if n in files for k in range(0, len(files[n]), PAGES)]
+
+    def read(self, partition):
+        if not isinstance(partition, _Pages):  # Spark plans one partition where filters leave none
+            return
+        dataset = re.sub(r"(_\d+)?\.ome\.tif$", "", os.path.basename(partition.path), flags=re.I)
+        raw, wanted = _mapped(partition.path), {}
+        for t, z, c, ifd in partition.frames:
+            wanted.setdefault(ifd, []).append((t, z, c))
+        for number, (order, tags) in enumerate(_directories(raw)):
+            for t, z, c in wanted.get(number, ()):
+                image = _page(raw, order, tags)
+                image = image.astype(image.dtype.newbyteorder("<"))
+                yield dataset, t, z, c, *image.shape, image.dtype.str, image.tobytes()
+            if number >= max(wanted):
+                break
+
+
+class OmeTiff(TiffSeries):
+    """`spark.read.format("ometiff").load(folder)`: plane rows of the OME files in a folder that all executors mount."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "ometiff"
+
+    def reader(self, schema) -> OmeReader:
+        return OmeReader(self.options["path"])
+
+
 def register(spark: SparkSession) -> None:
+    """Make the data sources known; their filters need the session's pushdown for Python sources."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(TiffSeries)
+    spark.dataSource.register(OmeTiff)
 
 
 def put(path: str, data: bytes) -> None:
@@ -236,11 +316,11 @@ def write_series(volumes: DataFrame, folder: str, step: float | None = None) ->
     return volumes.mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def ome_text(shape: tuple[int, int, int, int, int], name: str) -> str:
-    """OME-XML of a (t, z, c, y, x) array in one file; its UUID derives from the name, so writing is repeatable."""
+def ome_text(shape: tuple[int, int, int, int, int], name: str, first_t: int = 0) -> str:
+    """OME-XML of a (t, z, c, y, x) array in one file, whose first timepoint is first_t; its UUID derives from the name, so writing is repeatable."""
     nt, nz, nc, ny, nx = shape
     key = uuid.uuid5(uuid.NAMESPACE_URL, name)
-    frames = "".join(f'<TiffData FirstC="{c}" FirstT="{t}" FirstZ="{z}" IFD="{(t * nz + z) * nc + c}" PlaneCount="1"><UUID FileName="{name}">urn:uuid:{key}</UUID></TiffData>' for t in range(nt) for z in range(nz) for c in range(nc))
+    frames = "".join(f'<TiffData FirstC="{c}" FirstT="{first_t + t}" FirstZ="{z}" IFD="{(t * nz + z) * nc + c}" PlaneCount="1"><UUID FileName="{name}">urn:uuid:{key}</UUID></TiffData>' for t in range(nt) for z in range(nz) for c in range(nc))
     return (
         f'<?xml version="1.0" encoding="UTF-8"?><OME xmlns="http://www.openmicroscopy.org/Schemas/OME/2016-06" UUID="urn:uuid:{key}"><Image ID="Image:0" Name="{name}">'
         f'<Pixels ID="Pixels:0" DimensionOrder="XYCZT" Type="uint16" SizeX="{nx}" SizeY="{ny}" SizeC="{nc}" SizeZ="{nz}" SizeT="{nt}">{frames}</Pixels></Image></OME>'
@@ -248,7 +328,19 @@ def ome_text(shape: tuple[int, int, int, int, int], name: str) -> str:
 
 
 def read_ome(spark: SparkSession, path: str) -> DataFrame:
-    """Plane rows of OME-TIFF files by the frame map in their own XML; files a map names but that aren't under `path` are left out."""
+    """Plane rows of OME-TIFF files by the frame maps in their XML; files a map names but that aren't under `path` are left out.
+
+    In a folder that is mounted, pages are read where they stand in files of any size, and filters on t, z and c leave pages out. Elsewhere
+    Spark reads each file whole, of 2 GB at most.
+    """
+    if os.path.isdir(path):
+        register(spark)
+        return spark.read.format("ometiff").load(path)
+    return read_ome_whole(spark, path)
+
+
+def read_ome_whole(spark: SparkSession, path: str) -> DataFrame:
+    """The same from any path Spark reads, file by file."""
     from .omexml import frame_map
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.ome.tif").load(path)

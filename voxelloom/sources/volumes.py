@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,12 +17,10 @@ def read(spark: SparkSession, path: str, base: str | None = None) -> DataFrame:
 
 def concatenated(parts: list[DataFrame]) -> DataFrame:
     """Plane rows of several files of one stack, in order: each file's slices follow the last one's."""
-    out, offset = None, 0
-    for planes in parts:
-        rows = planes.withColumn("z", (F.col("z") + offset).cast("int"))
-        out = rows if out is None else out.unionByName(rows)
-        offset += (planes.agg(F.max("z")).first()[0] or 0) + 1
-    return out
+    rows = reduce(DataFrame.unionByName, [planes.withColumn("part", F.lit(k)) for k, planes in enumerate(parts)])
+    depths = {r["part"]: r["depth"] for r in rows.groupBy("part").agg((F.max("z") + 1).alias("depth")).collect()}
+    starts = [sum(depths.get(j, 1) for j in range(k)) for k in range(len(parts))]
+    return rows.withColumn("z", (F.col("z") + F.get(F.lit(starts), F.col("part"))).cast("int")).drop("part")
 
 
 def stack(planes: DataFrame, t: int, c: int, depth: int, height: int, width: int) -> DataFrame:

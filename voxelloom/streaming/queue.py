@@ -12,13 +12,16 @@ import os
 import time
 import traceback
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from itertools import groupby
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.tickets import ROUTES, TERMINAL
+from ..operators.tickets import ROUTES, TERMINAL, iterations_for
 from ..sources.tiff import put
 
 TICKET = "jobType string, dataDir string, baseName string, parameters string"
@@ -28,10 +31,6 @@ RESULT = "ticket string, route string, state string, error string, ts timestamp"
 # ---- producers -----------------------------------------------------------------------------------
 
 
-def iterations_for(method: str, given: int | None = None) -> int:
-    return given if given is not None else 2 if method == "omw" else 25
-
-
 def submit(folder: str, prefix: str, job_type: str, data_dir: str, base: str, parameters: dict) -> str:
     """Write a ticket `{PREFIX}_{safe name}_{epoch ms}.json`; its path."""
     import regex
@@ -95,24 +94,28 @@ def ticket_stream(spark: SparkSession, folder: str, per_batch: int = 100) -> Dat
     return rows.select(F.col("_metadata.file_name").alias("ticket"), F.col("_metadata.file_modification_time").alias("ts"), *[c.split()[0] for c in TICKET.split(", ")])
 
 
-def run_queue(spark: SparkSession, folder: str, handlers: dict[str, Callable[[dict], None]], results: str, checkpoint: str, per_batch: int = 100, forever: bool = False):
+def run_queue(spark: SparkSession, folder: str, handlers: dict[str, Callable[[dict], None]], results: str, checkpoint: str, per_batch: int = 100, forever: bool = False, together: int = 4):
     """Handle tickets by route (crop, pipeline, decon, deskew); returns the streaming query.
 
     A batch has at most `per_batch` tickets and takes them in name order, so crops come before decons, deskews and
-    pipelines. Handlers start Spark jobs of their own. Outcomes go to `results`/batch=n, a failed job's with
+    pipelines; `together` jobs of one kind run at a time. Handlers start Spark jobs of their own. Outcomes go to `results`/batch=n, a failed job's with
     its traceback; tickets stay where they are, and their state is what the results say.
     """
 
     def batch(rows: DataFrame, number: int) -> None:
-        done = []
-        for r in rows.orderBy("ticket").collect():  # per_batch at most
+        def one(r) -> tuple:
             route = r["jobType"] if r["jobType"] in ROUTES else "deskew"
             error = None
             try:
                 handlers[route]({"ticket": r["ticket"], "dataDir": r["dataDir"], "baseName": r["baseName"], "parameters": json.loads(r["parameters"] or "{}")})
             except Exception:  # noqa: BLE001  a job's failure is its result
                 error = traceback.format_exc()
-            done.append((r["ticket"], route, "failed" if error else "completed", error))
+            return r["ticket"], route, "failed" if error else "completed", error
+
+        done, tickets = [], rows.orderBy("ticket").collect()  # per_batch at most
+        with ThreadPoolExecutor(together) as pool:
+            for _, alike in groupby(tickets, lambda r: r["ticket"].partition("_")[0]):
+                done += pool.map(one, list(alike))
         out = spark.createDataFrame(done, "ticket string, route string, state string, error string").withColumn("ts", F.current_timestamp())
         out.coalesce(1).write.mode("overwrite").parquet(f"{results}/batch={number}")
 
@@ -120,6 +123,22 @@ def run_queue(spark: SparkSession, folder: str, handlers: dict[str, Callable[[di
     return (writer.trigger(processingTime="2 seconds") if forever else writer.trigger(availableNow=True)).start()
 
 
+def wait_for_job(spark: SparkSession, results: str, ticket: str, timeout_s: float = 3600, pause_s: float = 2) -> str:
+    """Wait until a ticket has ended; its state. TimeoutError if it has not by then."""
+    until = time.monotonic() + timeout_s
+    while True:
+        try:
+            state = wait_for(spark.read.schema(RESULT).parquet(results), ticket)
+        except AnalysisException:  # nothing has ended yet
+            state = None
+        if state or time.monotonic() > until:
+            break
+        time.sleep(pause_s)
+    if state is None:
+        raise TimeoutError(f"{ticket} has not ended after {timeout_s} s")
+    return state
+
+
 def wait_for(results: DataFrame, ticket: str) -> str | None:
     """A ticket's terminal state, if it has one; completed counts before failed."""
     states = {r["state"] for r in results.where(F.col("ticket") == ticket).select("state").distinct().collect()}
