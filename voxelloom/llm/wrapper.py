@@ -400,7 +400,10 @@ def layouts(pages: DataFrame) -> DataFrame:
     signed = pages.where("html <> ''").select("host", F.xxhash64("html").alias("mark"), "html").mapInArrow(run, "host string, mark long, sign string").distinct()
     signed = materialize(signed, "wrapper-signatures")
     common = signed.groupBy("host", "sign").count().where(F.col("count") >= AGREE).withColumn("layout", F.col("sign")).drop("count")
-    return materialize(signed.join(common, ["host", "sign"], "left").select("host", "mark", F.coalesce("layout", F.lit("")).alias("layout")), "wrapper-layouts")
+    # a host's pages meet its layouts in PARTS of their own
+    parted = signed.withColumn("part", F.pmod("mark", F.lit(PARTS)))
+    common = common.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return materialize(parted.join(common.hint("merge"), ["host", "sign", "part"], "left").select("host", "mark", F.coalesce("layout", F.lit("")).alias("layout")), "wrapper-layouts")
 
 
 def wrappers(pages: DataFrame, known: DataFrame, sample: int = SAMPLE) -> DataFrame:
