@@ -309,11 +309,12 @@ def _(spark, sf_dir):
     return tickets(spark, sf_dir).select("ticket", T.route(F.col("job_type")).alias("route"))
 
 
-@query("batch_finished", "q as (select distinct user_id from tickets where state in ('queued', 'active'));; select distinct user_id from tickets where user_id not in (select user_id from q)")
+@query("batch_finished", "q as (select distinct user_id, job_type from tickets where state in ('queued', 'active'));; select distinct user_id, job_type from tickets t where not exists (select 1 from q where q.user_id = t.user_id and q.job_type = t.job_type)")
 def _(spark, sf_dir):
+    """Each user's jobs of one type are a batch; those of which none is queued or active."""
     rows = tickets(spark, sf_dir)
-    busy = rows.where(F.col("state").isin("queued", "active")).select("user_id").distinct()
-    return rows.select("user_id").distinct().join(busy, "user_id", "left_anti")
+    busy = rows.where(F.col("state").isin("queued", "active")).select("user_id", "job_type").distinct()
+    return rows.select("user_id", "job_type").distinct().join(busy, ["user_id", "job_type"], "left_anti")
 
 
 @query("datadir_union_distinct", "select data_dir from tickets where state = 'completed' union select data_dir from tickets where state = 'failed'")
