@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 import struct
 import time
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tests.test_voxels import ARRAY, AXES, C, T, X, Y, Z, array_of
 from voxelloom import model, pipeline
+from voxelloom.operators.names import DYES
 from voxelloom.operators.voxels import Roi
 from voxelloom.sources import metadata, omexml, profile, tiff, zarr
 from voxelloom.streaming import queue
@@ -163,6 +165,22 @@ def test_active_dyes_and_repeated_channels(spark, planes):
     assert set(got) == {0, 1, 2} and got[0] == got[2] != got[1]
 
 
+def test_single_exposures_are_named_by_dye(spark, planes, tmp_path):
+    tiff.write_ome(planes, str(tmp_path / "in"))
+    run = lambda **p: pipeline.handlers(spark)["crop"]({"dataDir": str(tmp_path / "in" / "a_0.ome.tif"), "baseName": "out", "parameters": {"rois": {"top": "0:5,1:9", "bottom": "8:13,2:10"}, **p}})
+    run(channels=[0, 1], exposure_mode="Single Exposure (All Lasers)")
+    out = str(tmp_path / "in" / "out")
+    names = {n for n in os.listdir(out) if n.endswith(".tif")}
+    assert len(names) == 2 * T and {re.search("_(" + "|".join(DYES) + r")_T\d{4}\.tif$", n)[1] for n in names} == set(DYES[:2])
+    named = tiff.read_volumes(spark, out, labels=DYES[:2]).collect()
+    run(channels=[0, 1], exposure_mode="Sequential")
+    assert not any(d in n for n in os.listdir(out) for d in DYES)
+    plain = tiff.read_volumes(spark, out).collect()
+    assert {(r["t"], r["c"], bytes(r["data"])) for r in named} == {(r["t"], r["c"], bytes(r["data"])) for r in plain} and len(named) == 2 * T
+    with pytest.raises(ValueError, match="share a label"):
+        run(channels=[0, 4], exposure_mode="Single Exposure (All Lasers)")
+
+
 def test_waiting_for_a_job(spark, tmp_path):
     with pytest.raises(TimeoutError):
         queue.wait_for_job(spark, str(tmp_path / "none"), "a.json", timeout_s=0.1, pause_s=0.05)
@@ -186,6 +204,27 @@ def test_ome_xml(spark):
         omexml.get_frame(frames.where("t = 0"), sizes, 1, 0, 0)
 
 
+def test_earlier_outputs_are_cleared(spark, planes, tmp_path):
+    """A smaller array or series takes the place of a larger one whole; other files and the source's own stay."""
+    folder = str(tmp_path / "z.zarr")
+    zarr.write_planes(planes, folder)
+    open(os.path.join(folder, queue.CROP_SETTINGS), "w").close()
+    small = planes.where("t < 1 and z < 2")
+    assert zarr.write_planes(small, folder) == 2 * C and os.path.exists(os.path.join(folder, queue.CROP_SETTINGS))
+    assert (array_of(model.voxels(zarr.read_planes(spark, folder)), *AXES) == ARRAY[:1, :2]).all()
+    parts, tall = str(tmp_path / "parts"), np.zeros((zarr.SLAB + 1, 2, 2), "<u2")
+    for v in (tall, tall[:3]):
+        zarr.write_volumes(spark.createDataFrame([("a", 0, 0, *v.shape, "<u2", v.tobytes())], model.VOLUMES), parts, "b")
+    assert sorted(os.listdir(os.path.join(parts, "b_T0000_C0.zarr"))) == [".zarray", "0.0.0"]
+    series = str(tmp_path / "series")
+    tiff.write_series(model.volumes(planes), series)
+    open(os.path.join(series, "note.txt"), "w").close()
+    pipeline.clear_series(series, series)
+    assert len(os.listdir(series)) == T * C + 1
+    pipeline.clear_series(series, str(tmp_path))
+    assert os.listdir(series) == ["note.txt"]
+
+
 @pytest.mark.parametrize("compress", [False, True])
 def test_zarr_arrays_and_store(spark, planes, tmp_path, compress):
     folder = str(tmp_path / "z.zarr")
@@ -240,6 +279,12 @@ def test_tickets(tmp_path):
     folder = str(tmp_path)
     path = queue.submit_crop(folder, "/x/my é run.ome.tif", "0:4,0:4", None, [0, 1], timepoints=[1])
     assert os.path.basename(path).startswith("CROP_my_é_run_") and json.load(open(path))["baseName"] == "my é run"
+    p = json.load(open(queue.submit_crop(folder, "/x/r.tif", None, "0:4,0:4", [2], exposure_mode="sequential", test=True)))
+    assert p["baseName"] == "r_test" and p["parameters"]["rois"] == {"bottom": "0:4,0:4"} and p["parameters"]["exposure_mode"] == "sequential"
+    ticket, target = queue.submit_crop_with_settings(folder, str(tmp_path / "s.ome.tif"), "0:4,0:4", None, [0, 1], rotate=False)
+    settings = json.load(open(os.path.join(target, queue.CROP_SETTINGS)))
+    assert target == str(tmp_path / "s") and settings == {"source_file": "s.ome.tif", "rois": {"top": "0:4,0:4"}, "channels": [0, 1], "rotate": False, "format": "TIFF_SERIES_SPLIT_C"}
+    assert json.load(open(ticket))["dataDir"] == str(tmp_path / "s.ome.tif")
     assert json.load(open(queue.submit_decon(folder, "/d", ["p.tif"], rl_method="omw")))["parameters"]["iterations"] == 2
     assert json.load(open(queue.submit_deskew(folder, "/d", 1.0, 30.0, 0.1, psf_path="p")))["parameters"]["decon_iter"] == 25
     psf = tmp_path / "psf.tif"
@@ -291,6 +336,10 @@ def test_queue_runs_jobs_once_and_records_failures(spark, planes, tmp_path):
     run()
     assert handled == ["decon", "deskew", "deskew"]
     results = spark.read.parquet(str(tmp_path / "results"))
+    seen = []
+    queue.watch_job(spark, str(tmp_path / "results"), os.path.basename(ok), lambda *x: seen.append(x)).join(60)
+    queue.watch_job(spark, str(tmp_path / "results"), "none.json", lambda *x: seen.append(x), timeout_s=0).join(60)
+    assert [x[0] for x in seen] == ["completed", "timeout"]
     assert queue.wait_for(results, os.path.basename(ok)) == "completed" and queue.wait_for(results, os.path.basename(bad)) == "failed"
     assert "needs a PSF" in results.where("state = 'failed'").first()["error"]
     assert len([n for n in os.listdir(os.path.join(data, "DSR")) if n.endswith(".tif")]) == T * C
@@ -368,6 +417,15 @@ def test_pending_consolidations_and_side_outputs(spark, planes, tmp_path):
     (broken / pipeline.SIDECAR).write_text("{")
     assert pipeline.run_pending_consolidations(spark, [folder, str(broken), str(tmp_path)]) == {folder: T * C, str(broken): 0}
     assert pipeline.run_pending_consolidations(spark, [folder]) == {}
+    notes = [json.loads(x) for x in open(os.path.join(folder, pipeline.CONSOLIDATION_LOG))]
+    assert notes == [{"linked": T * C, "expected": 0, "missing": []}]
+    assert "JSONDecodeError" in json.loads((broken / pipeline.CONSOLIDATION_LOG).read_text())["error"]
+    with open(os.path.join(folder, pipeline.SIDECAR), "w") as f:
+        json.dump({"base_name": "b", "xy_pixel_um": 0.1, "t_interval_s": 1.0, "expected_zarrs": ["b_T0000_C0.zarr", "b_T9999_C0.zarr"]}, f)
+    results = spark.createDataFrame([("a.json", "completed"), ("b.json", "active")], "ticket string, state string")
+    tickets = spark.createDataFrame([("a.json", folder), ("b.json", str(broken))], "ticket string, dataDir string")
+    assert pipeline.consolidate_ended(spark, results, tickets) == {folder: T * C}
+    assert json.loads(open(os.path.join(folder, pipeline.CONSOLIDATION_LOG)).readlines()[-1])["missing"] == ["b_T9999_C0.zarr"]
     assert pipeline.write_projections(model.volumes(planes), folder) == T * C
     flat = tiff.read_volumes(spark, os.path.join(folder, "MIPs")).where("t = 1 and c = 2").first()
     assert (model.pixels(flat["data"], flat["dtype"], 1, Y, X)[0] == ARRAY[1, :, 2].max(axis=0)).all()

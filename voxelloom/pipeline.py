@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
@@ -13,10 +14,11 @@ from pyspark.sql import functions as F
 
 from .functions import kernels as K
 from .model import map_volumes, volumes
-from .operators.names import active_outputs
+from .operators.names import DYES, active_outputs
 from .operators.tickets import iterations_for
 from .operators.voxels import SLOTS, Roi, needed_regions
 from .sources import tiff, zarr
+from .streaming.queue import pending_consolidations
 
 
 def crop_planes(planes: DataFrame, channels: int, top: Roi | None, bottom: Roi | None, layout: str, wanted: list[int] | None = None, rotate: bool = True) -> DataFrame:
@@ -59,12 +61,12 @@ def crop_planes(planes: DataFrame, channels: int, top: Roi | None, bottom: Roi |
     return rows.select(*[c.split()[0] for c in PLANES.split(", ")], "region").mapInArrow(run, PLANES)
 
 
-def crop_job(spark: SparkSession, source: DataFrame, folder: str, output: str, **how) -> int:
-    """Crop a dataset into one array (ZARR) or a file for each (c, t) (TIFF_SERIES_SPLIT_C); chunks or files written."""
+def crop_job(spark: SparkSession, source: DataFrame, folder: str, output: str, labels: Sequence[str] = (), **how) -> int:
+    """Crop a dataset into one array (ZARR) or a file for each (c, t) (TIFF_SERIES_SPLIT_C), named by the outputs' labels if given; chunks or files written."""
     if output not in ("ZARR", "TIFF_SERIES_SPLIT_C"):
         raise ValueError(f"no output format {output!r}")
     cropped = crop_planes(source, layout="blocked" if output == "ZARR" else "interleaved", **how)
-    return zarr.write_planes(cropped, folder) if output == "ZARR" else tiff.write_series(volumes(cropped), folder)
+    return zarr.write_planes(cropped, folder) if output == "ZARR" else tiff.write_series(volumes(cropped), folder, labels=labels)
 
 
 def level_volumes(rows: DataFrame, z_step_um: float, xy_pixel_um: float, angle: float, psf: np.ndarray | None = None, dz_psf: float | None = None, iterations: int = 25, background: float = 100.0, z_end: int | None = None, reverse: bool = False, objective: bool = False, saturate: bool = True, z_stage: bool = False, rotate: bool = True, orders: tuple[str, str] = ("yxz", "yxz")) -> DataFrame:
@@ -96,7 +98,19 @@ def level_volumes(rows: DataFrame, z_step_um: float, xy_pixel_um: float, angle:
     return map_volumes(rows, job)
 
 
-SIDECAR = ".consolidate.json"
+#: Files of a series, by channel number or dye.
+SERIES_FILE = rf"_(C\d+|{'|'.join(DYES)})_T\d+\.tif$"
+
+
+def clear_series(folder: str, source: str) -> None:
+    """Remove the files of a series that an earlier run left in an output folder; nothing in the source's own folder."""
+    if os.path.isdir(folder) and os.path.realpath(folder) != os.path.realpath(source):
+        for name in os.listdir(folder):
+            if re.search(SERIES_FILE, name):
+                os.remove(os.path.join(folder, name))
+
+
+SIDECAR, CONSOLIDATION_LOG = ".consolidate.json", "consolidation.log"
 
 
 def write_projections(rows: DataFrame, folder: str) -> int:
@@ -104,10 +118,16 @@ def write_projections(rows: DataFrame, folder: str) -> int:
     return tiff.write_series(map_volumes(rows, lambda v: v.max(axis=0, keepdims=True)), os.path.join(folder, "MIPs"))
 
 
+def missing_arrays(folder: str, expected: list[str]) -> list[str]:
+    """The arrays a dataset is to have, by folder name, that are not there."""
+    return sorted(name for name in set(expected) if not os.path.isdir(os.path.join(folder, name)))
+
+
 def run_pending_consolidations(spark: SparkSession, data_dirs: list[str]) -> dict[str, int]:
     """Join the stores of datasets whose jobs have ended and that have a sidecar; chunks linked of each.
 
-    A dataset of which arrays are still missing is joined as far as it goes. The sidecar goes once chunks were
+    A dataset of which arrays are still missing is joined as far as it goes. Each attempt adds a JSON line to the
+    dataset's log: chunks linked, arrays expected, those missing, the error if there was one. The sidecar goes once chunks were
     linked, so a second call finds nothing to do. A sidecar that can't be read, or a failure, is 0.
     """
     done = {}
@@ -115,17 +135,29 @@ def run_pending_consolidations(spark: SparkSession, data_dirs: list[str]) -> dic
         path = os.path.join(folder, SIDECAR)
         if not os.path.exists(path):
             continue
+        note = {"linked": 0}
         try:
             with open(path) as f:
                 p = json.load(f)
-            done[folder] = zarr.consolidate(spark, folder, p["base_name"], p["xy_pixel_um"], p["t_interval_s"], p.get("channel_names"))
-        except (OSError, ValueError, KeyError):
-            done[folder] = 0
+            expected = p.get("expected_zarrs") or []
+            note |= {"expected": len(set(expected)), "missing": missing_arrays(folder, expected)}
+            note["linked"] = zarr.consolidate(spark, folder, p["base_name"], p["xy_pixel_um"], p["t_interval_s"], p.get("channel_names"))
+        except (OSError, ValueError, KeyError, TypeError, AttributeError) as e:
+            note["error"] = f"{type(e).__name__}: {e}"
+        done[folder] = note["linked"]
+        with open(os.path.join(folder, CONSOLIDATION_LOG), "a") as f:
+            f.write(json.dumps(note) + "\n")
         if done[folder]:
             os.remove(path)
     return done
 
 
+def consolidate_ended(spark: SparkSession, results: DataFrame, tickets: DataFrame) -> dict[str, int]:
+    """`run_pending_consolidations` of the dataDirs of all tickets that have ended; they are fetched one by one, as the folders are local to the driver."""
+    ended = pending_consolidations(results, tickets)
+    return run_pending_consolidations(spark, [r["dataDir"] for r in ended.toLocalIterator()])
+
+
 def level_settings(p: dict) -> dict:
     """Arguments of `level_volumes` from a ticket's parameters; what is not offered is refused, not ignored."""
     if (p.get("interp_method") or "linear") != "linear":
@@ -182,11 +214,7 @@ def handlers(spark: SparkSession) -> dict:
         write(reduce(DataFrame.unionByName, done), folder, job["dataDir"])
 
     def write(rows: DataFrame, folder: str, source: str) -> None:
-        """Write a series where an earlier run's files of a series, if any, are cleared first; never in the source's own folder."""
-        if os.path.isdir(folder) and os.path.realpath(folder) != os.path.realpath(source):
-            for name in os.listdir(folder):
-                if re.search(r"_C\d+_T\d+\.tif$", name):
-                    os.remove(os.path.join(folder, name))
+        clear_series(folder, source)
         tiff.write_series(rows, folder)
 
     def deskew(job: dict) -> None:
@@ -223,6 +251,9 @@ def handlers(spark: SparkSession) -> dict:
         channels = (source.agg(F.max("c")).first()[0] or 0) + 1
         wanted = p.get("channels") or list(range(2 * channels))
         wanted = active_outputs(wanted, p.get("active_channels"))
-        crop_job(spark, source, os.path.join(folder, job["baseName"]), p.get("format") or "TIFF_SERIES_SPLIT_C", channels=channels, top=roi(p["rois"].get("top")), bottom=roi(p["rois"].get("bottom")), wanted=wanted, rotate=bool(p.get("rotate", True)))
+        target = os.path.join(folder, job["baseName"])
+        clear_series(target, folder)
+        dyes = [DYES[w % 4] for w in wanted] if "Single Exposure" in (p.get("exposure_mode") or "") else []
+        crop_job(spark, source, target, p.get("format") or "TIFF_SERIES_SPLIT_C", labels=dyes, channels=channels, top=roi(p["rois"].get("top")), bottom=roi(p["rois"].get("bottom")), wanted=wanted, rotate=bool(p.get("rotate", True)))
 
     return {"crop": crop, "decon": decon, "deskew": deskew, "pipeline": lambda job: level({**job, "dataDir": job["parameters"]["shm_path"]}, os.path.join(job["dataDir"], job["baseName"]))}

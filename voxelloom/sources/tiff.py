@@ -137,16 +137,21 @@ def imagej_text(shape: tuple[int, ...], step: float | None = None) -> str:
     return "\n".join(lines) + "\n"
 
 
-def read_volumes(spark: SparkSession, path: str, name: str = r"_C(\d+)_T(\d+)", pattern: str = "", unless: Sequence[str] = ()) -> DataFrame:
+def read_volumes(spark: SparkSession, path: str, name: str = r"_C(\d+)_T(\d+)", pattern: str = "", unless: Sequence[str] = (), labels: Sequence[str] = ()) -> DataFrame:
     """One volume row for each file under `path`, c and t from its name; on any file system Spark reads. Files are decoded whole, one task each.
 
-    With a pattern, only files that have it in their name, and none of `unless`.
+    With a pattern, only files that have it in their name, and none of `unless`. With labels, names have the label of a channel, as `write_series` writes them, and c is its place.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").load(path)
     file = F.element_at(F.split("path", "/"), -1)
     for x, held in [(pattern, True), *((x, False) for x in unless)]:
         files = files.where(file.contains(x) == held)
-    files = files.select("path", "content", F.regexp_extract("path", r"([^/]+?)" + name, 1).alias("dataset"), F.regexp_extract("path", name, 2).try_cast("int").alias("t"), F.regexp_extract("path", name, 1).try_cast("int").alias("c"))
+    if labels:
+        name = f"_({'|'.join(map(re.escape, labels))})_T(\\d+)"
+        c = F.array_position(F.array(*[F.lit(x) for x in labels]), F.regexp_extract("path", name, 1)).cast("int") - 1
+    else:
+        c = F.regexp_extract("path", name, 1).try_cast("int")
+    files = files.select("path", "content", F.regexp_extract("path", r"([^/]+?)" + name, 1).alias("dataset"), F.regexp_extract("path", name, 2).try_cast("int").alias("t"), c.alias("c"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -302,15 +307,18 @@ def put(path: str, data: bytes) -> None:
     os.replace(part, path)
 
 
-def write_series(volumes: DataFrame, folder: str, step: float | None = None) -> int:
-    """Write `{dataset}_C{c}_T{t:03d}.tif` for each volume to a folder that all executors mount; how many."""
+def write_series(volumes: DataFrame, folder: str, step: float | None = None, labels: Sequence[str] = ()) -> int:
+    """Write `{dataset}_C{c}_T{t:03d}.tif` for each volume to a folder that all executors mount; how many. With labels, one for each channel, a file has its channel's label in place of C{c}, as `{dataset}_{label}_T{t:04d}.tif`."""
+    if len(set(labels)) < len(labels):
+        raise ValueError(f"channels share a label: {list(labels)}")
     os.makedirs(folder, exist_ok=True)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples():
                 v = pixels(r.data, r.dtype, r.nz, r.ny, r.nx)
-                put(os.path.join(folder, f"{r.dataset}_C{r.c}_T{r.t:03d}.tif"), encode(v, imagej_text(v.shape, step)))
+                mark = f"{labels[r.c]}_T{r.t:04d}" if labels else f"C{r.c}_T{r.t:03d}"
+                put(os.path.join(folder, f"{r.dataset}_{mark}.tif"), encode(v, imagej_text(v.shape, step)))
             yield pd.DataFrame({"n": [len(pdf)]})
 
     return volumes.mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0

@@ -24,6 +24,7 @@ from .tiff import put
 # Default channel colours of a store, in order.
 COLOURS = ["00FF00", "FF00FF", "0000FF", "FF0000"]
 SLAB = 64
+CHUNK = re.compile(r"\d+(\.\d+)*")
 
 
 def array_metadata(shape: list[int], chunks: list[int], dtype: str, compress: bool = False) -> dict:
@@ -40,11 +41,17 @@ def _unpacked(data: bytes, meta: dict) -> np.ndarray:
 
 
 def write_planes(planes: DataFrame, folder: str, compress: bool = False) -> int:
-    """Write one (t, z, c, y, x) array with a chunk for each plane; how many chunks. Planes that are missing read as 0."""
+    """Write one (t, z, c, y, x) array with a chunk for each plane; how many chunks. Planes that are missing read as 0.
+
+    Chunks of an array that was there before are removed first, so planes can't be read from the folder they are written to.
+    """
     n = planes.agg(*[F.max(k).alias(k) for k in ("t", "z", "c")], *[F.max(k).alias(k) for k in ("h", "w")], F.max("dtype").alias("dtype")).first()
     if n["t"] is None:
         raise ValueError("there are no planes")
     os.makedirs(folder, exist_ok=True)
+    for name in os.listdir(folder):
+        if CHUNK.fullmatch(name):
+            os.remove(os.path.join(folder, name))
     shape = [n["t"] + 1, n["z"] + 1, n["c"] + 1, n["h"], n["w"]]
     put(os.path.join(folder, ".zarray"), json.dumps(array_metadata(shape, [1, 1, 1, *shape[3:]], n["dtype"], compress)).encode())
 
@@ -58,7 +65,7 @@ def write_planes(planes: DataFrame, folder: str, compress: bool = False) -> int:
 
 
 def write_volumes(volumes: DataFrame, folder: str, base: str, compress: bool = False) -> int:
-    """Write `{base}_T{t:04d}_C{c}.zarr`, a (z, y, x) array in slabs of SLAB slices, for each volume."""
+    """Write `{base}_T{t:04d}_C{c}.zarr`, a (z, y, x) array in slabs of SLAB slices, for each volume; slabs beyond the last one, of an earlier array, go."""
     os.makedirs(folder, exist_ok=True)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -67,6 +74,10 @@ def write_volumes(volumes: DataFrame, folder: str, base: str, compress: bool = F
                 v, chunk = pixels(r.data, r.dtype, r.nz, r.ny, r.nx), [min(SLAB, r.nz), r.ny, r.nx]
                 target = os.path.join(folder, f"{base}_T{r.t:04d}_C{r.c}.zarr")
                 os.makedirs(target, exist_ok=True)
+                slabs = {f"{k // chunk[0]}.0.0" for k in range(0, r.nz, chunk[0])}
+                for name in os.listdir(target):
+                    if CHUNK.fullmatch(name) and name not in slabs:
+                        os.remove(os.path.join(target, name))
                 for k in range(0, r.nz, chunk[0]):
                     part = np.zeros(chunk, v.dtype)
                     part[: len(v[k : k + chunk[0]])] = v[k : k + chunk[0]]

@@ -14,6 +14,7 @@ import traceback
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from itertools import groupby
+from threading import Thread
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -52,11 +53,31 @@ def _base(name: str) -> str:
     return name
 
 
-def submit_crop(folder: str, source: str, top: str | None, bottom: str | None, channels: list[int], timepoints: list[int] | None = None, rotate: bool = True, output: str = "TIFF_SERIES_SPLIT_C", active_channels: list[str] | None = None, z_step_um: float | None = None, xy_pixel_size: float | None = None) -> str:
-    """A crop job; timepoints count from 1 in tickets, none means all."""
+def submit_crop(folder: str, source: str, top: str | None, bottom: str | None, channels: list[int], timepoints: list[int] | None = None, rotate: bool = True, output: str = "TIFF_SERIES_SPLIT_C", active_channels: list[str] | None = None, z_step_um: float | None = None, xy_pixel_size: float | None = None, exposure_mode: str | None = None, test: bool = False) -> str:
+    """A crop job; timepoints count from 1 in tickets, none means all. A test job writes beside the real output, to a folder whose name ends in `_test`.
+
+    A mode of single exposures, "Single Exposure (All Lasers)", names the files of a TIFF series by dye, any other by channel number.
+    """
     extra = {k: v for k, v in (("z_step_um", z_step_um), ("xy_pixel_size", xy_pixel_size)) if v is not None}
-    parameters = {"rois": {"top": top, "bottom": bottom}, "channels": channels, "timepoints": timepoints, "rotate": rotate, "format": output, "active_channels": active_channels, **extra}
-    return submit(folder, "CROP", "crop", source, _base(source), parameters)
+    rois = {k: v for k, v in (("top", top), ("bottom", bottom)) if v}
+    parameters = {"rois": rois, "channels": channels, "timepoints": timepoints, "rotate": rotate, "format": output, "active_channels": active_channels, **({"exposure_mode": exposure_mode} if exposure_mode else {}), **extra}
+    return submit(folder, "CROP", "crop", source, _base(source) + "_test" * test, parameters)
+
+
+#: File with the settings of a crop, in its output folder.
+CROP_SETTINGS = "crop_settings.json"
+
+
+def submit_crop_with_settings(folder: str, source: str, top: str | None, bottom: str | None, channels: list[int], rotate: bool = True, output: str = "TIFF_SERIES_SPLIT_C") -> tuple[str, str]:
+    """A crop job, whose settings are written to its output folder at once; the ticket's path and that folder."""
+    ticket = submit_crop(folder, source, top, bottom, channels, rotate=rotate, output=output)
+    target = os.path.join(os.path.dirname(source), _base(source))
+    os.makedirs(target, exist_ok=True)
+    with open(ticket) as f:
+        p = json.load(f)["parameters"]
+    settings = {"source_file": os.path.basename(source), **{k: p[k] for k in ("rois", "channels", "rotate", "format")}}
+    put(os.path.join(target, CROP_SETTINGS), json.dumps(settings, indent=4).encode())
+    return ticket, target
 
 
 def submit_deskew(folder: str, data_dir: str, z_step_um: float, angle: float, xy_pixel_size: float, channel_patterns: list[str] | None = None, interp: str = "linear", reverse: bool = True, objective_scan: bool = False, z_stage_scan: bool = False, psf_path: str | None = None, iterations: int | None = None, rl_method: str = "simple") -> str:
@@ -139,6 +160,22 @@ def wait_for_job(spark: SparkSession, results: str, ticket: str, timeout_s: floa
     return state
 
 
+def watch_job(spark: SparkSession, results: str, ticket: str, report: Callable[[str, float], None], timeout_s: float = 3600, pause_s: float = 2) -> Thread:
+    """Wait for a job in the background; `report` is called once, with its state, or `timeout`, and the seconds it took."""
+
+    def run() -> None:
+        began = time.monotonic()
+        try:
+            state = wait_for_job(spark, results, ticket, timeout_s, pause_s)
+        except TimeoutError:
+            state = "timeout"
+        report(state, time.monotonic() - began)
+
+    thread = Thread(target=run, daemon=True)
+    thread.start()
+    return thread
+
+
 def wait_for(results: DataFrame, ticket: str) -> str | None:
     """A ticket's terminal state, if it has one; completed counts before failed."""
     states = {r["state"] for r in results.where(F.col("ticket") == ticket).select("state").distinct().collect()}
