@@ -243,6 +243,23 @@ def test_alignment_equals_plain_smith_waterman():
         assert decontam.align(p, q)[0] == h.max()
 
 
+def test_span_equals_plain_traceback():
+    """(score, - equal words) of every alignment as plain tuples; long items in linear memory."""
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        p, q = rng.integers(0, 5, rng.integers(1, 25)), rng.integers(0, 5, rng.integers(1, 20))
+        h = [[(0, 0)] * (len(p) + 1) for _ in range(len(q) + 1)]
+        for i in range(len(q)):
+            for j in range(len(p)):
+                same = q[i] == p[j]
+                ways = [(0, 0), (h[i][j][0] + (1 if same else -1), h[i][j][1] - same), (h[i][j + 1][0] - 1, h[i][j + 1][1]), (h[i + 1][j][0] - 1, h[i + 1][j][1])]
+                h[i + 1][j + 1] = max(ways)
+        score, equal = max(x for row in h for x in row)
+        assert decontam.span(p, q) == (-equal, -2 * equal - score)
+    words = np.arange(8_000).astype(np.uint64)
+    assert decontam.judged(np.concatenate([words[:100], words, words[:50]]), words) == (1.0, 100, 8_100)
+
+
 def test_decontamination_copies_edits_and_clean(spark, small):
     items = [(1, "the quick brown fox jumps over the lazy dog while seven wizards quietly box with jugs of liquid"), (2, None), (3, ""), (4, "two words")]
     words = items[0][1].split()

@@ -91,24 +91,22 @@ def align(passage: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
 
 
 def span(passage: np.ndarray, item: np.ndarray) -> tuple[int, int]:
-    """(equal words, columns) of the best local alignment of an item in a passage; of equal ways back the one with more words aligned."""
-    h = np.zeros((len(item) + 1, len(passage) + 1), np.int64)
-    steps = -GAP * np.arange(1, len(passage) + 1)
-    for i, word in enumerate(item):
-        row = np.maximum(h[i, :-1] + np.where(passage == word, MATCH, MISMATCH), np.maximum(h[i, 1:] + GAP, 0))
-        h[i + 1, 1:] = np.maximum.accumulate(row + steps) - steps
-    i, j = divmod(int(h.argmax()), h.shape[1])
-    equal = columns = 0
-    while h[i, j]:
-        same = passage[j - 1] == item[i - 1]
-        columns += 1
-        if h[i, j] == h[i - 1, j - 1] + (MATCH if same else MISMATCH):
-            i, j, equal = i - 1, j - 1, equal + int(same)
-        elif h[i, j] == h[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return equal, columns
+    """(equal words, columns) of the best local alignment of an item in a passage; of equal scores the one with the fewest columns.
+
+    Rows carry the score with the equal words below it in one number, so memory is linear in the
+    passage. A column that isn't an equal word costs 1, so columns are twice the equal words less the score.
+    """
+    big = len(item) + 1
+    match, other, gap = MATCH * big - 1, MISMATCH * big, GAP * big
+    steps, best = -gap * np.arange(1, len(passage) + 1), 0
+    before = np.zeros(len(passage) + 1, np.int64)
+    for word in item:
+        row = np.maximum(before[:-1] + np.where(passage == word, match, other), np.maximum(before[1:] + gap, 0))
+        before[1:] = np.maximum.accumulate(row + steps) - steps
+        best = max(best, int(before.max()))
+    score = -(-best // big)
+    equal = score * big - best
+    return equal, 2 * equal - score
 
 
 def judged(passage: np.ndarray, item: np.ndarray, threshold: float = THRESHOLD) -> tuple[float, int, int] | None:
