@@ -2,6 +2,8 @@
 
 import base64
 import hashlib
+import random
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -243,6 +245,56 @@ def test_unmarked_boilerplate_goes_from_two_pages_on(spark, n):
     assert all(wrapper.extract(page(k), None) == f"Site wide line number one.\n{own[k]}\nThe same everywhere." for k in range(n))
 
 
+class _PlainBlocks(HTMLParser):
+    """(path, text) of a well-formed page's blocks, by the standard library's parser."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.path, self.blocks = ["html"], [["html", ""]]
+        self.feed(page)
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in ("b", "i"):
+            self.path.append(tag)
+            self.blocks.append(["/".join(self.path), ""])
+
+    def handle_endtag(self, tag):
+        if tag not in ("b", "i"):
+            self.path.pop()
+            self.blocks.append(["/".join(self.path), ""])
+
+    def handle_data(self, data):
+        self.blocks[-1][1] += data
+
+    def found(self):
+        return [(p, " ".join(t.split())) for p, t in self.blocks if t.strip()]
+
+
+def test_templates_equal_plain_ones(spark):
+    """Random pages without marks: what every page of a host holds at a path goes, all else stays; by another parser and plain sets."""
+    rng = random.Random(4)
+    rows = []
+    for h in range(12):
+        skeleton = [(rng.choice(["div", "section", "div/div", "div/ul"]), rng.random() < 0.5) for _ in range(rng.randint(3, 7))] + [("div", False)]
+        for k in range(rng.choice([2, 3, 9, 12])):
+            parts = []
+            for n, (place, same) in enumerate(skeleton):
+                outer = place.split("/")
+                item = "li" if outer[-1] == "ul" else "p"
+                inner = [f"The same line {n} &amp; <b>more</b> of host {h}"] if same else [f"Line {n} of {k} in part {m}, <i>its own</i> words {rng.random()}" for m in range(rng.randint(1, 4))]
+                parts.append("".join(f"<{t}>" for t in outer) + "".join(f"<{item}>{x}</{item}>" for x in inner) + "".join(f"</{t}>" for t in reversed(outer)))
+            rows.append((len(rows), f"http://host{h}.org/{k}", "<body>" + "\n".join(parts) + "</body>"))
+    hosts = {}
+    for i, url, page in rows:
+        hosts.setdefault(url.split("/")[2], {})[i] = _PlainBlocks(page).found()
+    want = {}
+    for pages in hosts.values():
+        constant = set.intersection(*(set(b) for b in pages.values()))
+        want |= {i: "\n".join(t for p, t in blocks if (p, t) not in constant) for i, blocks in pages.items()}
+    got = {r["page_id"]: r["text"] for r in wrapper.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {i for i in want if got[i] != want[i]} == set() and sum("The same" in page for _, _, page in rows) > len(rows) / 2
+
+
 def test_wrappers_joined_instead_of_broadcast(spark, monkeypatch):
     rows = [(k, f"http://h{k % 3}.org/{k}", _page(k)) for k in range(30)] + [(100, None, None), (101, "http://h1.org/z", "<p>alone</p>"), (5, "http://h2.org/5", _page(5))]
     table = spark.createDataFrame(rows, "page_id long, url string, html string")

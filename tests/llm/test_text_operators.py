@@ -223,6 +223,60 @@ def test_language_held_out_accuracy(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got.select("doc_id", "held_out").collect())
 
 
+def test_language_codes_equal_plain_ones(spark, small):
+    """Counting, bit classifiers, their calibration and decoding once more, with dictionaries and loops, learned from every row that isn't held out."""
+    import math
+    import zlib
+
+    rows = [(r["doc_id"], r["lang"], r["text"]) for r in small.where("doc_id < 400").collect()]
+    table = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = {r["doc_id"]: r for r in langcodes.identify(table, sample=10**9).collect()}
+
+    def grams(text):
+        raw = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in f" {text.lower()} ".encode()]
+        for a, b, c in zip(raw, raw[1:], raw[2:]):
+            if b != 32:
+                yield (a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D) % 2**32 >> 17
+
+    learned = [(lang, list(grams(t))) for i, lang, t in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    langs = sorted({lang for lang, _ in learned})
+    counts = {lang: [0.5] * langcodes.BUCKETS for lang in langs}
+    for lang, text in learned:
+        for g in text:
+            counts[lang][g] += 1
+    rates = {}
+    for lang, c in counts.items():
+        total = sum(c)
+        rates[lang] = [x / total for x in c]
+    # every split of the languages, the first of them always on the positive side
+    bits = [{langs[0]} | {x for k, x in enumerate(langs[1:]) if n >> k & 1} for n in range(2 ** (len(langs) - 1) - 1)]
+    mean = lambda xs: sum(xs) / len(xs)
+    weights = [[math.log(mean([rates[x][g] for x in bit])) - math.log(mean([rates[x][g] for x in langs if x not in bit])) for g in range(langcodes.BUCKETS)] for bit in bits]
+    margin = lambda text, w: sum(w[g] for g in text) / max(len(text), 1)
+    fits = []
+    for bit, w in zip(bits, weights):
+        x, y = [margin(t, w) for _, t in learned], [float(lang in bit) for lang, _ in learned]
+        spread = float(np.std(x)) or 1.0
+        a = b = 0.0
+        for _ in range(25):
+            p = [1 / (1 + math.exp(-min(max(a * v / spread + b, -30), 30))) for v in x]
+            ga, gb = sum((k - q) * v / spread for k, q, v in zip(y, p, x)) - 0.01 * a, sum(k - q for k, q in zip(y, p)) - 0.01 * b
+            haa, hab, hbb = sum(q * (1 - q) * (v / spread) ** 2 for q, v in zip(p, x)) + 0.01, sum(q * (1 - q) * v / spread for q, v in zip(p, x)), sum(q * (1 - q) for q in p) + 0.01
+            det = haa * hbb - hab * hab
+            a, b = a + (hbb * ga - hab * gb) / det, b + (haa * gb - hab * ga) / det
+        right = mean([float((a / spread * v + b > 0) == (k > 0)) for v, k in zip(x, y)])
+        fits.append((a / spread, b, min(max(2 * right - 1, 0.05), 1)))
+    for i, _, text in rows:
+        if not (text and re.search(r"[^\W\d_]", text)):
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0)
+            continue
+        t = list(grams(text))
+        z = [a * margin(t, w) + b for (a, b, _), w in zip(fits, weights)]
+        loss = {x: sum(trust * math.log1p(math.exp(-v if x in bit else v)) for v, (_, _, trust), bit in zip(z, fits, bits)) for x in langs}
+        best = min(loss, key=loss.get)
+        assert got[i]["lang_pred"] == best and abs(got[i]["score"] - 1 / sum(math.exp(loss[best] - v) for v in loss.values())) < 1e-3, i
+
+
 def test_language_edges(docs, spark):
     got = langcodes.identify(docs).collect()
     assert len(got) == len(DOCS) and {r["lang_pred"] for r in got if r["doc_id"] in (2, 3, 4)} == {"und"}
