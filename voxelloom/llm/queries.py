@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, hostrep, langcodes, linededup, piecetable, preference, projpass, simhash, warc, wrapper
+from . import decontam, hostrep, langcodes, linededup, merkle, nbsvm, piecetable, preference, projpass, resample, simhash, warc, wrapper
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +208,96 @@ from vectors left join lowest on row_id = lowest.a left join counted on row_id =
 @query
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrapper.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbsvm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned crc32 of a text's bytes: each byte is mixed in, then eight bits are shifted out."""
+    steps = f"list_concat([4294967295::bigint], flatten(list_transform(range(1, octet_length(encode({text})) + 1), lambda i: [('0x' || substr(hex(encode({text})), (2 * i - 1)::bigint, 2))::bigint, -1, -1, -1, -1, -1, -1, -1, -1])))"
+    return f"xor(list_reduce({steps}, lambda c, b: case when b >= 0 then xor(c, b) when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end), 4294967295::bigint)"
+
+
+ORACLE_SQL["op12_resample"] = rf"""
+with texts as (
+  select 0 as kind, row_number() over () as row_id, doc_id, coalesce(text, '') as text from documents
+  union all select 1, row_number() over (), null, coalesce(text, '') from benchmark
+), worded as (
+  select kind, row_id, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from texts
+), used as (
+  select kind, row_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) as feature from worded
+), hashed as (
+  select feature, {_crc32_sql("feature")} % 10000 as bucket from (select distinct feature from used)
+), counted as (
+  select bucket, count(*) filter (kind = 0) as s, count(*) filter (kind = 1) as t from used join hashed using (feature) group by bucket
+), gains as (
+  select bucket, floor(1000 * ln(((t + 1)::double * ((select sum(s) from counted) + 10000)::double) / ((s + 1)::double * ((select sum(t) from counted) + 10000)::double))) as gain from counted
+), weights as (
+  select row_id, count(*) as n_features, floor(sum(gain) / count(*))::bigint as weight from used join hashed using (feature) join gains using (bucket) where kind = 0 group by row_id
+), scored as (
+  select doc_id, len(w) as n_words, coalesce(n_features, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+    coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score
+  from worded left join weights using (row_id) where kind = 0
+), ranked as (
+  select *, case when n_words >= 20 then row_number() over (partition by n_words >= 20 order by score desc, doc_id nulls first, n_features, weight) end as nth from scored
+)
+select doc_id, n_features, weight, score, case when nth <= (select count(*) * 25 // 100 from scored where n_words >= 20) then nth end::bigint as rank from ranked
+"""
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def _leaf_sql(text: str) -> str:
+    sized = lambda c: f"coalesce(octet_length(encode({c}))::varchar || ':' || {c}, '-')"
+    return "sha256(" + " || ".join([sized("doc_id::varchar"), sized("source"), sized("lang"), sized("n_chars::varchar"), sized(text)]) + ")"
+
+
+ORACLE_SQL["op13_merkle"] = f"""
+with recursive leaves as (
+  select row_number() over () as row_id, doc_id, source, {_leaf_sql("text")} as leaf,
+    case when {_crc32_sql("coalesce(doc_id::varchar, '')")} % 5 = 0 and doc_id is not null then {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} end as forged
+  from documents
+), placed as (
+  select *, dense_rank() over (order by source nulls first) - 1 as g, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by source) as n from leaves
+), nodes(g, level, pos, n, digest) as (
+  select g, 0, pos, n, leaf from placed
+  union all select g, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' order by pos)) from nodes where n > 1 group by g, level, pos // 16, n
+), subroots as (
+  select g, digest as subroot, count(*) over () as groups from nodes where n = 1
+), above(level, pos, n, digest) as (
+  select 0, g, groups, subroot from subroots
+  union all select level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' order by pos)) from above where n > 1 group by level, pos // 16, n
+), every as (
+  select g, level, pos, n, digest from nodes where n > 1 union all select -1, level, pos, n, digest from above where n > 1
+), sides as (
+  select g, level, pos,
+    coalesce(string_agg(digest, '') over (partition by g, level, pos // 16 order by pos rows between unbounded preceding and 1 preceding), '') as before,
+    coalesce(string_agg(digest, '') over (partition by g, level, pos // 16 order by pos rows between 1 following and unbounded following), '') as after
+  from every
+), steps as (
+  select row_id, row_number() over (partition by row_id order by own desc, level) as nth, before, after from (
+    select row_id, 1 as own, level, before, after from placed p join sides s on s.g = p.g and s.pos = p.pos >> (4 * level)::bigint
+    union all select row_id, 0, level, before, after from placed p join sides s on s.g = -1 and s.pos = p.g >> (4 * level)::bigint
+  )
+), fold(row_id, nth, forged) as (
+  select row_id, 0::bigint, coalesce(forged, leaf) from placed
+  union all select f.row_id, f.nth + 1, sha256(s.before || f.forged || s.after) from fold f join steps s on f.row_id = s.row_id and s.nth = f.nth + 1
+), folded as (
+  select row_id, arg_max(forged, nth) as folded_root from fold group by row_id
+), proofs as (
+  select row_id, string_agg(before || after, '' order by nth) as proof from steps group by row_id
+)
+select doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) as proof_sha256, folded_root, folded_root = root as verified
+from placed join subroots using (g) join folded using (row_id) left join proofs using (row_id), (select digest as root from above where n = 1)
+"""
