@@ -153,12 +153,55 @@ def test_warc_of_others(spark, tmp_path):
     (tmp_path / "a" / "broken.warc").write_bytes(records[0] + b"junk\r\n\r\n" + records[1])
     (tmp_path / "a" / "other.warc").write_bytes(b"junk\r\n\r\n" + records[1])
     got = {}
-    for r in warc.read(spark, str(tmp_path / "a")).orderBy("file", "pos").collect():
+    with pytest.raises(ValueError, match=r"end of .*\.warc"):
+        warc.read(spark, str(tmp_path / "a"))
+    for r in warc.read(spark, str(tmp_path / "a"), broken="keep").orderBy("file", "pos").collect():
         got.setdefault(r["file"].rsplit("/", 1)[1], []).append((r["kind"], None if r["payload"] is None else bytes(r["payload"])))
     whole = [("warcinfo", None), ("response", body), ("response", b""), ("request", None)]
     assert got == {"one.warc": whole, "two.warc.gz": whole, "cut.warc": whole[:1], "broken.warc": whole[:1]}
 
 
+def test_warc_finds_magic_wherever_a_buffer_ends(spark, tmp_path):
+    """The next magic at every offset around a reader's buffer and a range's border, after payloads that end like a blank line."""
+
+    def record(block):
+        return f"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+    want = {}
+    for ending in (b"", b"\r", b"\r\n", b"\r\n\r\n", b"\r\n\r\n\r\n", b"\r\n\r\nWARC/1"):
+        for at in range(65530, 65547):
+            n = at - (len(record(b"x" * (at - 100))) - (at - 100))
+            block = b"H\r\n\r\n" + b"x" * (n - 5 - len(ending)) + ending
+            assert len(record(block)) == at
+            blocks = [block, b"H\r\n\r\nb" + ending, b"H\r\n\r\nc" + ending]
+            (tmp_path / f"{len(want)}.warc").write_bytes(b"".join(map(record, blocks)))
+            want[f"{len(want)}.warc"] = [b[5:] for b in blocks]
+    for size in ("128m", "65541", "20000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = {}
+            for r in warc.read(spark, str(tmp_path)).orderBy("file", "pos").collect():
+                got.setdefault(r["file"].rpartition("/")[2], []).append(bytes(r["payload"]))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert got == want, size
+
+
+def test_warc_of_pages_that_end_like_blank_lines(spark, tmp_path):
+    """Whole round trips of odd rows: nulls, empty and long pages, repeated rows, magic and blank lines, columns with clashing names."""
+    texts = [None, "", "x" * 200_000, "x" * 65_400 + "\r\n", "</html>\r\n\r\n", "\r\n\r\nWARC/1.1\r\n", "WARC/1.", "\r\n\r\n" * 3, "é\r"]
+    rows = [(i, f"http://h/{i}", t, "f", 1, 2, 3, "k") for i, t in enumerate(texts)] + [(3, "u", texts[3], "f", 1, 2, 3, "k"), (None, None, "no id\r\n", "f", 1, 2, 3, "k"), (None, None, None, "f", 1, 2, 3, "k")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, file string, range int, pos int, first_id int, digest string").repartition(2)
+    got = sorted(((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.round_trip(pages, str(tmp_path / "w")).collect()), key=repr)
+    raw = [(r[0], (r[2] or "").encode()) for r in rows]
+    first = {b: min((i for i, x in raw if x == b and i is not None), default=None) for _, b in raw}
+    want = []
+    for i, b in raw:
+        again = first[b] is not None and i != first[b]
+        want.append((i, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "revisit" if again else "response", first[b] if again else None))
+    assert got == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize("bound", [0, 64 << 20])
 def test_warc_rows_of_one_id_keep_their_payloads(spark, tmp_path, monkeypatch, bound):
     monkeypatch.setattr(warc, "BROADCAST_BYTES", bound)

@@ -4,8 +4,9 @@ Writing: every page becomes one record of an uncompressed archive; equal payload
 are stored once, as the response of the smallest id, and others are revisits.
 
 Reading: the magic `WARC/1.` after a blank line may be a record's start or stand in
-a payload. Spark's text reader, with blank line and magic as its separator, deals byte ranges of the archives to tasks, whatever
-a file's size; each piece between two separators is a candidate, and its header's Content-Length gives its successor's offset. Only
+a payload. Spark's text reader, with the magic as its separator, deals byte ranges of the archives to tasks, whatever
+a file's size; each piece between two separators that follows a blank line is a candidate, and its header's Content-Length gives its successor's offset. No end
+of the magic is a beginning of it, so the reader finds every one, wherever its buffers end; blank lines, which can overlap themselves, are looked for in the pieces. Only
 candidates that the chain from a file's start reaches are records. Within a range, stretches of candidates that follow each other are one link of
 the chain; over the borders of ranges and past magic in payloads, pointer jumping doubles the known part of every chain each round.
 A record whose payload holds the magic is put together again from its pieces.
@@ -21,7 +22,6 @@ from .shared import drop, materialize, new_path, remove, temporary, written_byte
 DATE = "2024-01-01T00:00:00Z"
 CRLF = "\r\n"
 MAGIC = "WARC/1."
-SEPARATOR = CRLF * 2 + MAGIC
 #: Bytes of the table of revisits up to which it is broadcast; a larger one is joined by a shuffle of the pages.
 BROADCAST_BYTES = 64 << 20
 #: Bytes of an archive in which pieces are matched with the record they belong to at once.
@@ -88,22 +88,24 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
 def candidates(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
     """Every piece of the archives under `path` between two separators: file, pos, at, stop, next, and what its header says, as if it were a record.
 
-    pos is the magic's offset, the piece's bytes are at to stop; next, null if there is no well-formed header, is the successor's offset by the header. A response's digest and size are
+    pos is the magic's offset, -1 of what stands before a file's first magic, the piece's bytes are at to stop; next, null if there is no well-formed header after a blank line, is the successor's offset by the header. A response's digest and size are
     computed anew if its bytes are all in the piece (`whole`); a revisit's are those its header states. `payload` is there if asked for, null
     for revisits. Offsets are sums of what ranges hold: a range's narrow rows are summed in its group, ranges of a file in theirs.
     """
     found = materialize(_pieces(spark, path, payloads), "warc-pieces")
     inside = Window.partitionBy("file", "range").orderBy("nth")
-    length = F.col("bytes") + len(SEPARATOR)
-    sums = found.groupBy("file", "range").agg(F.sum(length).alias("sum"))
-    sums = sums.withColumn("before", F.sum("sum").over(Window.partitionBy("file").orderBy("range")) - F.col("sum")).drop("sum")
+    length = F.col("bytes") + len(MAGIC)
+    # what ranges before hold, and whether the piece before a range's first ends with a blank line
+    ranges = Window.partitionBy("file").orderBy("range")
+    sums = found.groupBy("file", "range").agg(F.sum(length).alias("sum"), F.max_by("blank", "nth").alias("last"))
+    sums = sums.select("file", "range", (F.sum("sum").over(ranges) - F.col("sum")).alias("before"), F.lag("last").over(ranges).alias("last"))
     placed = found.join(sums.hint("merge"), ["file", "range"]).withColumn("at", F.col("before") + F.sum(length).over(inside) - length)
-    first = F.col("at") == 0
-    well = F.when(first, F.col("opens")).otherwise(F.col("goes_on")) & F.col("block").isNotNull()
+    placed = placed.withColumn("after", F.coalesce(F.lag("blank").over(inside), F.col("last"), F.lit(False)))
+    well = (F.col("after") | (F.col("at") == len(MAGIC))) & F.col("opens") & F.col("block").isNotNull()
     end = F.col("at") + F.col("head") + F.col("block") + 4
     columns = ["kind", "record_id", "refers_to", "digest", "payload_bytes", "whole", *["payload"] * payloads]
     placed = placed.select(
-        "file", "range", "nth", "mark", "at", (F.col("at") + F.col("bytes")).alias("stop"), F.when(first, F.lit(0)).otherwise(F.col("at") - len(MAGIC)).cast("long").alias("pos"), F.when(well, end).alias("next"), "head", "block", *columns
+        "file", "range", "nth", "mark", "at", (F.col("at") + F.col("bytes")).alias("stop"), F.greatest(F.col("at") - len(MAGIC), F.lit(-1)).cast("long").alias("pos"), F.when(well, end).alias("next"), "head", "block", *columns
     )
     out = materialize(placed, "warc-candidates")
     drop(found)
@@ -111,8 +113,8 @@ def candidates(spark: SparkSession, path: str, payloads: bool = False) -> DataFr
 
 
 def _pieces(spark: SparkSession, path: str, payloads: bool) -> DataFrame:
-    """(file, range, nth, mark, bytes, opens, goes_on, head, block, and what the header says) of each piece; range is where its byte range starts, nth its order there."""
-    rows = spark.read.option("lineSep", SEPARATOR).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"))
+    """(file, range, nth, mark, bytes, blank, opens, head, block, and what the header says) of each piece; range is where its byte range starts, nth its order there, blank whether it ends with a blank line."""
+    rows = spark.read.option("lineSep", MAGIC).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"))
     rows = rows.withColumn("nth", F.monotonically_increasing_id())
     # functions of strings that find ASCII, and substrings of the bytes: pieces need not be valid UTF-8
     header = F.substring_index("value", CRLF * 2, 1)
@@ -126,7 +128,7 @@ def _pieces(spark: SparkSession, path: str, payloads: bool) -> DataFrame:
     none = F.lit(None).cast("string")
     stated = F.regexp_replace(field("warc-payload-digest"), "^sha1:", "")
     return rows.select(
-        "file", "range", "nth", F.xxhash64("value").alias("mark"), "bytes", F.col("value").rlike(r"\AWARC/1\.[01]\r\n").alias("opens"), F.col("value").rlike(r"\A[01]\r\n").alias("goes_on"), "head", "block",
+        "file", "range", "nth", F.xxhash64("value").alias("mark"), "bytes", (F.substring(raw, -4, 4) == F.lit(b"\r\n\r\n")).alias("blank"), F.col("value").rlike(r"\A[01]\r\n").alias("opens"), "head", "block",
         *[F.when(c != "", c).otherwise(none).alias(n) for n, c in (("kind", F.col("kind")), ("record_id", field("warc-record-id")), ("refers_to", field("warc-refers-to")))],
         F.when(F.col("payload").isNotNull(), payload_digest(F.col("payload"))).otherwise(stated).alias("digest"),
         F.when(F.col("payload").isNotNull(), F.octet_length("payload").cast("long")).otherwise(F.coalesce(number(field("x-payload-length")), F.lit(0))).alias("payload_bytes"),
@@ -190,21 +192,30 @@ def _mended(spark: SparkSession, path: str, chain: DataFrame, true: DataFrame) -
     order = Window.partitionBy("file", "cell").orderBy("place", "is_piece").rowsBetween(Window.unboundedPreceding, 0)
     parts = starts.unionByName(own).withColumn("owner", F.last("owner", ignorenulls=True).over(order)).where("is_piece = 1 and place < owner.next")
     parts = materialize(parts.select("file", "range", "mark", "place", F.col("owner.pos").alias("pos")), "warc-parts")
-    bytes_of = spark.read.option("lineSep", SEPARATOR).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"))
+    bytes_of = spark.read.option("lineSep", MAGIC).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"))
     bytes_of = bytes_of.withColumn("mark", F.xxhash64("value")).join(parts.select("file", "range", "mark").distinct().hint("merge"), ["file", "range", "mark"], "left_semi").dropDuplicates(["file", "range", "mark"])
     whole = parts.join(bytes_of.hint("merge"), ["file", "range", "mark"]).groupBy("file", "pos").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("parts"))
     whole = whole.join(broken.select("file", "pos", "head", "block").hint("merge"), ["file", "pos"])
-    return whole.select("file", "pos", _payload(F.array_join(F.col("parts.value"), SEPARATOR).cast("binary"), F.col("head"), F.col("block")).alias("mended"))
+    return whole.select("file", "pos", _payload(F.array_join(F.col("parts.value"), MAGIC).cast("binary"), F.col("head"), F.col("block")).alias("mended"))
 
 
-def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+def read(spark: SparkSession, path: str, payloads: bool = True, broken: str = "raise") -> DataFrame:
     """The records of all archives under `path`: file, pos, next, kind, record_id, refers_to, digest, payload_bytes and, if asked for, payload.
 
-    Files may have any size and lie wherever Spark reads text. A last record must be complete. A record of more than 2 GB is beyond a row of Spark.
+    Files may have any size and lie wherever Spark reads text. A file whose chain of records does not reach its end raises ValueError; with
+    `broken="keep"` it gives the complete records that its start reaches. An empty file has no record. A record of more than 2 GB is beyond a row of Spark.
     """
+    if broken not in ("raise", "keep"):
+        raise ValueError(f"broken is {broken!r}, not raise or keep")
     chain = candidates(spark, path, payloads)
     ends = chain.groupBy("file").agg(F.max("stop").alias("file_end"))
-    true = chain.join(reachable(chain).select("file", "pos").hint("merge"), ["file", "pos"], "left_semi")
+    reached = materialize(reachable(chain), "warc-reached")
+    if broken == "raise":
+        last = reached.groupBy("file").agg(F.max("next").alias("last"))
+        cut = ends.join(last, "file", "left").where("last is null or last <> file_end").select("file").limit(5).collect()
+        if cut:
+            raise ValueError(f"the records do not reach the end of {', '.join(r['file'] for r in cut)}")
+    true = chain.join(reached.select("file", "pos").hint("merge"), ["file", "pos"], "left_semi")
     # what the header announces must be there
     true = true.join(ends.hint("merge"), "file").where(F.col("next") <= F.col("file_end"))
     if not true.where("not whole").isEmpty():
