@@ -286,6 +286,19 @@ def test_language_edges(docs, spark):
     assert {r["lang_pred"] for r in nothing} == {"und"}
 
 
+def test_two_thousand_languages(spark):
+    """As many languages as there are words of three letters here: planned, learned and told apart."""
+    letters = "abcdefghijklm"
+    names = [a + b + c for a in letters for b in letters for c in letters][:2000]
+    rows = [(k, f"{n} {n}{n} " * 3, n) for k, n in enumerate(names)]
+    rows += [(len(names) + k, f"{n} {n}{n} " * 3, n) for k, n in enumerate(names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langcodes.identify(docs, keep=("lang",)).select("held_out", "lang_pred", F.col("row.lang").alias("lang")).collect()
+    learned = {r["lang"] for r in got if not r["held_out"]}
+    assert len(got) == 4000 and len(learned) > 1700
+    assert sum(r["lang"] == r["lang_pred"] for r in got if r["lang"] in learned) > 0.9 * sum(r["lang"] in learned for r in got)
+
+
 def test_alignment_equals_plain_smith_waterman():
     rng = np.random.default_rng(2)
     for _ in range(200):

@@ -15,8 +15,8 @@ from .shared import materialize
 
 #: Buckets that byte trigrams are hashed into, and documents of each language that are learned from, about.
 BUCKETS, SAMPLE = 1 << 15, 600
-#: Languages up to which every split of them is a code bit; bits for each doubling beyond; most languages.
-EXHAUSTIVE, BITS, MOST_LANGUAGES = 7, 10, 1000
+#: Languages up to which every split of them is a code bit; bits for each doubling beyond; documents of the sample that calibrate the bits, about.
+EXHAUSTIVE, BITS, CALIBRATION = 7, 10, 20_000
 #: Difference of the two smallest decoding losses, as a share of the bits' weights, below which a prediction is ambiguous.
 AMBIGUOUS = 0.02
 _PLAIN = bytes(c | 0x20 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -78,7 +78,7 @@ class Model:
         if not has_letter(text) or not self.languages:
             return "und", 0.0, True
         z = self.slope * self.margins(text) + self.offset
-        losses = (self.trust * np.logaddexp(0, -self.code * z)).sum(axis=1)
+        losses = (self.code > 0) @ (self.trust * np.logaddexp(0, -z)) + (self.code < 0) @ (self.trust * np.logaddexp(0, z))
         order = np.argsort(losses, kind="stable")
         odds = np.exp(losses[order[0]] - losses)
         ambiguous = len(order) > 1 and losses[order[1]] - losses[order[0]] < AMBIGUOUS * self.trust.sum()
@@ -101,39 +101,53 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from (lang, text) rows; a column `pick` of evenly spread longs chooses about `sample` whole documents of each language.
 
     Languages with fewer documents are taken whole. Rows whose lang is null or whose text has no letter teach
-    nothing. What reaches the driver is bounded by the sample and the number of languages, of which at
-    most MOST_LANGUAGES are accepted.
+    nothing. What reaches the driver is one number and, one after the other, one vector of counts for each language, of which there may be any number, and the margins of
+    about CALIBRATION documents.
     """
     rows = rows.where("lang is not null and text is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).toLocalIterator()}
     languages = sorted(sizes)
     code = code_matrix(len(languages))
     none = Model(languages, code, np.zeros((BUCKETS, code.shape[1]), np.float32), np.ones(code.shape[1]), np.zeros(code.shape[1]), np.ones(code.shape[1]))
     if len(languages) < 2:
         return none
-    share = F.lit(0.0)
-    for lang in languages:
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / sizes[lang]))).otherwise(share)
-    chosen = rows.where(F.pmod("pick", F.lit(1 << 30)) < share * (1 << 30)).select("lang", "text").repartition(8)
-    chosen = materialize(chosen, "language-sample")
+    # one row a language, as the driver's own table
+    shares = rows.sparkSession.createDataFrame([(lang, min(1.0, sample / n)) for lang, n in sizes.items()], "lang string, share double")
+    chosen = rows.join(F.broadcast(shares), "lang").where(F.pmod("pick", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    chosen = materialize(chosen.select("lang", "text", "pick").repartition(8), "language-sample")
     position = {lang: i for i, lang in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(position), BUCKETS), np.int64)
+        """Languages come one after the other, so a task holds the counts of one."""
+        own, total = None, np.zeros(BUCKETS, np.int64)
+        row = lambda: pa.RecordBatch.from_arrays([pa.array([own]), pa.array([total.tobytes()], pa.binary())], names=["lang", "counts"])
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if lang != own:
+                    if own is not None:
+                        yield row()
+                    own, total = lang, np.zeros(BUCKETS, np.int64)
                 for h in trigrams(text):
-                    total[position[lang]] += np.bincount(h, minlength=BUCKETS)
-        at = np.flatnonzero(total.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([total[i].tobytes() for i in at], pa.binary())], names=["at", "counts"])
-
-    counts = np.zeros((len(languages), BUCKETS))
-    for r in chosen.mapInArrow(count, "at int, counts binary").toLocalIterator():
-        counts[r["at"]] += np.frombuffer(r["counts"], np.int64)
-    rates = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True)
-    weights = np.stack([np.log(rates[bit > 0].mean(axis=0)) - np.log(rates[bit < 0].mean(axis=0)) for bit in code.T], axis=1).astype(np.float32)
+                    total += np.bincount(h, minlength=BUCKETS)
+        if own is not None:
+            yield row()
+
+    # sums of the languages' rates on either side of each bit; a language whose documents have no letter has even rates
+    sums, left = np.zeros((2, code.shape[1], BUCKETS)), set(languages)
+
+    def add(lang: str, rate: np.ndarray) -> None:
+        left.discard(lang)
+        bits = code[position[lang]]
+        for side, on in enumerate((bits > 0, bits < 0)):
+            sums[side][on] += rate
+
+    ordered = chosen.select("lang", "text").repartition("lang").sortWithinPartitions("lang")
+    for r in ordered.mapInArrow(count, "lang string, counts binary").toLocalIterator():
+        rate = np.frombuffer(r["counts"], np.int64) + 0.5
+        add(r["lang"], rate / rate.sum())
+    for lang in sorted(left):
+        add(lang, np.full(BUCKETS, 1 / BUCKETS))
+    weights = np.ascontiguousarray((np.log(sums[0].T / (code > 0).sum(axis=0)) - np.log(sums[1].T / (code < 0).sum(axis=0))).astype(np.float32))
     model = Model(languages, code, weights, none.slope, none.offset, none.trust)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +155,9 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
             m = [model.margins(t).tolist() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(m, pa.list_(pa.float64()))], names=["lang", "m"])
 
-    seen = chosen.mapInArrow(measure, "lang string, m array<double>").collect()
+    some = min(1.0, CALIBRATION / sum(min(n, sample) for n in sizes.values()))
+    some = chosen.where(F.pmod(F.xxhash64("pick"), F.lit(1 << 30)) < some * (1 << 30))
+    seen = some.mapInArrow(measure, "lang string, m array<double>").collect()
     if not seen:
         return none
     bits = code[[position[r["lang"]] for r in seen]] > 0
