@@ -8,6 +8,7 @@ The model is learned from a bounded sample of labelled documents, in one task fo
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -105,7 +106,7 @@ def _ids(row: np.ndarray) -> np.ndarray:
 
 
 def _row(bits: bytes) -> np.ndarray:
-    packed = np.frombuffer(bits, np.uint8)
+    packed = np.frombuffer(zlib.decompress(bits), np.uint8)
     ids = np.flatnonzero(np.unpackbits(packed, count=BUCKETS)).astype(np.int32)
     return packed if ids.nbytes > packed.nbytes else ids
 
@@ -192,7 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for text in batch.column(1):
                 seen = np.zeros(BUCKETS, bool)
                 seen[indicators(text.as_py())] = True
-                bits.append(np.packbits(seen).tobytes())
+                bits.append(zlib.compress(np.packbits(seen).tobytes(), 1))  # a bit a bucket at most
             yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:5], pa.array(bits, pa.binary())], names=["id", "good", "mark", "text_mark", "bits"])
 
     texts = texts.select("id", "text", "good", "mark", F.xxhash64("text").alias("text_mark"))
