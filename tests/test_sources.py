@@ -5,6 +5,7 @@ import os
 import re
 import struct
 import time
+import zlib
 
 import numpy as np
 import pytest
@@ -14,7 +15,7 @@ from tests.test_voxels import ARRAY, AXES, C, T, X, Y, Z, array_of
 from voxelloom import model, pipeline
 from voxelloom.operators.names import DYES
 from voxelloom.operators.voxels import Roi
-from voxelloom.sources import metadata, omexml, profile, tiff, zarr
+from voxelloom.sources import metadata, omexml, pages, profile, tiff, zarr
 from voxelloom.streaming import queue
 
 
@@ -99,6 +100,97 @@ def test_ome_pages_are_pushed_down_in_files_beyond_2_gb(spark, tmp_path):
     assert bytes(one.first()["data"]) == v[1].tobytes() and one.count() == 1 and rows.where("c = 5").count() == 0
 
 
+def test_pages_are_found_by_an_index(spark, planes, tmp_path):
+    """Once there is an index, pages are read without directories or XML; it is built again when files change, and comparisons prune it."""
+    folder = str(tmp_path)
+    tiff.write_ome(planes, folder)
+    found = pages.page_index(spark, folder)
+    assert found.count() == T * Z * C and {r["file"] for r in found.collect()} == {f"a_{t}.ome.tif" for t in range(T)}
+    rows = tiff.read_ome(spark, folder)
+    assert (array_of(model.voxels(rows), *AXES) == ARRAY).all()
+    state = os.path.join(folder, pages.INDEX, ".state")
+    before = os.stat(state).st_mtime_ns
+    for t in range(T):  # no directory stands where the header says
+        path = os.path.join(folder, f"a_{t}.ome.tif")
+        times = os.stat(path)
+        with open(path, "r+b") as f:
+            f.seek(4)
+            f.write(b"\xff\xff\xff\x7f")
+        os.utime(path, ns=(times.st_atime_ns, times.st_mtime_ns))
+    rows = tiff.read_ome(spark, folder)
+    assert os.stat(state).st_mtime_ns == before and (array_of(model.voxels(rows), *AXES) == ARRAY).all()
+    for where in ("t > 0 and z <= 1", "t >= 1 and t < 2 and c in (1, 3)", "t = 0 and z > 90"):
+        some, want = rows.where(where), planes.where(where)
+        assert sorted((r["t"], r["z"], r["c"], bytes(r["data"])) for r in some.collect()) == sorted((r["t"], r["z"], r["c"], bytes(r["data"])) for r in want.collect())
+    assert rows.where("t >= 1").rdd.getNumPartitions() == T - 1 and rows.where("z > 90").count() == 0
+    os.remove(os.path.join(folder, "a_0.ome.tif"))
+    tiff.write_ome(planes, folder)
+    assert tiff.read_ome(spark, folder).where("t = 1").count() == Z * C and os.stat(state).st_mtime_ns != before
+
+
+def test_index_of_many_pages_and_nested_folders(spark, tmp_path):
+    """A hundred thousand pages in one file, and files further down; names with signs that XML escapes."""
+    n = 100_000
+    name = "a&b_MMStack_Pos0.ome.tif"
+    text = tiff.ome_text((n // 10, 5, 2, 1, 1), "NAME").replace("NAME", "a&amp;b_MMStack_Pos0.ome.tif")
+    v = np.arange(n, dtype="<u4").reshape(n, 1, 1)
+    deep = tmp_path / "d" / "e"
+    deep.mkdir(parents=True)
+    (deep / name).write_bytes(tiff.encode(v, text, big=True))
+    assert pages.page_index(spark, str(tmp_path)).count() == 0
+    assert pages.page_index(spark, str(tmp_path), recursive=True).count() == n
+    rows = tiff.read_ome(spark, str(tmp_path), recursive=True)
+    one = rows.where("t = 7777 and z = 3 and c = 1")
+    assert [int.from_bytes(r["data"], "little") for r in one.collect()] == [(7777 * 5 + 3) * 2 + 1] and one.first()["dataset"] == "a&b_MMStack_Pos0"
+    assert one.rdd.getNumPartitions() <= pages.GROUP // pages.PAGES
+
+
+def lzw(data, clear_at=4094):
+    """Codes of the TIFF specification's encoder, packed highest bit first."""
+    bits, width, table, held = [], 9, {bytes([k]): k for k in range(256)}, b""
+    put = lambda code: bits.append(f"{code:0{width}b}")
+    put(256)
+    for k in range(len(data)):
+        b = data[k : k + 1]
+        if held + b in table:
+            held += b
+            continue
+        put(table[held])
+        table[held + b] = len(table) + 2
+        if len(table) + 2 > (1 << width) - 1:
+            width += 1
+        if len(table) + 2 > clear_at:
+            put(256)
+            table, width = {bytes([k]): k for k in range(256)}, 9
+        held = b
+    if held:
+        put(table[held])
+    width = min(12, max(width, (len(table) + 3).bit_length()))
+    put(257)
+    joined = "".join(bits)
+    return int(joined.ljust(-(-len(joined) // 8) * 8, "0"), 2).to_bytes(-(-len(joined) // 8), "big")
+
+
+def test_lzw_pages():
+    codes = "".join(f"{c:09b}" for c in (256, 7, 258, 8, 8, 258, 6, 6, 257)).ljust(88, "0")
+    assert tiff.unlzw(int(codes, 2).to_bytes(11, "big")) == bytes([7, 7, 7, 8, 8, 7, 7, 6, 6])
+    rng = np.random.default_rng(1)
+    for size, top in ((0, 2), (1, 2), (700, 2), (5000, 256), (40_000, 5), (60_000, 256)):
+        data = rng.integers(0, top, size).astype(np.uint8).tobytes()
+        assert tiff.unlzw(lzw(data)) == data, (size, top)
+    with pytest.raises(ValueError, match="broken"):
+        tiff.unlzw(int(f"{256:09b}{300:09b}".ljust(24, "0"), 2).to_bytes(3, "big"))
+    v = rng.integers(0, 60_000, (7, 9)).astype("<u2")
+    raw = v.tobytes()
+    steps = np.diff(v, axis=1, prepend=np.zeros((7, 1), "<u2")).astype("<u2").tobytes()
+    for packed, predictor, kind in ((lzw(raw), 1, "<u2"), (lzw(steps), 2, "<u2"), (zlib.compress(steps), 2, "<u2")):
+        page = tiff.Layout(7, 9, kind, tiff.LZW if packed != zlib.compress(steps) else tiff.DEFLATE, predictor, [3], [len(packed)])
+        assert (tiff.image_at(b"xyz" + packed, page) == v).all()
+    for bad in (tiff.Layout(7, 9, "<u2", 7, 1, [0], [1]), tiff.Layout(7, 9, "<f4", 1, 2, [0], [1]), tiff.Layout(7, 9, "<u2", 1, 3, [0], [1])):
+        with pytest.raises(ValueError, match="not supported"):
+            tiff.image_at(b"x", bad)
+
+
 def test_both_ways_of_reading_ome_agree(spark, planes, tmp_path):
     assert tiff.write_ome(planes, str(tmp_path)) == T
     rows = tiff.read_ome(spark, str(tmp_path))
@@ -110,7 +202,6 @@ def test_both_ways_of_reading_ome_agree(spark, planes, tmp_path):
 def test_ome_attributes_in_any_order(spark):
     text = """<OME:TiffData PlaneCount="1" IFD='4' FirstT="2" FirstC="1"><UUID FileName="a &amp; b.tif">x</UUID></OME:TiffData><TiffData FirstC="3"/><TiffData IFD="5" FirstZ="6"><UUID FileName="c.tif"/></TiffData>"""
     want = {(1, 0, 2, "a & b.tif", 4), (0, 6, 0, "c.tif", 5)}
-    assert omexml.frames_of(text) == want
     got = omexml.frame_map(spark.createDataFrame([(text,)], "xml string")).collect()
     assert {(r["c"], r["z"], r["t"], r["file"].replace("&amp;", "&"), r["ifd"]) for r in got} == want
 

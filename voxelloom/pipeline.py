@@ -17,7 +17,7 @@ from .model import map_volumes, volumes
 from .operators.names import DYES, active_outputs
 from .operators.tickets import iterations_for
 from .operators.voxels import SLOTS, Roi, needed_regions
-from .sources import tiff, zarr
+from .sources import pages, tiff, zarr
 from .streaming.queue import pending_consolidations
 
 
@@ -248,7 +248,9 @@ def handlers(spark: SparkSession) -> dict:
         source = tiff.read_ome(spark, folder)
         if p.get("timepoints"):
             source = source.where(F.col("t").isin([t - 1 for t in p["timepoints"]]))
-        channels = (source.agg(F.max("c")).first()[0] or 0) + 1
+        # the index knows the channels; no pixel is read for them
+        named = pages.page_index(spark, folder) if os.path.isdir(folder) else source
+        channels = (named.agg(F.max("c")).first()[0] or 0) + 1
         wanted = p.get("channels") or list(range(2 * channels))
         wanted = active_outputs(wanted, p.get("active_channels"))
         target = os.path.join(folder, job["baseName"])

@@ -14,7 +14,7 @@ from ..model import map_volumes, planes_of_volumes, volumes
 from ..model import voxels as explode_planes
 from ..operators import rois as R
 from ..session import scratch
-from ..sources import metadata, tiff, zarr
+from ..sources import metadata, pages, tiff, zarr
 from ..sources.driver import DEPTH, VOXELS_SQL, WIDTH, planes, table
 from ..streaming import queue
 
@@ -73,6 +73,16 @@ def ome_round_trip(spark, sf_dir):
     return _sums(tiff.read_ome(spark, folder))
 
 
+@query(f"""with {VOXELS_SQL}, n as (select max(z) + 1 as nz, max(c) + 1 as nc from vox)
+select t, z, c, (z * nc + c)::bigint as ifd, 8 as h, 8 as w, '<u2' as dtype, 128::bigint as bytes, 'embeddings_' || t || '.ome.tif' as file from (select distinct t from vox), n, range(nz) a(z), range(nc) b(c)""")
+def ome_page_index(spark, sf_dir):
+    """Where the pages of these files stand: one directory walk a file, joined with the frame maps."""
+    folder = scratch(spark, "ome-index")
+    tiff.write_ome(planes(spark, sf_dir), folder)
+    found = pages.page_index(spark, folder)
+    return found.select("t", F.col("z").cast("long").alias("z"), F.col("c").cast("long").alias("c"), "ifd", "h", "w", "dtype", F.aggregate("counts", F.lit(0).cast("long"), lambda a, n: a + n).alias("bytes"), "file")
+
+
 @query(_PLANES_SQL)
 def ome_whole_round_trip(spark, sf_dir):
     """The same from a path that only Spark's reader opens."""

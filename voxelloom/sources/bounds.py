@@ -1,0 +1,37 @@
+"""What pushed filters leave of integer coordinates: equality, IN and comparisons."""
+
+from __future__ import annotations
+
+from pyspark.sql.datasource import EqualTo, GreaterThan, GreaterThanOrEqual, In, LessThan, LessThanOrEqual
+
+
+class Bounds:
+    """Values and ranges that t, z and c may have. Spark checks every row again, so what isn't understood is passed over."""
+
+    def __init__(self, names: tuple[str, ...] = ("t", "z", "c")):
+        self.names, self.values, self.low, self.high = names, {}, {}, {}
+
+    def push(self, filters):
+        for f in filters:
+            name = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+            if name in self.names:
+                self._push(name, f)
+            yield f
+
+    def _push(self, name: str, f) -> None:
+        if isinstance(f, (EqualTo, In)):
+            found = {f.value} if isinstance(f, EqualTo) else set(f.value)
+            self.values[name] = self.values.get(name, found) & found
+        elif isinstance(f, (GreaterThan, GreaterThanOrEqual)):
+            self.low[name] = max(self.low.get(name, f.value), f.value + isinstance(f, GreaterThan))
+        elif isinstance(f, (LessThan, LessThanOrEqual)):
+            self.high[name] = min(self.high.get(name, f.value), f.value - isinstance(f, LessThan))
+
+    def allows(self, name: str, value: int) -> bool:
+        return self.meets(name, value, value)
+
+    def meets(self, name: str, first: int, last: int) -> bool:
+        """Whether some value from first to last is allowed."""
+        if first > self.high.get(name, last) or last < self.low.get(name, first):
+            return False
+        return name not in self.values or any(first <= v <= last for v in self.values[name])

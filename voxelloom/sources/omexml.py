@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import re
-from xml.sax.saxutils import unescape
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Sizes and steps where an attribute is missing.
 SIZES = {"SizeC": 1, "SizeZ": 1, "SizeT": 1}
 STEPS = {"PhysicalSizeX": 0.1, "PhysicalSizeY": 0.1, "PhysicalSizeZ": 1.0}
+# The references that XML has of its own, the ampersand's last.
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]
 #: A TiffData element with what it holds, or an empty one.
 ELEMENT = r"(?s)<(?:\w+:)?TiffData\b[^>]*?(?:/>|>.*?</(?:\w+:)?TiffData>)"
 #: Attributes of a frame, all but the file's name in the element's own tag.
@@ -30,23 +29,15 @@ def _attribute(name: str) -> str:
     return rf"""\b{name}\s*=\s*["']([^"']*)["']"""
 
 
-def frame_map(xml: DataFrame, column: str = "xml") -> DataFrame:
-    """(c, z, t, file, ifd), 0-based, of every frame the XML lists; a place that an element doesn't state is 0, and elements without a file name are left out."""
-    found = xml.select(F.explode(F.regexp_extract_all(column, F.lit(ELEMENT), F.lit(0))).alias("frame"))
+def frame_map(xml: DataFrame, column: str = "xml", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(c, z, t, file, ifd), 0-based, of every frame the XML lists; a place that an element doesn't state is 0, and elements without a file name are left out. With them come the columns in `keep`."""
+    found = xml.select(*keep, F.explode(F.regexp_extract_all(column, F.lit(ELEMENT), F.lit(0))).alias("frame"))
     places = {k: F.coalesce(F.regexp_extract("frame", _attribute(n), 1).try_cast("long"), F.lit(0)) for k, n in PLACES.items()}
-    found = found.withColumns({**places, "file": F.regexp_extract("frame", _attribute("FileName"), 1)}).where("file <> ''")
-    return found.select(*[F.col(k).cast("int").alias(k) for k in "czt"], "file", "ifd").distinct()
-
-
-def frames_of(text: str) -> set[tuple[int, int, int, str, int]]:
-    """The same of one text: (c, z, t, file, ifd)."""
-    out = set()
-    for element in re.finditer(ELEMENT, text):
-        name = re.search(_attribute("FileName"), element[0])
-        if name:
-            at = {k: int(m[1]) if (m := re.search(_attribute(n), element[0])) and m[1].isdigit() else 0 for k, n in PLACES.items()}
-            out.add((at["c"], at["z"], at["t"], unescape(name[1]), at["ifd"]))
-    return out
+    name = F.regexp_extract("frame", _attribute("FileName"), 1)
+    for mark, sign in ENTITIES:
+        name = F.replace(name, F.lit(mark), F.lit(sign))
+    found = found.withColumns({**places, "file": name}).where("file <> ''")
+    return found.select(*keep, *[F.col(k).cast("int").alias(k) for k in "czt"], "file", "ifd").distinct()
 
 
 def with_file_index(frames: DataFrame, disk: DataFrame) -> DataFrame:

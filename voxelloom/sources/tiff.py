@@ -1,8 +1,8 @@
 """TIFF files: codec, reading by Spark, a data source with pushdown, and writing.
 
 The codec handles classic and BigTIFF in both byte orders, grey pages in
-strips, uncompressed or deflate, and writes uncompressed or deflate little-endian pages. No other TIFF software is
-installed where this was built, so only round trips are tested.
+strips, uncompressed, deflate or LZW, with or without differences along rows, and writes uncompressed or deflate little-endian pages. No other TIFF software is
+installed where this was built, so only round trips and bytes made by hand are tested.
 """
 
 from __future__ import annotations
@@ -14,24 +14,27 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..model import PLANES, VOLUMES, pixels
+from .bounds import Bounds
 
 # The tags that matter, and bytes of each field type.
-WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, DESCRIPTION, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, SAMPLE_FORMAT = 256, 257, 258, 259, 262, 270, 273, 277, 278, 279, 339
+WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, DESCRIPTION, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, PREDICTOR, SAMPLE_FORMAT = 256, 257, 258, 259, 262, 270, 273, 277, 278, 279, 317, 339
 TYPE_BYTES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8, 13: 4, 16: 8, 17: 8, 18: 8}
 TYPE_CODES = {1: "B", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 13: "I", 16: "Q", 17: "q", 18: "Q"}
-NONE, DEFLATE, OLD_DEFLATE = 1, 8, 32946
+NONE, LZW, DEFLATE, OLD_DEFLATE = 1, 5, 8, 32946
+CLEAR, END = 256, 257
 
 
-def _directories(raw: bytes) -> Iterator[tuple[str, dict[int, tuple]]]:
+def directories(raw: bytes) -> Iterator[tuple[str, dict[int, tuple]]]:
     """(byte order, tags) of each page in turn."""
     order = {b"II": "<", b"MM": ">"}.get(raw[:2])
     if order is None:
@@ -62,27 +65,77 @@ def _directories(raw: bytes) -> Iterator[tuple[str, dict[int, tuple]]]:
         at = struct.unpack_from(order + ("Q" if big else "I"), raw, at + n * entry)[0]
 
 
-def _page(raw: bytes, order: str, tags: dict[int, tuple]) -> np.ndarray:
+class Layout(NamedTuple):
+    """Where a page's pixels stand and how they are packed."""
+
+    h: int
+    w: int
+    dtype: str
+    packing: int
+    predictor: int
+    offsets: Sequence[int]
+    counts: Sequence[int]
+
+
+def layout(order: str, tags: dict[int, tuple]) -> Layout:
     bits, form = tags.get(BITS, (1,))[0], tags.get(SAMPLE_FORMAT, (1,))[0]
     if tags.get(SAMPLES, (1,))[0] != 1 or bits % 8:
         raise ValueError("only grey pages of whole bytes are supported")
-    dtype = np.dtype(f"{order}{ {1: 'u', 2: 'i', 3: 'f'}[form] }{bits // 8}")
-    packing = tags.get(COMPRESSION, (NONE,))[0]
-    if packing not in (NONE, DEFLATE, OLD_DEFLATE):
-        raise ValueError(f"compression {packing} is not supported")
-    strips = [raw[a : a + n] for a, n in zip(tags[STRIP_OFFSETS], tags[STRIP_COUNTS])]
-    data = b"".join(zlib.decompress(s) if packing != NONE else s for s in strips)
-    return np.frombuffer(data, dtype).reshape(tags[HEIGHT][0], tags[WIDTH][0])
+    dtype = f"{order}{ {1: 'u', 2: 'i', 3: 'f'}[form] }{bits // 8}"
+    return Layout(tags[HEIGHT][0], tags[WIDTH][0], dtype, tags.get(COMPRESSION, (NONE,))[0], tags.get(PREDICTOR, (1,))[0], tags[STRIP_OFFSETS], tags[STRIP_COUNTS])
+
+
+def unlzw(data: bytes) -> bytes:
+    """Bytes of an LZW strip: codes of 9 to 12 bits, highest first; a code grows one entry before it must."""
+    table, width, out, held, bits, before = [], 9, [], 0, 0, None
+    for byte in data:
+        held, bits = held << 8 | byte, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code, held = held >> bits, held & (1 << bits) - 1
+        if code == END:
+            break
+        if code == CLEAR:
+            table, width, before = [bytes([k]) for k in range(256)] + [b"", b""], 9, None
+            continue
+        if code > len(table) or before is None and code >= len(table):
+            raise ValueError("a broken LZW strip")
+        entry = table[code] if code < len(table) else before + before[:1]
+        if before is not None and len(table) < 4096:
+            table.append(before + entry[:1])
+        out.append(entry)
+        before = entry
+        width = min(12, max(9, (len(table) + 1).bit_length()))
+    return b"".join(out)
+
+
+def image_at(raw: bytes, p: Layout) -> np.ndarray:
+    """A page's pixels, little-endian, read where they stand."""
+    if p.packing not in (NONE, LZW, DEFLATE, OLD_DEFLATE):
+        raise ValueError(f"compression {p.packing} is not supported")
+    dtype = np.dtype(p.dtype)
+    if p.predictor not in (1, 2) or p.predictor == 2 and dtype.kind == "f":
+        raise ValueError(f"predictor {p.predictor} is not supported")
+    unpack = {NONE: lambda s: s, LZW: unlzw}.get(p.packing, zlib.decompress)
+    data = b"".join(unpack(raw[a : a + n]) for a, n in zip(p.offsets, p.counts))
+    image = np.frombuffer(data, dtype)[: p.h * p.w].reshape(p.h, p.w)
+    if p.predictor == 2:
+        image = np.cumsum(image, axis=1, dtype=dtype.newbyteorder("="))
+    return image.astype(dtype.newbyteorder("<"))
+
+
+def _page(raw: bytes, order: str, tags: dict[int, tuple]) -> np.ndarray:
+    return image_at(raw, layout(order, tags))
 
 
 def decode(raw: bytes) -> np.ndarray:
     """All pages of one shape as (page, y, x), little-endian."""
-    v = np.stack([_page(raw, order, tags) for order, tags in _directories(raw)])
-    return v.astype(v.dtype.newbyteorder("<"))
+    return np.stack([_page(raw, order, tags) for order, tags in directories(raw)])
 
 
 def decode_page(raw: bytes, number: int) -> np.ndarray:
-    for k, (order, tags) in enumerate(_directories(raw)):
+    for k, (order, tags) in enumerate(directories(raw)):
         if k == number:
             return _page(raw, order, tags)
     raise IndexError(f"no page {number}")
@@ -90,7 +143,7 @@ def decode_page(raw: bytes, number: int) -> np.ndarray:
 
 def description(raw: bytes) -> str:
     """The first page's description: OME-XML, or ImageJ's key=value lines."""
-    return next(_directories(raw))[1].get(DESCRIPTION, ("",))[0]
+    return next(directories(raw))[1].get(DESCRIPTION, ("",))[0]
 
 
 def spacing(raw: bytes) -> float | None:
@@ -170,37 +223,30 @@ class _Part(InputPartition):
 
 
 class SeriesReader(DataSourceReader):
-    """One partition for each file of a series; equality and IN on t and c leave files out, on z pages."""
+    """One partition for each file of a series; equality, IN and comparisons on t and c leave files out, on z pages, which are read where they stand."""
 
     def __init__(self, folder: str):
-        self.folder, self.wanted = folder, {}
+        self.folder, self.bounds = folder, Bounds()
 
     def pushFilters(self, filters):  # noqa: N802
-        for f in filters:
-            if isinstance(f, (EqualTo, In)) and len(f.attribute) == 1 and f.attribute[0] in ("t", "z", "c"):
-                values = {f.value} if isinstance(f, EqualTo) else set(f.value)
-                name = f.attribute[0]
-                self.wanted[name] = self.wanted.get(name, values) & values
-            yield f  # Spark checks every row again
+        return self.bounds.push(filters)
 
     def partitions(self):
         parts = []
         for name in sorted(os.listdir(self.folder)):
             m = re.search(r"_C(\d+)_T(\d+)\.tif$", name, re.I)
-            if m and int(m[2]) in self.wanted.get("t", {int(m[2])}) and int(m[1]) in self.wanted.get("c", {int(m[1])}):
+            if m and self.bounds.allows("t", int(m[2])) and self.bounds.allows("c", int(m[1])):
                 parts.append(_Part(os.path.join(self.folder, name), int(m[2]), int(m[1])))
         return parts
 
     def read(self, partition):
         if not isinstance(partition, _Part):
             return
-        with open(partition.path, "rb") as f:
-            raw = f.read()
+        raw = mapped(partition.path)
         dataset = re.sub(r"_C\d+_T\d+\.tif$", "", os.path.basename(partition.path), flags=re.I)
-        for z, (order, tags) in enumerate(_directories(raw)):
-            if z in self.wanted.get("z", {z}):
+        for z, (order, tags) in enumerate(directories(raw)):
+            if self.bounds.allows("z", z):
                 image = _page(raw, order, tags)
-                image = image.astype(image.dtype.newbyteorder("<"))
                 yield dataset, partition.t, z, partition.c, *image.shape, image.dtype.str, image.tobytes()
 
 
@@ -236,64 +282,16 @@ def write_ome(planes: DataFrame, folder: str) -> int:
     return planes.join(sizes, "dataset").groupBy("dataset", "t").applyInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-#: Pages of one OME file that a task reads.
-PAGES = 64
-
-
-def _mapped(path: str) -> mmap.mmap:
+def mapped(path: str) -> mmap.mmap:
     """A file's bytes, read where they are used, whatever its size."""
     with open(path, "rb") as f:
         return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
 
 
-class _Pages(InputPartition):
-    def __init__(self, path: str, frames: list[tuple[int, int, int, int]]):
-        self.path, self.frames = path, frames
-
-
-class OmeReader(SeriesReader):
-    """Partitions of PAGES pages of a file, by the frame maps of all files in the folder; equality and IN on t, z and c leave pages out."""
-
-    def partitions(self):
-        from .omexml import frames_of
-
-        names = sorted(n for n in os.listdir(self.folder) if n.lower().endswith(".ome.tif"))
-        maps = set().union(*(frames_of(description(_mapped(os.path.join(self.folder, n)))) for n in names))
-        files: dict[str, list] = {}
-        for c, z, t, name, ifd in sorted(maps, key=lambda f: (f[3], f[4])):
-            if all(k in self.wanted.get(a, {k}) for a, k in (("t", t), ("z", z), ("c", c))):
-                files.setdefault(name, []).append((t, z, c, ifd))
-        return [_Pages(os.path.join(self.folder, n), files[n][k : k + PAGES]) for n in names if n in files for k in range(0, len(files[n]), PAGES)]
-
-    def read(self, partition):
-        if not isinstance(partition, _Pages):  # Spark plans one partition where filters leave none
-            return
-        dataset = re.sub(r"(_\d+)?\.ome\.tif$", "", os.path.basename(partition.path), flags=re.I)
-        raw, wanted = _mapped(partition.path), {}
-        for t, z, c, ifd in partition.frames:
-            wanted.setdefault(ifd, []).append((t, z, c))
-        for number, (order, tags) in enumerate(_directories(raw)):
-            for t, z, c in wanted.get(number, ()):
-                image = _page(raw, order, tags)
-                image = image.astype(image.dtype.newbyteorder("<"))
-                yield dataset, t, z, c, *image.shape, image.dtype.str, image.tobytes()
-            if number >= max(wanted):
-                break
-
-
-class OmeTiff(TiffSeries):
-    """`spark.read.format("ometiff").load(folder)`: plane rows of the OME files in a folder that all executors mount."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "ometiff"
-
-    def reader(self, schema) -> OmeReader:
-        return OmeReader(self.options["path"])
-
-
 def register(spark: SparkSession) -> None:
     """Make the data sources known; their filters need the session's pushdown for Python sources."""
+    from .pages import OmeTiff
+
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(TiffSeries)
     spark.dataSource.register(OmeTiff)
@@ -335,14 +333,17 @@ def ome_text(shape: tuple[int, int, int, int, int], name: str, first_t: int = 0)
     )
 
 
-def read_ome(spark: SparkSession, path: str) -> DataFrame:
+def read_ome(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """Plane rows of OME-TIFF files by the frame maps in their XML; files a map names but that aren't under `path` are left out.
 
-    In a folder that is mounted, pages are read where they stand in files of any size, and filters on t, z and c leave pages out. Elsewhere
-    Spark reads each file whole, of 2 GB at most.
+    In a folder that is mounted, an index of the pages is built beside the files, or used if it is up to date; pages are read where they stand in files of any size,
+    and filters on t, z and c leave pages out. Elsewhere Spark reads each file whole, of 2 GB at most.
     """
+    from . import pages
+
     if os.path.isdir(path):
         register(spark)
+        pages.build(spark, path, recursive)
         return spark.read.format("ometiff").load(path)
     return read_ome_whole(spark, path)
 
