@@ -8,6 +8,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from tests.test_voxels import ARRAY, AXES, C, T, X, Y, Z, array_of
 from voxelloom import model, pipeline
 from voxelloom.operators.names import DYES
 from voxelloom.operators.voxels import Roi
-from voxelloom.sources import metadata, omexml, pages, profile, tiff, zarr
+from voxelloom.sources import chunks, metadata, omexml, pages, profile, tiff, zarr
 from voxelloom.streaming import queue
 
 
@@ -191,6 +192,116 @@ def test_lzw_pages():
             tiff.image_at(b"x", bad)
 
 
+def blosc(data, size, block, codec, shuffle=True, split=True):
+    """A Blosc frame by its public description."""
+    flags = (1 if shuffle else 0) | (0 if split else 16) | codec << 5
+    name = {1: "lz4_raw", 2: "snappy", 3: None, 4: "zstd"}[codec]
+    starts, body = [], b""
+    head = 16 + 4 * -(-len(data) // block)
+    for k in range(0, len(data), block):
+        part = data[k : k + block]
+        if shuffle:
+            n = len(part) // size
+            part = np.frombuffer(part, np.uint8, n * size).reshape(n, size).T.tobytes() + part[n * size :]
+        streams = size if split and size <= 16 and block // size >= 128 and len(part) == block else 1
+        starts.append(head + len(body))
+        for j in range(streams):
+            raw = part[j * len(part) // streams : (j + 1) * len(part) // streams]
+            packed = zlib.compress(raw) if name is None else pa.Codec(name).compress(raw, asbytes=True)
+            packed = packed if len(packed) < len(raw) else raw
+            body += struct.pack("<i", len(packed)) + packed
+    out = struct.pack("<BBBBIII", 2, 1, flags, size, len(data), block, head + len(body))
+    return out + struct.pack(f"<{len(starts)}I", *starts) + body
+
+
+@pytest.mark.parametrize("codec", [1, 2, 3, 4])
+def test_blosc_frames(codec):
+    rng = np.random.default_rng(2)
+    for v in (np.arange(5000, dtype="<u2"), rng.integers(0, 9, 3001).astype("<u4"), rng.standard_normal(700), np.arange(9, dtype="u1"), rng.integers(0, 256, 4096).astype("u1")):
+        for shuffle in (True, False):
+            for split in (True, False):
+                assert chunks.unblosc(blosc(v.tobytes(), v.itemsize, 2048, codec, shuffle, split)) == v.tobytes()
+    assert chunks.unblosc(struct.pack("<BBBBIII", 2, 1, 2 | 1 << 5, 2, 4, 4, 20) + b"abcd") == b"abcd"
+    for flags in (0, 1 | 5 << 5, 4 | 1 << 5):
+        with pytest.raises(ValueError, match="not supported"):
+            chunks.unblosc(struct.pack("<BBBBIII", 2, 1, flags, 2, 4, 4, 20) + b"abcd")
+
+
+def test_zarr_array_is_written_in_two_phases(spark, planes, tmp_path):
+    folder, times = str(tmp_path / "z.zarr"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            times.add(b.num_rows)
+            yield b
+
+    assert zarr.write_planes(planes.mapInArrow(counted, model.PLANES), folder) == T * Z * C == times.value
+    (tmp_path / "z.zarr" / "note.json").write_text("{}")
+    whole = lambda: (array_of(model.voxels(zarr.read_planes(spark, folder)), *AXES) == ARRAY).all() and sorted(os.listdir(tmp_path)) == ["z.zarr"]
+
+    def killed(batches):
+        for b in batches:
+            yield b
+        os.kill(os.getpid(), 9)
+
+    bad = spark.createDataFrame([("a", 0, 0, 0, Y, X, "<u2", b"x")], model.PLANES)
+    other = planes.where("t = 0 and z = 0 and c = 0")
+    for rows in (planes.mapInArrow(killed, model.PLANES), bad, planes.unionByName(other.withColumn("dataset", F.lit("b"))), planes.unionByName(other.withColumn("dtype", F.lit("<i2"))), planes.where("false")):
+        with pytest.raises(Exception):
+            zarr.write_planes(rows, folder)
+        assert whole() and (tmp_path / "z.zarr" / "note.json").exists()
+    with pytest.raises(Exception, match="not added to"):
+        planes.write.format("zarr").mode("append").save(folder)
+    # read from the folder that is written, and the array's other files stay
+    assert zarr.write_planes(zarr.read_planes(spark, folder).where("t < 1"), folder, compress=True) == Z * C
+    assert (array_of(model.voxels(zarr.read_planes(spark, folder)), *AXES) == ARRAY[:1]).all() and (tmp_path / "z.zarr" / "note.json").exists()
+
+
+def test_zarr_scan_opens_what_filters_allow(spark, tmp_path):
+    """One of a thousand chunks: all others are no chunks at all, so opening one would fail."""
+    v = np.arange(10 * 10 * 10, dtype="<u2")
+    folder = str(tmp_path / "a.zarr")
+    zarr.write_planes(spark.createDataFrame([("a", int(i) // 100, int(i) // 10 % 10, int(i) % 10, 1, 1, "<u2", i.tobytes()) for i in v], model.PLANES), folder)
+    for name in os.listdir(folder):
+        if name != "3.7.2.0.0" and not name.startswith("."):
+            (tmp_path / "a.zarr" / name).write_bytes(b"no chunk")
+    rows = spark.read.format("zarr").load(folder)
+    one = rows.where("t = 3 and z > 6 and z <= 7 and c in (2, 40)")
+    assert one.rdd.getNumPartitions() == 1 and [(r["t"], r["z"], r["c"], bytes(r["data"])) for r in one.collect()] == [(3, 7, 2, v[372].tobytes())]
+    assert rows.where("t = 99").count() == 0
+    with pytest.raises(Exception):
+        rows.collect()
+
+
+def test_zarr_scan_of_others(spark, tmp_path):
+    """Chunks in y and x, axes of a store, missing chunks, fill values, separators, Blosc as other software writes it."""
+    v = np.arange(2 * 3 * 5 * 7 * 6, dtype=">u2").reshape(2, 3, 5, 7, 6)
+    store = tmp_path / "s.ome.zarr" / "0"
+    store.mkdir(parents=True)
+    (tmp_path / "s.ome.zarr" / ".zattrs").write_text(json.dumps({"multiscales": [{"axes": [{"name": a} for a in "tczyx"]}]}))
+    meta = {"zarr_format": 2, "shape": list(v.shape), "chunks": [1, 1, 2, 4, 5], "dtype": ">u2", "compressor": {"id": "blosc", "cname": "lz4", "clevel": 5, "shuffle": 1, "blocksize": 0}, "fill_value": 9, "order": "C", "filters": None, "dimension_separator": "/"}
+    (store / ".zarray").write_text(json.dumps(meta))
+    want = v.copy()
+    for k in np.ndindex(2, 3, 3, 2, 2):
+        part = np.zeros(meta["chunks"], ">u2")
+        cut = tuple(slice(i * n, (i + 1) * n) for i, n in zip(k, meta["chunks"]))
+        part[tuple(slice(0, n) for n in v[cut].shape)] = v[cut]
+        if k[:3] == (1, 2, 2) or k == (0, 0, 0, 1, 1):
+            want[cut] = 9
+            continue
+        path = store / "/".join(map(str, k))
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(blosc(part.tobytes(), 2, 64, 1))
+    zarr.register(spark)
+    rows = spark.read.format("zarr").load(str(store))
+    got = {(r["t"], r["c"], r["z"]): np.frombuffer(r["data"], r["dtype"]).reshape(r["h"], r["w"]) for r in rows.collect()}
+    assert len(got) == 30 and all((got[k] == want[k]).all() for k in got)
+    assert rows.where("z = 4").count() == 6 and spark.read.format("zarr").option("missing", "skip").load(str(store)).count() == 29
+    (store / ".zarray").write_text(json.dumps({**meta, "compressor": {"id": "lzma"}}))
+    with pytest.raises(Exception, match="not supported"):
+        spark.read.format("zarr").load(str(store)).collect()
+
+
 def test_both_ways_of_reading_ome_agree(spark, planes, tmp_path):
     assert tiff.write_ome(planes, str(tmp_path)) == T
     rows = tiff.read_ome(spark, str(tmp_path))

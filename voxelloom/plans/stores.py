@@ -99,6 +99,16 @@ def zarr_planes_round_trip(spark, sf_dir):
     return _sums(zarr.read_planes(spark, folder))
 
 
+@query(f"""with {VOXELS_SQL}, n as (select max(t) + 1 as nt, max(z) + 1 as nz, max(c) + 1 as nc from vox), sums as (select t, z, c, sum(v) as total from vox group by t, z, c)
+select t::int as t, z::int as z, c::int as c, coalesce(total, 0)::bigint as total from n, range(nt) a(t), range(nz) b(z), range(nc) d(c) left join sums using (t, z, c) where t >= 1 and t < 3 and z > 40 and c in (1, 4, 77)""")
+def zarr_scan(spark, sf_dir):
+    """A part of an array, opened by the chunks' names alone; planes without a chunk are 0."""
+    folder = scratch(spark, "scan.zarr")
+    zarr.write_planes(planes(spark, sf_dir), folder)
+    some = spark.read.format("zarr").load(folder).where("t >= 1 and t < 3 and z > 40 and c in (1, 4, 77)")
+    return explode_planes(some).groupBy("t", "z", "c").agg(F.sum("v").cast("long").alias("total"))
+
+
 @query(_PLANES_SQL)
 def zarr_volumes_round_trip(spark, sf_dir):
     """An array in slabs for each (t, c)."""

@@ -1,7 +1,7 @@
 """Zarr v2 arrays and OME-NGFF stores.
 
-Chunks are raw or zlib-compressed, C-ordered. Reading works on any file system Spark reads; writing and linking
-need a folder that all executors mount.
+Chunks are C-ordered, raw, zlib, gzip or Blosc (LZ4, Zstandard, zlib, Snappy; bytes shuffled or not); written are raw and zlib. Reading works on any file system
+Spark reads; writing, linking and the scan by chunk names (`chunks`) need a folder that all executors mount.
 """
 
 from __future__ import annotations
@@ -14,54 +14,35 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import PLANES, VOLUMES, pixels
 from ..operators.names import ranked_index
+from .chunks import CHUNK, Zarr, array_metadata, unpacked
 from .tiff import put
 
 # Default channel colours of a store, in order.
 COLOURS = ["00FF00", "FF00FF", "0000FF", "FF0000"]
 SLAB = 64
-CHUNK = re.compile(r"\d+(\.\d+)*")
 
 
-def array_metadata(shape: list[int], chunks: list[int], dtype: str, compress: bool = False) -> dict:
-    return {"zarr_format": 2, "shape": shape, "chunks": chunks, "dtype": dtype, "compressor": {"id": "zlib", "level": 1} if compress else None, "fill_value": 0, "order": "C", "filters": None}
-
-
-def _unpacked(data: bytes, meta: dict) -> np.ndarray:
-    packing = meta.get("compressor")
-    if packing and packing.get("id") not in ("zlib", "gzip"):
-        raise ValueError(f"compressor {packing} is not supported")
-    if meta.get("order", "C") != "C" or meta.get("filters"):
-        raise ValueError("only C-ordered chunks without filters are supported")
-    return np.frombuffer(zlib.decompress(data, 47) if packing else data, meta["dtype"]).reshape(meta["chunks"])
+def register(spark: SparkSession) -> None:
+    """Make `format("zarr")` known; its filters need the session's pushdown for Python sources."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(Zarr)
 
 
 def write_planes(planes: DataFrame, folder: str, compress: bool = False) -> int:
     """Write one (t, z, c, y, x) array with a chunk for each plane; how many chunks. Planes that are missing read as 0.
 
-    Chunks of an array that was there before are removed first, so planes can't be read from the folder they are written to.
+    An array that was there before stays whole until the new one is, so planes may even be read from the folder they are written to; it also stays if the job fails.
     """
-    n = planes.agg(*[F.max(k).alias(k) for k in ("t", "z", "c")], *[F.max(k).alias(k) for k in ("h", "w")], F.max("dtype").alias("dtype")).first()
-    if n["t"] is None:
-        raise ValueError("there are no planes")
-    os.makedirs(folder, exist_ok=True)
-    for name in os.listdir(folder):
-        if CHUNK.fullmatch(name):
-            os.remove(os.path.join(folder, name))
-    shape = [n["t"] + 1, n["z"] + 1, n["c"] + 1, n["h"], n["w"]]
-    put(os.path.join(folder, ".zarray"), json.dumps(array_metadata(shape, [1, 1, 1, *shape[3:]], n["dtype"], compress)).encode())
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for r in pdf.itertuples():
-                put(os.path.join(folder, f"{r.t}.{r.z}.{r.c}.0.0"), zlib.compress(r.data, 1) if compress else r.data)
-            yield pd.DataFrame({"n": [len(pdf)]})
-
-    return planes.select("t", "z", "c", "data").mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0
+    register(planes.sparkSession)
+    seen = Observation()
+    rows = planes.select(*[c.split()[0] for c in PLANES.split(", ")]).observe(seen, F.count("*").alias("n"))
+    rows.write.format("zarr").mode("overwrite").option("compress", str(compress).lower()).save(folder)
+    return seen.get["n"]
 
 
 def write_volumes(volumes: DataFrame, folder: str, base: str, compress: bool = False) -> int:
@@ -116,7 +97,13 @@ def read_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_planes(spark: SparkSession, folder: str, dataset: str = "zarr") -> DataFrame:
-    """Plane rows of a (t, z, c, y, x) array with one chunk a plane, or of a (t, c, z, y, x) store."""
+    """Plane rows of a (t, z, c, y, x) array with one chunk a plane, or of a (t, c, z, y, x) store; planes without a chunk are left out.
+
+    In a folder that is mounted filters on t, z and c decide which chunks are opened. Elsewhere Spark lists and reads them all.
+    """
+    if os.path.isdir(folder):
+        register(spark)
+        return spark.read.format("zarr").option("dataset", dataset).option("missing", "skip").load(folder)
     meta = _metadata(spark, folder)
     zc = 1 if meta["chunks"][2] > 1 or _is_store(spark, folder) else 2
 
@@ -124,7 +111,7 @@ def read_planes(spark: SparkSession, folder: str, dataset: str = "zarr") -> Data
         for pdf in batches:
             out = []
             for index, content in zip(pdf["index"], pdf["content"]):
-                v = _unpacked(content, meta)
+                v = unpacked(content, meta)
                 t, second, third = (int(k) * n for k, n in zip(index[:3], meta["chunks"][:3]))
                 stack = v.reshape(-1, *v.shape[3:])
                 for k, image in enumerate(stack):
@@ -159,7 +146,7 @@ def read_volumes(spark: SparkSession, folder: str, base: str) -> DataFrame:
         held = dict(zip(pdf["key"], pdf["content"]))
         v = np.zeros([-(-s // c) * c for s, c in zip(meta["shape"], meta["chunks"])], meta["dtype"])
         for k, data in held.items():
-            v[tuple(slice(int(i) * c, (int(i) + 1) * c) for i, c in zip(k.split("."), meta["chunks"]))] = _unpacked(data, meta)
+            v[tuple(slice(int(i) * c, (int(i) + 1) * c) for i, c in zip(k.split("."), meta["chunks"]))] = unpacked(data, meta)
         v = v[tuple(slice(0, s) for s in meta["shape"])]
         return pd.DataFrame([[base, *map(int, key), *v.shape, meta["dtype"], v.tobytes()]], columns=[c.split()[0] for c in VOLUMES.split(", ")])
 
