@@ -14,7 +14,7 @@ from ..model import map_volumes, planes_of_volumes, volumes
 from ..model import voxels as explode_planes
 from ..operators import rois as R
 from ..session import scratch
-from ..sources import metadata, pages, tiff, zarr
+from ..sources import chunks, metadata, pages, tiff, zarr
 from ..sources.driver import DEPTH, VOXELS_SQL, WIDTH, planes, table
 from ..streaming import queue
 
@@ -50,11 +50,10 @@ def _alike(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_PLANES_SQL)
 def tiff_series_round_trip(spark, sf_dir):
-    """A TIFF file for each (c, t), then the data source that reads single pages."""
+    """A TIFF file for each (c, t), then single pages of it."""
     folder = scratch(spark, "series")
     tiff.write_series(volumes(planes(spark, sf_dir)), folder)
-    tiff.register(spark)
-    return _sums(spark.read.format("tiffseries").load(folder))
+    return _sums(pages.read_series(spark, folder))
 
 
 @query(_PLANES_SQL)
@@ -99,13 +98,14 @@ def zarr_planes_round_trip(spark, sf_dir):
     return _sums(zarr.read_planes(spark, folder))
 
 
-@query(f"""with {VOXELS_SQL}, n as (select max(t) + 1 as nt, max(z) + 1 as nz, max(c) + 1 as nc from vox), sums as (select t, z, c, sum(v) as total from vox group by t, z, c)
-select t::int as t, z::int as z, c::int as c, coalesce(total, 0)::bigint as total from n, range(nt) a(t), range(nz) b(z), range(nc) d(c) left join sums using (t, z, c) where t >= 1 and t < 3 and z > 40 and c in (1, 4, 77)""")
+@query(f"""with {VOXELS_SQL}, n as (select max(t) + 1 as nt, max(z) + 1 as nz, max(c) + 1 as nc from vox), sums as (select t, z, c, sum(v) as total from vox group by t, z, c),
+grid as (select t, z, c from n, range(nt) i(t), range(nz) j(z), range(nc) k(c) where t >= 1 and t < 3 and z > 40 and c in (1, 4, 77))
+select t::int as t, z::int as z, c::int as c, coalesce(total, 0)::bigint as total from grid left join sums using (t, z, c)""")
 def zarr_scan(spark, sf_dir):
     """A part of an array, opened by the chunks' names alone; planes without a chunk are 0."""
     folder = scratch(spark, "scan.zarr")
     zarr.write_planes(planes(spark, sf_dir), folder)
-    some = spark.read.format("zarr").load(folder).where("t >= 1 and t < 3 and z > 40 and c in (1, 4, 77)")
+    some = chunks.scan(spark, folder).where("t >= 1 and t < 3 and z > 40 and c in (1, 4, 77)")
     return explode_planes(some).groupBy("t", "z", "c").agg(F.sum("v").cast("long").alias("total"))
 
 

@@ -16,7 +16,6 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.python.filterPushdown.enabled": "true",
     }
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)

@@ -15,14 +15,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.functions import udtf
 
 from ..model import PLANES
-from .bounds import Bounds
+from .pages import tasks_for
 
 CHUNK = re.compile(r"\d+([./]\d+)*")
-#: Planes that a task reads, about.
-PLANES_A_TASK = 64
 # Of a Blosc frame, its flags, its codecs by number, and when a block is split into streams.
 SHUFFLED, STORED, BITS_SHUFFLED, NOT_SPLIT = 1, 2, 4, 16
 BLOSC_CODECS = {1: "lz4_raw", 2: "snappy", 3: "zlib", 4: "zstd"}
@@ -138,66 +139,71 @@ class ZarrWriter(DataSourceArrowWriter):
         shutil.rmtree(self.staging, ignore_errors=True)
 
 
-class _Columns(InputPartition):
-    def __init__(self, first: int, last: int):
-        self.first, self.last = first, last
+@udtf(returnType="h int, w int, dtype string, data binary", useArrow=True)
+class PlaneAt:
+    """A plane of an array, by the names of the chunks that hold it. A task keeps the chunks it read last."""
+
+    def __init__(self):
+        self.text, self.meta, self.at, self.block = None, None, None, None
+
+    def _read(self, folder: str, at: tuple[int, ...]) -> np.ndarray | None:
+        """The chunks at a place of the axes before y and x, put together over y and x; None if there is none."""
+        shape, chunks, fill, out = self.meta["shape"], self.meta["chunks"], self.meta.get("fill_value"), None
+        for i in range(-(-shape[-2] // chunks[-2])):
+            for j in range(-(-shape[-1] // chunks[-1])):
+                try:
+                    with open(os.path.join(folder, self.meta.get("dimension_separator", ".").join(map(str, [*at, i, j]))), "rb") as f:
+                        part = unpacked(f.read(), self.meta)
+                except FileNotFoundError:
+                    continue
+                if out is None:
+                    out = np.full([*chunks[:-2], *shape[-2:]], 0 if fill is None else fill, self.meta["dtype"])
+                y, x = i * chunks[-2], j * chunks[-1]
+                out[..., y : y + chunks[-2], x : x + chunks[-1]] = part[..., : shape[-2] - y, : shape[-1] - x]
+        return out
+
+    def eval(self, folder: str, meta: str, place: list, skip: bool):
+        if meta != self.text:
+            self.text, self.meta, self.at = meta, json.loads(meta), None
+        at, inner = tuple(int(p) // c for p, c in zip(place, self.meta["chunks"])), tuple(int(p) % c for p, c in zip(place, self.meta["chunks"]))
+        if at != self.at:
+            self.at, self.block = at, self._read(folder, at)
+        if self.block is None and skip:
+            return
+        fill, kind = self.meta.get("fill_value"), np.dtype(self.meta["dtype"]).newbyteorder("<")
+        image = np.full(self.meta["shape"][-2:], 0 if fill is None else fill, kind) if self.block is None else self.block[inner].astype(kind)
+        yield *image.shape, kind.str, image.tobytes()
 
 
-class ZarrReader(DataSourceReader):
-    """Plane rows of an array, by chunk names that follow from its metadata: nothing is listed, and only chunks that filters on t, z and c allow are opened.
+def scan(spark: SparkSession, folder: str, dataset: str = "zarr", axes: str = "", missing: str = "fill") -> DataFrame:
+    """Plane rows of an array in a folder that all executors mount, by chunk names that follow from its metadata: nothing is listed.
 
-    A chunk that isn't there is all fill value; with `missing="skip"` planes that no chunk has a part of are left out.
+    Places are numbers of a range, those of one chunk next to each other; a table function reads the planes. So filters on t, z and c, of any form, are applied to numbers before a
+    chunk is opened. A chunk that isn't there is all fill value; with missing="skip" planes that no chunk has a part of are left out. An axis that the array has not got is 0.
     """
-
-    def __init__(self, folder: str, dataset: str, axes: str, missing: str):
-        with open(os.path.join(folder, ".zarray")) as f:
-            self.meta = json.load(f)
-        self.folder, self.dataset, self.missing, self.bounds = folder, dataset, missing, Bounds()
-        self.axes = axes or axes_of(folder, len(self.meta["shape"]))
-        if len(self.axes) != len(self.meta["shape"]) or self.axes[-2:] != "yx" or not set(self.axes[:-2]) <= set("tzc"):
-            raise ValueError(f"axes {self.axes!r} don't fit an array of {len(self.meta['shape'])} dimensions whose last are y and x")
-
-    def pushFilters(self, filters):  # noqa: N802
-        return self.bounds.push(filters)
-
-    def _grid(self) -> list[list[int]]:
-        """Of each axis before y and x the chunk numbers that filters allow; an axis that the array has not got is 0."""
-        if not all(self.bounds.allows(a, 0) for a in "tzc" if a not in self.axes):
-            return [[] for _ in self.axes[:-2]]
-        return [[k for k in range(-(-n // c)) if self.bounds.meets(a, k * c, min((k + 1) * c, n) - 1)] for a, n, c in zip(self.axes, self.meta["shape"][:-2], self.meta["chunks"])]
-
-    def partitions(self):
-        n = math.prod(map(len, self._grid()))
-        each = max(1, PLANES_A_TASK // math.prod(self.meta["chunks"][:-2]))
-        return [_Columns(k, min(k + each, n)) for k in range(0, n, each)]
-
-    def read(self, partition):
-        if not isinstance(partition, _Columns):  # Spark plans one partition where filters leave none
-            return
-        grid, shape, chunks = self._grid(), self.meta["shape"], self.meta["chunks"]
-        lead, dtype = len(grid), np.dtype(self.meta["dtype"])
-        fill, sep = self.meta.get("fill_value"), self.meta.get("dimension_separator", ".")
-        for k in range(partition.first, partition.last):
-            at = [g[i] for g, i in zip(grid, np.unravel_index(k, [len(g) for g in grid]))] if lead else []
-            block = np.full([*chunks[:lead], *shape[lead:]], 0 if fill is None else fill, dtype)
-            found = False
-            for i in range(-(-shape[-2] // chunks[-2])):
-                for j in range(-(-shape[-1] // chunks[-1])):
-                    try:
-                        with open(os.path.join(self.folder, sep.join(map(str, [*at, i, j]))), "rb") as f:
-                            part = unpacked(f.read(), self.meta)
-                    except FileNotFoundError:
-                        continue
-                    found = True
-                    y, x = i * chunks[-2], j * chunks[-1]
-                    block[..., y : y + chunks[-2], x : x + chunks[-1]] = part[..., : shape[-2] - y, : shape[-1] - x]
-            if not found and self.missing == "skip":
-                continue
-            kind = dtype.newbyteorder("<")
-            for inner in np.ndindex(*chunks[:lead]):
-                place = dict.fromkeys("tzc", 0) | {a: p * c + q for a, p, c, q in zip(self.axes, at, chunks, inner)}
-                if all(place[a] < n for a, n in zip(self.axes, shape[:lead])) and all(self.bounds.allows(a, v) for a, v in place.items()):
-                    yield self.dataset, place["t"], place["z"], place["c"], *shape[-2:], kind.str, block[inner].astype(kind).tobytes()
+    if missing not in ("fill", "skip"):
+        raise ValueError(f"missing is {missing!r}, not fill or skip")
+    with open(os.path.join(folder, ".zarray")) as f:
+        meta = json.load(f)
+    axes = axes or axes_of(folder, len(meta["shape"]))
+    if len(axes) != len(meta["shape"]) or axes[-2:] != "yx" or not set(axes[:-2]) <= set("tzc"):
+        raise ValueError(f"axes {axes!r} don't fit an array of {len(meta['shape'])} dimensions whose last are y and x")
+    shape, sizes = meta["shape"][:-2], meta["chunks"][:-2]
+    grid = [-(-n // c) for n, c in zip(shape, sizes)]
+    n, rest = math.prod(grid) * math.prod(sizes), F.col("id")
+    # from the last axis to the first: the place in the chunk, then the chunk's number
+    inner, outer = [], []
+    for found, counts in ((inner, sizes), (outer, grid)):
+        for k in reversed(counts):
+            found.insert(0, F.pmod(rest, F.lit(k)))
+            rest = F.floor(rest / k)
+    at = {a: (o * c + i).cast("int") for a, o, i, c in zip(axes, outer, inner, sizes)}
+    rows = spark.range(0, n, 1, tasks_for(n)).select(*[at.get(a, F.lit(0)).alias(a) for a in "tzc"])
+    for a, size in zip(axes, shape):
+        rows = rows.where(F.col(a) < size)
+    place = F.array(*[F.col(a).outer() for a in axes[:-2]]) if shape else F.array().cast("array<int>")
+    planes = rows.lateralJoin(PlaneAt.asDeterministic()(F.lit(os.path.abspath(folder)), F.lit(json.dumps(meta)), place, F.lit(missing == "skip")))
+    return planes.select(F.lit(dataset).alias("dataset"), "t", "z", "c", "h", "w", "dtype", "data")
 
 
 def axes_of(folder: str, dimensions: int) -> str:
@@ -214,7 +220,7 @@ def axes_of(folder: str, dimensions: int) -> str:
 
 
 class Zarr(DataSource):
-    """`format("zarr")` of an array's folder that all executors mount. Options: for reading `dataset`, `axes` and `missing`, fill or skip; for writing `compress`, true or false."""
+    """`df.write.format("zarr").mode("overwrite").save(folder)` of plane rows, to a folder that all executors mount; option `compress`, true or false."""
 
     @classmethod
     def name(cls) -> str:
@@ -223,12 +229,6 @@ class Zarr(DataSource):
     def schema(self) -> str:
         return PLANES
 
-    def reader(self, schema) -> ZarrReader:
-        missing = self.options.get("missing", "fill")
-        if missing not in ("fill", "skip"):
-            raise ValueError(f"missing is {missing!r}, not fill or skip")
-        return ZarrReader(self.options["path"], self.options.get("dataset", "zarr"), self.options.get("axes", ""), missing)
-
     def writer(self, schema, overwrite: bool) -> ZarrWriter:
         folder = self.options["path"]
         if not overwrite and os.path.exists(os.path.join(folder, ".zarray")):

@@ -1,9 +1,9 @@
-"""Pages of OME-TIFF files by an index of offsets.
+"""Pages of TIFF files by an index of offsets.
 
 Tasks walk each file's directories once; a Spark join of what they find with the frame maps of the files' XML gives, for every
-(t, z, c), the place of its pixels. The index is kept beside the files as Parquet, one for each of them, in rows of the
-pages' order. The data source `ometiff` deals stretches of the index to tasks, leaves out those that filters on
-t, z and c exclude by their statistics, and seeks pages by offset: it neither walks directories nor parses XML.
+(t, z, c), the place of its pixels. The index is kept beside the files as Parquet, in the pages' order. Plane rows are a scan of that index with a table
+function that reads each row's page where it stands: filters on t, z and c go through the function to the index's scan, and nothing but
+the pages they leave is opened. (A Python data source would not do: of two uses of one table with different filters Spark 4.1 gives one the other's rows.)
 """
 
 from __future__ import annotations
@@ -14,29 +14,27 @@ import re
 import shutil
 import uuid
 from collections.abc import Iterator
-from urllib.parse import unquote
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.functions import udtf
 
 from ..model import PLANES
 from . import tiff
-from .bounds import Bounds
 from .omexml import frame_map
 
-#: Name of the index's folder, pages that a task reads, and those that share statistics.
-INDEX, PAGES, GROUP = "_pages", 64, 1024
+#: Name of the index's folder, pages that share statistics there, pages that a task reads, and most tasks.
+INDEX, GROUP, PAGES, MOST_TASKS = "_pages", 1024, 64, 20_000
 _WALKED = "folder string, file string, path string, ifd long, h int, w int, dtype string, packing int, predictor int, offsets array<long>, counts array<long>, xml string"
 _PLACED = "t int, z int, c int, ifd long, h int, w int, dtype string, packing int, predictor int, offsets array<long>, counts array<long>, file string"
 
 
 def local(path: str) -> str:
     """The name under which tasks open a path that Spark listed."""
-    return unquote(re.sub(r"^file:/*", "/", path)) if path.startswith("file:") else path
+    return re.sub(r"^file:/+", "/", path)
 
 
 def listing(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
@@ -71,7 +69,7 @@ def build(spark: SparkSession, folder: str, recursive: bool = False) -> str:
     state = {"files": now["n"], "mark": now["x"], "recursive": recursive}
     try:
         with open(os.path.join(place, ".state")) as f:
-            if json.load(f) == state:
+            if {**json.load(f), "pages": 0} == {**state, "pages": 0}:
                 return place
     except (OSError, ValueError):
         pass
@@ -95,7 +93,7 @@ def build(spark: SparkSession, folder: str, recursive: bool = False) -> str:
             os.replace(whole, target)
             return pd.DataFrame({"n": [len(rows)]})
 
-        placed.groupBy("path").applyInPandas(write, "n long").agg(F.sum("n")).first()
+        state["pages"] = placed.groupBy("path").applyInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
         with open(os.path.join(made, ".state"), "w") as f:
             json.dump(state, f)
         if os.path.isdir(place):
@@ -112,56 +110,56 @@ def page_index(spark: SparkSession, folder: str, recursive: bool = False) -> Dat
     return spark.read.schema(_PLACED).option("pathGlobFilter", "*.parquet").parquet(f"file://{os.path.abspath(place)}")
 
 
-class _Stretch(InputPartition):
-    def __init__(self, index: str, group: int, first: int):
-        self.index, self.group, self.first = index, group, first
+@udtf(returnType="dtype string, data binary", useArrow=True)
+class PageAt:
+    """The pixels of a page. A task keeps the file it read last mapped."""
 
+    def __init__(self):
+        self.path, self.raw = None, None
 
-class OmeReader(DataSourceReader):
-    """Partitions of PAGES rows of the index; equality, IN and comparisons on t, z and c leave stretches and pages out."""
+    def eval(self, path: str, h: int, w: int, dtype: str, packing: int, predictor: int, offsets: list, counts: list):
+        if path != self.path:
+            self.path, self.raw = path, tiff.mapped(path)
+        image = tiff.image_at(self.raw, tiff.Layout(h, w, dtype, packing, predictor, offsets, counts))
+        yield image.dtype.str, image.tobytes()
 
-    def __init__(self, folder: str):
-        self.folder, self.bounds = folder, Bounds()
 
-    def pushFilters(self, filters):  # noqa: N802
-        return self.bounds.push(filters)
+@udtf(returnType="z int, h int, w int, kind string, packing int, predictor int, offsets array<long>, counts array<long>", useArrow=True)
+class PagesOf:
+    """The layout of each page of a file."""
 
-    def partitions(self):
-        place, parts = os.path.join(self.folder, INDEX), []
-        if not os.path.isdir(place):
-            raise FileNotFoundError(f"{self.folder} has no index of its pages; build one, or read it by read_ome")
-        for name in sorted(n for n in os.listdir(place) if n.endswith(".parquet")):
-            meta = pq.read_metadata(os.path.join(place, name))
-            for k in range(meta.num_row_groups):
-                group = meta.row_group(k)
-                limits = [group.column(i).statistics for i in range(3)]
-                if all(s is None or not s.has_min_max or self.bounds.meets(n, s.min, s.max) for n, s in zip("tzc", limits)):
-                    parts += [_Stretch(name, k, first) for first in range(0, group.num_rows, PAGES)]
-        return parts
+    def eval(self, path: str):
+        for z, (order, tags) in enumerate(tiff.directories(tiff.mapped(path))):
+            p = tiff.layout(order, tags)
+            yield z, p.h, p.w, p.dtype, p.packing, p.predictor, list(p.offsets), list(p.counts)
 
-    def read(self, partition):
-        if not isinstance(partition, _Stretch):  # Spark plans one partition where filters leave none
-            return
-        with pq.ParquetFile(os.path.join(self.folder, INDEX, partition.index)) as index:
-            path = index.schema_arrow.metadata[b"path"].decode()
-            rows = index.read_row_group(partition.group).slice(partition.first, PAGES).to_pylist()
-        dataset, raw = re.sub(r"(_\d+)?\.ome\.tif$", "", os.path.basename(path), flags=re.I), None
-        for r in rows:
-            if all(self.bounds.allows(n, r[n]) for n in "tzc"):
-                raw = raw or tiff.mapped(os.path.join(self.folder, path))
-                image = tiff.image_at(raw, tiff.Layout(r["h"], r["w"], r["dtype"], r["packing"], r["predictor"], r["offsets"], r["counts"]))
-                yield dataset, r["t"], r["z"], r["c"], *image.shape, image.dtype.str, image.tobytes()
 
+def tasks_for(pages: int) -> int:
+    """A task reads one page at a time, so more pages than PAGES take it longer, not more memory."""
+    return max(1, min(-(-pages // PAGES), MOST_TASKS))
 
-class OmeTiff(DataSource):
-    """`spark.read.format("ometiff").load(folder)`: plane rows of the OME files in a folder that all executors mount and that has an index."""
 
-    @classmethod
-    def name(cls) -> str:
-        return "ometiff"
+def _read(rows: DataFrame) -> DataFrame:
+    """Plane rows of rows (path, dataset, t, z, c, h, w, kind, packing, predictor, offsets, counts)."""
+    names = ("path", "h", "w", "kind", "packing", "predictor", "offsets", "counts")
+    return rows.lateralJoin(PageAt.asDeterministic()(*[F.col(n).outer() for n in names])).select(*[c.split()[0] for c in PLANES.split(", ")])
 
-    def schema(self) -> str:
-        return PLANES
 
-    def reader(self, schema) -> OmeReader:
-        return OmeReader(self.options["path"])
+def read_planes(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
+    """Plane rows of the OME files in a folder that all executors mount; its index is built or used."""
+    found = page_index(spark, folder, recursive)
+    with open(os.path.join(folder, INDEX, ".state")) as f:
+        n = tasks_for(json.load(f)["pages"])
+    dealt = found.repartition(n, "file", F.floor(F.col("ifd") / PAGES))
+    dataset = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"(?i)(_\d+)?\.ome\.tif$", "")
+    return _read(dealt.select(F.concat(F.lit(f"{os.path.abspath(folder)}/"), "file").alias("path"), dataset.alias("dataset"), "t", "z", "c", "h", "w", F.col("dtype").alias("kind"), "packing", "predictor", "offsets", "counts"))
+
+
+def read_series(spark: SparkSession, folder: str) -> DataFrame:
+    """Plane rows of the files of a series in a folder that all executors mount: c and t by name, z by page. Filters on t and c leave files out, on z pages."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[tT][iI][fF]").load(folder).select("path")
+    name = F.element_at(F.split("path", "/"), -1)
+    part = lambda k: F.regexp_extract("name", r"(?i)^(.*)_C(\d+)_T(\d+)\.tif$", k)
+    files = files.withColumn("name", name).where(part(2) != "").select("path", part(1).alias("dataset"), part(3).cast("int").alias("t"), part(2).cast("int").alias("c"))
+    files = files.withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
+    return _read(files.lateralJoin(PagesOf.asDeterministic()(F.col("path").outer())))

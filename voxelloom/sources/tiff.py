@@ -1,4 +1,4 @@
-"""TIFF files: codec, reading by Spark, a data source with pushdown, and writing.
+"""TIFF files: codec, reading by Spark, and writing; single pages are read by `pages`.
 
 The codec handles classic and BigTIFF in both byte orders, grey pages in
 strips, uncompressed, deflate or LZW, with or without differences along rows, and writes uncompressed or deflate little-endian pages. No other TIFF software is
@@ -21,10 +21,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..model import PLANES, VOLUMES, pixels
-from .bounds import Bounds
 
 # The tags that matter, and bytes of each field type.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, DESCRIPTION, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, PREDICTOR, SAMPLE_FORMAT = 256, 257, 258, 259, 262, 270, 273, 277, 278, 279, 317, 339
@@ -217,53 +215,6 @@ def read_volumes(spark: SparkSession, path: str, name: str = r"_C(\d+)_T(\d+)",
     return files.where("t is not null and c is not null").select("dataset", "t", "c", "content").mapInPandas(run, VOLUMES)
 
 
-class _Part(InputPartition):
-    def __init__(self, path: str, t: int, c: int):
-        self.path, self.t, self.c = path, t, c
-
-
-class SeriesReader(DataSourceReader):
-    """One partition for each file of a series; equality, IN and comparisons on t and c leave files out, on z pages, which are read where they stand."""
-
-    def __init__(self, folder: str):
-        self.folder, self.bounds = folder, Bounds()
-
-    def pushFilters(self, filters):  # noqa: N802
-        return self.bounds.push(filters)
-
-    def partitions(self):
-        parts = []
-        for name in sorted(os.listdir(self.folder)):
-            m = re.search(r"_C(\d+)_T(\d+)\.tif$", name, re.I)
-            if m and self.bounds.allows("t", int(m[2])) and self.bounds.allows("c", int(m[1])):
-                parts.append(_Part(os.path.join(self.folder, name), int(m[2]), int(m[1])))
-        return parts
-
-    def read(self, partition):
-        if not isinstance(partition, _Part):
-            return
-        raw = mapped(partition.path)
-        dataset = re.sub(r"_C\d+_T\d+\.tif$", "", os.path.basename(partition.path), flags=re.I)
-        for z, (order, tags) in enumerate(directories(raw)):
-            if self.bounds.allows("z", z):
-                image = _page(raw, order, tags)
-                yield dataset, partition.t, z, partition.c, *image.shape, image.dtype.str, image.tobytes()
-
-
-class TiffSeries(DataSource):
-    """`spark.read.format("tiffseries").load(folder)`: plane rows of a series in a folder that all executors mount."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "tiffseries"
-
-    def schema(self) -> str:
-        return PLANES
-
-    def reader(self, schema) -> SeriesReader:
-        return SeriesReader(self.options["path"])
-
-
 def write_ome(planes: DataFrame, folder: str) -> int:
     """Write `{dataset}_{t}.ome.tif`, its pages by z and c, for each timepoint of plane rows to a folder that all executors mount; how many. Planes that are missing are zero."""
     os.makedirs(folder, exist_ok=True)
@@ -288,15 +239,6 @@ def mapped(path: str) -> mmap.mmap:
         return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
 
 
-def register(spark: SparkSession) -> None:
-    """Make the data sources known; their filters need the session's pushdown for Python sources."""
-    from .pages import OmeTiff
-
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(TiffSeries)
-    spark.dataSource.register(OmeTiff)
-
-
 def put(path: str, data: bytes) -> None:
     """Write a file under a name of its own, then rename it: a retried task leaves the same file."""
     part = f"{path}.{uuid.uuid4().hex}.part"
@@ -342,9 +284,7 @@ def read_ome(spark: SparkSession, path: str, recursive: bool = False) -> DataFra
     from . import pages
 
     if os.path.isdir(path):
-        register(spark)
-        pages.build(spark, path, recursive)
-        return spark.read.format("ometiff").load(path)
+        return pages.read_planes(spark, path, recursive)
     return read_ome_whole(spark, path)
 
 

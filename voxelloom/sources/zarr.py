@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..model import PLANES, VOLUMES, pixels
 from ..operators.names import ranked_index
-from .chunks import CHUNK, Zarr, array_metadata, unpacked
+from .chunks import CHUNK, Zarr, array_metadata, scan, unpacked
 from .tiff import put
 
 # Default channel colours of a store, in order.
@@ -28,8 +28,7 @@ SLAB = 64
 
 
 def register(spark: SparkSession) -> None:
-    """Make `format("zarr")` known; its filters need the session's pushdown for Python sources."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    """Make `format("zarr")` known to writers."""
     spark.dataSource.register(Zarr)
 
 
@@ -102,8 +101,7 @@ def read_planes(spark: SparkSession, folder: str, dataset: str = "zarr") -> Data
     In a folder that is mounted filters on t, z and c decide which chunks are opened. Elsewhere Spark lists and reads them all.
     """
     if os.path.isdir(folder):
-        register(spark)
-        return spark.read.format("zarr").option("dataset", dataset).option("missing", "skip").load(folder)
+        return scan(spark, folder, dataset, missing="skip")
     meta = _metadata(spark, folder)
     zc = 1 if meta["chunks"][2] > 1 or _is_store(spark, folder) else 2
 
