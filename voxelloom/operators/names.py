@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import epoch_micros
+from ..session import scratch
+from .ranks import dense_ranks
 
 # Patterns of the file-name conventions.
 OPM_NAME = r"(?i)^(.*?)_C(\d+)_T(\d+)\.tif$"
@@ -15,9 +17,10 @@ DYES = ["Calcein_Violet", "GFP", "mScarlet", "CF647"]
 
 
 def parse_series(files: DataFrame) -> DataFrame:
-    """Files of a TIFF series with base, c, t as named; others go."""
-    part = lambda k: F.regexp_extract("name", OPM_NAME, k)
-    return files.where(F.col("name").rlike(OPM_NAME)).withColumns({"base": part(1), "c": part(2).cast("int"), "t": part(3).cast("int")})
+    """Files of a TIFF series with base, c, t as named; others go. A name is matched once; its parts are told apart by NUL, which no file's name holds."""
+    parts = F.split(F.regexp_replace("name", OPM_NAME, "$1\0$2\0$3"), "\0")
+    part = lambda k: F.get(parts, F.lit(k))
+    return files.where(F.size(parts) == 3).withColumns({"base": part(0), "c": part(1).cast("int"), "t": part(2).cast("int")})
 
 
 def parse_llsm(files: DataFrame) -> DataFrame:
@@ -34,11 +37,20 @@ def normalised_index(files: DataFrame, directory: str = "dir") -> DataFrame:
 
 
 def ranked_index(files: DataFrame, directory: str = "dir") -> DataFrame:
-    """t and c replaced by their rank among the directory's distinct values; ranks are taken over the distinct values only."""
-    out = files
+    """t and c replaced by their rank among the directory's distinct values.
+
+    The distinct values of both come from one pass over the files and are ranked by blocks. The ranks are written to the shared folder, so that
+    their size is known when the files meet them: small ones are broadcast, and the files stay where they are.
+    """
+    spark = files.sparkSession
+    both = F.explode(F.array(*[F.struct(F.lit(k).alias("axis"), F.col(k).cast("long").alias("value")) for k in ("t", "c")])).alias("v")
+    values = files.select(F.col(directory).alias("folder"), both).select("folder", "v.axis", "v.value").distinct()
+    place = scratch(spark, "ranks")
+    dense_ranks(values, ["folder", "axis"]).write.parquet(place)
+    ranks, out = spark.read.schema("folder string, axis string, value long, rank int").parquet(place), files
     for k in ("t", "c"):
-        ranks = files.select(directory, k).distinct().withColumn("rank", (F.dense_rank().over(Window.partitionBy(directory).orderBy(k)) - 1).cast("int"))
-        out = out.join(ranks, [directory, k]).drop(k).withColumnRenamed("rank", k)
+        own = ranks.where(F.col("axis") == k).select("folder", "value", "rank")
+        out = out.join(own, out[directory].eqNullSafe(own["folder"]) & out[k].eqNullSafe(own["value"])).drop("folder", "value", k).withColumnRenamed("rank", k)
     return out
 
 

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..model import PLANES
 from .voxels import Roi
 
 #: Largest accepted alignment shift in pixels, and least side of a drawn region.
 MAX_SHIFT, LEAST_SPAN = 60.0, 5
+#: Side of the tiles by which boxes find each other.
+TILE = 256
 
 
 def _within(roi: Roi) -> Column:
@@ -65,3 +72,41 @@ def write_log(rois: DataFrame) -> DataFrame:
 
     entry = F.create_map("file_name", F.struct(numbers("top").alias("top_roi"), numbers("bottom").alias("bottom_roi")))
     return rois.select(F.to_json(entry, {"ignoreNullFields": "false"}).alias("value"))
+
+
+def box_join(left: DataFrame, right: DataFrame, left_box: Sequence[str], right_box: Sequence[str], keys: Sequence[str] = (), tile: int = TILE) -> DataFrame:
+    """Pairs of rows whose half-open boxes (y0, y1, x0, x1 by column name) overlap and whose `keys` are equal, each pair once.
+
+    Each row is keyed by the tiles its box touches, so candidates come from an equi-join, which a planner may broadcast, shuffle or split; then the boxes themselves
+    are compared. Of the tiles a pair shares the one that holds the first pixel of their overlap reports it. Empty boxes, and those with a null side, meet nothing. Apart from the keys no
+    two columns of the tables may share a name.
+    """
+
+    def tiled(rows: DataFrame, box: Sequence[str], *names: str) -> DataFrame:
+        y0, y1, x0, x1 = map(F.col, box)
+        sides = [F.explode(F.sequence(F.floor(a / tile), F.floor((b - 1) / tile))).alias(n) for a, b, n in ((y0, y1, names[0]), (x0, x1, names[1]))]
+        return rows.where((y1 > y0) & (x1 > x0)).select("*", sides[0]).select("*", sides[1])
+
+    pairs = tiled(left, left_box, "tile_y", "tile_x").join(tiled(right, right_box, "tile_y", "tile_x"), [*keys, "tile_y", "tile_x"])
+    (a0, a1, b0, b1), (c0, c1, d0, d1) = (list(map(F.col, box)) for box in (left_box, right_box))
+    y, x = F.greatest(a0, c0), F.greatest(b0, d0)
+    met = (y < F.least(a1, c1)) & (x < F.least(b1, d1)) & (F.floor(y / tile) == F.col("tile_y")) & (F.floor(x / tile) == F.col("tile_x"))
+    return pairs.where(met).drop("tile_y", "tile_x")
+
+
+def crops(planes: DataFrame, regions: DataFrame, keys: Sequence[str] = (), tile: int = TILE) -> DataFrame:
+    """Plane rows cut by each region (roi, y0, y1, x0, x1) that meets them, with `roi`; a region beyond the plane's edge is cut there. With keys, a region is for the planes that share them."""
+    names = [c.split()[0] for c in PLANES.split(", ")]
+    framed = planes.select(*names).withColumns({"top": F.lit(0), "left": F.lit(0)})
+    met = box_join(framed, regions, ("top", "h", "left", "w"), ("y0", "y1", "x0", "x1"), keys, tile)
+    rows = met.select("roi", *names, F.greatest("y0", "top").cast("int").alias("y0"), F.least("y1", "h").cast("int").alias("y1"), F.greatest("x0", "left").cast("int").alias("x0"), F.least("x1", "w").cast("int").alias("x1"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = batch.to_pydict()
+            for k, data in enumerate(out["data"]):
+                image = np.frombuffer(data, out["dtype"][k]).reshape(out["h"][k], out["w"][k])[out["y0"][k] : out["y1"][k], out["x0"][k] : out["x1"][k]]
+                out["h"][k], out["w"][k], out["data"][k] = *image.shape, image.tobytes()
+            yield pa.RecordBatch.from_pydict({n: out[n] for n in ("roi", *names)}, schema=pa.schema([f for f in batch.schema if f.name in ("roi", *names)]))
+
+    return rows.mapInArrow(run, f"roi {rows.schema['roi'].dataType.simpleString()}, {PLANES}")

@@ -485,15 +485,43 @@ def _(vox):
 
 
 def joined_rois(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each plane cut by every region that meets it: a range join with a small table of regions."""
-    rois = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("roi"), F.pmod("n_nationkey", F.lit(5)).alias("y0"), F.pmod("n_nationkey", F.lit(3)).alias("x0"))
-    vox = voxels(spark, sf_dir)
-    near = (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y0") + 3) & (F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x0") + 4)
-    # a region meets few pixels of a plane, so the pairs are made from the pixel's side: an equi-join on the pixel
-    cells = rois.withColumn("y", F.explode(F.sequence(F.col("y0"), F.col("y0") + 2))).withColumn("x", F.explode(F.sequence(F.col("x0"), F.col("x0") + 3)))
-    return vox.join(cells, ["y", "x"]).where(near).groupBy("roi", "t", "c").agg(F.max("v").alias("top"), F.count("*").alias("n"))
+    """Each plane cut by every region that meets it, found by tiles."""
+    from ..operators.rois import crops
 
+    k = F.col("n_nationkey")
+    y0, x0 = F.pmod(k, F.lit(5)), F.pmod(k, F.lit(3))
+    rois = table(spark, sf_dir, "nation").select(k.alias("roi"), y0.alias("y0"), (y0 + 3).alias("y1"), x0.alias("x0"), (x0 + 4).alias("x1"))
+    cut = explode_planes(crops(planes(spark, sf_dir), rois, tile=4).withColumn("dataset", F.col("roi").cast("string")))
+    return cut.groupBy(F.col("dataset").cast("long").alias("roi"), "t", "c").agg(F.max("v").cast("int").alias("top"), F.count("*").alias("n"))
 
+
+def percentiles_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact percentiles of float pixels, nearly all of which differ: by two passes over their bits."""
+    from ..operators.planes import percentiles
+
+    rows = table(spark, sf_dir, "embeddings").where("embedding is not null").select("vec_id", "label", "embedding")
+    found = percentiles(float_planes(rows), ["t", "c"], {"p01": 0.01, "median": 0.5, "p999": 0.999})
+    return rounded(found, "p01", "median", "p999", "low", "high")
+
+
+def float_planes(rows: DataFrame) -> DataFrame:
+    """The embeddings themselves as float32 planes."""
+    import numpy as np
+    import pandas as pd
+
+    from ..model import PLANES
+
+    def run(batches):
+        for pdf in batches:
+            data = [np.asarray(v, "<f4").tobytes() for v in pdf["embedding"]]
+            yield pd.DataFrame({"dataset": "embeddings", "t": pdf["vec_id"] // 50, "z": pdf["vec_id"] % 50, "c": pdf["label"], "h": 8, "w": 8, "dtype": "<f4", "data": data})
+
+    return rows.mapInPandas(run, PLANES)
+
+
+QUERIES["percentiles_float"] = percentiles_float
+ORACLE_SQL["percentiles_float"] = """with v as (select (vec_id // 50)::int as t, label::int as c, unnest(embedding)::double as v from embeddings)
+select t, c, round(quantile_cont(v, 0.01), 6) as p01, round(quantile_cont(v, 0.5), 6) as median, round(quantile_cont(v, 0.999), 6) as p999, round(min(v), 6) as low, round(max(v), 6) as high from v group by t, c"""
 QUERIES["planes_roi_join"] = joined_rois
 ORACLE_SQL["planes_roi_join"] = f"""with {VOXELS_SQL}, rois as (select n_nationkey as roi, n_nationkey % 5 as y0, n_nationkey % 3 as x0 from nation)
 select roi, t, c, max(v) as top, count(*) as n from vox join rois on y >= y0 and y < y0 + 3 and x >= x0 and x < x0 + 4 group by roi, t, c"""

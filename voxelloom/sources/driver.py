@@ -43,7 +43,7 @@ def planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def series_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(dir, name, mtime, length): a TIFF series for each of five directories, from lineitem."""
     rows = table(spark, sf_dir, "lineitem")
-    name = F.format_string("cell_C%d_T%03d.tif", F.col("l_linenumber").cast("int"), (F.col("l_orderkey") % 997 + 3).cast("int"))
+    name = F.concat(F.lit("cell_C"), F.col("l_linenumber").cast("string"), F.lit("_T"), F.lpad((F.col("l_orderkey") % 997 + 3).cast("string"), 3, "0"), F.lit(".tif"))
     return rows.select(F.concat(F.lit("d"), (F.col("l_orderkey") % 5).cast("string")).alias("dir"), name.alias("name"), F.col("l_shipdate").alias("mtime"), F.col("l_quantity").cast("long").alias("length"))
 
 
