@@ -90,3 +90,14 @@ def test_percentiles_of_nothing_and_of_mixed_types(spark):
     with pytest.raises(ValueError, match="no common order"):
         planes.percentiles(rows, ["t"], {"m": 0.5})
     assert rows.select(F.count("*")).first()[0] == 2
+
+
+def test_redirects_are_followed_to_their_end(spark):
+    rows = [("a", "legacy", "z"), ("a", "file", "b"), ("a", "file", "c"), ("b", "folder", "c"), ("c", "file", "d"), ("s", "file", "s"), ("p", "file", "q"), ("q", "file", "r"), ("r", "file", "q"), ("x", "other", "y"), ("n", "file", None), (None, "file", "n")]
+    rows += [(f"k{i}", "folder", f"k{i + 1}") for i in range(37)]
+    table = spark.createDataFrame(rows, "place string, kind string, target string")
+    paths = spark.createDataFrame([(p,) for p in ("a", "c", "d", "s", "p", "r", "x", "n", "k0", "k0", "k36", "free")], "path string")
+    got = {r["path"]: (r["place"], r["steps"], r["cyclic"]) for r in names.resolved(paths, table).collect()}
+    cycle = (None, None, True)
+    assert got == {"a": ("d", 3, False), "c": ("d", 1, False), "d": ("d", 0, False), "s": cycle, "p": cycle, "r": cycle, "x": ("x", 0, False), "n": ("n", 0, False), "k0": ("k37", 37, False), "k36": ("k37", 1, False), "free": ("free", 0, False)}
+    assert names.resolved(paths, table.where("false")).where("steps = 0 and path = place").count() == 11

@@ -527,6 +527,41 @@ def test_each_channel_has_its_psf(spark, tmp_path):
         run("bad", psf_paths=paths, channel_patterns=["_C0_"])
 
 
+def test_a_repeated_job_makes_only_what_is_missing_or_stale(spark, tmp_path):
+    data = str(tmp_path / "data")
+    os.makedirs(data)
+
+    def put(c, t, k):
+        with open(os.path.join(data, f"x_C{c}_T{t:03d}.tif"), "wb") as f:
+            f.write(tiff.encode(np.full((3, 6, 6), 100 * c + 10 * t + k, "<u2")))
+
+    for c in (0, 1):
+        for t in range(3):
+            put(c, t, 0)
+    job = {"dataDir": data, "baseName": "x", "parameters": {"z_step_um": 1.0, "xy_pixel_size": 1.0, "sheet_angle_deg": 45.0}}
+    deskew, out = pipeline.handlers(spark)["deskew"], os.path.join(data, "DSR")
+    times = lambda: {n: os.stat(os.path.join(out, n)).st_mtime_ns for n in os.listdir(out) if n.endswith(".tif")}
+    seen: dict = {}
+
+    def made(**more):
+        """Names of the files that a run made."""
+        deskew({**job, "parameters": {**job["parameters"], **more}})
+        before, now = dict(seen), times()
+        seen.clear()
+        seen.update(now)
+        return {n for n in now if now[n] != before.get(n)}
+
+    every = {f"x_C{c}_T{t:03d}.tif" for c in (0, 1) for t in range(3)}
+    assert made() == every and made() == set()
+    put(1, 2, 5)
+    assert made() == {"x_C1_T002.tif"}
+    os.remove(os.path.join(out, "x_C0_T000.tif"))
+    os.remove(os.path.join(data, "x_C0_T001.tif"))
+    open(os.path.join(out, "note.txt"), "w").close()
+    assert made() == {"x_C0_T000.tif"} and set(times()) == every - {"x_C0_T001.tif"} and os.path.exists(os.path.join(out, "note.txt"))
+    assert made(sheet_angle_deg=30.0) == every - {"x_C0_T001.tif"}
+
+
 def test_queue_runs_jobs_once_and_records_failures(spark, planes, tmp_path):
     tickets, data = str(tmp_path / "tickets"), str(tmp_path / "data")
     tiff.write_series(model.volumes(planes), data)

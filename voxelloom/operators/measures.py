@@ -15,13 +15,13 @@ def mip(vox: DataFrame, keys: list[str]) -> DataFrame:
     return vox.groupBy(*keys).agg(F.max("v").alias("v"))
 
 
-def mip_all_axes(vox: DataFrame) -> DataFrame:
-    """XY, XZ and YZ projections of every stack in one pass: (t, c, plane, a, b, v)."""
-    flat = vox.groupingSets([["t", "c", "y", "x"], ["t", "c", "z", "x"], ["t", "c", "z", "y"]], "t", "c", "z", "y", "x").agg(F.max("v").alias("v"), F.grouping_id().alias("g"))
+def mip_all_axes(vox: DataFrame, keys: tuple[str, ...] = ("t", "c")) -> DataFrame:
+    """XY, XZ and YZ projections of every stack, named by `keys`, in one pass: (keys.., plane, a, b, v). Of several datasets, `dataset` must be among the keys."""
+    flat = vox.groupingSets([[*keys, "y", "x"], [*keys, "z", "x"], [*keys, "z", "y"]], *keys, "z", "y", "x").agg(F.max("v").alias("v"), F.grouping_id().alias("g"))
     plane = F.when(F.col("z").isNull(), "xy").when(F.col("y").isNull(), "xz").otherwise("yz")
     a = F.when(F.col("z").isNull(), F.col("y")).otherwise(F.col("z"))
     b = F.when(F.col("x").isNull(), F.col("y")).otherwise(F.col("x"))
-    return flat.select("t", "c", plane.alias("plane"), a.alias("a"), b.alias("b"), "v")
+    return flat.select(*keys, plane.alias("plane"), a.alias("a"), b.alias("b"), "v")
 
 
 def percentiles(vox: DataFrame, keys: list[str], shares: dict[str, float], value: str = "v") -> DataFrame:
@@ -123,11 +123,11 @@ def refine_centroid(vox: DataFrame, y: int, x: int, half: int, keys: list[str])
     return centroid(flat, keys, ["y", "x"], F.col("v") - F.col("base"))
 
 
-def composite(vox: DataFrame, limits: DataFrame, colours: DataFrame) -> DataFrame:
-    """(t, z, y, x, r, g, b): each channel scaled to its limits (c, low, high), tinted (c, r, g, b), summed and clipped to 1."""
+def composite(vox: DataFrame, limits: DataFrame, colours: DataFrame, keys: tuple[str, ...] = ("t", "z")) -> DataFrame:
+    """(keys.., y, x, r, g, b): each channel scaled to its limits (c, low, high), tinted (c, r, g, b), summed and clipped to 1."""
     scaled = F.when(F.col("high") > F.col("low"), F.least(F.greatest((F.col("v") - F.col("low")) / (F.col("high") - F.col("low")), F.lit(0.0)), F.lit(1.0))).otherwise(0.0)
     rows = vox.join(limits, "c").join(colours, "c").withColumn("s", scaled)
-    return rows.groupBy("t", "z", "y", "x").agg(*[F.least(F.sum(F.col("s") * F.col(k)), F.lit(1.0)).alias(k) for k in ("r", "g", "b")])
+    return rows.groupBy(*keys, "y", "x").agg(*[F.least(F.sum(F.col("s") * F.col(k)), F.lit(1.0)).alias(k) for k in ("r", "g", "b")])
 
 
 def tukey(at: Column, size: Column, alpha: float) -> Column:

@@ -158,6 +158,40 @@ def redirected(file: Column, folder: Column, legacy: Column) -> Column:
     return F.coalesce(file, folder, legacy)
 
 
+# What takes a source's place, in the order in which it is looked for.
+REDIRECTS = ["file", "folder", "legacy"]
+
+
+def resolved(paths: DataFrame, redirects: DataFrame) -> DataFrame:
+    """(path, place, steps, cyclic) of each distinct path: where its redirects (place, kind, target) lead in the end, and over how many of them.
+
+    Of a place's redirects the first of REDIRECTS holds, of equal kinds the smallest target; a path without one is its own place. A chain that comes back to where it was has no
+    end: its place and steps are null and it is cyclic. Chains are followed by pointer jumping: each round joins the links with themselves, which doubles what each spans, so
+    rounds grow with the logarithm of the longest chain. Links of more steps than there are places run in a cycle.
+    """
+    spark = paths.sparkSession
+    rank = F.array_position(F.array(*[F.lit(k) for k in REDIRECTS]), F.col("kind"))
+    links = redirects.where(F.col("place").isNotNull() & F.col("target").isNotNull() & (rank > 0)).groupBy("place").agg(F.min(F.struct(rank.alias("rank"), "target")).alias("best"))
+    links = links.select("place", F.col("best.target").alias("at"), F.lit(1).cast("long").alias("steps"), F.lit(True).alias("on"))
+
+    def written(rows: DataFrame) -> DataFrame:
+        place = scratch(spark, "links")
+        rows.write.parquet(place)
+        return spark.read.schema(rows.schema).parquet(place)
+
+    links, span = written(links), 1
+    places = links.count()
+    while span <= 2 * places:  # the round after the last jump finds that there is none
+        ahead = links.select(F.col("place").alias("at"), F.col("at").alias("far"), F.col("steps").alias("more"))
+        joined = links.join(ahead, "at", "left")
+        links, span = written(joined.select("place", F.coalesce("far", "at").alias("at"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("far").isNotNull().alias("on"))), 2 * span
+        if links.where("on").isEmpty():
+            break
+    found = paths.select("path").distinct().join(links.withColumnRenamed("place", "path"), "path", "left")
+    cyclic = F.coalesce(F.col("on"), F.lit(False))
+    return found.select("path", F.when(~cyclic, F.coalesce("at", "path")).alias("place"), F.when(~cyclic, F.coalesce("steps", F.lit(0))).alias("steps"), cyclic.alias("cyclic"))
+
+
 def odd_canvas(rows: DataFrame, keys: list[str], sides: list[str]) -> DataFrame:
     """For each key the largest size of each side, made odd, so that a canvas has a middle."""
     return rows.groupBy(*keys).agg(*[(F.max(n).cast("int") + 1 - F.pmod(F.max(n).cast("int"), F.lit(2))).alias(n) for n in sides])

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
-from collections.abc import Sequence
-from functools import reduce
+import shutil
+import uuid
+from collections.abc import Callable, Sequence
+from functools import partial, reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +20,7 @@ from .model import map_volumes, volumes
 from .operators.names import DYES, active_outputs
 from .operators.tickets import iterations_for
 from .operators.voxels import SLOTS, Roi, needed_regions
+from .session import scratch
 from .sources import pages, tiff, zarr
 from .streaming.queue import pending_consolidations
 
@@ -110,6 +114,53 @@ def clear_series(folder: str, source: str) -> None:
                 os.remove(os.path.join(folder, name))
 
 
+#: Where an output folder keeps what its files were made from.
+MANIFEST = ".manifest"
+
+
+def finish_series(spark: SparkSession, parts: list[tuple[DataFrame, str, Callable[[DataFrame], DataFrame]]], folder: str, source: str) -> int:
+    """Bring a folder's series up to date with its inputs and return how many files were written; a repeated job writes none.
+
+    Each part is (files, settings, job): `tiff.series_files`, a text that names all that the job depends on, and what makes its volumes. A file is made if it is
+    not there, or if the folder's manifest does not say that it was made from these bytes with these settings. Inputs are read once for their digests, narrow rows that are written to the shared folder; only those
+    pending are read again. Files of the series that no input stands for go. The manifest is replaced last, so what a failed job made is made again.
+    """
+    os.makedirs(folder, exist_ok=True)
+    keys, place = ["dataset", "t", "c"], os.path.join(os.path.abspath(folder), MANIFEST)
+    digest = lambda settings: F.sha2(F.concat(F.lit(settings.encode()), F.col("content")), 256).alias("digest")
+    marks = reduce(DataFrame.unionByName, [files.select("path", *keys, digest(settings)) for files, settings, _ in parts])
+    marks = marks.withColumn("name", F.format_string("%s_C%d_T%03d.tif", "dataset", "c", "t"))
+    marks = _kept(spark, marks, "inputs")
+    current = {r["name"] for r in marks.select("name").toLocalIterator()}  # as many as the folder lists
+    own = os.path.realpath(folder) != os.path.realpath(source)
+    there = []
+    for name in os.listdir(folder):
+        if name in current:
+            there.append((name,))
+        elif own and re.search(SERIES_FILE, name):
+            os.remove(os.path.join(folder, name))
+    todo = marks
+    if os.path.isdir(place):
+        done = spark.read.schema("name string, digest string").parquet(f"file://{place}").join(spark.createDataFrame(there, "name string"), "name")
+        todo = marks.join(done, ["name", "digest"], "left_anti")
+    todo = _kept(spark, todo.select("path"), "pending")
+    made = [job(tiff.volumes_of(files.join(todo, "path", "left_semi"))) for files, _, job in parts]
+    n = tiff.write_series(reduce(DataFrame.unionByName, made), folder)
+    new = f"{place}-{uuid.uuid4().hex}"
+    marks.select("name", "digest").write.parquet(f"file://{new}")
+    if os.path.isdir(place):
+        os.rename(place, f"{new}-old")
+    os.rename(new, place)
+    shutil.rmtree(f"{new}-old", ignore_errors=True)
+    return n
+
+
+def _kept(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
+    place = scratch(spark, label)
+    rows.write.parquet(place)
+    return spark.read.schema(rows.schema).parquet(place)
+
+
 SIDECAR, CONSOLIDATION_LOG = ".consolidate.json", "consolidation.log"
 
 
@@ -181,10 +232,10 @@ def psfs_of(patterns: list[str], paths: list[str]) -> list[tuple[str, str]]:
 
 
 def handlers(spark: SparkSession) -> dict:
-    """Handlers of crop, deskew, decon and pipeline tickets over TIFF series. Each clears its output folder of the series that an earlier run left."""
+    """Handlers of crop, deskew, decon and pipeline tickets over TIFF series. A crop clears its output folder of the series that an earlier run left; the others make what is missing or stale there."""
 
-    def channels(folder: str, p: dict) -> list[tuple[DataFrame, np.ndarray | None, float | None]]:
-        """The volumes of each channel pattern with its PSF and the PSF's z step; of several patterns in a name the longest holds. Volumes that match no pattern are left out."""
+    def channels(folder: str, p: dict) -> list[tuple[DataFrame, np.ndarray | None, float | None, str]]:
+        """The files of each channel pattern with its PSF, the PSF's z step and digest; of several patterns in a name the longest holds. Files that match no pattern are left out."""
         paths = p.get("psf_paths") or ([p["psf_path"]] if p.get("psf_path") else [])
         paths = [paths] if isinstance(paths, str) else paths
         if p.get("run_decon") is False:
@@ -195,27 +246,26 @@ def handlers(spark: SparkSession) -> dict:
         out = []
         for pattern, path in pairs:
             longer = [x for x in patterns if len(x) > len(pattern)]
-            rows = tiff.read_volumes(spark, folder, pattern=pattern, unless=longer)
+            files = tiff.series_files(spark, folder, pattern=pattern, unless=longer)
             if path is None:
-                out.append((rows, None, None))
+                out.append((files, None, None, ""))
                 continue
             with open(path, "rb") as f:
                 raw = f.read()
-            out.append((rows, tiff.decode(raw).astype(float), p.get("dz_psf") or tiff.spacing(raw)))
+            out.append((files, tiff.decode(raw).astype(float), p.get("dz_psf") or tiff.spacing(raw), hashlib.sha256(raw).hexdigest()))
         return out
 
+    def settings(kind: str, p: dict, psf: str) -> str:
+        return json.dumps([kind, p, psf], sort_keys=True)
+
     def level(job: dict, folder: str) -> None:
         p = job["parameters"]
         how = level_settings(p)
         rotate = p.get("rotate") is not False
         if rotate and p.get("deskew") is False:
             raise ValueError("rotating what is not deskewed is not offered")
-        done = [level_volumes(rows, psf=psf, dz_psf=dz, rotate=rotate, **how) for rows, psf, dz in channels(job["dataDir"], p)]
-        write(reduce(DataFrame.unionByName, done), folder, job["dataDir"])
-
-    def write(rows: DataFrame, folder: str, source: str) -> None:
-        clear_series(folder, source)
-        tiff.write_series(rows, folder)
+        made = [(files, settings("level", p, key), partial(level_volumes, psf=psf, dz_psf=dz, rotate=rotate, **how)) for files, psf, dz, key in channels(job["dataDir"], p)]
+        finish_series(spark, made, folder, job["dataDir"])
 
     def deskew(job: dict) -> None:
         p = job["parameters"]
@@ -227,7 +277,7 @@ def handlers(spark: SparkSession) -> dict:
     def decon(job: dict) -> None:
         p = job["parameters"]
         parts = channels(job["dataDir"], p)
-        if any(psf is None for _, psf, _ in parts):
+        if any(psf is None for _, psf, _, _ in parts):
             raise ValueError("a deconvolution needs a PSF")
         n, whole = iterations_for(p.get("rl_method") or "simple", p.get("iterations")), p.get("save_16bit") is not False
 
@@ -236,10 +286,10 @@ def handlers(spark: SparkSession) -> dict:
                 out = K.richardson_lucy(v, psf, n)
                 return np.clip(np.floor(out + 0.5), 0, 65535).astype("<u2") if whole else out.astype("<f4")
 
-            return run
+            return lambda rows: map_volumes(rows, run)
 
-        done = [map_volumes(rows, job_of(psf)) for rows, psf, _ in parts]
-        write(reduce(DataFrame.unionByName, done), os.path.join(job["dataDir"], p.get("result_dir_name") or "Decon"), job["dataDir"])
+        made = [(files, settings("decon", p, key), job_of(psf)) for files, psf, _, key in parts]
+        finish_series(spark, made, os.path.join(job["dataDir"], p.get("result_dir_name") or "Decon"), job["dataDir"])
 
     def crop(job: dict) -> None:
         p = job["parameters"]

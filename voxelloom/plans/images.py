@@ -12,7 +12,6 @@ from ..model import voxels as explode_planes
 from ..operators import measures as M
 from ..operators import voxels as V
 from ..sources.driver import VOXELS_SQL, planes, table, voxels
-from ..sources.zarr import SLAB
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -438,12 +437,14 @@ def _(vox):
     return vox.select("c").distinct().select("c", F.element_at(names, F.pmod("c", F.lit(len(COLOURS))) + 1).alias("cycled"), zipped.alias("zipped"))
 
 
-@query("blend_alpha", "select a.t, a.z, a.y, a.x, round(0.7 * a.v + 0.3 * b.v, 6) as v from vox a join vox b using (t, z, y, x) where a.c = 0 and b.c = 1")
+@query("blend_alpha", "m as (select t, c, y, x, max(v) as v from vox group by all);; select a.t, a.y, a.x, round(0.7 * a.v + 0.3 * b.v, 6) as v from m a join m b using (t, y, x) where a.c = 0 and b.c = 1")
 def _(vox):
+    """Two channels' projections over z, one laid over the other."""
     from ..functions.scalars import blend
 
-    a, b = (vox.where(F.col("c") == k).select("t", "z", "y", "x", F.col("v").alias(f"v{k}")) for k in (0, 1))
-    return a.join(b, ["t", "z", "y", "x"]).select("t", "z", "y", "x", F.round(blend(F.col("v0"), F.col("v1"), 0.3), 6).alias("v"))
+    flat = M.mip(vox.where("c in (0, 1)"), ["t", "c", "y", "x"])
+    a, b = (flat.where(F.col("c") == k).select("t", "y", "x", F.col("v").alias(f"v{k}")) for k in (0, 1))
+    return a.join(b, ["t", "y", "x"]).select("t", "y", "x", F.round(blend(F.col("v0"), F.col("v1"), 0.3), 6).alias("v"))
 
 
 @query("display_transforms", "select t, z, c, y, x, round(ln(1 + v), 6) as log_v, round(pow(greatest(least((v - 900) / 300.0::double, 1), 0), 0.5), 6) as gamma_v from vox")
@@ -479,9 +480,10 @@ def _(vox):
     return listed_only(every, vox.where("z % 3 = 0"), ["t", "c", "z"])
 
 
-@query("slab_keys", "select t, c, z // 64 as iz, count(*) as voxels, max(v) as top from vox group by all")
+@query("slab_keys", "select t, c, z // 16 as iz, count(*) as voxels, max(v) as top from vox group by all")
 def _(vox):
-    return vox.groupBy("t", "c", F.floor(F.col("z") / SLAB).alias("iz")).agg(F.count("*").alias("voxels"), F.max("v").alias("top"))
+    """Slabs of 16 slices, so that a stack has several."""
+    return vox.groupBy("t", "c", F.floor(F.col("z") / 16).alias("iz")).agg(F.count("*").alias("voxels"), F.max("v").alias("top"))
 
 
 def joined_rois(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -265,6 +265,30 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", found.alias("found"))
 
 
+@query(
+    "resolved_sources",
+    """links as (select place, arg_min(target, (rank, target)) as target from (
+  select 'd' || c_custkey as place, 2 as rank, 'd' || (c_custkey * 3 % 1501) as target from customer where c_custkey % 4 <> 0
+  union all select 'f' || o_orderkey, 1, 'd' || (o_custkey % 1000) from orders where o_orderkey % 7 = 0
+  union all select 'f' || o_orderkey, 3, 'd' || o_custkey from orders where o_orderkey % 5 = 0) group by place);;
+select path, case when not cyclic then place end as place, case when not cyclic then steps end as steps, cyclic from (
+  with recursive walk as (
+    select 'f' || o_orderkey as path, 'f' || o_orderkey as place, 0::bigint as steps, ['f' || o_orderkey] as seen, false as cyclic from orders
+    union all select path, target, steps + 1, list_append(seen, target), list_contains(seen, target) from walk join links using (place) where not cyclic
+  ) select path, arg_max(place, len(seen)) as place, max(steps) as steps, bool_or(cyclic) as cyclic from walk group by path)""",
+)
+def _(spark, sf_dir):
+    """Sources of jobs over chains of redirects, some of which run in cycles."""
+    k, o, d = F.col("c_custkey"), F.col("o_orderkey"), F.col("o_custkey")
+    named = lambda mark, n: F.concat(F.lit(mark), n.cast("string"))
+    row = lambda rows, place, kind, target: rows.select(place.alias("place"), F.lit(kind).alias("kind"), target.alias("target"))
+    customers, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    redirects = row(customers.where(k % 4 != 0), named("d", k), "folder", named("d", k * 3 % 1501))
+    redirects = redirects.unionByName(row(orders.where(o % 7 == 0), named("f", o), "file", named("d", d % 1000)))
+    redirects = redirects.unionByName(row(orders.where(o % 5 == 0), named("f", o), "legacy", named("d", d)))
+    return N.resolved(orders.select(named("f", o).alias("path")), redirects)
+
+
 @query("first_free_number", "n as (select distinct l_suppkey, l_quantity::int as k from lineitem), g as (select l_suppkey, k, row_number() over (partition by l_suppkey order by k) as nth from n);; select l_suppkey, coalesce(min(nth) filter (k <> nth), max(nth) + 1) as free from g group by l_suppkey")
 def _(spark, sf_dir):
     taken = table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_quantity").cast("int").alias("k"))
@@ -349,9 +373,9 @@ def _(spark, sf_dir):
     return tickets(spark, sf_dir).select("ticket", S.default_iterations(F.when(F.col("job_type") == "decon", "omw").otherwise("simple")).alias("iterations"))
 
 
-@query("sidecars_not_copied", "select distinct s_name from supplier where s_suppkey not in (select l_suppkey from lineitem where l_quantity > 49)")
+@query("sidecars_not_copied", "select distinct s_name from supplier where s_suppkey not in (select l_suppkey from lineitem where l_quantity > 49 and l_orderkey % 40 = 0)")
 def _(spark, sf_dir):
-    there = table(spark, sf_dir, "lineitem").where("l_quantity > 49").select(F.col("l_suppkey").alias("s_suppkey"))
+    there = table(spark, sf_dir, "lineitem").where("l_quantity > 49 and l_orderkey % 40 = 0").select(F.col("l_suppkey").alias("s_suppkey"))
     return table(spark, sf_dir, "supplier").join(there, "s_suppkey", "left_anti").select("s_name").distinct()
 
 

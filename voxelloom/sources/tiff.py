@@ -188,8 +188,8 @@ def imagej_text(shape: tuple[int, ...], step: float | None = None) -> str:
     return "\n".join(lines) + "\n"
 
 
-def read_volumes(spark: SparkSession, path: str, name: str = r"_C(\d+)_T(\d+)", pattern: str = "", unless: Sequence[str] = (), labels: Sequence[str] = ()) -> DataFrame:
-    """One volume row for each file under `path`, c and t from its name; on any file system Spark reads. Files are decoded whole, one task each.
+def series_files(spark: SparkSession, path: str, name: str = r"_C(\d+)_T(\d+)", pattern: str = "", unless: Sequence[str] = (), labels: Sequence[str] = ()) -> DataFrame:
+    """(path, dataset, t, c, content) of each file under `path`, c and t from its name; on any file system Spark reads.
 
     With a pattern, only files that have it in their name, and none of `unless`. With labels, names have the label of a channel, as `write_series` writes them, and c is its place.
     """
@@ -202,7 +202,12 @@ def read_volumes(spark: SparkSession, path: str, name: str = r"_C(\d+)_T(\d+)",
         c = F.array_position(F.array(*[F.lit(x) for x in labels]), F.regexp_extract("path", name, 1)).cast("int") - 1
     else:
         c = F.regexp_extract("path", name, 1).try_cast("int")
-    files = files.select("path", "content", F.regexp_extract("path", r"([^/]+?)" + name, 1).alias("dataset"), F.regexp_extract("path", name, 2).try_cast("int").alias("t"), c.alias("c"))
+    files = files.select("path", F.regexp_extract("path", r"([^/]+?)" + name, 1).alias("dataset"), F.regexp_extract("path", name, 2).try_cast("int").alias("t"), c.alias("c"), "content")
+    return files.where("t is not null and c is not null")
+
+
+def volumes_of(files: DataFrame) -> DataFrame:
+    """One volume row for each of `series_files`. Files are decoded whole, one task each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -212,7 +217,12 @@ def read_volumes(spark: SparkSession, path: str, name: str = r"_C(\d+)_T(\d+)",
                 out.append([r.dataset, int(r.t), int(r.c), *v.shape, v.dtype.str, v.tobytes()])
             yield pd.DataFrame(out, columns=[c.split()[0] for c in VOLUMES.split(", ")])
 
-    return files.where("t is not null and c is not null").select("dataset", "t", "c", "content").mapInPandas(run, VOLUMES)
+    return files.select("dataset", "t", "c", "content").mapInPandas(run, VOLUMES)
+
+
+def read_volumes(spark: SparkSession, path: str, **which) -> DataFrame:
+    """One volume row for each of the `series_files` under `path`."""
+    return volumes_of(series_files(spark, path, **which))
 
 
 def write_ome(planes: DataFrame, folder: str) -> int:
