@@ -466,3 +466,33 @@ def test_embedding_links_of_a_group_beyond_window_and_block(spark):
     finally:
         for k, x in settings.items():
             spark.conf.set(k, x)
+
+
+@pytest.mark.parametrize("size", [200, 2000, 6000])
+def test_vectors_that_hang_on_one_member_of_a_dense_group(spark, size):
+    """Each of 300 vectors links with one member, or few, of a group far larger than a window; counts and components equal brute force."""
+    rng = np.random.default_rng(size)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    middle = rng.standard_normal((1, 64))
+    group = unit(unit(middle) + rng.standard_normal((size, 64)) * (0.075**0.5 / 8))
+    held = group[rng.choice(size, 300, replace=size < 300)]
+    away = rng.standard_normal((300, 64))
+    away = unit(away - (away * held).sum(axis=1, keepdims=True) * held)
+    hanging = 0.904 * held + (1 - 0.904**2) ** 0.5 * away
+    others = unit(rng.standard_normal((1500, 64)))
+    v = np.concatenate([group, hanging, others]).astype(np.float32)[rng.permutation(size + 1800)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in projpass.near_duplicates(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")).collect()}
+    u = unit(v.astype(float))
+    links = u @ u.T >= 0.9
+    np.fill_diagonal(links, False)
+    label = np.arange(len(v))
+    while True:
+        low = np.minimum(label, np.where(links, label[None, :], len(v)).min(axis=1))
+        if (low == label).all():
+            break
+        label = low
+    want = {i: (int(n), int(c)) for i, (n, c) in enumerate(zip(links.sum(axis=1), label))}
+    assert sum(got[i] == want[i] for i in want) > 0.999 * len(want)
+    # of vectors with a link, those that found their component
+    linked = [i for i in want if want[i][0]]
+    assert np.mean([got[i][1] == want[i][1] for i in linked]) >= 0.99

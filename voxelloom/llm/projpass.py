@@ -5,8 +5,10 @@ by the concatenated signs, and compares each with a bounded window of
 those before it. Vectors at a small angle share a prefix of signs in some pass and meet in its window. Pairs found
 are verified by their cosine in double precision and united over the passes into components.
 
-A window holds only part of a large group of near copies. So, once the components are known,
-the links inside each are counted exactly, block against block, whatever the windows had room for.
+A window holds only part of a large group of near copies, so a vector that links with few of its members may not meet these. But it meets
+others: whatever a linked member links with is within 2 * cosine ** 2 - 1 of it. So, once the components are known, vectors that were seen that
+near to one which is larger than a window are compared with all its members, and join it if they link with any, until none does.
+Then the links inside each component are counted exactly, block against block, whatever the windows had room for.
 """
 
 from __future__ import annotations
@@ -108,12 +110,12 @@ def _linked(unit_a: np.ndarray, unit_b: np.ndarray, allowed: np.ndarray | bool,
 
 
 def _windows(ordered: DataFrame, classes: DataFrame, window: int, cosine: float, kind: str) -> DataFrame:
-    """(a, b) links between each class and the `window` before it in every pass; of a chunk's links a spanning forest.
+    """(a, b, near): links between each class and the `window` before it in every pass, of a chunk's links a spanning forest; and, near, the closest that each class met which is no link but may share a neighbour with it.
 
     A chunk of the order is a task's unit: CHUNK classes, and the window before them, which are the
     last of the chunk before. So the pairs compared depend on ranks alone.
     """
-    chunk = max(CHUNK, window)
+    chunk, least = max(CHUNK, window), 2 * cosine * cosine - 1
     narrow = ordered.select("rep", "one_pass", "place", F.floor(F.col("place") / chunk).alias("chunk"))
     halo = narrow.where(F.pmod("place", F.lit(chunk)) >= chunk - window).withColumn("chunk", F.col("chunk") + 1)
     rows = narrow.unionByName(halo).join(classes.select("rep", "dim", "raw").hint("merge"), "rep")
@@ -121,24 +123,82 @@ def _windows(ordered: DataFrame, classes: DataFrame, window: int, cosine: float,
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("place", ignore_index=True)
         first = int(np.searchsorted(rows["place"], int(rows["chunk"].iloc[0]) * chunk))
-        found_a, found_b = [], []
+        found_a, found_b, near_a, near_b = [], [], [], []
         for _, same in rows.groupby(["one_pass", "dim"], sort=False):
             reps, places, own = same["rep"].to_numpy(np.int64), same["place"].to_numpy(np.int64), same.index.to_numpy() >= first
             unit = _unit(list(same["raw"]), kind)
+            closest, other = np.full(len(reps), least), np.full(len(reps), -1)
             for k in range(0, len(reps), window):
                 a = slice(k, k + window)
                 b = slice(max(0, k - window), k + window)
-                apart = places[a, None] - places[None, b]
-                i, j = np.nonzero(_linked(unit[a], unit[b], (apart > 0) & (apart <= window) & own[a, None], cosine))
+                apart, cosines = places[a, None] - places[None, b], unit[a] @ unit[b].T
+                met = (apart > 0) & (apart <= window) & own[a, None]
+                i, j = np.nonzero((cosines >= cosine) & met)
                 if len(i):
                     x, y = forest(reps[a][i], reps[b][j])
                     found_a.append(x)
                     found_b.append(y)
-        if not found_a:
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        return pd.DataFrame(dict(zip("ab", forest(np.concatenate(found_a), np.concatenate(found_b)))))
+                below = np.where(met & (cosines < cosine), cosines, -1.0)
+                for at, axis, across in ((a, 1, b), (b, 0, a)):
+                    best = below.max(axis=axis)
+                    better = np.flatnonzero(best > closest[at])
+                    closest[at][better] = best[better]
+                    other[at][better] = below.argmax(axis=axis)[better] + across.start
+            seen = np.flatnonzero(other >= 0)
+            near_a.append(reps[seen])
+            near_b.append(reps[other[seen]])
+        none = [np.zeros(0, np.int64)]
+        links = forest(np.concatenate(found_a or none), np.concatenate(found_b or none)) if found_a else none * 2
+        near = np.concatenate(near_a or none), np.concatenate(near_b or none)
+        return pd.DataFrame({"a": np.concatenate([links[0], near[0]]), "b": np.concatenate([links[1], near[1]]), "near": np.arange(len(links[0]) + len(near[0])) >= len(links[0])})
+
+    return rows.groupBy("chunk").applyInPandas(run, "a long, b long, near boolean")
+
 
-    return rows.groupBy("chunk").applyInPandas(run, "a long, b long")
+def _attached(outside: DataFrame, members: DataFrame, classes: DataFrame, cosine: float, kind: str, block: int) -> DataFrame:
+    """(a, b): links of vectors `outside` (rep, component) with any of the component's `members` (component, rep), a spanning forest of each task's.
+
+    Both are dealt into blocks, and each pair of blocks is one task's product of matrices, so neither a large component nor many vectors near it is ever in one task.
+    """
+    ordered = _ranked(members, ["component", "rep"], "vector-large")
+    inside = ordered.select("component", "rep", F.floor(F.col("place") / block).alias("inner"))
+    spans = inside.groupBy("component").agg(F.min("inner").alias("first"), F.max("inner").alias("last"))
+    parts = outside.groupBy("component").agg(F.ceil(F.count("*") / block).alias("parts"))
+    around = outside.join(parts, "component").join(spans, "component")
+    around = around.select("component", "rep", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("outer"), F.explode(F.sequence("first", "last")).alias("inner"), F.lit(1).alias("side"))
+    inside = inside.join(parts, "component").select("component", "rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("outer"), "inner", F.lit(0).alias("side"))
+    rows = around.unionByName(inside).join(classes.select("rep", "dim", "raw").hint("merge"), "rep")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        found_a, found_b = [], []
+        for _, same in rows.groupby("dim", sort=False):
+            a, b = same[same["side"] == 0], same[same["side"] == 1]
+            if len(a) and len(b):
+                i, j = np.nonzero(_linked(_unit(list(a["raw"]), kind), _unit(list(b["raw"]), kind), True, cosine))
+                found_a.append(a["rep"].to_numpy(np.int64)[i])
+                found_b.append(b["rep"].to_numpy(np.int64)[j])
+        pairs = np.concatenate(found_a or [np.zeros(0, np.int64)]), np.concatenate(found_b or [np.zeros(0, np.int64)])
+        return pd.DataFrame(dict(zip("ab", forest(*pairs) if len(pairs[0]) else pairs)))
+
+    out = materialize(rows.groupBy("component", "outer", "inner").applyInPandas(run, "a long, b long"), "vector-attached")
+    drop(ordered)
+    return out
+
+
+def _joined(found: DataFrame, classes: DataFrame, window: int, cosine: float, kind: str, block: int) -> DataFrame:
+    """(rep, component) of the classes that links reach: those that windows found, and those of vectors near a component that no window holds with all of it."""
+    links, near = found.where("not near").select("a", "b"), found.where("near").select("a", "b")
+    while True:
+        reached = materialize(components(links, "a", "b").select(F.col("node").alias("rep"), "component"), "vector-components")
+        large = reached.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > window).select("component")
+        members = materialize(reached.join(large, "component"), "vector-large")
+        seen = near.join(members.select(F.col("rep").alias("b"), "component").hint("merge"), "b").select(F.col("a").alias("rep"), "component").distinct()
+        own = reached.select("rep", F.col("component").alias("own"))
+        outside = materialize(seen.join(own.hint("merge"), "rep", "left").where("own is null or own <> component").select("rep", "component"), "vector-outside")
+        more = None if outside.isEmpty() else _attached(outside, members, classes, cosine, kind, block)
+        if more is None or more.isEmpty():
+            return reached
+        links = links.unionByName(more)
 
 
 def _counted(members: DataFrame, classes: DataFrame, cosine: float, kind: str, block: int) -> DataFrame:
@@ -187,7 +247,7 @@ def _counted(members: DataFrame, classes: DataFrame, cosine: float, kind: str, b
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, window: int = WINDOW, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
-    component_id is the smallest id that links reach which some pass brought into a window at the cosine or above. n_links counts the other rows
+    component_id is the smallest id that links reach which some pass brought into a window, or that lead into a component larger than a window. n_links counts the other rows
     of the component linked to it directly: its exact copies and all copies of vectors at the cosine or above, exactly, however
     large the component. Vectors that are
     null, empty, zero, or hold null or non-finite components, and rows with a null id, link with nothing and are kept; a null
@@ -206,7 +266,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         keyed = materialize(_keyed(classes, passes, kind), "vector-keys")
         ordered = _ranked(keyed, ["one_pass", "dim", "key", "rep"], "vector-order")
         links = materialize(_windows(ordered, classes, window, cosine, kind), "vector-links")
-        reached = materialize(components(links, "a", "b").select(F.col("node").alias("rep"), "component"), "vector-components")
+        reached = _joined(links, classes, window, cosine, kind, block)
         linked = _counted(reached, classes, cosine, kind, block)
         labels = classes.select("digest", "rep", "copies").join(linked, "rep", "left").join(reached, "rep", "left")
         labels = labels.select("digest", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("component"))
