@@ -496,3 +496,15 @@ def test_vectors_that_hang_on_one_member_of_a_dense_group(spark, size):
     # of vectors with a link, those that found their component
     linked = [i for i in want if want[i][0]]
     assert np.mean([got[i][1] == want[i][1] for i in linked]) >= 0.99
+
+
+def test_comments_go_however_long_they_are(spark):
+    """Three pages of a layout: comments outweigh the article tenfold; a page of nothing but comments keeps them; an article's header is its title's."""
+    words = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    rows = []
+    for k in range(3):
+        html = f"<html><body><header>Site {k}</header><article><header><h1>Title {k}</h1></header><p>{words(k, 50)}</p></article><section class='comments'><div class='comment'>{words(k + 10, 500)}</div></section></body></html>"
+        rows.append((k, f"http://a.example/{k}", html))
+    rows.append((7, "http://b.example/", f"<html><body><div id='comments'>{words(30, 40)}</div></body></html>"))
+    got = {r["page_id"]: r["text"] for r in wrapper.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == f"Title {k}\n{words(k, 50)}" for k in range(3)) and got[7] == words(30, 40)

@@ -14,7 +14,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DEVIATIONS, WORST = 1.645, 0.3
 #: Bounds of a prior's strength, in pseudo-outcomes.
 WEAKEST, STRONGEST = 2.0, 1000.0
-# Second-level labels that are suffixes under a country's two letters, as in co.uk.
+# Second-level labels that are taken for suffixes under a country's two letters, as in co.uk.
 SECOND_LEVEL = "ac co com edu go gob gov gr ltd mil ne net nhs nom or org plc sch".split()
 
 

@@ -38,14 +38,18 @@ BROADCAST_BYTES = 32 << 20
 
 #: Share of the varying text up to which marked elements are dropped: what holds most of it is content, whatever its name.
 MARKED_SHARE = 0.5
+#: The same of what is marked as written by readers: it is content only where next to nothing else varies.
+READERS_SHARE = 0.95
 
-# Elements by kind, and words of classes, ids and roles that mark what isn't article text unless it holds most of it.
+# Elements by kind, and words of classes, ids and roles that mark what isn't article text unless it holds most of it.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 DROPPED = frozenset("head script style noscript iframe template svg button select textarea title object canvas".split())
 MARKED = frozenset("nav header footer aside form dialog menu".split())
 MARKED_WORDS = frozenset("ad ads advert adverts advertisement advertisements advertising adbox adslot banner promo promos promotion promotions promoted sponsor sponsors sponsored nav navbar navigation menu breadcrumb breadcrumbs sidebar sidebars aside footer header masthead comment comments commentlist discussion disqus reply replies respond notice notices cookie cookies consent gdpr alert popup modal overlay share sharing social related recommended newsletter newsletters subscribe subscription signup login search pagination pager toolbar widget widgets complementary contentinfo side rail".split())
+#: Of these, the words of what readers wrote.
+READERS = frozenset("comment comments commentlist discussion disqus reply replies respond".split())
 #: Words that say nothing by themselves: a class of marked words and these is marked, one with any other word is not.
 FILLING = frozenset("area bar block blocks bottom box button buttons container inner item items left link links list main outer page post posts right section site top unit wrap wrapper".split())
 KEPT = frozenset("html body main".split())
@@ -128,6 +132,8 @@ def parse(page: str) -> Node:
                 elif stack[k].tag in SCOPES and stack[k].tag not in closed:
                     break
         node = Node(tag, attributes)
+        if node.mark == "header" and any(x.tag == "article" for x in stack):
+            node.mark = ""  # an article's own header holds its title
         stack[-1].children.append(node)
         if tag in RAW:
             lower = lower or page.lower()
@@ -241,8 +247,15 @@ class Folded:
         return self._size
 
     def judge(self) -> list[str]:
-        """Marks that don't tell: together their elements hold more than MARKED_SHARE of all varying text; every mark where nothing else varies. Afterwards the other marked nodes are dropped."""
+        """Marks that don't tell: together their elements hold more than MARKED_SHARE of the varying text outside READERS' marks, or READERS_SHARE of all if they are such; every mark where nothing else varies. Afterwards the other marked nodes are dropped."""
         sums: dict[str, int] = {}
+        by_reader = lambda mark: not READERS.isdisjoint(_WORDS.findall(mark))
+
+        def unread(x: Folded) -> int:
+            """Varying text that stands in no reader's mark."""
+            if x.dropped or x.mark and by_reader(x.mark):
+                return 0
+            return sum(len(t) for t in x.varying()) + sum(map(unread, x.children))
 
         def gather(x: Folded, around: frozenset[str]) -> int:
             """Adds up the nodes of each mark; varying text that stands in no marked node."""
@@ -254,7 +267,9 @@ class Folded:
             return (0 if around else sum(len(t) for t in x.varying())) + sum(gather(c, around) for c in x.children)
 
         plain = gather(self, frozenset())
-        kept = {m for m, n in sums.items() if n > MARKED_SHARE * self.size()}
+        kept = {m for m in sums if by_reader(m) and sums[m] > READERS_SHARE * self.size()}
+        size = self.size() if kept else unread(self)
+        kept |= {m for m in sums if not by_reader(m) and sums[m] > MARKED_SHARE * size}
         if not plain and not kept:
             kept = set(sums)
 
