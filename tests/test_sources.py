@@ -148,6 +148,28 @@ def test_index_of_many_pages_and_nested_folders(spark, tmp_path):
     assert one.count() == 1 and pages.tasks_for(n) == one.rdd.getNumPartitions() == -(-n // pages.PAGES)
 
 
+def test_acquisitions_are_streamed_once(spark, tmp_path):
+    """New files only, from any depth, over runs that go on from one checkpoint."""
+    folder, seen = tmp_path / "in", []
+
+    def put(name):
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_bytes(b"x" * 7)
+
+    def run(per_batch=1000):
+        before = len(seen)
+        query = pages.acquisitions(spark, str(folder), per_batch).writeStream.foreachBatch(lambda rows, n: seen.extend((n, r["path"].rpartition("/in/")[2], r["length"]) for r in rows.collect()))
+        query.option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination()
+        return sorted(x[1] for x in seen[before:])
+
+    for name in ("a/b/r_MMStack_Pos0.ome.tif", "r_MMStack_Pos0.ome.tif", "a/r_MMStack_Pos0_1.ome.tif", "a/b/c/d/e_MMStack_Pos0.ome.tif"):
+        put(name)
+    assert run(1) == ["a/b/c/d/e_MMStack_Pos0.ome.tif", "a/b/r_MMStack_Pos0.ome.tif", "r_MMStack_Pos0.ome.tif"] and len({x[0] for x in seen}) == 3
+    assert run() == []
+    put("z/q_MMStack_Pos0.ome.tif")
+    assert run() == ["z/q_MMStack_Pos0.ome.tif"] and all(x[2] == 7 for x in seen)
+
+
 def lzw(data, clear_at=4094):
     """Codes of the TIFF specification's encoder, packed highest bit first."""
     bits, width, table, held = [], 9, {bytes([k]): k for k in range(256)}, b""

@@ -43,6 +43,20 @@ def listing(spark: SparkSession, folder: str, recursive: bool = False) -> DataFr
     return files.select("path", "length", "modificationTime")
 
 
+# Name of the first file of an acquisition, and the columns of Spark's reader of whole files.
+FIRST_FILE = "*_MMStack_Pos0.ome.tif"
+_FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
+def acquisitions(spark: SparkSession, folder: str, per_batch: int = 1000) -> DataFrame:
+    """A stream of (path, length, modificationTime) of acquisitions' first files, however deep in the folder they lie: each batch holds those that came since the last, at most `per_batch`.
+
+    Spark's file source keeps in the query's checkpoint which it has seen, so a query that starts again goes on where it stopped; contents are not read.
+    """
+    rows = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", FIRST_FILE).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", per_batch)
+    return rows.load(folder).select("path", "length", "modificationTime")
+
+
 def walk(files: DataFrame) -> DataFrame:
     """One row for each page of each file in `files` (path): its directory's shape, type and strips, and the first page's description. A file is one task's, read once from front to back."""
 
