@@ -437,7 +437,7 @@ def _(vox):
     return vox.select("c").distinct().select("c", F.element_at(names, F.pmod("c", F.lit(len(COLOURS))) + 1).alias("cycled"), zipped.alias("zipped"))
 
 
-@query("blend_alpha", "m as (select t, c, y, x, max(v) as v from vox group by all);; select a.t, a.y, a.x, round(0.7 * a.v + 0.3 * b.v, 6) as v from m a join m b using (t, y, x) where a.c = 0 and b.c = 1")
+@query("blend_alpha", "m as (select t, c, y, x, max(v) as v from vox group by all);; select a.t, a.y, a.x, round(0.7::double * a.v + 0.3::double * b.v, 6) as v from m a join m b using (t, y, x) where a.c = 0 and b.c = 1")
 def _(vox):
     """Two channels' projections over z, one laid over the other."""
     from ..functions.scalars import blend
@@ -494,7 +494,7 @@ def joined_rois(spark: SparkSession, sf_dir: str) -> DataFrame:
     y0, x0 = F.pmod(k, F.lit(5)), F.pmod(k, F.lit(3))
     rois = table(spark, sf_dir, "nation").select(k.alias("roi"), y0.alias("y0"), (y0 + 3).alias("y1"), x0.alias("x0"), (x0 + 4).alias("x1"))
     cut = explode_planes(crops(planes(spark, sf_dir), rois, tile=4).withColumn("dataset", F.col("roi").cast("string")))
-    return cut.groupBy(F.col("dataset").cast("long").alias("roi"), "t", "c").agg(F.max("v").cast("int").alias("top"), F.count("*").alias("n"))
+    return cut.groupBy(F.col("dataset").cast("int").alias("roi"), "t", "c").agg(F.max("v").cast("int").alias("top"), F.count("*").alias("n"))
 
 
 def percentiles_float(spark: SparkSession, sf_dir: str) -> DataFrame:
