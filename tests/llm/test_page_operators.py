@@ -508,3 +508,18 @@ def test_comments_go_however_long_they_are(spark):
     rows.append((7, "http://b.example/", f"<html><body><div id='comments'>{words(30, 40)}</div></body></html>"))
     got = {r["page_id"]: r["text"] for r in wrapper.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[k] == f"Title {k}\n{words(k, 50)}" for k in range(3)) and got[7] == words(30, 40)
+
+
+def test_suffixes_by_a_table_of_rules(spark):
+    rules = ["com", "uk", "co.uk", "jp", "kyoto.jp", "*.kawasaki.jp", "!city.kawasaki.jp", "github.io", "*.ck", "!www.ck", "CO.UK", None]
+    want = {
+        "com": "com", "a.com": "com", "x.a.co.uk": "co.uk", "uk": "uk", "ide.kyoto.jp": "kyoto.jp", "kyoto.jp": "kyoto.jp", "a.b.c.kawasaki.jp": "c.kawasaki.jp", "kawasaki.jp": "jp",
+        "x.city.kawasaki.jp": "kawasaki.jp", "me.github.io": "github.io", "io": "io", "a.b.ck": "b.ck", "www.ck": "ck", "a.www.ck": "ck", "none.example": "example", "10.0.0.1": "10.0.0.1", "": "",
+    }
+    table = lambda x, n: spark.createDataFrame([(v,) for v in x], f"{n} string")
+    found = hostrep.suffixes_by_rules(table([*want, "a.com"], "site"), table(rules, "rule"))
+    assert {r["site"]: r["suffix"] for r in found.collect()} == want and found.count() == len(want)
+    hosts = spark.createDataFrame([("a.me.github.io:80", 5, 5), ("b.me.github.io", 3, 0), ("you.github.io", 9, 1)], "host string, n long, bad long")
+    with_rules = {r["host"]: r["bad_rate"] for r in hostrep.reputation(hosts, suffix_rules=table(rules, "rule")).collect()}
+    # one domain of two hosts, another of one: without the rule all three would be github.io's
+    assert len(with_rules) == 3 and with_rules["you.github.io"] < with_rules["b.me.github.io"] <= with_rules["a.me.github.io:80"]

@@ -57,6 +57,24 @@ def public_suffix(name: Column, second_level: list[str]) -> Column:
     return F.when(_address(name), name).when(known, two).otherwise(last)
 
 
+def suffixes_by_rules(sites: DataFrame, rules: DataFrame) -> DataFrame:
+    """(site, suffix) of each distinct site by a table of suffix rules (rule), of any number, in the form of the public suffix list.
+
+    A rule `co.uk` is the suffix of all names that end so; `*.ck` of any one label before `ck`; `!www.ck` excepts a name from such a rule, its suffix is what follows its first
+    label. An exception goes before all other rules, else the rule of most labels holds; without one the suffix is the last label. An address is its own suffix. Names meet rules by an
+    equi-join on their ends, so neither side need be small. Null and repeated rules count once or not at all.
+    """
+    rows = sites.select("site").distinct().withColumn("labels", F.split("site", r"\."))
+    ends = rows.where(~_address(F.col("site"))).select("site", "labels", F.explode(F.sequence(F.lit(1), F.size("labels"))).alias("k"))
+    after = lambda k: F.array_join(F.slice("labels", k, F.size("labels")), ".")
+    own, parent = after(F.col("k")), F.when(F.col("k") < F.size("labels"), after(F.col("k") + 1)).otherwise("")
+    depth = F.size("labels") - F.col("k") + 1
+    keys = F.array(*[F.struct(name.alias("rule"), F.lit(excepts).alias("excepts"), depth.alias("depth"), suffix.alias("suffix")) for name, excepts, suffix in ((own, 0, own), (F.concat(F.lit("*."), parent), 0, own), (F.concat(F.lit("!"), own), 1, parent))])
+    met = ends.select("site", F.explode(keys).alias("r")).select("site", "r.*").join(rules.select(F.translate("rule", UPPER, LOWER).alias("rule")).distinct(), "rule")
+    best = met.groupBy("site").agg(F.max(F.struct("excepts", "depth", "suffix")).alias("best")).select("site", F.col("best.suffix").alias("known"))
+    return rows.join(best, "site", "left").select("site", F.coalesce("known", F.when(_address(F.col("site")), F.col("site")).otherwise(F.element_at("labels", -1))).alias("suffix"))
+
+
 def registered_domain(name: Column, suffix: Column) -> Column:
     """The suffix and one label more; the name itself if it has no more."""
     depth = F.size(F.split(suffix, r"\.")) + 1
@@ -99,16 +117,18 @@ def _strength(children: DataFrame) -> float:
     return min(max(1 / share - 1, WEAKEST), STRONGEST) if share > 0 else STRONGEST
 
 
-def reputation(outcomes: DataFrame, second_level: list[str] = SECOND_LEVEL) -> DataFrame:
+def reputation(outcomes: DataFrame, second_level: list[str] = SECOND_LEVEL, suffix_rules: DataFrame | None = None) -> DataFrame:
     """(host, n, bad, bad_rate, bound) of every host in (host, n, bad) rows, one a host.
 
-    A host's rate of bad outcomes is drawn to its registered domain's, a domain's to its public suffix's (`co.uk` or `com`, see `public_suffix`;
+    A host's rate of bad outcomes is drawn to its registered domain's, a domain's to its public suffix's (`co.uk` or `com`, see `public_suffix`, or `suffixes_by_rules` if there is a table of rules;
     user names and ports don't count), a suffix's to the whole table's, each through
     a beta prior whose mean is the parent's posterior mean and whose strength fits the spread
     of the level's groups. bound lies DEVIATIONS posterior standard deviations below the
     posterior mean. Hosts without outcomes get their parents' rates.
     """
-    hosts = outcomes.withColumn("suffix", public_suffix(site(F.col("host")), second_level)).withColumn("domain", registered_domain(site(F.col("host")), F.col("suffix")))
+    named = outcomes.withColumn("site", site(F.col("host")))
+    suffixed = named.withColumn("suffix", public_suffix(F.col("site"), second_level)) if suffix_rules is None else named.join(suffixes_by_rules(named, suffix_rules), "site")
+    hosts = suffixed.drop("site").withColumn("domain", registered_domain(site(F.col("host")), F.col("suffix")))
     hosts = materialize(hosts, "hosts")
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     domains = hosts.groupBy("suffix", "domain").agg(*sums)
@@ -127,7 +147,7 @@ def reputation(outcomes: DataFrame, second_level: list[str] = SECOND_LEVEL) -> D
     return hosts.join(domains, ["suffix", "domain"]).select("host", "n", "bad", rate.alias("bad_rate")).withColumn("bound", F.col("bad_rate") - DEVIATIONS * spread)
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule] | DataFrame, id_col: str = "page_id", url_col: str = "url", worst: float = WORST) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule] | DataFrame, id_col: str = "page_id", url_col: str = "url", worst: float = WORST, suffix_rules: DataFrame | None = None) -> DataFrame:
     """(id_col, host, path, rule, verdict, bad_rate, bound) of every page row.
 
     `labels` has (doc_id, quality, toxic) for some pages. That its doc_id is the id of a page is an assumption of the caller: the test tables have no other
@@ -142,7 +162,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule] | DataFrame, id
     rows = pages.select(F.col(id_col).alias("id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     outcome = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max(F.when((F.col("toxic") == 1) | (F.col("quality") == 0), 1).otherwise(0)).alias("bad"))
     seen = materialize(rows.select("id", "host").join(outcome, "id", "left").groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "host-outcomes")
-    known = reputation(seen).select("host", "bad_rate", "bound").join(_rules(rules, seen.select("host")), "host", "left")
+    known = reputation(seen, suffix_rules=suffix_rules).select("host", "bad_rate", "bound").join(_rules(rules, seen.select("host")), "host", "left")
     fit = F.array_max(F.filter(F.coalesce("fits", F.array().cast("array<struct<size int, rule string, path string, verdict string>>")), lambda r: F.col("path").startswith(r["path"])))
     return (
         rows.join(known, "host")
