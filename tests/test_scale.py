@@ -54,6 +54,8 @@ def test_crops_of_regions(spark):
     table = spark.createDataFrame([(k, *r) for k, r in regions.items()], "roi int, y0 int, y1 int, x0 int, x1 int")
     got = {(r["roi"], r["t"]): np.frombuffer(r["data"], r["dtype"]).reshape(r["h"], r["w"]) for r in rois.crops(rows, table, tile=4).collect()}
     assert set(got) == {(k, t) for k in (1, 2) for t in range(2)}
+    most = {(r["roi"], r["t"]): (r["top"], r["n"]) for r in rois.region_maxima(rows, table, tile=4).collect()}
+    assert most == {k: (float(g.max()), g.size) for k, g in got.items()}
     assert all((got[1, t] == v[t, 2:5, 3:8]).all() and (got[2, t] == v[t, 0:3, 9:]).all() for t in range(2))
 
 

@@ -16,6 +16,7 @@ from .voxels import Roi
 MAX_SHIFT, LEAST_SPAN = 60.0, 5
 #: Side of the tiles by which boxes find each other.
 TILE = 256
+_NAMES = [c.split()[0] for c in PLANES.split(", ")]
 
 
 def _within(roi: Roi) -> Column:
@@ -94,19 +95,40 @@ def box_join(left: DataFrame, right: DataFrame, left_box: Sequence[str], right_b
     return pairs.where(met).drop("tile_y", "tile_x")
 
 
+def _met(planes: DataFrame, regions: DataFrame, keys: Sequence[str], tile: int) -> DataFrame:
+    """Planes with each region that meets them, cut at the plane's edges."""
+    framed = planes.select(*_NAMES).withColumns({"top": F.lit(0), "left": F.lit(0)})
+    met = box_join(framed, regions, ("top", "h", "left", "w"), ("y0", "y1", "x0", "x1"), keys, tile)
+    return met.select("roi", *_NAMES, F.greatest("y0", "top").cast("int").alias("y0"), F.least("y1", "h").cast("int").alias("y1"), F.greatest("x0", "left").cast("int").alias("x0"), F.least("x1", "w").cast("int").alias("x1"))
+
+
+def _cut(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The part of each row's plane inside its region."""
+    columns = [batch.column(n).to_pylist() for n in ("data", "dtype", "h", "w", "y0", "y1", "x0", "x1")]
+    for data, dtype, h, w, y0, y1, x0, x1 in zip(*columns):
+        yield np.frombuffer(data, dtype).reshape(h, w)[y0:y1, x0:x1]
+
+
 def crops(planes: DataFrame, regions: DataFrame, keys: Sequence[str] = (), tile: int = TILE) -> DataFrame:
     """Plane rows cut by each region (roi, y0, y1, x0, x1) that meets them, with `roi`; a region beyond the plane's edge is cut there. With keys, a region is for the planes that share them."""
-    names = [c.split()[0] for c in PLANES.split(", ")]
-    framed = planes.select(*names).withColumns({"top": F.lit(0), "left": F.lit(0)})
-    met = box_join(framed, regions, ("top", "h", "left", "w"), ("y0", "y1", "x0", "x1"), keys, tile)
-    rows = met.select("roi", *names, F.greatest("y0", "top").cast("int").alias("y0"), F.least("y1", "h").cast("int").alias("y1"), F.greatest("x0", "left").cast("int").alias("x0"), F.least("x1", "w").cast("int").alias("x1"))
+    rows = _met(planes, regions, keys, tile)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = batch.to_pydict()
-            for k, data in enumerate(out["data"]):
-                image = np.frombuffer(data, out["dtype"][k]).reshape(out["h"][k], out["w"][k])[out["y0"][k] : out["y1"][k], out["x0"][k] : out["x1"][k]]
-                out["h"][k], out["w"][k], out["data"][k] = *image.shape, image.tobytes()
-            yield pa.RecordBatch.from_pydict({n: out[n] for n in ("roi", *names)}, schema=pa.schema([f for f in batch.schema if f.name in ("roi", *names)]))
+            images = list(_cut(batch))
+            new = {"h": pa.array([i.shape[0] for i in images], pa.int32()), "w": pa.array([i.shape[1] for i in images], pa.int32()), "data": pa.array([i.tobytes() for i in images], pa.binary())}
+            yield pa.RecordBatch.from_arrays([new.get(n, batch.column(n)) for n in ("roi", *_NAMES)], names=["roi", *_NAMES])
 
     return rows.mapInArrow(run, f"roi {rows.schema['roi'].dataType.simpleString()}, {PLANES}")
+
+
+def region_maxima(planes: DataFrame, regions: DataFrame, keys: Sequence[str] = (), tile: int = TILE) -> DataFrame:
+    """(roi, dataset, t, z, c, top, n): maximum and number of the pixels of each plane inside each region that meets it; no pixel is a row."""
+    rows, places = _met(planes, regions, keys, tile), ("roi", "dataset", "t", "z", "c")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            images = list(_cut(batch))
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in places), pa.array([float(i.max()) for i in images]), pa.array([i.size for i in images], pa.int64())], names=[*places, "top", "n"])
+
+    return rows.mapInArrow(run, f"roi {rows.schema['roi'].dataType.simpleString()}, dataset string, t int, z int, c int, top double, n long")

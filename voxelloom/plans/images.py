@@ -488,13 +488,13 @@ def _(vox):
 
 def joined_rois(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each plane cut by every region that meets it, found by tiles."""
-    from ..operators.rois import crops
+    from ..operators.rois import region_maxima
 
     k = F.col("n_nationkey")
     y0, x0 = F.pmod(k, F.lit(5)), F.pmod(k, F.lit(3))
     rois = table(spark, sf_dir, "nation").select(k.alias("roi"), y0.alias("y0"), (y0 + 3).alias("y1"), x0.alias("x0"), (x0 + 4).alias("x1"))
-    cut = explode_planes(crops(planes(spark, sf_dir), rois, tile=4).withColumn("dataset", F.col("roi").cast("string")))
-    return cut.groupBy(F.col("dataset").cast("int").alias("roi"), "t", "c").agg(F.max("v").cast("int").alias("top"), F.count("*").alias("n"))
+    found = region_maxima(planes(spark, sf_dir), rois, tile=4)
+    return found.groupBy("roi", "t", "c").agg(F.max("top").cast("int").alias("top"), F.sum("n").alias("n"))
 
 
 def percentiles_float(spark: SparkSession, sf_dir: str) -> DataFrame:
