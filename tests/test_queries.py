@@ -5,6 +5,7 @@ import os
 import shutil
 import subprocess
 import sys
+import tempfile
 
 import duckdb
 import numpy as np
@@ -112,3 +113,26 @@ def test_entry_without_the_training_data_folders(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and 'pipeline' not in q and not any(n.startswith('op') and n[2:3].isdigit() for n in q), q; assert set(e.oracle_sql()) <= set(q)"
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=120)
+
+
+def _equals_sql_over(spark, name: str, **tables) -> list:
+    """A query's rows over hand-made (rows, schema) tables, held against its SQL over the same."""
+    folder = tempfile.mkdtemp()
+    con = duckdb.connect()
+    for table, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{table}.parquet")
+        con.execute(f"create view {table} as select * from '{folder}/{table}.parquet/*.parquet'")
+    df, rel = registry.QUERIES[name](spark, folder), con.execute(registry.ORACLE_SQL[name])
+    names = [c[0] for c in rel.description]
+    assert sorted(names) == sorted(df.columns)
+    found = df.collect()
+    assert sorted(str(tuple(map(_plain, r))) for r in found) == sorted(str(tuple(_plain(r[names.index(c)]) for c in df.columns)) for r in rel.fetchall())
+    return found
+
+
+def test_iteration_errors_over_a_first_error_of_zero(spark):
+    values = {1: [0.0, 2.0, -3.0, 0.0, None], 2: [-0.0, 1.5, 4.0], 3: [4.0, 2.0, 0.0], 4: [None, 1.0], 5: [float("nan"), 1.0]}
+    rows = [(10 * user + k, user, v) for user, found in values.items() for k, v in enumerate(found)]
+    found = {(r["user_id"], r["k"]): r["ratio"] for r in _equals_sql_over(spark, "iteration_errors", events=(rows, "event_id long, user_id long, value double"))}
+    assert (found[1, 2], found[1, 3], found[2, 2], found[3, 2], found[1, 5]) == (math.inf, -math.inf, -math.inf, 0.5, None)
+    assert math.isnan(found[1, 1]) and math.isnan(found[1, 4])

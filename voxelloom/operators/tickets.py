@@ -31,9 +31,14 @@ def idle_sessions(tickets: DataFrame, key: str, gap: str) -> DataFrame:
 
 
 def iteration_errors(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
-    """Errors of successive iterations over the first, and a tenth of their change."""
+    """Errors of successive iterations over the first, and a tenth of their change.
+
+    Over a first error of 0 they are infinite, or NaN for 0, as doubles are by IEEE 754; Spark's own division raises there, or gives null.
+    """
     w = Window.partitionBy(key).orderBy(order)
-    ratio = rows.select(key, F.row_number().over(w).alias("k"), (F.col(value) / F.first(value).over(w)).alias("ratio"))
+    first = F.first(value).over(w)
+    over = F.when(first == 0, F.col(value) * F.pow(first, F.lit(-1.0))).otherwise(F.col(value) / first)
+    ratio = rows.select(key, F.row_number().over(w).alias("k"), over.alias("ratio"))
     by_k = Window.partitionBy(key).orderBy("k")
     return ratio.withColumn("change", F.abs(F.col("ratio") - F.lag("ratio").over(by_k)) / 10)
 
