@@ -136,3 +136,9 @@ def test_iteration_errors_over_a_first_error_of_zero(spark):
     found = {(r["user_id"], r["k"]): r["ratio"] for r in _equals_sql_over(spark, "iteration_errors", events=(rows, "event_id long, user_id long, value double"))}
     assert (found[1, 2], found[1, 3], found[2, 2], found[3, 2], found[1, 5]) == (math.inf, -math.inf, -math.inf, 0.5, None)
     assert math.isnan(found[1, 1]) and math.isnan(found[1, 4])
+
+
+def test_blend_alpha_of_every_slice(spark):
+    rows = [(50 * t + z, [float((7 * k + 13 * c + z + t) % 19) / 10 - 0.9 for k in range(64)], c) for t in range(2) for z in range(3) for c in range(3)]
+    found = _equals_sql_over(spark, "blend_alpha", embeddings=(rows, "vec_id long, embedding array<float>, label int"))
+    assert len(found) == 2 * 3 * 64 and {(r["t"], r["z"]) for r in found} == {(t, z) for t in range(2) for z in range(3)}
