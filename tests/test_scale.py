@@ -103,3 +103,21 @@ def test_redirects_are_followed_to_their_end(spark):
     cycle = (None, None, True)
     assert got == {"a": ("d", 3, False), "c": ("d", 1, False), "d": ("d", 0, False), "s": cycle, "p": cycle, "r": cycle, "x": ("x", 0, False), "n": ("n", 0, False), "k0": ("k37", 37, False), "k36": ("k37", 1, False), "free": ("free", 0, False)}
     assert names.resolved(paths, table.where("false")).where("steps = 0 and path = place").count() == 11
+
+
+def _held() -> float:
+    """Megabytes that this process holds now."""
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * 4096 / 2**20
+
+
+@pytest.mark.parametrize("way", ["map_volumes", "voxels_of_volumes"])
+def test_kernels_of_many_volumes_hold_one_at_a_time(spark, way):
+    """300 stacks of one batch, of 2 bytes each, that a kernel makes 2 MB of: the pixels tell what the worker held."""
+    rows = spark.range(0, 300, 1, 1).selectExpr("'a' as dataset", "int(id) as t", "0 as c", "1 as nz", "1 as ny", "1 as nx", "'<u2' as dtype", "unhex('0100') as data")
+    kernel = lambda v: np.pad(np.full((1, 1, 1), _held()), ((0, 0), (0, 511), (0, 511)))
+    if way == "map_volumes":
+        found = [float(np.frombuffer(r["v"])[0]) for r in model.map_volumes(rows, kernel).selectExpr("substring(data, 1, 8) as v").collect()]
+    else:
+        found = [r["v"] for r in model.voxels_of_volumes(rows, kernel, above=0).collect()]
+    assert len(found) == 300 and max(found) - found[0] < 200

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
-from ..model import VOLUMES, map_volumes, pixels, planes_of_volumes, volumes, voxels
+from ..model import VOLUMES, map_volumes, pixels, volumes, voxels_of_volumes
 from ..operators.psf import average_beads
 from ..sources.driver import planes
 
@@ -54,14 +54,14 @@ def deskew_rotate(spark, sf_dir):
 
 @query
 def decon_then_deskew(spark, sf_dir):
-    """The whole pipeline of a volume in one pass: deconvolve, turn level, trim, saturate; then planes again."""
+    """The whole pipeline of a volume in one pass: deconvolve, turn level, trim, saturate; then voxels."""
     psf = toy_psf()
 
     def job(v: np.ndarray) -> np.ndarray:
         level = K.deskew_rotate(K.richardson_lucy(v, psf, 2, background=100), 60.0, 1.2)
         return np.clip(np.floor(level + 0.5), 0, 65535).astype("<u2")
 
-    flat = voxels(planes_of_volumes(map_volumes(stacks(spark, sf_dir), job)))
+    flat = voxels_of_volumes(stacks(spark, sf_dir), job)
     return flat.groupBy("t", "c", "y", "x").agg(F.max("v").alias("v"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
-from ..model import map_volumes, planes_of_volumes, volumes
+from ..model import planes_of_volumes, volumes, voxels_of_volumes
 from ..model import voxels as explode_planes
 from ..operators import rois as R
 from ..session import scratch
@@ -130,8 +130,8 @@ def zarr_store_round_trip(spark, sf_dir):
 @query(f"with {VOXELS_SQL} select t, c, z, y, x + z as x, v from vox")
 def deskew_only(spark, sf_dir):
     """Slices sheared by one pixel each, without turning."""
-    vox = explode_planes(planes_of_volumes(map_volumes(volumes(planes(spark, sf_dir)), lambda v: K.deskew(v, 1.0))))
-    return vox.where("v > 0").select("t", "c", "z", "y", "x", F.col("v").cast("int").alias("v"))
+    vox = voxels_of_volumes(volumes(planes(spark, sf_dir)), lambda v: K.deskew(v, 1.0), above=0)
+    return vox.select("t", "c", "z", "y", "x", F.col("v").cast("int").alias("v"))
 
 
 @query("""with axis as (select (i - 31) * 0.1 as p from range(63) r(i)), s as (select 0.11::double as sz, 0.29::double as sy, 0.21::double as sx),
