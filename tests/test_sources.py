@@ -695,3 +695,13 @@ def test_pending_consolidations_and_side_outputs(spark, planes, tmp_path):
     for name in ("a.txt", "b.json", "c.tif"):
         (tmp_path / "f" / name).write_text(name)
     assert metadata.copy_sidecars(str(tmp_path / "f"), str(tmp_path / "g")) == ["a.txt", "b.json"] and metadata.copy_sidecars(str(tmp_path / "f"), str(tmp_path / "g")) == []
+
+
+def test_tasks_of_a_scan_follow_bytes(spark, tmp_path):
+    """A hundred thousand small planes are a few tasks, not one for each 64; few large ones are dealt to many."""
+    for name, shape in (("small", [100, 50, 20, 8, 8]), ("large", [1, 64, 1, 2048, 2048])):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / ".zarray").write_text(json.dumps(chunks.array_metadata(shape, [1, 1, 1, *shape[3:]], "<u2")))
+    small, large = (chunks.scan(spark, str(tmp_path / name), missing="skip") for name in ("small", "large"))
+    assert small.rdd.getNumPartitions() == 25 and small.count() == 0
+    assert large.rdd.getNumPartitions() == 8 and large.where("z = 3").count() == 0

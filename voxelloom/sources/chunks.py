@@ -18,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udf
 
 from ..model import PLANES
-from .pages import tasks_for
+from .pages import listed, tasks_for
 
 CHUNK = re.compile(r"\d+([./]\d+)*")
 # Of a Blosc frame, its flags, its codecs by number, and when a block is split into streams.
@@ -139,46 +139,45 @@ class ZarrWriter(DataSourceArrowWriter):
         shutil.rmtree(self.staging, ignore_errors=True)
 
 
-@udtf(returnType="h int, w int, dtype string, data binary", useArrow=True)
-class PlaneAt:
-    """A plane of an array, by the names of the chunks that hold it. A task keeps the chunks it read last."""
+class Planes:
+    """Planes of an array, by the names of the chunks that hold them. The chunks that were read last are kept."""
 
-    def __init__(self):
-        self.text, self.meta, self.at, self.block = None, None, None, None
+    def __init__(self, folder: str, meta: dict, skip: bool):
+        self.folder, self.meta, self.skip, self.at, self.block = folder, meta, skip, None, None
+        self.fill, self.kind = meta.get("fill_value") or 0, np.dtype(meta["dtype"]).newbyteorder("<")
 
-    def _read(self, folder: str, at: tuple[int, ...]) -> np.ndarray | None:
+    def _read(self, at: tuple[int, ...]) -> np.ndarray | None:
         """The chunks at a place of the axes before y and x, put together over y and x; None if there is none."""
-        shape, chunks, fill, out = self.meta["shape"], self.meta["chunks"], self.meta.get("fill_value"), None
+        shape, chunks, out = self.meta["shape"], self.meta["chunks"], None
         for i in range(-(-shape[-2] // chunks[-2])):
             for j in range(-(-shape[-1] // chunks[-1])):
                 try:
-                    with open(os.path.join(folder, self.meta.get("dimension_separator", ".").join(map(str, [*at, i, j]))), "rb") as f:
+                    with open(os.path.join(self.folder, self.meta.get("dimension_separator", ".").join(map(str, [*at, i, j]))), "rb") as f:
                         part = unpacked(f.read(), self.meta)
                 except FileNotFoundError:
                     continue
                 if out is None:
-                    out = np.full([*chunks[:-2], *shape[-2:]], 0 if fill is None else fill, self.meta["dtype"])
+                    out = np.full([*chunks[:-2], *shape[-2:]], self.fill, self.meta["dtype"])
                 y, x = i * chunks[-2], j * chunks[-1]
                 out[..., y : y + chunks[-2], x : x + chunks[-1]] = part[..., : shape[-2] - y, : shape[-1] - x]
         return out
 
-    def eval(self, folder: str, meta: str, place: list, skip: bool):
-        if meta != self.text:
-            self.text, self.meta, self.at = meta, json.loads(meta), None
-        at, inner = tuple(int(p) // c for p, c in zip(place, self.meta["chunks"])), tuple(int(p) % c for p, c in zip(place, self.meta["chunks"]))
+    def plane(self, place: tuple[int, ...]) -> list[tuple]:
+        """(h, w, dtype, data) of a plane; nothing if no chunk has a part of it and such planes are skipped."""
+        sizes = self.meta["chunks"]
+        at, inner = tuple(p // c for p, c in zip(place, sizes)), tuple(p % c for p, c in zip(place, sizes))
         if at != self.at:
-            self.at, self.block = at, self._read(folder, at)
-        if self.block is None and skip:
-            return
-        fill, kind = self.meta.get("fill_value"), np.dtype(self.meta["dtype"]).newbyteorder("<")
-        image = np.full(self.meta["shape"][-2:], 0 if fill is None else fill, kind) if self.block is None else self.block[inner].astype(kind)
-        yield *image.shape, kind.str, image.tobytes()
+            self.at, self.block = at, self._read(at)
+        if self.block is None and self.skip:
+            return []
+        image = np.full(self.meta["shape"][-2:], self.fill, self.kind) if self.block is None else self.block[inner].astype(self.kind)
+        return [(*image.shape, self.kind.str, image.tobytes())]
 
 
 def scan(spark: SparkSession, folder: str, dataset: str = "zarr", axes: str = "", missing: str = "fill") -> DataFrame:
     """Plane rows of an array in a folder that all executors mount, by chunk names that follow from its metadata: nothing is listed.
 
-    Places are numbers of a range, those of one chunk next to each other; a table function reads the planes. So filters on t, z and c, of any form, are applied to numbers before a
+    Places are numbers of a range, those of one chunk next to each other; a function over batches of them reads the planes. So filters on t, z and c, of any form, are applied to numbers before a
     chunk is opened. A chunk that isn't there is all fill value; with missing="skip" planes that no chunk has a part of are left out. An axis that the array has not got is 0.
     """
     if missing not in ("fill", "skip"):
@@ -198,11 +197,20 @@ def scan(spark: SparkSession, folder: str, dataset: str = "zarr", axes: str = ""
             found.insert(0, F.pmod(rest, F.lit(k)))
             rest = F.floor(rest / k)
     at = {a: (o * c + i).cast("int") for a, o, i, c in zip(axes, outer, inner, sizes)}
-    rows = spark.range(0, n, 1, tasks_for(n)).select(*[at.get(a, F.lit(0)).alias(a) for a in "tzc"])
+    pixels = math.prod(meta["shape"][-2:]) * np.dtype(meta["dtype"]).itemsize
+    rows = spark.range(0, n, 1, tasks_for(n, n * pixels)).select(*[at.get(a, F.lit(0)).alias(a) for a in "tzc"])
     for a, size in zip(axes, shape):
         rows = rows.where(F.col(a) < size)
-    place = F.array(*[F.col(a).outer() for a in axes[:-2]]) if shape else F.array().cast("array<int>")
-    planes = rows.lateralJoin(PlaneAt.asDeterministic()(F.lit(os.path.abspath(folder)), F.lit(json.dumps(meta)), place, F.lit(missing == "skip")))
+    target, skip, depth = os.path.abspath(folder), missing == "skip", len(shape)
+
+    @arrow_udf("array<struct<h:int,w:int,dtype:string,data:binary>>")
+    def plane_at(places: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        held = Planes(target, meta, skip)
+        found = (held.plane(place[:depth]) for columns in places for place in zip(*(c.to_pylist() for c in columns)))
+        return listed(found, "h int, w int, dtype string, data binary")
+
+    # tzc as well, so that an array without these axes has a column to be called for
+    planes = rows.select("t", "z", "c", F.inline(plane_at(*[F.col(a) for a in (*axes[:-2], *"tzc")])))
     return planes.select(F.lit(dataset).alias("dataset"), "t", "z", "c", "h", "w", "dtype", "data")
 
 

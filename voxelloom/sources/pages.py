@@ -1,8 +1,8 @@
 """Pages of TIFF files by an index of offsets.
 
 Tasks walk each file's directories once; a Spark join of what they find with the frame maps of the files' XML gives, for every
-(t, z, c), the place of its pixels. The index is kept beside the files as Parquet, in the pages' order. Plane rows are a scan of that index with a table
-function that reads each row's page where it stands: filters on t, z and c go through the function to the index's scan, and nothing but
+(t, z, c), the place of its pixels. The index is kept beside the files as Parquet, in the pages' order. Plane rows are a scan of that index with a
+function that reads the rows' pages where they stand: filters on t, z and c go through its lists to the index's scan, and nothing but
 the pages they leave is opened. (A Python data source would not do: of two uses of one table with different filters Spark 4.1 gives one the other's rows.)
 """
 
@@ -20,14 +20,14 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udf, udtf
 
-from ..model import PLANES
+from ..model import BATCH, PLANES, arrow_schema
 from . import tiff
 from .omexml import frame_map
 
-#: Name of the index's folder, pages that share statistics there, pages that a task reads, and most tasks.
-INDEX, GROUP, PAGES, MOST_TASKS = "_pages", 1024, 64, 20_000
+#: Name of the index's folder, pages that share statistics there, most pages and bytes of pixels that a task reads, and most tasks.
+INDEX, GROUP, PAGES, TASK_BYTES, MOST_TASKS = "_pages", 1024, 4096, 64 << 20, 20_000
 _WALKED = "folder string, file string, path string, ifd long, h int, w int, dtype string, packing int, predictor int, offsets array<long>, counts array<long>, xml string"
 _PLACED = "t int, z int, c int, ifd long, h int, w int, dtype string, packing int, predictor int, offsets array<long>, counts array<long>, file string"
 
@@ -83,8 +83,9 @@ def build(spark: SparkSession, folder: str, recursive: bool = False) -> str:
     state = {"files": now["n"], "mark": now["x"], "recursive": recursive}
     try:
         with open(os.path.join(place, ".state")) as f:
-            if {**json.load(f), "pages": 0} == {**state, "pages": 0}:
-                return place
+            held = json.load(f)
+        if state == {k: v for k, v in held.items() if k not in ("pages", "bytes")} and "bytes" in held:
+            return place
     except (OSError, ValueError):
         pass
     part = f"{place}-{uuid.uuid4().hex}"
@@ -105,9 +106,10 @@ def build(spark: SparkSession, folder: str, recursive: bool = False) -> str:
             whole = f"{target}.{uuid.uuid4().hex}.part"
             pq.write_table(table.replace_schema_metadata({"path": os.path.relpath(path, folder)}), whole, row_group_size=GROUP, write_statistics=["t", "z", "c"])
             os.replace(whole, target)
-            return pd.DataFrame({"n": [len(rows)]})
+            size = sum(h * w * n * int(dtype[2:]) for (h, w, dtype), n in rows.groupby(["h", "w", "dtype"]).size().items())
+            return pd.DataFrame({"n": [len(rows)], "size": [size]})
 
-        state["pages"] = placed.groupBy("path").applyInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
+        state["pages"], state["bytes"] = (x or 0 for x in placed.groupBy("path").applyInPandas(write, "n long, size long").agg(F.sum("n"), F.sum("size")).first())
         with open(os.path.join(made, ".state"), "w") as f:
             json.dump(state, f)
         if os.path.isdir(place):
@@ -124,18 +126,19 @@ def page_index(spark: SparkSession, folder: str, recursive: bool = False) -> Dat
     return spark.read.schema(_PLACED).option("pathGlobFilter", "*.parquet").parquet(f"file://{os.path.abspath(place)}")
 
 
-@udtf(returnType="dtype string, data binary", useArrow=True)
-class PageAt:
-    """The pixels of a page. A task keeps the file it read last mapped."""
+def _page_at(places: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+    """The pixels of pages, each a list of one. A task keeps the file it read last mapped, and hands on about BATCH bytes at a time."""
 
-    def __init__(self):
-        self.path, self.raw = None, None
+    def images() -> Iterator[list[tuple]]:
+        path, raw = None, None
+        for columns in places:
+            for at, *where in zip(*(c.to_pylist() for c in columns)):
+                if at != path:
+                    path, raw = at, tiff.mapped(at)
+                image = tiff.image_at(raw, tiff.Layout(*where))
+                yield [(image.dtype.str, image.tobytes())]
 
-    def eval(self, path: str, h: int, w: int, dtype: str, packing: int, predictor: int, offsets: list, counts: list):
-        if path != self.path:
-            self.path, self.raw = path, tiff.mapped(path)
-        image = tiff.image_at(self.raw, tiff.Layout(h, w, dtype, packing, predictor, offsets, counts))
-        yield image.dtype.str, image.tobytes()
+    return listed(images(), "dtype string, data binary")
 
 
 @udtf(returnType="z int, h int, w int, kind string, packing int, predictor int, offsets array<long>, counts array<long>", useArrow=True)
@@ -148,23 +151,46 @@ class PagesOf:
             yield z, p.h, p.w, p.dtype, p.packing, p.predictor, list(p.offsets), list(p.counts)
 
 
-def tasks_for(pages: int) -> int:
-    """A task reads one page at a time, so more pages than PAGES take it longer, not more memory."""
-    return max(1, min(-(-pages // PAGES), MOST_TASKS))
+def listed(rows: Iterator[list[tuple]], columns: str) -> Iterator[pa.Array]:
+    """Arrow lists of structs, the last of whose fields holds bytes, in arrays of about BATCH bytes."""
+    schema, found, ends = arrow_schema(columns), [], [0]
+    size = 0
+    for row in rows:
+        found += row
+        ends.append(len(found))
+        size += sum(len(r[-1]) for r in row) + 64
+        if size >= BATCH:
+            yield _lists(found, ends, schema)
+            found, ends, size = [], [0], 0
+    if len(ends) > 1:
+        yield _lists(found, ends, schema)
+
+
+def _lists(found: list[tuple], ends: list[int], schema: pa.Schema) -> pa.Array:
+    columns = list(zip(*found)) or [[] for _ in schema]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], fields=list(schema)))
+
+
+def tasks_for(pages: int, size: int = 0) -> int:
+    """Tasks for pages that hold `size` bytes in all. A task reads one page at a time, so more of them take it longer, not more memory."""
+    return max(1, min(max(-(-pages // PAGES), -(-size // TASK_BYTES)), MOST_TASKS))
 
 
 def _read(rows: DataFrame) -> DataFrame:
     """Plane rows of rows (path, dataset, t, z, c, h, w, kind, packing, predictor, offsets, counts)."""
     names = ("path", "h", "w", "kind", "packing", "predictor", "offsets", "counts")
-    return rows.lateralJoin(PageAt.asDeterministic()(*[F.col(n).outer() for n in names])).select(*[c.split()[0] for c in PLANES.split(", ")])
+    page_at = arrow_udf(_page_at, "array<struct<dtype:string,data:binary>>")
+    return rows.select("dataset", "t", "z", "c", "h", "w", F.inline(page_at(*[F.col(n) for n in names]))).select(*[c.split()[0] for c in PLANES.split(", ")])
 
 
 def read_planes(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
     """Plane rows of the OME files in a folder that all executors mount; its index is built or used."""
     found = page_index(spark, folder, recursive)
     with open(os.path.join(folder, INDEX, ".state")) as f:
-        n = tasks_for(json.load(f)["pages"])
-    dealt = found.repartition(n, "file", F.floor(F.col("ifd") / PAGES))
+        state = json.load(f)
+    n = tasks_for(state["pages"], state["bytes"])
+    together = max(1, state["pages"] // n // 8)  # pages of a file that stay in one task
+    dealt = found.repartition(n, "file", F.floor(F.col("ifd") / together))
     dataset = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"(?i)(_\d+)?\.ome\.tif$", "")
     return _read(dealt.select(F.concat(F.lit(f"{os.path.abspath(folder)}/"), "file").alias("path"), dataset.alias("dataset"), "t", "z", "c", "h", "w", F.col("dtype").alias("kind"), "packing", "predictor", "offsets", "counts"))
 
