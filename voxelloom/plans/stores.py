@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
-from ..model import planes_of_volumes, volumes, voxels_of_volumes
+from ..model import arrow_schema, gathered, pixels, planes_of_volumes, rows_of, volumes, voxels_of_volumes
 from ..model import voxels as explode_planes
 from ..operators import rois as R
 from ..session import scratch
@@ -20,6 +22,7 @@ from ..streaming import queue
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+_SUMS = "t int, z int, c int, total long, top int, place int"
 _PLANES_SQL = f"with {VOXELS_SQL} select t, z, c, sum(v)::bigint as total, max(v) as top, arg_max(y * 8 + x, (v, -(y * 8 + x))) as place from vox group by t, z, c"
 
 
@@ -34,10 +37,17 @@ def query(sql: str):
 
 def _sums(rows: DataFrame) -> DataFrame:
     """Sum, maximum and its place of each plane that is not all zero, as those are which fill up a stack."""
-    vox = explode_planes(rows).select("t", "z", "c", "y", "x", F.col("v").cast("int").alias("v"))
-    best = F.max(F.struct("v", (-(F.col("y") * 8 + F.col("x"))).alias("at")))
-    out = vox.groupBy("t", "z", "c").agg(F.sum("v").cast("long").alias("total"), best.alias("b")).where("b.v > 0")
-    return out.select("t", "z", "c", "total", F.col("b.v").alias("top"), (-F.col("b.at")).alias("place"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in gathered(rows_of(batches)):
+            v = [pixels(r["data"], r["dtype"], r["h"] * r["w"]).astype(np.int64) for r in held]
+            at = [int(x.argmax()) for x in v]
+            found = [{**{k: r[k] for k in "tzc"}, "total": int(x.sum()), "top": int(x[k]), "place": k // r["w"] * 8 + k % r["w"]} for r, x, k in zip(held, v, at)]
+            yield pa.RecordBatch.from_pylist(found, arrow_schema(_SUMS))
+
+    best = F.max(F.struct("top", (-F.col("place")).alias("at")))
+    out = rows.mapInArrow(run, _SUMS).where("total <> 0 or top > 0").groupBy("t", "z", "c").agg(F.sum("total").alias("total"), best.alias("b")).where("b.top > 0")
+    return out.select("t", "z", "c", "total", F.col("b.top").alias("top"), (-F.col("b.at")).alias("place"))
 
 
 def _alike(spark: SparkSession, sf_dir: str) -> DataFrame:
