@@ -1,11 +1,15 @@
 """Operators that must not gather a group in one place, against brute force: ranks by blocks, joins by tiles, selection by digits."""
 
+import os
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from voxelloom import model
 from voxelloom.operators import names, planes, ranks, rois
+from voxelloom.sources import tiff
 
 
 @pytest.mark.parametrize("block", [1, 3, 4096])
@@ -121,3 +125,28 @@ def test_kernels_of_many_volumes_hold_one_at_a_time(spark, way):
     else:
         found = [r["v"] for r in model.voxels_of_volumes(rows, kernel, above=0).collect()]
     assert len(found) == 300 and max(found) - found[0] < 200
+
+
+def test_pages_of_a_file_read_whole_are_decoded_one_by_one(spark, tmp_path):
+    """A small file of 300 pages of 1 MB each: no worker holds them all."""
+    text = tiff.ome_text((1, 300, 1, 512, 1024), "a_0.ome.tif")
+    (tmp_path / "a_0.ome.tif").write_bytes(tiff.encode(np.zeros((300, 512, 1024), "<u2"), text, deflate=True))
+    most, over = [0], threading.Event()
+
+    def watch():
+        while not over.wait(0.02):
+            for p in filter(str.isdigit, os.listdir("/proc")):
+                try:
+                    with open(f"/proc/{p}/cmdline") as f, open(f"/proc/{p}/statm") as g:
+                        most[0] = max(most[0], int(g.read().split()[1]) * 4096 >> 20 if "pyspark" in (x := f.read()) and "daemon" in x else 0)
+                except OSError:
+                    pass
+
+    thread = threading.Thread(target=watch)
+    thread.start()
+    try:
+        found = tiff.read_ome_whole(spark, str(tmp_path)).selectExpr("z", "length(data) as n").collect()
+    finally:
+        over.set()
+        thread.join()
+    assert {(r["z"], r["n"]) for r in found} == {(z, 1 << 20) for z in range(300)} and 0 < most[0] < 400

@@ -158,7 +158,7 @@ def listed(rows: Iterator[list[tuple]], columns: str) -> Iterator[pa.Array]:
     for row in rows:
         found += row
         ends.append(len(found))
-        size += sum(len(r[-1]) for r in row) + 64
+        size += sum(len(r[-1]) for r in row) + 512
         if size >= BATCH:
             yield _lists(found, ends, schema)
             found, ends, size = [], [0], 0
