@@ -142,3 +142,9 @@ def test_blend_alpha_of_every_slice(spark):
     rows = [(50 * t + z, [float((7 * k + 13 * c + z + t) % 19) / 10 - 0.9 for k in range(64)], c) for t in range(2) for z in range(3) for c in range(3)]
     found = _equals_sql_over(spark, "blend_alpha", embeddings=(rows, "vec_id long, embedding array<float>, label int"))
     assert len(found) == 2 * 3 * 64 and {(r["t"], r["z"]) for r in found} == {(t, z) for t in range(2) for z in range(3)}
+
+
+def test_decon_then_deskew_is_one_python_pass_over_stacks(spark):
+    """No volume that the kernel made goes from worker to worker."""
+    plan = registry.QUERIES["decon_then_deskew"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
