@@ -705,3 +705,8 @@ def test_tasks_of_a_scan_follow_bytes(spark, tmp_path):
     small, large = (chunks.scan(spark, str(tmp_path / name), missing="skip") for name in ("small", "large"))
     assert small.rdd.getNumPartitions() == 25 and small.count() == 0
     assert large.rdd.getNumPartitions() == 8 and large.where("z = 3").count() == 0
+
+
+def test_tasks_of_pages_follow_bytes():
+    """Small pages are few tasks, large ones many."""
+    assert pages.tasks_for(102_560, 102_560 * 128) == 26 and pages.tasks_for(64, 64 << 23) == 8 and pages.tasks_for(0) == 1
