@@ -710,3 +710,12 @@ def test_tasks_of_a_scan_follow_bytes(spark, tmp_path):
 def test_tasks_of_pages_follow_bytes():
     """Small pages are few tasks, large ones many."""
     assert pages.tasks_for(102_560, 102_560 * 128) == 26 and pages.tasks_for(64, 64 << 23) == 8 and pages.tasks_for(0) == 1
+
+
+def test_a_store_of_many_small_arrays_is_read_by_few_tasks(spark, tmp_path):
+    """What is consolidated is read by tasks of bytes, not of 64 planes."""
+    rows = spark.range(0, 16, 1, 2).selectExpr("'a' as dataset", "int(id div 2) as t", "int(id % 2) as c", "60 as nz", "2 as ny", "2 as nx", "'<u2' as dtype", "unhex(repeat('0100', 240)) as data")
+    zarr.write_volumes(rows, str(tmp_path), "b")
+    zarr.consolidate(spark, str(tmp_path), "b", 0.1, 2.0)
+    found = zarr.read_planes(spark, str(tmp_path / "b.ome.zarr" / "0"))
+    assert found.rdd.getNumPartitions() == 1 and found.count() == 16 * 60
