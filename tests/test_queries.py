@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 import shutil
 import subprocess
 import sys
@@ -148,3 +149,10 @@ def test_decon_then_deskew_is_one_python_pass_over_stacks(spark):
     """No volume that the kernel made goes from worker to worker."""
     plan = registry.QUERIES["decon_then_deskew"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1
+
+
+@pytest.mark.parametrize("name, workers", [("decon_then_deskew", 1), ("deskew_only", 1), ("rl_decon", 2), ("deskew_rotate", 2), ("isolate_bead", 2), ("auto_mask", 2)])
+def test_stacks_meet_their_kernel_in_one_worker(spark, name, workers):
+    """A task has no worker that only stacks planes; the second one sums volumes."""
+    plan = registry.QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"\b(?:FlatMapGroups|Map)In(?:Pandas|Arrow)\b", plan)) == workers

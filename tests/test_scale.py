@@ -150,3 +150,34 @@ def test_pages_of_a_file_read_whole_are_decoded_one_by_one(spark, tmp_path):
         over.set()
         thread.join()
     assert {(r["z"], r["n"]) for r in found} == {(z, 1 << 20) for z in range(300)} and 0 < most[0] < 400
+
+
+def test_stacks_with_gaps_hold_one_at_a_time(spark):
+    """200 stacks of 4 MB, nearly all of it planes that aren't there: a worker gets the planes there are, not Arrow batches of whole stacks."""
+    rows = spark.range(0, 200, 1, 1).selectExpr("'a' as dataset", "int(id) as t", "511 as z", "0 as c", "64 as h", "64 as w", "'<u2' as dtype", "unhex(repeat('0100', 4096)) as data")
+    kernel = lambda v: np.array([[[v.sum(dtype=float), _held()]]])
+    found, base = ({(r["t"], r["x"]): r["v"] for r in model.voxels_of_stacks(some.coalesce(1), kernel).collect()} for some in (rows, rows.where("t = 7")))
+    assert {t for t, x in found} == set(range(200)) and {found[t, 0] for t in range(200)} == {4096.0}
+    assert max(found[t, 1] for t in range(200)) - base[7, 1] < 40
+
+
+def test_voxels_of_stacks_equal_numpy(spark):
+    """Stacks of several images and sizes, gaps in z, planes smaller than others, rows in any order."""
+    rng, rows, want = np.random.default_rng(4), [], {}
+    for k in range(60):
+        key = (f"d{k % 3}", k % 7, k // 21)
+        whole = np.zeros((9, 5, 6), "<u2")
+        for z in (zs := sorted(rng.choice(9, 4, replace=False))):
+            v = rng.integers(1, 60000, (5, 6) if z == zs[0] else rng.integers(1, [6, 7])).astype("<u2")
+            whole[z, : v.shape[0], : v.shape[1]] = v
+            rows.append((key[0], key[1], int(z), key[2], *v.shape, "<u2", v.tobytes()))
+        v = whole[: zs[-1] + 1][::-1].astype(float) + 1
+        want |= {(*key, *at): x for at, x in np.ndenumerate(v)}
+    assert len({r[:2] + r[3:4] for r in rows}) == 60
+    table = spark.createDataFrame([rows[k] for k in rng.permutation(len(rows))], model.PLANES).repartition(5)
+    made = lambda v: v[::-1].astype(float) + 1
+    for found in (model.voxels_of_stacks(table, made), model.voxels(model.planes_of_volumes(model.volumes(table, kernel=made))), model.voxels_of_volumes(model.volumes(table), made)):
+        got = {(r["dataset"], r["t"], r["c"], r["z"], r["y"], r["x"]): r["v"] for r in found.collect()}
+        assert got == want
+    some = model.voxels_of_stacks(table, made, above=30000, where="t > 3").collect()
+    assert {(r["dataset"], r["t"], r["c"], r["z"], r["y"], r["x"]): r["v"] for r in some} == {k: x for k, x in want.items() if k[1] > 3 and x > 30000}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
-from ..model import VOLUMES, map_volumes, pixels, volumes, voxels_of_volumes
+from ..model import VOLUMES, pixels, volumes, voxels_of_stacks
 from ..operators.psf import average_beads
 from ..sources.driver import planes
 
@@ -22,8 +22,8 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
     return f
 
 
-def stacks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return volumes(planes(spark, sf_dir))
+def stacks(spark: SparkSession, sf_dir: str, kernel: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    return volumes(planes(spark, sf_dir), kernel=kernel)
 
 
 def sizes_and_sums(rows: DataFrame) -> DataFrame:
@@ -44,12 +44,12 @@ def toy_psf() -> np.ndarray:
 @query
 def rl_decon(spark, sf_dir):
     psf = toy_psf()
-    return sizes_and_sums(map_volumes(stacks(spark, sf_dir), lambda v: K.richardson_lucy(v, psf, 5, background=100)))
+    return sizes_and_sums(stacks(spark, sf_dir, lambda v: K.richardson_lucy(v, psf, 5, background=100)))
 
 
 @query
 def deskew_rotate(spark, sf_dir):
-    return sizes_and_sums(map_volumes(stacks(spark, sf_dir), lambda v: K.deskew_rotate(v, 60.0, 1.2)))
+    return sizes_and_sums(stacks(spark, sf_dir, lambda v: K.deskew_rotate(v, 60.0, 1.2)))
 
 
 @query
@@ -61,18 +61,18 @@ def decon_then_deskew(spark, sf_dir):
         level = K.deskew_rotate(K.richardson_lucy(v, psf, 2, background=100), 60.0, 1.2)
         return np.clip(np.floor(level + 0.5), 0, 65535).astype("<u2")
 
-    flat = voxels_of_volumes(stacks(spark, sf_dir), job)
+    flat = voxels_of_stacks(planes(spark, sf_dir), job)
     return flat.groupBy("t", "c", "y", "x").agg(F.max("v").alias("v"))
 
 
 @query
 def isolate_bead(spark, sf_dir):
-    return sizes_and_sums(map_volumes(stacks(spark, sf_dir), K.isolate_bead))
+    return sizes_and_sums(stacks(spark, sf_dir, K.isolate_bead))
 
 
 @query
 def auto_mask(spark, sf_dir):
-    return sizes_and_sums(map_volumes(stacks(spark, sf_dir), lambda v: K.auto_mask(v).astype("u1")))
+    return sizes_and_sums(stacks(spark, sf_dir, lambda v: K.auto_mask(v).astype("u1")))
 
 
 @query

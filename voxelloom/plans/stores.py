@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
-from ..model import arrow_schema, gathered, pixels, planes_of_volumes, rows_of, volumes, voxels_of_volumes
+from ..model import arrow_schema, gathered, pixels, planes_of_volumes, rows_of, volumes, voxels_of_stacks
 from ..model import voxels as explode_planes
 from ..operators import rois as R
 from ..session import scratch
@@ -140,7 +140,7 @@ def zarr_store_round_trip(spark, sf_dir):
 @query(f"with {VOXELS_SQL} select t, c, z, y, x + z as x, v from vox")
 def deskew_only(spark, sf_dir):
     """Slices sheared by one pixel each, without turning."""
-    vox = voxels_of_volumes(volumes(planes(spark, sf_dir)), lambda v: K.deskew(v, 1.0), above=0)
+    vox = voxels_of_stacks(planes(spark, sf_dir), lambda v: K.deskew(v, 1.0), above=0)
     return vox.select("t", "c", "z", "y", "x", F.col("v").cast("int").alias("v"))
 
 
