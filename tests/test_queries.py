@@ -139,6 +139,16 @@ def test_iteration_errors_over_a_first_error_of_zero(spark):
     assert math.isnan(found[1, 1]) and math.isnan(found[1, 4])
 
 
+def test_iteration_errors_round_halves_as_their_sql(spark):
+    """Halves of the seventh digit, of which the first three are in sf0.1; then zeros below 0, and what overflows a million times over."""
+    values = {1: [16.0, 28.68, 169.69], 2: [16.0, 66.81, 120.44], 3: [2.56, 152.77, 99.29], 4: [1.0, *((10 * k + 5) / 1e7 for k in range(200))], 5: [-1.0, *((10 * k + 5) / 1e7 for k in range(200))]}
+    values |= {6: [-4.0, 0.0, 1e-7, -1e-7], 7: [1.0, 1e303, -1.7e308, 0.49999999999999994e-6]}
+    rows = [(1000 * user + k, user, v) for user, found in values.items() for k, v in enumerate(found)]
+    found = {(r["user_id"], r["k"]): (r["ratio"], r["change"]) for r in _equals_sql_over(spark, "iteration_errors", events=(rows, "event_id long, user_id long, value double"))}
+    assert (found[1, 3][1], found[2, 3][1], found[3, 3][1]) == (0.881313, 0.335188, 2.089062)
+    assert math.copysign(1, found[6, 2][0]) == -1 and found[7, 2][0] == 1e303
+
+
 def test_blend_alpha_of_every_slice(spark):
     rows = [(50 * t + z, [float((7 * k + 13 * c + z + t) % 19) / 10 - 0.9 for k in range(64)], c) for t in range(2) for z in range(3) for c in range(3)]
     found = _equals_sql_over(spark, "blend_alpha", embeddings=(rows, "vec_id long, embedding array<float>, label int"))

@@ -390,7 +390,7 @@ def _(spark, sf_dir):
 select user_id, k, round(ratio, 6) as ratio, round(abs(ratio - lag(ratio) over (partition by user_id order by k)) / 10, 6) as change from r""",
 )
 def _(spark, sf_dir):
-    return T.iteration_errors(table(spark, sf_dir, "events"), "user_id", "event_id", "value").withColumns({"ratio": F.round("ratio", 6), "change": F.round("change", 6)})
+    return T.iteration_errors(table(spark, sf_dir, "events"), "user_id", "event_id", "value").withColumns({c: S.rounded(F.col(c), 6) for c in ("ratio", "change")})
 
 
 @query(
