@@ -149,6 +149,29 @@ def test_iteration_errors_round_halves_as_their_sql(spark):
     assert math.copysign(1, found[6, 2][0]) == -1 and found[7, 2][0] == 1e303
 
 
+def test_tables_numbers_round_halves_as_their_sql(spark):
+    """Three digits of seconds, four of a job's sum, six of a supplier's share of its range."""
+    rows = [(k, k, "read", (10 * k + 5) / 1e4) for k in range(1000)]
+    schema = "event_id long, user_id long, event_type string, value double"
+    found = {r["event_id"]: r["seconds"] for r in _equals_sql_over(spark, "parse_seconds", events=(rows, schema))}
+    assert (found[501], found[500]) == (0.501, 0.0)
+    rows = [(6 * k, k, "read", (10 * n + 5) / 1e5) for k, n in enumerate((1, 14, 46, 56, 81, 84, 104, 107, 124, 127, 160, 177, 194, 200, 217, 223, 240, 246, 323, 340))]
+    assert len(_equals_sql_over(spark, "profile_report", events=(rows, schema))) == 20
+    rows = [(k, 1, 1, 1, v) for k, v in enumerate([0.0, 1.0, *((10 * k + 5) / 1e7 for k in range(400))])]
+    assert len(_equals_sql_over(spark, "minmax_unit", lineitem=(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double"))) == 402
+
+
+def test_pixel_shares_round_halves_as_their_sql(spark):
+    """Of a sum of 5,120 x 2^k, shares end on halves of the tenth digit."""
+    rows = []
+    for t, whole in enumerate((5120, 10240, 20480)):
+        pixels = [(7 * k + t) % 61 + 1 for k in range(63)]
+        pixels.append(whole - sum(pixels))
+        rows.append((50 * t, [(v + 0.5) / 1000 - 1 for v in pixels], 0))
+    found = _equals_sql_over(spark, "psf_normalise", embeddings=(rows, "vec_id long, embedding array<float>, label int"))
+    assert len(found) == 3 * 64
+
+
 def test_blend_alpha_of_every_slice(spark):
     rows = [(50 * t + z, [float((7 * k + 13 * c + z + t) % 19) / 10 - 0.9 for k in range(64)], c) for t in range(2) for z in range(3) for c in range(3)]
     found = _equals_sql_over(spark, "blend_alpha", embeddings=(rows, "vec_id long, embedding array<float>, label int"))

@@ -221,7 +221,7 @@ def _(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     frames = events.where("event_type <> 'error'").groupBy(F.col("user_id").alias("dataset"), (F.col("event_id") % 50).cast("int").alias("t")).agg((F.min("value") * 1000).alias("elapsed_ms"))
     grid = events.select(F.col("user_id").alias("dataset")).distinct().withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(49))))
-    return N.frame_times(grid, frames, 6.0, ["dataset", "t"]).withColumn("elapsed_s", F.round("elapsed_s", 6))
+    return N.frame_times(grid, frames, 6.0, ["dataset", "t"]).withColumn("elapsed_s", S.rounded(F.col("elapsed_s"), 6))
 
 
 @query("missing_chunks_anti", "select o_orderkey from orders except select l_orderkey from lineitem")
@@ -405,7 +405,7 @@ def _(spark, sf_dir):
     func = F.element_at(F.array(*[F.lit(k) for k in ("readzarr", "readtiff", "decon_lucy_function", "gpuArray.imwarp", "writezarr", "other")]), (F.col("event_id") % 6 + 1).cast("int"))
     rows = table(spark, sf_dir, "events").select(F.concat(F.lit("job"), (F.col("user_id") % 20).cast("string")).alias("job"), func.alias("func"), F.col("value").alias("seconds"))
     out = summarise(rows)
-    return out.select("job", *[F.round(c, 4).alias(c) for c in ("load", "decon", "dsr", "save", "total")])
+    return out.select("job", *[S.rounded(F.col(c), 4).alias(c) for c in ("load", "decon", "dsr", "save", "total")])
 
 
 @query("stream_state_counts", "select time_bucket(interval 1 hour, ts) as hour, state, count(*) as n from tickets group by all")

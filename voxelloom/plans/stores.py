@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
+from ..functions import scalars as S
 from ..model import arrow_schema, gathered, pixels, planes_of_volumes, rows_of, volumes, voxels_of_stacks
 from ..model import voxels as explode_planes
 from ..operators import rois as R
@@ -151,7 +152,7 @@ def synthetic_psf_moments(spark, sf_dir):
     """Mass and peak of an analytic PSF, by column expressions."""
     from ..operators.psf import synthetic_psf
 
-    return synthetic_psf(spark, 525.0).agg(F.round(F.sum("v"), 6).alias("mass"), F.max("v").alias("peak"), F.count("*").alias("voxels"))
+    return synthetic_psf(spark, 525.0).agg(S.rounded(F.sum("v"), 6).alias("mass"), F.max("v").alias("peak"), F.count("*").alias("voxels"))
 
 
 @query("""select 'f' || p_partkey as file_name, p_size as top_y0, p_size + 10 as top_y1, 3 as top_x0, 9 as top_x1, case when p_size % 2 = 0 then p_size end as bottom_y0 from part""")

@@ -75,14 +75,16 @@ def _(spark, sf_dir):
 @query("parse_seconds", "select event_id, case when event_id % 4 = 0 then 0 else round(value, 3) end as seconds from events")
 def _(spark, sf_dir):
     text = F.when(F.col("event_id") % 4 == 0, "n/a").otherwise(F.concat(F.col("value").cast("string"), F.lit(" s")))
-    return table(spark, sf_dir, "events").select("event_id", F.round(S.seconds(text), 3).alias("seconds"))
+    return table(spark, sf_dir, "events").select("event_id", S.seconds(text).alias("seconds")).withColumn("seconds", S.rounded(F.col("seconds"), 3))
 
 
 @query("elapsed_times", "select event_id, epoch_us(ts) // 1000 as ticket_ms, round((epoch_us(ts) - min(epoch_us(ts)) over (partition by user_id)) / 1e6, 6) as elapsed_s from events")
 def _(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     first = events.groupBy("user_id").agg(F.min("ts").alias("t0"))
-    return events.join(first, "user_id").select("event_id", F.floor(S.epoch_micros(F.col("ts")) / 1000).alias("ticket_ms"), F.round((S.epoch_micros(F.col("ts")) - S.epoch_micros(F.col("t0"))) / 1e6, 6).alias("elapsed_s"))
+    elapsed = (S.epoch_micros(F.col("ts")) - S.epoch_micros(F.col("t0"))) / 1e6
+    rows = events.join(first, "user_id").select("event_id", F.floor(S.epoch_micros(F.col("ts")) / 1000).alias("ticket_ms"), elapsed.alias("elapsed_s"))
+    return rows.withColumn("elapsed_s", S.rounded(F.col("elapsed_s"), 6))
 
 
 _GEOMETRY_SQL = """g as (select l_orderkey, l_linenumber, l_quantity as nz, 0.1 + l_discount as px, 0.3 + l_tax as dz, 30 + l_linenumber * 4.0 as angle, l_linenumber % 3 = 0 as obj, l_linenumber % 3 = 1 as stage from lineitem),
@@ -101,7 +103,8 @@ def _(spark, sf_dir):
     objective, stage = F.col("l_linenumber") % 3 == 0, F.col("l_linenumber") % 3 == 1
     aniso = S.z_anisotropy(dz, px, angle, objective, stage)
     size = S.rotated_size(F.lit(1114), F.lit(277), F.col("l_quantity"), angle, aniso, objective)
-    return rows.select("l_orderkey", "l_linenumber", F.round(aniso, 6).alias("aniso"), F.round(dz * F.sin(F.radians(angle)), 6).alias("dz_skewed"), size["nx"].alias("nx_out"), size["nz"].alias("nz_out"))
+    out = rows.select("l_orderkey", "l_linenumber", aniso.alias("aniso"), (dz * F.sin(F.radians(angle))).alias("dz_skewed"), size["nx"].alias("nx_out"), size["nz"].alias("nz_out"))
+    return out.withColumns({c: S.rounded(F.col(c), 6) for c in ("aniso", "dz_skewed")})
 
 
 @query(
@@ -113,21 +116,21 @@ select l_orderkey, l_linenumber, round(case when turn > 90 then 180 - turn else
 )
 def _(spark, sf_dir):
     angle = S.acute_angle(F.col("l_quantity") - 25, F.col("l_linenumber") - 3.5, F.col("l_discount") - 0.05, F.col("l_tax") - 0.04)
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.round(angle, 4).alias("angle")).where("angle is not null")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", angle.alias("angle")).where("angle is not null").withColumn("angle", S.rounded(F.col("angle"), 4))
 
 
 @query("suggested_angle", "select l_orderkey, l_linenumber, round(degrees(atan(tan(radians(31.8)) + l_discount)), 6) as angle from lineitem")
 def _(spark, sf_dir):
     from ..operators.measures import suggested_angle
 
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.round(suggested_angle(F.lit(31.8), F.col("l_discount")), 6).alias("angle"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", suggested_angle(F.lit(31.8), F.col("l_discount")).alias("angle")).withColumn("angle", S.rounded(F.col("angle"), 6))
 
 
 @query("minmax_unit", "with r as (select l_suppkey, min(l_extendedprice) as lo, max(l_extendedprice) as hi from lineitem group by 1) select l_orderkey, l_linenumber, l_partkey, round(case when hi > lo then least(greatest((l_extendedprice - lo) / (hi - lo), 0), 1) else 0 end, 6) as unit from lineitem join r using (l_suppkey)")
 def _(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem")
     limits = rows.groupBy("l_suppkey").agg(F.min("l_extendedprice").alias("lo"), F.max("l_extendedprice").alias("hi"))
-    return rows.join(limits, "l_suppkey").select("l_orderkey", "l_linenumber", "l_partkey", F.round(S.unit_range(F.col("l_extendedprice"), F.col("lo"), F.col("hi")), 6).alias("unit"))
+    return rows.join(limits, "l_suppkey").select("l_orderkey", "l_linenumber", "l_partkey", S.unit_range(F.col("l_extendedprice"), F.col("lo"), F.col("hi")).alias("unit")).withColumn("unit", S.rounded(F.col("unit"), 6))
 
 
 @query("resample_factors", "select p_partkey, case p_partkey % 3 when 0 then [p_size, p_size, p_size] when 1 then [p_size, p_size, 2] else [p_size, 2, 3] end as factors from part")
